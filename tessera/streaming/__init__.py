@@ -1,0 +1,7 @@
+"""Streaming.
+
+The reference has no streaming work (no watermark, window, state or
+late-data logic), so no streaming operator is built.  The batch operators
+are plain DataFrame functions; the stateless ones (tokenising, encoding,
+span repair, JSON splitting) apply unchanged to a ``readStream`` DataFrame.
+"""
