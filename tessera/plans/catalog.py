@@ -88,3 +88,160 @@ def q_vocab_coverage(spark, sf):
     bench_tokens = V.word_count(table(spark, sf, "benchmark"), "text")
     return V.vocab_coverage(_vocab(spark, sf), bench_tokens).select(
         "n_total", "n_matched", r6("coverage").alias("coverage"))
+
+
+# ---------------------------------------------------------------- labels
+from tessera.operators import labels as L  # noqa: E402
+from tessera.operators import metrics as M  # noqa: E402
+from tessera.operators import seqtags as T  # noqa: E402
+from tessera.plans import standins as S  # noqa: E402
+
+
+def _all_labels(spark, sf):
+    docs = table(spark, sf, "documents").select(F.col("lang").alias("label"))
+    ev = table(spark, sf, "events").select(F.col("event_type").alias("label"))
+    return L.label_index(docs.unionByName(ev), "label")
+
+
+@query
+def q_label_index(spark, sf):
+    return _all_labels(spark, sf).select("label", F.col("idx").cast("bigint").alias("idx"))
+
+
+@query
+def q_label_encode(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "lang")
+    enc = L.encode_labels(docs, "lang", _all_labels(spark, sf), "label_id", strict=True)
+    return enc.select("doc_id", "lang", F.col("label_id").cast("bigint").alias("label_id"))
+
+
+@query
+def q_label_drift(spark, sf):
+    docs = table(spark, sf, "documents")
+    model = docs.select(F.col("lang").alias("label"))
+    labeled = docs.join(table(spark, sf, "labels").where("quality = 1"), "doc_id", "left_semi")
+    data = (labeled.select(F.col("lang").alias("label"))
+            .unionByName(table(spark, sf, "events").select(F.col("event_type").alias("label"))))
+    return L.label_drift(model, data)
+
+
+@query
+def q_b_to_i_map(spark, sf):
+    labels = L.label_index(S.tag_sequences(spark, sf), "gold", explode=True)
+    return L.b_to_i_map(labels).select("b_label", F.col("b_idx").cast("bigint").alias("b_idx"),
+                                       "i_label", F.col("i_idx").cast("bigint").alias("i_idx"))
+
+
+@query
+def q_dedupe_predictions(spark, sf):
+    docs = table(spark, sf, "documents").select("text", "doc_id", "lang")
+    return L.dedupe(docs, ["text"], "doc_id").select("doc_id", "lang")
+
+
+# ---------------------------------------------------------------- sequences
+@query
+def q_entities_strict(spark, sf):
+    e = T.entities(S.tag_sequences(spark, sf), ["conv_id", "turn"], "pred", strict=True)
+    return e.select("conv_id", "turn", "etype", F.col("start").cast("bigint").alias("start"),
+                    F.col("end").cast("bigint").alias("end"))
+
+
+@query
+def q_entities_lenient(spark, sf):
+    e = T.entities(S.tag_sequences(spark, sf), ["conv_id", "turn"], "pred", strict=False)
+    return e.select("conv_id", "turn", "etype", F.col("start").cast("bigint").alias("start"),
+                    F.col("end").cast("bigint").alias("end"))
+
+
+@query
+def q_entity_f1_strict(spark, sf):
+    counts = T.entity_counts(S.tag_sequences(spark, sf), ["conv_id", "turn"], "gold", "pred", strict=True)
+    rep = T.entity_report(counts)
+    return rep.select("label", r6("precision").alias("precision"), r6("recall").alias("recall"),
+                      r6("f1").alias("f1"), F.col("support").cast("bigint").alias("support"))
+
+
+@query
+def q_entity_f1_lenient(spark, sf):
+    seqs = S.tag_sequences(spark, sf)
+    counts = T.entity_counts(seqs, ["conv_id", "turn"], "gold", "pred", strict=False)
+    acc = T.token_accuracy(seqs, "pred", "gold")
+    return T.flat_metrics(counts, acc).select("metric", r6("value").alias("value"))
+
+
+@query
+def q_joint_accuracy(spark, sf):
+    return T.joint_accuracy(S.tag_sequences(spark, sf), "pred", "gold").select(
+        "n_seqs", r6("joint_acc").alias("joint_acc"))
+
+
+@query
+def q_token_accuracy(spark, sf):
+    return T.token_accuracy(S.tag_sequences(spark, sf), "pred", "gold").select(
+        F.col("n_tokens").cast("bigint").alias("n_tokens"), r6("token_acc").alias("token_acc"))
+
+
+def _tag_labels(spark, sf):
+    return L.label_index(S.tag_sequences(spark, sf), "gold", explode=True)
+
+
+def _tag_ids(spark, sf):
+    """Tag sequences with gold/pred tags mapped to label ids: explode the
+    positions, join the label table (AQE broadcasts it at runtime when
+    small), regroup per sequence with map-side combined collect_list."""
+    from tessera.operators.common import ordered_collect
+    seqs = S.tag_sequences(spark, sf)
+    labels = _tag_labels(spark, sf)
+    ex = seqs.select("conv_id", "turn",
+                     F.posexplode(F.arrays_zip("tokens", "gold", "pred")).alias("pos", "z"))
+    ex = (ex.join(labels.select(F.col("label").alias("g"), F.col("idx").alias("gid")),
+                  F.col("z.gold") == F.col("g"), "left")
+          .join(labels.select(F.col("label").alias("p"), F.col("idx").alias("pid")),
+                F.col("z.pred") == F.col("p"), "left")
+          .select("conv_id", "turn", "pos",
+                  F.struct(F.col("z.tokens").alias("token"), "gid", "pid").alias("v")))
+    g = ordered_collect(ex, ["conv_id", "turn"], "pos", "v", "vs")
+    return g.select("conv_id", "turn", F.col("vs.token").alias("tokens"),
+                    F.col("vs.gid").alias("gold_ids"), F.col("vs.pid").alias("pred_ids"))
+
+
+@query
+def q_align_labels(spark, sf):
+    s = _tag_ids(spark, sf)
+    al = T.align_labels("tokens", "gold_ids", k=4)
+    return s.select("conv_id", "turn", al.alias("a")).select(
+        "conv_id", "turn", F.size("a").cast("bigint").alias("n_pieces"),
+        F.size(F.filter("a", lambda x: x["label"] != -100)).cast("bigint").alias("n_labeled"),
+        F.array_join(F.transform("a", lambda x: x["label"].cast("string")), " ").alias("labels"))
+
+
+@query
+def q_masked_token_accuracy(spark, sf):
+    s = _tag_ids(spark, sf)
+    gold = F.transform(T.align_labels("tokens", "gold_ids", k=4), lambda x: x["label"])
+    pred = F.transform(T.align_labels("tokens", "pred_ids", k=4, all_tokens=True), lambda x: x["label"])
+    s = s.select(gold.alias("g"), pred.alias("p"))
+    return T.token_accuracy(s, "p", "g", ignore=[-100, -1]).select(
+        F.col("n_tokens").cast("bigint").alias("n_tokens"), r6("token_acc").alias("token_acc"))
+
+
+@query
+def q_tag_lines(spark, sf):
+    from tessera.operators.common import ordered_collect
+    s = _tag_ids(spark, sf)
+    pred = F.transform(T.align_labels("tokens", "pred_ids", k=4), lambda x: x["label"])
+    ex = s.select("conv_id", "turn", F.posexplode(pred).alias("pos", "idx")).where(
+        ~F.col("idx").isin(-1, -100))
+    back = ex.join(_tag_labels(spark, sf), "idx", "inner")
+    out = ordered_collect(back, ["conv_id", "turn"], "pos", "label", "tags")
+    return out.select("conv_id", "turn", F.array_join("tags", " ").alias("tags"))
+
+
+@query
+def q_encode_tags(spark, sf):
+    from pyspark.sql import Window
+    from tessera.functions.arrays import pad_array
+    s = _tag_ids(spark, sf)
+    n = F.max(F.size("gold_ids")).over(Window.partitionBy("conv_id"))
+    return s.select("conv_id", "turn", F.size("gold_ids").cast("bigint").alias("length"),
+                    F.array_join(pad_array("gold_ids", n, -1), " ").alias("tag_ids"))

@@ -64,3 +64,148 @@ b AS (SELECT DISTINCT unnest({WS_TOKENS.format(col='text')}) AS token FROM bench
 SELECT count(*) + 2 AS n_total, count(b.token) AS n_matched,
        round((count(b.token)) / (count(*) + 2), 6) AS coverage
 FROM vocab v LEFT JOIN b USING (token)"""
+
+# ---------------------------------------------------------------- labels
+LABELS_CTE = """
+lab AS (SELECT DISTINCT label FROM (SELECT lang AS label FROM documents UNION ALL SELECT event_type FROM events)),
+idx AS (SELECT label, CAST(row_number() OVER (ORDER BY label) - 1 AS BIGINT) AS idx FROM lab)
+"""
+
+ORACLE_SQL["label_index"] = f"WITH {LABELS_CTE} SELECT label, idx FROM idx"
+
+ORACLE_SQL["label_encode"] = f"""
+WITH {LABELS_CTE}
+SELECT d.doc_id, d.lang, i.idx AS label_id FROM documents d JOIN idx i ON i.label = d.lang"""
+
+ORACLE_SQL["label_drift"] = """
+WITH m AS (SELECT DISTINCT lang AS label FROM documents),
+d AS (SELECT DISTINCT label FROM (
+        SELECT lang AS label FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)
+        UNION ALL SELECT event_type FROM events))
+SELECT coalesce(m.label, d.label) AS label,
+       CASE WHEN m.label IS NOT NULL AND d.label IS NOT NULL THEN 'both'
+            WHEN m.label IS NOT NULL THEN 'model_only' ELSE 'data_only' END AS status
+FROM m FULL OUTER JOIN d ON m.label = d.label"""
+
+ORACLE_SQL["dedupe_predictions"] = """
+SELECT min(doc_id) AS doc_id, arg_min(lang, doc_id) AS lang FROM documents GROUP BY text"""
+
+# ---------------------------------------------------------------- sequences
+TAGS_CTE = """
+tok AS (SELECT conv_id, turn, generate_subscripts(arr, 1) - 1 AS pos, unnest(arr) AS token
+        FROM (SELECT conv_id, turn, list_filter(regexp_split_to_array(text, '\\s+'), lambda t: t <> '') AS arr
+              FROM conversations)),
+typ AS (SELECT *, CASE WHEN regexp_matches(token, '^[A-Z]') THEN 'CAP'
+                       WHEN regexp_matches(token, '[,.]$') THEN 'PUN' ELSE 'O' END AS ty FROM tok),
+gl AS (SELECT *, CASE WHEN ty = 'O' THEN 'O'
+                      WHEN lag(ty) OVER (PARTITION BY conv_id, turn ORDER BY pos) = ty THEN 'I-' || ty
+                      ELSE 'B-' || ty END AS gold FROM typ),
+tags AS (SELECT *, CASE WHEN pos % 5 = 2 THEN 'O'
+                        WHEN pos % 7 = 3 THEN regexp_replace(gold, '^B-', 'I-') ELSE gold END AS pred FROM gl),
+tagidx AS (SELECT label, row_number() OVER (ORDER BY label) - 1 AS idx
+           FROM (SELECT DISTINCT gold AS label FROM tags)),
+tagids AS (SELECT t.*, g.idx AS gid, p.idx AS pid FROM tags t
+           LEFT JOIN tagidx g ON g.label = t.gold LEFT JOIN tagidx p ON p.label = t.pred)
+"""
+
+
+def ents_cte(col: str, name: str, strict: bool) -> str:
+    keep = "= 'B'" if strict else "<> 'O'"
+    return f"""
+{name}_0 AS (SELECT conv_id, turn, pos, {col} AS tag,
+                    lag({col}) OVER (PARTITION BY conv_id, turn ORDER BY pos) AS ptag FROM tags),
+{name}_1 AS (SELECT *, CASE WHEN tag = 'O' THEN 'O' ELSE substr(tag, 1, 1) END AS pf,
+                       CASE WHEN tag = 'O' THEN 'O' ELSE substr(tag, 3) END AS et,
+                       CASE WHEN ptag = 'O' THEN 'O' ELSE substr(ptag, 3) END AS pet FROM {name}_0),
+{name}_2 AS (SELECT *, sum(CASE WHEN ptag IS NULL OR pf <> 'I' OR ptag = 'O' OR et <> pet THEN 1 ELSE 0 END)
+                    OVER (PARTITION BY conv_id, turn ORDER BY pos ROWS UNBOUNDED PRECEDING) AS cid FROM {name}_1),
+{name} AS (SELECT conv_id, turn, arg_min(et, pos) AS etype, min(pos) AS start, max(pos) AS "end"
+           FROM {name}_2 GROUP BY conv_id, turn, cid
+           HAVING arg_min(et, pos) <> 'O' AND arg_min(pf, pos) {keep})
+"""
+
+
+for _mode, _strict in (("strict", True), ("lenient", False)):
+    ORACLE_SQL[f"entities_{_mode}"] = f"""
+WITH {TAGS_CTE}, {ents_cte('pred', 'pe', _strict)}
+SELECT conv_id, turn, etype, CAST(start AS BIGINT) AS start, CAST("end" AS BIGINT) AS "end" FROM pe"""
+
+
+def entity_counts_cte(strict: bool) -> str:
+    return f"""{TAGS_CTE}, {ents_cte('gold', 'ge', strict)}, {ents_cte('pred', 'pe', strict)},
+j AS (SELECT coalesce(g.etype, p.etype) AS etype, g.start IS NOT NULL AS ig, p.start IS NOT NULL AS ip
+      FROM ge g FULL OUTER JOIN pe p ON g.conv_id = p.conv_id AND g.turn = p.turn AND g.etype = p.etype
+           AND g.start = p.start AND g."end" = p."end"),
+c AS (SELECT etype, count(*) FILTER (WHERE ig) AS n_gold, count(*) FILTER (WHERE ip) AS n_pred,
+             count(*) FILTER (WHERE ig AND ip) AS n_tp FROM j GROUP BY etype),
+per0 AS (SELECT etype, n_gold, n_pred, n_tp,
+                CASE WHEN n_pred > 0 THEN n_tp / n_pred ELSE 0.0 END AS p,
+                CASE WHEN n_gold > 0 THEN n_tp / n_gold ELSE 0.0 END AS r FROM c),
+per AS (SELECT *, CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0.0 END AS f FROM per0)"""
+
+
+ORACLE_SQL["entity_f1_strict"] = f"""
+WITH {entity_counts_cte(True)},
+tot AS (SELECT sum(n_tp) AS tp, sum(n_pred) AS np, sum(n_gold) AS ng, avg(p) AS mp, avg(r) AS mr, avg(f) AS mf,
+               sum(p * n_gold) / sum(n_gold) AS wp, sum(r * n_gold) / sum(n_gold) AS wr,
+               sum(f * n_gold) / sum(n_gold) AS wf FROM per),
+mic0 AS (SELECT ng, CASE WHEN np > 0 THEN tp / np ELSE 0.0 END AS p,
+                CASE WHEN ng > 0 THEN tp / ng ELSE 0.0 END AS r FROM tot),
+mic AS (SELECT *, CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0.0 END AS f FROM mic0),
+rep AS (SELECT etype AS label, p, r, f, n_gold AS support FROM per
+        UNION ALL SELECT 'micro avg', p, r, f, ng FROM mic
+        UNION ALL SELECT 'macro avg', mp, mr, mf, ng FROM tot
+        UNION ALL SELECT 'weighted avg', wp, wr, wf, ng FROM tot)
+SELECT label, round(p, 6) AS precision, round(r, 6) AS recall, round(f, 6) AS f1,
+       CAST(support AS BIGINT) AS support FROM rep"""
+
+ORACLE_SQL["entity_f1_lenient"] = f"""
+WITH {entity_counts_cte(False)},
+tot0 AS (SELECT sum(n_tp) AS tp, sum(n_pred) AS np, sum(n_gold) AS ng FROM c),
+tot1 AS (SELECT CASE WHEN np > 0 THEN tp / np ELSE 0.0 END AS p, CASE WHEN ng > 0 THEN tp / ng ELSE 0.0 END AS r FROM tot0),
+tot AS (SELECT *, CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0.0 END AS f FROM tot1),
+m AS (SELECT etype || '_precision' AS metric, p AS value FROM per
+      UNION ALL SELECT etype || '_recall', r FROM per
+      UNION ALL SELECT etype || '_f1', f FROM per
+      UNION ALL SELECT etype || '_number', CAST(n_gold AS DOUBLE) FROM per
+      UNION ALL SELECT 'overall_precision', p FROM tot
+      UNION ALL SELECT 'overall_recall', r FROM tot
+      UNION ALL SELECT 'overall_f1', f FROM tot
+      UNION ALL SELECT 'overall_accuracy', avg(CASE WHEN pred = gold THEN 1.0 ELSE 0.0 END) FROM tags)
+SELECT metric, round(value, 6) AS value FROM m"""
+
+ORACLE_SQL["joint_accuracy"] = f"""
+WITH {TAGS_CTE}, s AS (SELECT conv_id, turn, bool_and(pred = gold) AS ok FROM tags GROUP BY conv_id, turn)
+SELECT count(*) AS n_seqs, round(avg(CASE WHEN ok THEN 1.0 ELSE 0.0 END), 6) AS joint_acc FROM s"""
+
+ORACLE_SQL["token_accuracy"] = f"""
+WITH {TAGS_CTE}
+SELECT count(*) AS n_tokens, round(avg(CASE WHEN pred = gold THEN 1.0 ELSE 0.0 END), 6) AS token_acc FROM tags"""
+
+ORACLE_SQL["b_to_i_map"] = f"""
+WITH {TAGS_CTE}
+SELECT b.label AS b_label, CAST(b.idx AS BIGINT) AS b_idx, i.label AS i_label, CAST(i.idx AS BIGINT) AS i_idx
+FROM tagidx b JOIN tagidx i ON i.label = replace(b.label, 'B-', 'I-') WHERE b.label LIKE 'B-%'"""
+
+ORACLE_SQL["align_labels"] = f"""
+WITH {TAGS_CTE},
+w AS (SELECT conv_id, turn, pos, CAST(ceil(length(token) / 4) AS BIGINT) AS np, gid FROM tagids)
+SELECT conv_id, turn, 2 + sum(np) AS n_pieces, count(*) FILTER (WHERE np > 0) AS n_labeled,
+       '-100 ' || string_agg(CAST(gid AS VARCHAR) || repeat(' -100', CAST(np - 1 AS BIGINT)), ' ' ORDER BY pos)
+       || ' -100' AS labels
+FROM w GROUP BY conv_id, turn"""
+
+ORACLE_SQL["masked_token_accuracy"] = f"""
+WITH {TAGS_CTE}
+SELECT count(*) AS n_tokens, round(avg(CASE WHEN pid = gid THEN 1.0 ELSE 0.0 END), 6) AS token_acc FROM tagids"""
+
+ORACLE_SQL["tag_lines"] = f"""
+WITH {TAGS_CTE}
+SELECT conv_id, turn, string_agg(pred, ' ' ORDER BY pos) AS tags FROM tags GROUP BY conv_id, turn"""
+
+ORACLE_SQL["encode_tags"] = f"""
+WITH {TAGS_CTE},
+s AS (SELECT conv_id, turn, count(*) AS length, string_agg(CAST(gid AS VARCHAR), ' ' ORDER BY pos) AS ids
+      FROM tagids GROUP BY conv_id, turn),
+m AS (SELECT *, max(length) OVER (PARTITION BY conv_id) AS ml FROM s)
+SELECT conv_id, turn, CAST(length AS BIGINT) AS length, ids || repeat(' -1', CAST(ml - length AS BIGINT)) AS tag_ids FROM m"""
