@@ -46,6 +46,6 @@ def ordered_collect(df: DataFrame, keys: list, pos: str, value: str, out: str) -
     ``pos`` order.  collect_list is combined map-side, so the shuffle moves
     about one partial array per key and partition, not one row per element."""
     return (df.groupBy(*keys)
-            .agg(F.array_sort(F.collect_list(F.struct(F.col(pos).alias("p"), F.col(value).alias("v"))))
+            .agg(F.sort_array(F.collect_list(F.struct(F.col(pos).alias("p"), F.col(value).alias("v"))))
                  .alias("_pairs"))
             .select(*keys, F.col("_pairs.v").alias(out)))

@@ -44,11 +44,13 @@ def chunks(tags_col, strict: bool) -> Column:
                            | (tag_type(cur) != tag_type(prev))))
 
     starts = F.filter(index_range(n), opens)
-    spans = F.transform(starts, lambda b, k: F.struct(
-        tag_type(_at(tags, b)).alias("etype"),
-        tag_prefix(_at(tags, b)).alias("prefix"),
-        b.alias("start"),
-        (F.coalesce(F.try_element_at(starts, k + 2), n) - 1).alias("end")))
+    # pair every chunk start with the next one (zip, no lambda over `starts`)
+    bounds = F.arrays_zip(starts.alias("b"), F.concat(F.slice(starts, 2, n), F.array(n)).alias("nb"))
+    spans = F.transform(bounds, lambda x: F.struct(
+        tag_type(_at(tags, x["b"])).alias("etype"),
+        tag_prefix(_at(tags, x["b"])).alias("prefix"),
+        x["b"].alias("start"),
+        (x["nb"] - 1).alias("end")))
     keep = (lambda c: c["prefix"] == BEGIN) if strict else (lambda c: c["prefix"] != OUTSIDE)
     return F.transform(F.filter(spans, keep),
                        lambda c: F.struct(c["etype"].alias("etype"), c["start"].alias("start"),

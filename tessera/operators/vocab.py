@@ -57,7 +57,7 @@ def decode(df: DataFrame, key: str, ids_col: str, vocab: DataFrame, vocab_size:
     exploded = df.select(key, F.posexplode(ids_col).alias("pos", "id"))
     joined = exploded.join(v, "id", "left")
     kept = F.when(F.col("token").isNotNull(), F.struct(F.col("pos").alias("p"), F.col("token").alias("v")))
-    return (joined.groupBy(key).agg(F.array_sort(F.collect_list(kept)).alias("_pairs"))
+    return (joined.groupBy(key).agg(F.sort_array(F.collect_list(kept)).alias("_pairs"))
             .select(key, F.col("_pairs.v").alias(out)))
 
 

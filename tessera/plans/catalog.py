@@ -245,3 +245,156 @@ def q_encode_tags(spark, sf):
     n = F.max(F.size("gold_ids")).over(Window.partitionBy("conv_id"))
     return s.select("conv_id", "turn", F.size("gold_ids").cast("bigint").alias("length"),
                     F.array_join(pad_array("gold_ids", n, -1), " ").alias("tag_ids"))
+
+
+# ---------------------------------------------------------------- QA data
+from tessera.operators import mc as MC  # noqa: E402
+from tessera.operators import qa as QA  # noqa: E402
+from tessera.operators import spans as SP  # noqa: E402
+from tessera.functions.text import repair_answer  # noqa: E402
+
+
+def _mc(spark, sf):
+    good, _rej = MC.mc_rows(S.qa_questions(spark, sf), S.context_pool(spark, sf))
+    return good
+
+
+@query
+def q_relevant_context(spark, sf):
+    hits = MC.containing_docs(table(spark, sf, "benchmark"), table(spark, sf, "documents"))
+    return hits.select("item_id", "doc_id", F.col("char_start").cast("bigint").alias("char_start"))
+
+
+@query
+def q_mc_rows(spark, sf):
+    m = _mc(spark, sf)
+    return m.withColumn("labels", F.col("labels").cast("bigint"))
+
+
+@query
+def q_squad_rows(spark, sf):
+    sq = MC.squad_rows(S.qa_questions(spark, sf), S.context_pool(spark, sf))
+    return sq.select("id", "title", "question", "context",
+                     F.col("answers.text")[0].alias("answer_text"),
+                     F.col("answers.answer_start")[0].cast("bigint").alias("answer_start"))
+
+
+@query
+def q_choice_pairs(spark, sf):
+    p = MC.choice_pairs(_mc(spark, sf))
+    return p.select("id", F.col("choice").cast("bigint").alias("choice"), "first", "second",
+                    F.col("labels").cast("bigint").alias("labels"))
+
+
+@query
+def q_choose_context(spark, sf):
+    c = MC.choose_context(_mc(spark, sf))
+    return c.select("id", F.col("pred").cast("bigint").alias("pred"), F.col("score").cast("bigint").alias("score"))
+
+
+@query
+def q_mc_selected_context(spark, sf):
+    m = _mc(spark, sf)
+    s = MC.selected_context(m, MC.choose_context(m).select("id", "pred"))
+    return s.select("id", F.col("pred").cast("bigint").alias("pred"), "context")
+
+
+def _nbest_out(df):
+    return df.select(F.col("example_id").cast("bigint").alias("example_id"),
+                     F.col("rank").cast("bigint").alias("rank"), "text",
+                     r6("start_logit").alias("start_logit"), r6("end_logit").alias("end_logit"),
+                     r6("probability").alias("probability"))
+
+
+@query
+def q_qa_nbest(spark, sf):
+    nb = QA.qa_nbest(S.qa_examples(spark, sf), S.qa_features(spark, sf), n_best=20, max_len=30)
+    return _nbest_out(nb)
+
+
+@query
+def q_qa_null_odds(spark, sf):
+    nb = QA.qa_nbest(S.qa_examples(spark, sf), S.qa_features(spark, sf), n_best=20, max_len=30,
+                     with_negative=True)
+    pr = QA.qa_predict(nb, with_negative=True, threshold=0.0)
+    return pr.select(F.col("example_id").cast("bigint").alias("example_id"), r6("null_score").alias("null_score"),
+                     "best_text", r6("score_diff").alias("score_diff"), "prediction")
+
+
+@query
+def q_qa_beam_nbest(spark, sf):
+    nb = QA.qa_beam_nbest(S.qa_examples(spark, sf), S.qa_beams(spark, sf), n_best=20, max_len=30)
+    return _nbest_out(nb)
+
+
+@query
+def q_qa_predictions(spark, sf):
+    nb = QA.qa_nbest(S.qa_examples(spark, sf), S.qa_features(spark, sf), n_best=20, max_len=30)
+    pr = QA.qa_predict(nb)
+    return pr.select(F.col("example_id").cast("bigint").alias("example_id"), "prediction",
+                     repair_answer("prediction").alias("answer"))
+
+
+@query
+def q_repair_answers(spark, sf):
+    b = table(spark, sf, "benchmark")
+    a = F.substring("text", 21, 20)
+    k = F.col("item_id") % 5
+    raw = (F.when(k == 0, F.concat(F.lit("《"), a)).when(k == 1, F.concat(a, F.lit("》")))
+           .when(k == 2, F.concat(F.lit("「"), a)).when(k == 3, F.concat(a, F.lit("」"))).otherwise(a))
+    return b.select("item_id", raw.alias("raw")).select("item_id", "raw", repair_answer("raw").alias("answer"))
+
+
+@query
+def q_token_offsets(spark, sf):
+    t = SP.token_rows(table(spark, sf, "documents"), "doc_id", "text")
+    return t.select("doc_id", F.col("pos").cast("bigint").alias("pos"), "token",
+                    F.col("s").cast("bigint").alias("s"), F.col("e").cast("bigint").alias("e"))
+
+
+@query
+def q_context_windows(spark, sf):
+    tok = SP.token_offsets(table(spark, sf, "documents"), "doc_id", "text")
+    w = SP.context_windows(tok, "doc_id", w=128, overlap=32)
+    return w.select("doc_id", *[F.col(c).cast("bigint").alias(c)
+                                for c in ("win", "first_tok", "n_tok", "start_char", "end_char")])
+
+
+@query
+def q_answer_token_span(spark, sf):
+    sq = MC.squad_rows(S.qa_questions(spark, sf), S.context_pool(spark, sf))
+    tok = SP.token_offsets(sq.select("id", "context"), "id", "context")
+    ans = sq.select("id", F.col("answers.answer_start")[0].alias("a_start"),
+                    (F.col("answers.answer_start")[0] + F.length(F.col("answers.text")[0])).alias("a_end"))
+    a = SP.answer_token_span(tok, ans, "id", w=64, overlap=16)
+    return a.select("id", *[F.col(c).cast("bigint").alias(c) for c in ("win", "start_position", "end_position")])
+
+
+@query
+def q_qa_em_f1(spark, sf):
+    sq = MC.squad_rows(S.qa_questions(spark, sf), S.context_pool(spark, sf))
+    shift = F.col("id").cast("int") % 3
+    start = F.col("answers.answer_start")[0]
+    preds = sq.select("id", F.substring("context", start + shift + 1, 20).alias("prediction"))
+    refs = sq.select("id", F.col("answers.text").alias("answers"))
+    r = QA.qa_em_f1(preds, refs)
+    return r.select("n", r6("exact_match").alias("exact_match"), r6("f1").alias("f1"))
+
+
+@query
+def q_argmax_label(spark, sf):
+    from tessera.functions.arrays import argmax
+    e = table(spark, sf, "embeddings")
+    return e.select("vec_id", argmax("embedding").cast("bigint").alias("pred"),
+                    F.col("label").cast("bigint").alias("label"))
+
+
+@query
+def q_span_accuracy(spark, sf):
+    from tessera.functions.arrays import argmax
+    f = S.qa_features(spark, sf)
+    e = table(spark, sf, "embeddings").select(F.col("vec_id").alias("feature_id"), "label")
+    x = f.join(e, "feature_id").select(
+        argmax("start_logits").alias("ps"), argmax("end_logits").alias("pe"),
+        F.col("label").alias("gs"), (F.col("label") + F.col("feature_id") % 3).alias("ge"))
+    return M.span_accuracy(x, "ps", "pe", "gs", "ge").select("n", r6("span_acc").alias("span_acc"))

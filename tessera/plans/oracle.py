@@ -209,3 +209,192 @@ s AS (SELECT conv_id, turn, count(*) AS length, string_agg(CAST(gid AS VARCHAR),
       FROM tagids GROUP BY conv_id, turn),
 m AS (SELECT *, max(length) OVER (PARTITION BY conv_id) AS ml FROM s)
 SELECT conv_id, turn, CAST(length AS BIGINT) AS length, ids || repeat(' -1', CAST(ml - length AS BIGINT)) AS tag_ids FROM m"""
+
+# ---------------------------------------------------------------- QA data
+QQ_CTE = """
+n_docs AS (SELECT count(*) AS n FROM documents),
+hit AS (SELECT b.item_id, d.doc_id, position(b.text IN d.text) - 1 AS cs
+        FROM benchmark b JOIN documents d ON position(b.text IN d.text) > 0),
+rel AS (SELECT item_id, min(doc_id) AS relevant, arg_min(cs, doc_id) AS char_start FROM hit GROUP BY item_id),
+q AS (SELECT CAST(r.item_id AS VARCHAR) AS id, r.item_id, substr(b.text, 1, 20) AS question, r.relevant,
+             substr(b.text, 21, 20) AS answer_text, r.char_start + 20 AS answer_start, r.item_id % 4 AS rp
+      FROM rel r JOIN benchmark b USING (item_id)),
+qp AS (SELECT q.*, t.p, CASE WHEN t.p = rp THEN relevant
+                           ELSE (relevant + 101 * CASE WHEN t.p < rp THEN t.p + 1 ELSE t.p END + item_id) % n END AS ctx_id
+       FROM q CROSS JOIN n_docs CROSS JOIN range(4) t(p)),
+qpt AS (SELECT qp.*, d.text FROM qp JOIN documents d ON d.doc_id = qp.ctx_id),
+mc AS (SELECT id, question,
+              max(text) FILTER (WHERE p = 0) AS ending0, max(text) FILTER (WHERE p = 1) AS ending1,
+              max(text) FILTER (WHERE p = 2) AS ending2, max(text) FILTER (WHERE p = 3) AS ending3,
+              min(p) FILTER (WHERE ctx_id = relevant) AS labels
+       FROM qpt GROUP BY id, question),
+sq AS (SELECT q.id, q.question, d.text AS context, q.answer_text, q.answer_start
+       FROM q JOIN documents d ON d.doc_id = q.relevant)
+"""
+
+ORACLE_SQL["relevant_context"] = """
+SELECT b.item_id, d.doc_id, CAST(position(b.text IN d.text) - 1 AS BIGINT) AS char_start
+FROM benchmark b JOIN documents d ON position(b.text IN d.text) > 0"""
+
+ORACLE_SQL["mc_rows"] = f"""
+WITH {QQ_CTE}
+SELECT id AS "video-id", id AS "fold-ind", question AS startphrase, question AS sent1, question AS sent2,
+       'gold' AS "gold-source", ending0, ending1, ending2, ending3, CAST(labels AS BIGINT) AS labels FROM mc"""
+
+ORACLE_SQL["squad_rows"] = f"""
+WITH {QQ_CTE}
+SELECT id, id AS title, question, context, answer_text, CAST(answer_start AS BIGINT) AS answer_start FROM sq"""
+
+ORACLE_SQL["choice_pairs"] = f"""
+WITH {QQ_CTE}
+SELECT qpt.id, CAST(qpt.p AS BIGINT) AS choice, qpt.question AS first, qpt.question || ' ' || qpt.text AS second,
+       CAST(mc.labels AS BIGINT) AS labels
+FROM qpt JOIN mc USING (id)"""
+
+CHOOSE_CTE = QQ_CTE + """,
+sc AS (SELECT id, p, len(list_intersect(
+           list_distinct(list_filter(regexp_split_to_array(question, '\\s+'), lambda t: t <> '')),
+           list_distinct(list_filter(regexp_split_to_array(text, '\\s+'), lambda t: t <> '')))) AS score, text
+       FROM qpt),
+ch AS (SELECT id, p AS pred, score, text FROM sc
+       QUALIFY row_number() OVER (PARTITION BY id ORDER BY score DESC, p) = 1)
+"""
+
+ORACLE_SQL["choose_context"] = f"""
+WITH {CHOOSE_CTE}
+SELECT id, CAST(pred AS BIGINT) AS pred, CAST(score AS BIGINT) AS score FROM ch"""
+
+ORACLE_SQL["mc_selected_context"] = f"""
+WITH {CHOOSE_CTE}
+SELECT id, CAST(pred AS BIGINT) AS pred, text AS context FROM ch"""
+
+QA_CTE = """
+nemb AS (SELECT count(*) AS n FROM embeddings),
+f AS (SELECT a.vec_id // 2 AS example_id, a.vec_id AS feature_id, (a.vec_id % 2) * 100 AS base,
+             a.embedding AS sl, b.embedding AS el
+      FROM embeddings a CROSS JOIN nemb JOIN embeddings b ON b.vec_id = (a.vec_id + 1) % nemb.n),
+s AS (SELECT example_id, feature_id, base, generate_subscripts(sl, 1) - 1 AS pos, CAST(unnest(sl) AS DOUBLE) AS v FROM f),
+e AS (SELECT example_id, feature_id, generate_subscripts(el, 1) - 1 AS pos, CAST(unnest(el) AS DOUBLE) AS v FROM f),
+sr AS (SELECT *, row_number() OVER (PARTITION BY feature_id ORDER BY v DESC, pos) - 1 AS rk FROM s),
+er AS (SELECT *, row_number() OVER (PARTITION BY feature_id ORDER BY v DESC, pos) - 1 AS rk FROM e),
+c AS (SELECT st.example_id, st.feature_id, st.base, st.pos AS sp, en.pos AS ep, st.rk AS srk, en.rk AS erk,
+             st.v AS start_logit, en.v AS end_logit, st.v + en.v AS score
+      FROM sr st JOIN er en ON st.feature_id = en.feature_id AND st.rk < 20 AND en.rk < 20
+      WHERE st.pos BETWEEN 1 AND 60 AND en.pos BETWEEN 1 AND 60 AND en.pos >= st.pos AND en.pos - st.pos + 1 <= 30),
+cf AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY feature_id ORDER BY score DESC, srk, erk) <= 20),
+ct AS (SELECT cf.*, substr(d.text, base + 4 * (sp - 1) + 1, 4 * (ep - sp) + 3) AS text
+       FROM cf JOIN documents d ON d.doc_id = cf.example_id)
+"""
+
+ORACLE_SQL["qa_nbest"] = f"""
+WITH {QA_CTE},
+r AS (SELECT *, row_number() OVER (PARTITION BY example_id ORDER BY score DESC, feature_id, srk, erk) AS rank
+      FROM ct QUALIFY rank <= 20),
+m AS (SELECT *, exp(score - max(score) OVER (PARTITION BY example_id)) AS ex FROM r)
+SELECT example_id, CAST(rank AS BIGINT) AS rank, text, round(start_logit, 6) AS start_logit,
+       round(end_logit, 6) AS end_logit, round(ex / sum(ex) OVER (PARTITION BY example_id), 6) AS probability FROM m"""
+
+ORACLE_SQL["qa_predictions"] = f"""
+WITH {QA_CTE},
+b AS (SELECT example_id, text FROM ct
+      QUALIFY row_number() OVER (PARTITION BY example_id ORDER BY score DESC, feature_id, srk, erk) = 1)
+SELECT example_id, text AS prediction,
+       CASE WHEN contains(text, ',') THEN replace(text, ',', '')
+            WHEN contains(text, '《') AND NOT contains(text, '》') THEN text || '》'
+            WHEN contains(text, '》') AND NOT contains(text, '《') THEN '《' || text
+            WHEN contains(text, '「') AND NOT contains(text, '」') THEN text || '」'
+            WHEN contains(text, '」') AND NOT contains(text, '「') THEN '「' || text
+            ELSE text END AS answer
+FROM b"""
+
+ORACLE_SQL["qa_null_odds"] = f"""
+WITH {QA_CTE},
+nl AS (SELECT f.example_id, min(CAST(sl[1] AS DOUBLE) + CAST(el[1] AS DOUBLE)) AS null_score
+       FROM f JOIN documents d ON d.doc_id = f.example_id GROUP BY f.example_id),
+b AS (SELECT * FROM ct WHERE text <> ''
+      QUALIFY row_number() OVER (PARTITION BY example_id ORDER BY score DESC, feature_id, srk, erk) = 1)
+SELECT b.example_id, round(nl.null_score, 6) AS null_score, b.text AS best_text,
+       round(nl.null_score - b.start_logit - b.end_logit, 6) AS score_diff,
+       CASE WHEN nl.null_score - b.start_logit - b.end_logit > 0 THEN '' ELSE b.text END AS prediction
+FROM b JOIN nl USING (example_id)"""
+
+ORACLE_SQL["qa_beam_nbest"] = f"""
+WITH {QA_CTE},
+slot AS (SELECT s.example_id, s.feature_id, s.base, s.rk AS i, s.pos AS sp, s.v AS start_logit,
+                x.pos AS ep, x.v AS end_logit,
+                row_number() OVER (PARTITION BY s.feature_id, s.rk ORDER BY x.rk) - 1 AS j
+         FROM sr s JOIN er x ON x.feature_id = s.feature_id AND x.pos >= s.pos AND s.rk < 5
+         QUALIFY j < 5),
+bc AS (SELECT *, start_logit + end_logit AS score FROM slot
+       WHERE sp BETWEEN 1 AND 60 AND ep BETWEEN 1 AND 60 AND ep - sp + 1 <= 30),
+r AS (SELECT *, row_number() OVER (PARTITION BY example_id ORDER BY score DESC, feature_id, i, j) AS rank
+      FROM bc QUALIFY rank <= 20),
+t AS (SELECT r.*, substr(d.text, base + 4 * (sp - 1) + 1, 4 * (ep - sp) + 3) AS text
+      FROM r JOIN documents d ON d.doc_id = r.example_id),
+m AS (SELECT *, exp(score - max(score) OVER (PARTITION BY example_id)) AS ex FROM t)
+SELECT example_id, CAST(rank AS BIGINT) AS rank, text, round(start_logit, 6) AS start_logit,
+       round(end_logit, 6) AS end_logit, round(ex / sum(ex) OVER (PARTITION BY example_id), 6) AS probability FROM m"""
+
+ORACLE_SQL["repair_answers"] = """
+WITH r AS (SELECT item_id, CASE item_id % 5 WHEN 0 THEN '《' || substr(text, 21, 20)
+                                       WHEN 1 THEN substr(text, 21, 20) || '》'
+                                       WHEN 2 THEN '「' || substr(text, 21, 20)
+                                       WHEN 3 THEN substr(text, 21, 20) || '」'
+                                       ELSE substr(text, 21, 20) END AS raw FROM benchmark)
+SELECT item_id, raw,
+       CASE WHEN contains(raw, ',') THEN replace(raw, ',', '')
+            WHEN contains(raw, '《') AND NOT contains(raw, '》') THEN raw || '》'
+            WHEN contains(raw, '》') AND NOT contains(raw, '《') THEN '《' || raw
+            WHEN contains(raw, '「') AND NOT contains(raw, '」') THEN raw || '」'
+            WHEN contains(raw, '」') AND NOT contains(raw, '「') THEN '「' || raw
+            ELSE raw END AS answer
+FROM r"""
+
+TOKROWS = """
+pieces AS (SELECT {key} AS k, generate_subscripts(arr, 1) - 1 AS pos, unnest(arr) AS piece
+           FROM (SELECT {key}, regexp_extract_all({text}, '\\s*\\S+') AS arr FROM {src})),
+toks AS (SELECT k, pos, regexp_replace(piece, '^\\s+', '') AS token,
+                sum(length(piece)) OVER (PARTITION BY k ORDER BY pos ROWS UNBOUNDED PRECEDING) AS e FROM pieces),
+tokrows AS (SELECT k, pos, token, e - length(token) AS s, e FROM toks)
+"""
+
+ORACLE_SQL["token_offsets"] = f"""
+WITH {TOKROWS.format(key='doc_id', text='text', src='documents')}
+SELECT k AS doc_id, CAST(pos AS BIGINT) AS pos, token, CAST(s AS BIGINT) AS s, CAST(e AS BIGINT) AS e FROM tokrows"""
+
+WINDOWS = """
+ntok AS (SELECT k, count(*) AS n FROM tokrows GROUP BY k),
+wins AS (SELECT k, n, w.k2 AS win
+         FROM ntok CROSS JOIN LATERAL (SELECT unnest(range(CAST(1 + ceil(greatest(n - {w}, 0) / {step}) AS BIGINT))) AS k2) w),
+wt AS (SELECT wins.k, wins.win, t.pos, t.s, t.e FROM wins JOIN tokrows t
+       ON t.k = wins.k AND t.pos >= wins.win * {step} AND t.pos < wins.win * {step} + {w})
+"""
+
+ORACLE_SQL["context_windows"] = f"""
+WITH {TOKROWS.format(key='doc_id', text='text', src='documents')}, {WINDOWS.format(w=128, step=96)}
+SELECT k AS doc_id, CAST(win AS BIGINT) AS win, CAST(min(pos) AS BIGINT) AS first_tok,
+       CAST(count(*) AS BIGINT) AS n_tok, CAST(min(s) AS BIGINT) AS start_char, CAST(max(e) AS BIGINT) AS end_char
+FROM wt GROUP BY k, win"""
+
+ORACLE_SQL["answer_token_span"] = f"""
+WITH {QQ_CTE}, {TOKROWS.format(key='id', text='context', src='sq')}, {WINDOWS.format(w=64, step=48)},
+a AS (SELECT id AS k, answer_start AS a_start, answer_start + length(answer_text) AS a_end FROM sq),
+agg AS (SELECT wt.k, wt.win, min(wt.pos) AS first, min(s) AS sc, max(e) AS ec,
+               max(pos) FILTER (WHERE s <= a.a_start) AS st, min(pos) FILTER (WHERE e >= a.a_end) AS en,
+               any_value(a.a_start) AS a_start, any_value(a.a_end) AS a_end
+        FROM wt JOIN a ON a.k = wt.k GROUP BY wt.k, wt.win)
+SELECT k AS id, CAST(win AS BIGINT) AS win,
+       CAST(CASE WHEN sc <= a_start AND ec >= a_end THEN st - first + 1 ELSE 0 END AS BIGINT) AS start_position,
+       CAST(CASE WHEN sc <= a_start AND ec >= a_end THEN en - first + 1 ELSE 0 END AS BIGINT) AS end_position
+FROM agg"""
+
+ORACLE_SQL["argmax_label"] = """
+SELECT vec_id, CAST(list_position(embedding, list_max(embedding)) - 1 AS BIGINT) AS pred,
+       CAST(label AS BIGINT) AS label FROM embeddings"""
+
+ORACLE_SQL["span_accuracy"] = f"""
+WITH {QA_CTE},
+x AS (SELECT f.feature_id, list_position(sl, list_max(sl)) - 1 AS ps, list_position(el, list_max(el)) - 1 AS pe,
+             m.label AS gs, m.label + f.feature_id % 3 AS ge
+      FROM f JOIN embeddings m ON m.vec_id = f.feature_id)
+SELECT count(*) AS n, round(avg(CASE WHEN ps = gs AND pe = ge THEN 1.0 ELSE 0.0 END), 6) AS span_acc FROM x"""

@@ -33,3 +33,83 @@ def tag_sequences(spark, sf) -> DataFrame:
     pred = F.transform("gold", lambda g, i: F.when(i % 5 == 2, "O")
                        .when(i % 7 == 3, F.regexp_replace(g, "^B-", "I-")).otherwise(g))
     return base.withColumn("pred", pred).drop("types")
+
+
+# QA stand-ins --------------------------------------------------------------
+# Fixed rules:
+# - relevant document of a benchmark item = smallest doc_id whose text
+#   contains the item text; items without such a document are dropped.
+# - distractor k (1..3) = (relevant + 101*k + item_id) % n_documents; the
+#   relevant id sits at position item_id % 4, distractors fill the other
+#   positions in order of k.
+# - question = characters 1-20 of the passage, answer = characters 21-40,
+#   answer start = offset of the passage in the document + 20.
+# - QA features: one per embeddings row; example = vec_id div 2 (context =
+#   document doc_id = example), start logits = the row's vector, end logits =
+#   the vector of row (vec_id + 1) % n_rows; token 0 is CLS and tokens above
+#   60 are not context (null offsets); token p >= 1 covers characters
+#   [b + 4(p-1), b + 4(p-1) + 3) with b = 100 * (vec_id % 2).
+def qa_questions(spark, sf) -> DataFrame:
+    from tessera.operators.mc import containing_docs
+    docs = table(spark, sf, "documents")
+    bench = table(spark, sf, "benchmark")
+    hits = containing_docs(bench, docs)
+    rel = (hits.groupBy("item_id")
+           .agg(F.min_by(F.struct("doc_id", "char_start"), F.col("doc_id")).alias("r"))
+           .select("item_id", F.col("r.doc_id").alias("relevant"), F.col("r.char_start").alias("char_start")))
+    n_docs = docs.select(F.count(F.lit(1))).scalar()
+    q = rel.join(bench, "item_id").withColumn("n_docs", n_docs)
+    rp = F.col("item_id") % 4
+    paragraphs = F.transform(F.sequence(F.lit(0), F.lit(3)), lambda p: F.when(p == rp, F.col("relevant"))
+                             .otherwise((F.col("relevant") + 101 * F.when(p < rp, p + 1).otherwise(p)
+                                         + F.col("item_id")) % F.col("n_docs")))
+    return q.select(F.col("item_id").cast("string").alias("id"), "item_id",
+                    F.substring("text", 1, 20).alias("question"), paragraphs.alias("paragraphs"),
+                    "relevant",
+                    F.struct(F.substring("text", 21, 20).alias("text"),
+                             (F.col("char_start") + 20).cast("int").alias("start")).alias("answer"))
+
+
+def context_pool(spark, sf) -> DataFrame:
+    return table(spark, sf, "documents").select(F.col("doc_id").alias("ctx_id"), "text")
+
+
+def qa_features(spark, sf) -> DataFrame:
+    emb = table(spark, sf, "embeddings")
+    n = emb.select(F.count(F.lit(1))).scalar()
+    nxt = emb.select(F.col("vec_id").alias("nid"), F.col("embedding").alias("end_vec"))
+    j = emb.join(nxt, F.col("nid") == (F.col("vec_id") + 1) % n)
+    base = F.lit(100) * (F.col("vec_id") % 2)
+    offsets = F.transform(F.sequence(F.lit(0), F.size("embedding") - 1), lambda p: F.when(
+        (p >= 1) & (p <= 60),
+        F.struct((base + 4 * (p - 1)).alias("s"), (base + 4 * (p - 1) + 3).alias("e"))))
+    return j.select((F.col("vec_id") / 2).cast("long").alias("example_id"),
+                    F.col("vec_id").alias("feature_id"), offsets.alias("offsets"),
+                    F.col("embedding").cast("array<double>").alias("start_logits"),
+                    F.col("end_vec").cast("array<double>").alias("end_logits"))
+
+
+def qa_examples(spark, sf) -> DataFrame:
+    """Examples = documents that some feature points at."""
+    ex = table(spark, sf, "documents").select(F.col("doc_id").alias("example_id"),
+                                              F.col("text").alias("context"))
+    return ex.join(qa_features(spark, sf).select("example_id"), "example_id", "left_semi")
+
+
+def qa_beams(spark, sf) -> DataFrame:
+    """Beam layout from the same features: start slots = top-5 start
+    positions, end slot i*5+j = the j-th best end position among those at or
+    after start slot i's position (rank order; logits as log-probs)."""
+    from tessera.operators.qa import top_positions
+    f = qa_features(spark, sf).select("*", top_positions(F.col("start_logits"), 5).alias("_st"),
+                                      top_positions(F.col("end_logits"), 64).alias("_en"))
+    st, ends = F.col("_st"), F.col("_en")
+    per_start = F.transform(st, lambda s: F.slice(F.filter(ends, lambda e: e["pos"] >= s["pos"]), 1, 5))
+    padded = F.transform(per_start, lambda l: F.concat(l, F.array_repeat(
+        F.struct(F.lit(-1e9).alias("v"), F.lit(0).alias("pos"), F.lit(0).alias("rank")), 5 - F.size(l))))
+    flat = F.flatten(padded)
+    return f.select("example_id", "feature_id", "offsets",
+                    F.transform(st, lambda s: s["v"]).alias("start_log_probs"),
+                    F.transform(st, lambda s: s["pos"]).alias("start_index"),
+                    F.transform(flat, lambda e: e["v"]).alias("end_log_probs"),
+                    F.transform(flat, lambda e: e["pos"]).alias("end_index"))
