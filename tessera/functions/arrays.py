@@ -46,7 +46,12 @@ def index_range(n) -> Column:
 
 
 def ngrams(col, n: int) -> Column:
-    """Contiguous n-grams of a token array, each joined by a unit separator."""
+    """Contiguous n-grams of a token array (pass a column), each joined by a
+    unit separator.  Built by zipping n shifted copies of the array, so no
+    lambda re-reads the array (linear in its length)."""
     c = _c(col)
-    return F.transform(index_range(F.size(c) - n + 1),
-                       lambda i: F.array_join(F.slice(c, i + 1, n), "\u001f"))
+    shifted = [F.slice(c, k + 1, F.greatest(F.size(c), F.lit(1))).alias(f"t{k}") for k in range(n)]
+    z = F.arrays_zip(*shifted)
+    last = f"t{n - 1}"
+    return F.transform(F.filter(z, lambda x: x[last].isNotNull()),
+                       lambda x: F.concat_ws("\u001f", *[x[f"t{k}"] for k in range(n)]))

@@ -398,3 +398,216 @@ def q_span_accuracy(spark, sf):
         argmax("start_logits").alias("ps"), argmax("end_logits").alias("pe"),
         F.col("label").alias("gs"), (F.col("label") + F.col("feature_id") % 3).alias("ge"))
     return M.span_accuracy(x, "ps", "pe", "gs", "ge").select("n", r6("span_acc").alias("span_acc"))
+
+
+# ---------------------------------------------------------------- summaries
+from tessera.operators import rouge as R  # noqa: E402
+from tessera.functions.text import strip_ws, sentence_lines, split_ws  # noqa: E402
+
+
+@query
+def q_summary_projection(spark, sf):
+    return S.summaries(spark, sf)
+
+
+@query
+def q_paired_summaries(spark, sf):
+    return S.summary_pairs(spark, sf)
+
+
+@query
+def q_strip_text(spark, sf):
+    c = table(spark, sf, "conversations")
+    return c.select("conv_id", "turn", strip_ws("text").alias("text"))
+
+
+@query
+def q_sentence_lines(spark, sf):
+    d = table(spark, sf, "documents").select("doc_id", sentence_lines("text").alias("s"))
+    return d.select("doc_id", F.size("s").cast("bigint").alias("n_sentences"),
+                    F.array_join("s", "\n").alias("lines"))
+
+
+@query
+def q_truncate_pairs(spark, sf):
+    s = S.summaries(spark, sf).select("id", split_ws("maintext").alias("src"), split_ws("title").alias("tgt"))
+    return s.select("id", F.size("src").cast("bigint").alias("n_src"),
+                    F.size(F.slice("src", 1, 512)).cast("bigint").alias("n_src_kept"),
+                    F.size("tgt").cast("bigint").alias("n_tgt"),
+                    F.size(F.slice("tgt", 1, 64)).cast("bigint").alias("n_tgt_kept"))
+
+
+@query
+def q_mask_labels(spark, sf):
+    from tessera.functions.arrays import mask_pad
+    s = S.summaries(spark, sf).select(F.col("id").cast("long").alias("doc_id"), F.col("title").alias("text"))
+    enc = V.encode(s, "doc_id", "text", _vocab(spark, sf), VOCAB_N, to_len=64)
+    return enc.select("doc_id", F.array_join(mask_pad("ids"), " ").alias("labels"))
+
+
+def _pair_tokens(spark, sf, tokenizer="rouge"):
+    return R.tokenize_pairs(S.summary_pairs(spark, sf), ["conv_id", "turn"], "pred", "ref", tokenizer)
+
+
+@query
+def q_rouge_n(spark, sf):
+    t = _pair_tokens(spark, sf)
+    r1 = R.rouge_n_set(t, ["conv_id", "turn"], 1).select("conv_id", "turn", F.col("f").alias("rouge1_f"))
+    r2 = R.rouge_n_set(t, ["conv_id", "turn"], 2).select("conv_id", "turn", F.col("f").alias("rouge2_f"))
+    return r1.join(r2, ["conv_id", "turn"]).select("conv_id", "turn", r6("rouge1_f").alias("rouge1_f"),
+                                                   r6("rouge2_f").alias("rouge2_f"))
+
+
+@query
+def q_rouge_scores(spark, sf):
+    t = _pair_tokens(spark, sf)
+    r1 = R.rouge_n_set(t, ["conv_id", "turn"], 1).select("conv_id", "turn", F.col("f").alias("f1"))
+    r2 = R.rouge_n_set(t, ["conv_id", "turn"], 2).select("conv_id", "turn", F.col("f").alias("f2"))
+    j = r1.join(r2, ["conv_id", "turn"])
+    return j.agg(F.count(F.lit(1)).alias("n_pairs"), r6(F.avg("f1") * 100).alias("rouge1"),
+                 r6(F.avg("f2") * 100).alias("rouge2"))
+
+
+@query
+def q_rouge_n_multiset(spark, sf):
+    t = _pair_tokens(spark, sf, "alnum")
+    r1 = R.rouge_n_multiset(t, ["conv_id", "turn"], 1).select("conv_id", "turn", F.col("f").alias("a"))
+    r2 = R.rouge_n_multiset(t, ["conv_id", "turn"], 2).select("conv_id", "turn", F.col("f").alias("b"))
+    j = r1.join(r2, ["conv_id", "turn"])
+    return j.select("conv_id", "turn", F.round(F.col("a") * 100, 4).alias("rouge1"),
+                    F.round(F.col("b") * 100, 4).alias("rouge2"))
+
+
+@query
+def q_rouge_l(spark, sf):
+    t = _pair_tokens(spark, sf)
+    return R.rouge_l(t, ["conv_id", "turn"]).select("conv_id", "turn", r6("f").alias("rougeL_f"))
+
+
+@query
+def q_quality_gate(spark, sf):
+    t = _pair_tokens(spark, sf)
+    k = ["conv_id", "turn"]
+    j = (R.rouge_n_set(t, k, 1).select(*k, F.col("f").alias("f1"))
+         .join(R.rouge_n_set(t, k, 2).select(*k, F.col("f").alias("f2")), k)
+         .join(R.rouge_l(t, k).select(*k, F.col("f").alias("fl")), k))
+    wide = j.agg((F.avg("f1") * 100).alias("rouge1"), (F.avg("f2") * 100).alias("rouge2"),
+                 (F.avg("fl") * 100).alias("rougeL"))
+    return M.quality_gate(wide).select(r6("rouge1").alias("rouge1"), r6("rouge2").alias("rouge2"),
+                                       r6("rougeL").alias("rougeL"), "passed")
+
+
+# ---------------------------------------------------------------- metrics
+@query
+def q_accuracy(spark, sf):
+    lab = table(spark, sf, "labels")
+    per = M.accuracy(lab, "quality", "toxic", by="toxic").select(
+        F.col("toxic").cast("string").alias("gold"), "n", "accuracy")
+    tot = M.accuracy(lab, "quality", "toxic").select(F.lit("all").alias("gold"), "n", "accuracy")
+    return per.unionByName(tot).select("gold", "n", r6("accuracy").alias("accuracy"))
+
+
+@query
+def q_prefixed_metrics(spark, sf):
+    lab = table(spark, sf, "labels")
+    hit = (F.col("quality") == F.col("toxic")).cast("double")
+    row = lab.agg(F.avg(hit).alias("accuracy"), F.count(F.lit(1)).cast("double").alias("n"),
+                  F.avg("toxic").cast("double").alias("eval_toxic_rate"))
+    long = row.select(F.explode(F.array(
+        *[F.struct(F.lit(c).alias("metric"), F.col(c).alias("value")) for c in row.columns])).alias("m")).select("m.*")
+    return M.prefix_metrics(long).select("metric", r6("value").alias("value"))
+
+
+def _days(spark, sf):
+    return table(spark, sf, "events").withColumn("day", F.to_date("ts"))
+
+
+@query
+def q_epoch_metrics(spark, sf):
+    e = M.epoch_metrics(_days(spark, sf), "day", "value")
+    return e.select(F.col("day").cast("string").alias("day"), "n_steps", r6("loss_sum").alias("loss_sum"),
+                    r6("loss_mean").alias("loss_mean"))
+
+
+@query
+def q_best_epoch(spark, sf):
+    per = _days(spark, sf).groupBy("event_type", "day").agg(F.avg("value").alias("metric"))
+    b = M.best_so_far(per, ["event_type"], "day", "metric")
+    return b.select("event_type", F.col("day").cast("string").alias("day"), r6("metric").alias("metric"), "is_best")
+
+
+@query
+def q_split_counts(spark, sf):
+    u = (table(spark, sf, "documents").select(F.lit("train").alias("split"))
+         .unionByName(table(spark, sf, "benchmark").select(F.lit("eval").alias("split")))
+         .unionByName(table(spark, sf, "conversations").select(F.lit("test").alias("split"))))
+    return M.split_counts(u)
+
+
+def _log_lines(spark, sf):
+    """Render per-day event aggregates as training-log lines."""
+    d = _days(spark, sf).groupBy("day").agg(
+        F.round(F.avg(F.when(F.col("event_type") == "click", F.col("value"))), 4).alias("rouge1"),
+        F.round(F.avg(F.when(F.col("event_type") == "view", F.col("value"))), 4).alias("rouge2"),
+        F.round(F.avg(F.when(F.col("event_type") == "purchase", F.col("value"))), 4).alias("rougeL"),
+        F.round(F.avg(F.when(F.col("event_type") == "signup", F.col("value"))), 4).alias("rougeLsum"),
+        F.avg("value").alias("train_loss"), F.count(F.lit(1)).alias("step"))
+    kv = [F.concat(F.lit(f"'{k}': "), F.coalesce(F.col(k).cast("string"), F.lit("nan"))) for k in
+          ("rouge1", "rouge2", "rougeL", "rougeLsum", "train_loss")]
+    kv.append(F.concat(F.lit("'epoch': "), F.datediff("day", F.lit("2000-01-01")).cast("string")))
+    kv.append(F.concat(F.lit("'step': "), F.col("step").cast("string")))
+    return d.select("day", F.concat(F.lit("{"), F.concat_ws(", ", *kv), F.lit("}")).alias("line"))
+
+
+@query
+def q_metric_log(spark, sf):
+    p = M.parse_metric_log(_log_lines(spark, sf), "line", order=["day"])
+    return p.select(F.col("row_no").cast("bigint").alias("row_no"), *[r6(c).alias(c) for c in M.LOG_KEYS])
+
+
+# ---------------------------------------------------------------- ordering
+from tessera.operators import batching as B  # noqa: E402
+
+
+@query
+def q_predictions_indexed(spark, sf):
+    d = table(spark, sf, "documents").select("doc_id", "lang")
+    return B.with_row_index(d, ["doc_id"]).select(
+        F.concat(F.lit("test-"), F.col("row_idx").cast("string")).alias("id"), F.col("lang").alias("intent"))
+
+
+@query
+def q_padded_batches(spark, sf):
+    d = table(spark, sf, "documents")
+    enc = V.encode(d, "doc_id", "text", _vocab(spark, sf), VOCAB_N)
+    pb = B.padded_batches(enc, ["doc_id"], "ids", batch_size=16, multiple_of=8)
+    return pb.select("doc_id", F.col("batch_id").cast("bigint").alias("batch_id"),
+                     F.size("ids").cast("bigint").alias("padded_len"),
+                     F.size(F.filter("ids", lambda x: x == 0)).cast("bigint").alias("n_pad"))
+
+
+@query
+def q_first_n_features(spark, sf):
+    d = B.first_n(table(spark, sf, "documents"), ["doc_id"], 100)
+    tok = SP.token_offsets(d, "doc_id", "text")
+    w = SP.context_windows(tok, "doc_id", w=128, overlap=32)
+    w = B.first_n(w, ["doc_id", "win"], 200)
+    return w.select("doc_id", F.col("win").cast("bigint").alias("win"),
+                    F.col("start_char").cast("bigint").alias("start_char"),
+                    F.col("end_char").cast("bigint").alias("end_char"))
+
+
+@query
+def q_sample_rows(spark, sf):
+    return B.sample_rows(table(spark, sf, "documents"), "doc_id", 20, seed=7).select("doc_id", "lang")
+
+
+@query
+def q_shuffled_order(spark, sf):
+    return B.shuffled(table(spark, sf, "documents").select("doc_id", "lang"), "doc_id", seed=11)
+
+
+@query
+def q_max_length(spark, sf):
+    enc = V.encode(table(spark, sf, "documents"), "doc_id", "text", _vocab(spark, sf), VOCAB_N)
+    return enc.agg(F.max(F.size("ids")).cast("bigint").alias("max_len"))

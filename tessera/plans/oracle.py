@@ -398,3 +398,175 @@ x AS (SELECT f.feature_id, list_position(sl, list_max(sl)) - 1 AS ps, list_posit
              m.label AS gs, m.label + f.feature_id % 3 AS ge
       FROM f JOIN embeddings m ON m.vec_id = f.feature_id)
 SELECT count(*) AS n, round(avg(CASE WHEN ps = gs AND pe = ge THEN 1.0 ELSE 0.0 END), 6) AS span_acc FROM x"""
+
+# ---------------------------------------------------------------- summaries
+STRIP = "regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+WS = "list_filter(regexp_split_to_array({x}, '\\s+'), lambda t: t <> '')"
+ROUGE_WORDS = ("flatten(list_transform(list_filter(string_split({x}, '.'), lambda p: length(p) > 0), "
+               "lambda p: CASE WHEN len(" + WS.format(x="p") + ") = 0 THEN [''] ELSE " + WS.format(x="p") + " END))")
+ALNUM_WORDS = WS.format(x="regexp_replace(lower({x}), '[^a-z0-9]+', ' ', 'g')")
+BIGRAMS = "list_transform(range(len({t}) - 1), lambda i: {t}[i + 1] || chr(31) || {t}[i + 2])"
+
+SP_CTE = f"""
+sp AS (SELECT r.conv_id, r.turn, {STRIP.format(x='r.text')} AS ref, {STRIP.format(x='h.text')} AS pred
+       FROM conversations r JOIN conversations h ON h.conv_id = r.conv_id AND h.turn = r.turn + 1
+       WHERE r.role = 'user' AND h.role = 'assistant')
+"""
+
+ROUGE_SET_CTE = SP_CTE + f""",
+rt0 AS (SELECT conv_id, turn, {ROUGE_WORDS.format(x='pred')} AS ht, {ROUGE_WORDS.format(x='ref')} AS rt FROM sp),
+rg AS (SELECT conv_id, turn, list_distinct(ht) AS h1, list_distinct(rt) AS r1,
+              list_distinct({BIGRAMS.format(t='ht')}) AS h2, list_distinct({BIGRAMS.format(t='rt')}) AS r2 FROM rt0),
+ro AS (SELECT conv_id, turn,
+              CASE WHEN len(h1) > 0 THEN len(list_intersect(h1, r1)) / len(h1) ELSE 0.0 END AS p1,
+              CASE WHEN len(r1) > 0 THEN len(list_intersect(h1, r1)) / len(r1) ELSE 0.0 END AS q1,
+              CASE WHEN len(h2) > 0 THEN len(list_intersect(h2, r2)) / len(h2) ELSE 0.0 END AS p2,
+              CASE WHEN len(r2) > 0 THEN len(list_intersect(h2, r2)) / len(r2) ELSE 0.0 END AS q2 FROM rg),
+rf AS (SELECT conv_id, turn, 2.0 * (p1 * q1) / (p1 + q1 + 1e-8) AS f1, 2.0 * (p2 * q2) / (p2 + q2 + 1e-8) AS f2 FROM ro)
+"""
+
+ORACLE_SQL["summary_projection"] = """
+SELECT CAST(doc_id AS VARCHAR) AS id,
+       CASE WHEN instr(text, chr(10)) > 0 THEN substr(text, 1, instr(text, chr(10)) - 1) ELSE text END AS title,
+       CASE WHEN instr(text, chr(10)) > 0 THEN substr(text, instr(text, chr(10)) + 1) ELSE '' END AS maintext
+FROM documents"""
+
+ORACLE_SQL["paired_summaries"] = f"WITH {SP_CTE} SELECT conv_id, turn, ref, pred FROM sp"
+
+ORACLE_SQL["strip_text"] = f"SELECT conv_id, turn, {STRIP.format(x='text')} AS text FROM conversations"
+
+ORACLE_SQL["sentence_lines"] = f"""
+WITH s AS (SELECT doc_id, list_filter(list_transform(
+             string_split(regexp_replace(text, '([.!?。！？])', '\\1' || chr(1), 'g'), chr(1)),
+             lambda p: {STRIP.format(x='p')}), lambda p: p <> '') AS s FROM documents)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_sentences, array_to_string(s, chr(10)) AS lines FROM s"""
+
+SUMMARY_CTE = """
+sm AS (SELECT doc_id, CAST(doc_id AS VARCHAR) AS id,
+              CASE WHEN instr(text, chr(10)) > 0 THEN substr(text, 1, instr(text, chr(10)) - 1) ELSE text END AS title,
+              CASE WHEN instr(text, chr(10)) > 0 THEN substr(text, instr(text, chr(10)) + 1) ELSE '' END AS maintext
+       FROM documents)
+"""
+
+ORACLE_SQL["truncate_pairs"] = f"""
+WITH {SUMMARY_CTE}, t AS (SELECT id, len({WS.format(x='maintext')}) AS ns, len({WS.format(x='title')}) AS nt FROM sm)
+SELECT id, CAST(ns AS BIGINT) AS n_src, CAST(least(ns, 512) AS BIGINT) AS n_src_kept,
+       CAST(nt AS BIGINT) AS n_tgt, CAST(least(nt, 64) AS BIGINT) AS n_tgt_kept FROM t"""
+
+ORACLE_SQL["mask_labels"] = f"""
+WITH {VOCAB_CTE}, {SUMMARY_CTE},
+p AS (SELECT doc_id, generate_subscripts(arr, 1) AS pos, unnest(arr) AS token
+      FROM (SELECT doc_id, string_split(title, ' ') AS arr FROM sm)),
+e AS (SELECT p.doc_id, p.pos, coalesce(v.id, 1) AS id FROM p LEFT JOIN vocab v USING (token)),
+g AS (SELECT doc_id, count(*) AS n, string_agg(CAST(id AS VARCHAR), ' ' ORDER BY pos) FILTER (WHERE pos <= 64) AS ids
+      FROM e GROUP BY doc_id)
+SELECT doc_id, ids || repeat(' -100', CAST(64 - least(n, 64) AS BIGINT)) AS labels FROM g"""
+
+ORACLE_SQL["rouge_n"] = f"""
+WITH {ROUGE_SET_CTE}
+SELECT conv_id, turn, round(f1, 6) AS rouge1_f, round(f2, 6) AS rouge2_f FROM rf"""
+
+ORACLE_SQL["rouge_scores"] = f"""
+WITH {ROUGE_SET_CTE}
+SELECT count(*) AS n_pairs, round(avg(f1) * 100, 6) AS rouge1, round(avg(f2) * 100, 6) AS rouge2 FROM rf"""
+
+ORACLE_SQL["rouge_n_multiset"] = f"""
+WITH {SP_CTE},
+t AS (SELECT conv_id, turn, {ALNUM_WORDS.format(x='pred')} AS ht, {ALNUM_WORDS.format(x='ref')} AS rt FROM sp),
+gr AS (SELECT conv_id, turn, 1 AS n, 1 AS h, unnest(ht) AS g FROM t
+       UNION ALL SELECT conv_id, turn, 1, 0, unnest(rt) FROM t
+       UNION ALL SELECT conv_id, turn, 2, 1, unnest({BIGRAMS.format(t='ht')}) FROM t
+       UNION ALL SELECT conv_id, turn, 2, 0, unnest({BIGRAMS.format(t='rt')}) FROM t),
+c AS (SELECT conv_id, turn, n, g, count(*) FILTER (WHERE h = 1) AS ch, count(*) FILTER (WHERE h = 0) AS cr
+      FROM gr GROUP BY ALL),
+s AS (SELECT conv_id, turn, n, sum(least(ch, cr)) AS ov, sum(ch) AS nh, sum(cr) AS nr FROM c GROUP BY ALL),
+k AS (SELECT t.conv_id, t.turn, x.n FROM t CROSS JOIN (VALUES (1), (2)) x(n)),
+pr AS (SELECT k.conv_id, k.turn, k.n,
+              CASE WHEN coalesce(nh, 0) > 0 THEN ov / nh ELSE 0.0 END AS p,
+              CASE WHEN coalesce(nr, 0) > 0 THEN ov / nr ELSE 0.0 END AS r
+       FROM k LEFT JOIN s USING (conv_id, turn, n)),
+f AS (SELECT *, CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0.0 END AS f FROM pr)
+SELECT conv_id, turn, round(max(f) FILTER (WHERE n = 1) * 100, 4) AS rouge1,
+       round(max(f) FILTER (WHERE n = 2) * 100, 4) AS rouge2
+FROM f GROUP BY conv_id, turn"""
+
+# ---------------------------------------------------------------- metrics
+ORACLE_SQL["accuracy"] = """
+SELECT CAST(toxic AS VARCHAR) AS gold, count(*) AS n,
+       round(avg(CASE WHEN quality = toxic THEN 1.0 ELSE 0.0 END), 6) AS accuracy FROM labels GROUP BY toxic
+UNION ALL
+SELECT 'all', count(*), round(avg(CASE WHEN quality = toxic THEN 1.0 ELSE 0.0 END), 6) FROM labels"""
+
+ORACLE_SQL["prefixed_metrics"] = """
+WITH r AS (SELECT avg(CASE WHEN quality = toxic THEN 1.0 ELSE 0.0 END) AS accuracy,
+                  CAST(count(*) AS DOUBLE) AS n, avg(toxic) AS eval_toxic_rate FROM labels)
+SELECT 'eval_accuracy' AS metric, round(accuracy, 6) AS value FROM r
+UNION ALL SELECT 'eval_n', round(n, 6) FROM r
+UNION ALL SELECT 'eval_toxic_rate', round(eval_toxic_rate, 6) FROM r"""
+
+ORACLE_SQL["epoch_metrics"] = """
+SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, count(*) AS n_steps, round(sum(value), 6) AS loss_sum,
+       round(avg(value), 6) AS loss_mean FROM events GROUP BY 1"""
+
+ORACLE_SQL["best_epoch"] = """
+WITH p AS (SELECT event_type, CAST(ts AS DATE) AS day, avg(value) AS metric FROM events GROUP BY 1, 2)
+SELECT event_type, CAST(day AS VARCHAR) AS day, round(metric, 6) AS metric,
+       metric > coalesce(max(metric) OVER (PARTITION BY event_type ORDER BY day
+                                           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0) AS is_best
+FROM p"""
+
+ORACLE_SQL["split_counts"] = """
+SELECT 'train' AS split, count(*) AS n_rows FROM documents
+UNION ALL SELECT 'eval', count(*) FROM benchmark
+UNION ALL SELECT 'test', count(*) FROM conversations"""
+
+ORACLE_SQL["metric_log"] = """
+WITH d AS (SELECT CAST(ts AS DATE) AS day,
+                  round(avg(value) FILTER (WHERE event_type = 'click'), 4) AS rouge1,
+                  round(avg(value) FILTER (WHERE event_type = 'view'), 4) AS rouge2,
+                  round(avg(value) FILTER (WHERE event_type = 'purchase'), 4) AS rougeL,
+                  round(avg(value) FILTER (WHERE event_type = 'signup'), 4) AS rougeLsum,
+                  avg(value) AS train_loss, count(*) AS step FROM events GROUP BY 1)
+SELECT CAST(row_number() OVER (ORDER BY day) - 1 AS BIGINT) AS row_no, round(rouge1, 6) AS rouge1,
+       round(rouge2, 6) AS rouge2, round(rougeL, 6) AS rougeL, round(rougeLsum, 6) AS rougeLsum,
+       round(train_loss, 6) AS train_loss, CAST(date_diff('day', DATE '2000-01-01', day) AS DOUBLE) AS epoch,
+       CAST(step AS DOUBLE) AS step
+FROM d WHERE rouge1 IS NOT NULL"""
+
+# ---------------------------------------------------------------- ordering
+ORACLE_SQL["predictions_indexed"] = """
+SELECT 'test-' || CAST(row_number() OVER (ORDER BY doc_id) - 1 AS VARCHAR) AS id, lang AS intent FROM documents"""
+
+ORACLE_SQL["padded_batches"] = """
+WITH n AS (SELECT doc_id, len(string_split(text, ' ')) AS n,
+                  (row_number() OVER (ORDER BY doc_id) - 1) // 16 AS batch_id FROM documents),
+m AS (SELECT *, CAST(ceil(max(n) OVER (PARTITION BY batch_id) / 8) * 8 AS BIGINT) AS padded_len FROM n)
+SELECT doc_id, CAST(batch_id AS BIGINT) AS batch_id, padded_len, CAST(padded_len - n AS BIGINT) AS n_pad FROM m"""
+
+ORACLE_SQL["first_n_features"] = f"""
+WITH d100 AS (SELECT * FROM documents ORDER BY doc_id LIMIT 100),
+{TOKROWS.format(key='doc_id', text='text', src='d100')}, {WINDOWS.format(w=128, step=96)},
+wa AS (SELECT k AS doc_id, CAST(win AS BIGINT) AS win, CAST(min(s) AS BIGINT) AS start_char,
+              CAST(max(e) AS BIGINT) AS end_char FROM wt GROUP BY k, win)
+SELECT * FROM wa ORDER BY doc_id, win LIMIT 200"""
+
+ORACLE_SQL["max_length"] = "SELECT CAST(max(len(string_split(text, ' '))) AS BIGINT) AS max_len FROM documents"
+
+ORACLE_SQL["qa_em_f1"] = f"""
+WITH {QQ_CTE},
+pr AS (SELECT id, substr(context, answer_start + CAST(id AS INTEGER) % 3 + 1, 20) AS prediction, answer_text FROM sq),
+nz AS (SELECT id,
+         list_filter({WS.format(x="regexp_replace(lower(prediction), '[!-/:-@\\[-`{{-~]', '', 'g')")},
+                     lambda t: t NOT IN ('a', 'an', 'the')) AS pt,
+         list_filter({WS.format(x="regexp_replace(lower(answer_text), '[!-/:-@\\[-`{{-~]', '', 'g')")},
+                     lambda t: t NOT IN ('a', 'an', 'the')) AS gt FROM pr),
+c AS (SELECT id, pt, gt, array_to_string(pt, ' ') = array_to_string(gt, ' ') AS em,
+             coalesce(list_sum(list_transform(list_distinct(pt), lambda t:
+                 least(len(list_filter(pt, lambda x: x = t)), len(list_filter(gt, lambda x: x = t))))), 0) AS common
+      FROM nz),
+f AS (SELECT id, CASE WHEN em THEN 1.0 ELSE 0.0 END AS em,
+             CASE WHEN len(pt) = 0 OR len(gt) = 0 THEN CASE WHEN len(pt) = len(gt) THEN 1.0 ELSE 0.0 END
+                  WHEN common = 0 THEN 0.0
+                  ELSE 2 * (common / len(pt)) * (common / len(gt)) / (common / len(pt) + common / len(gt)) END AS f1
+      FROM c)
+SELECT count(*) AS n, round(avg(em) * 100, 6) AS exact_match, round(avg(f1) * 100, 6) AS f1 FROM f"""

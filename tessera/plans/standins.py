@@ -113,3 +113,26 @@ def qa_beams(spark, sf) -> DataFrame:
                     F.transform(st, lambda s: s["pos"]).alias("start_index"),
                     F.transform(flat, lambda e: e["v"]).alias("end_log_probs"),
                     F.transform(flat, lambda e: e["pos"]).alias("end_index"))
+
+
+# Summarisation stand-ins ---------------------------------------------------
+# Fixed rules: a reference/prediction pair is a user turn (reference) and the
+# assistant turn that directly follows it in the same conversation
+# (prediction); a document's title is its first line, its main text the rest.
+def summary_pairs(spark, sf) -> DataFrame:
+    from tessera.functions.text import strip_ws
+    c = table(spark, sf, "conversations")
+    ref = c.where(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("ref"))
+    hyp = c.where(F.col("role") == "assistant").select(
+        "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("pred"))
+    return ref.join(hyp, ["conv_id", "turn"], "inner").select(
+        "conv_id", "turn", strip_ws("ref").alias("ref"), strip_ws("pred").alias("pred"))
+
+
+def summaries(spark, sf) -> DataFrame:
+    d = table(spark, sf, "documents")
+    first_nl = F.instr("text", "\n")
+    return d.select(F.col("doc_id").cast("string").alias("id"),
+                    F.when(first_nl > 0, F.substring("text", 1, first_nl - 1)).otherwise(F.col("text")).alias("title"),
+                    F.when(first_nl > 0, F.expr("substring(text, instr(text, '\\n') + 1)")).otherwise(F.lit(""))
+                    .alias("maintext"))
