@@ -611,3 +611,123 @@ def q_shuffled_order(spark, sf):
 def q_max_length(spark, sf):
     enc = V.encode(table(spark, sf, "documents"), "doc_id", "text", _vocab(spark, sf), VOCAB_N)
     return enc.agg(F.max(F.size("ids")).cast("bigint").alias("max_len"))
+
+
+# ---------------------------------------------------------------- sources
+from tessera.sources.readers import split_concat_json  # noqa: E402
+
+
+@query
+def q_concat_json(spark, sf):
+    from tessera.operators.common import ordered_collect
+    ev = table(spark, sf, "events").select((F.col("event_id") / 8).cast("long").alias("line_id"),
+                                           "event_id", "props")
+    lines = ordered_collect(ev, ["line_id"], "event_id", "props", "objs").select(
+        "line_id", F.array_join("objs", "").alias("line"))
+    objs = lines.select("line_id", F.explode(split_concat_json(F.col("line"))).alias("o"))
+    parsed = objs.select("line_id", F.from_json("o", "k long").alias("r"))
+    return parsed.groupBy("line_id").agg(F.count(F.lit(1)).alias("n_objects"), F.sum("r.k").alias("sum_k"))
+
+
+def _vector_lines(spark, sf):
+    e = table(spark, sf, "embeddings")
+    body = e.select(F.concat_ws(" ", F.concat(F.lit("w"), F.col("vec_id").cast("string")),
+                                F.array_join(F.col("embedding").cast("array<string>"), " ")).alias("value"))
+    header = e.agg(F.concat_ws(" ", F.count(F.lit(1)).cast("string"),
+                               F.max(F.size("embedding")).cast("string")).alias("value"))
+    return header.unionByName(body)
+
+
+@query
+def q_word_vectors_scan(spark, sf):
+    vec, _rej = V.parse_word_vectors(_vector_lines(spark, sf))
+    return vec.select("token", F.size("vector").cast("bigint").alias("dim"),
+                      r6(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x.cast("double"))).alias("vsum"))
+
+
+@query
+def q_vector_dim_check(spark, sf):
+    e = table(spark, sf, "embeddings").select(F.col("embedding").alias("vector"))
+    return V.check_dims(e, 64).select(F.col("n_rows").cast("bigint").alias("n_rows"),
+                                      F.col("min_dim").cast("bigint").alias("min_dim"),
+                                      F.col("max_dim").cast("bigint").alias("max_dim"),
+                                      F.col("n_bad").cast("bigint").alias("n_bad"))
+
+
+@query
+def q_logit_feature_audit(spark, sf):
+    logits = table(spark, sf, "embeddings").select(
+        (F.col("vec_id") / 2).cast("long").alias("example_id"), F.col("vec_id").alias("feature_id"))
+    feats = table(spark, sf, "documents").select(
+        F.col("doc_id").alias("example_id"),
+        F.explode(F.array(F.col("doc_id") * 2, F.col("doc_id") * 2 + 1)).alias("feature_id"))
+    k = ["example_id", "feature_id"]
+    a = feats.join(logits, k, "left_anti").withColumn("issue", F.lit("missing_logits"))
+    b = logits.join(feats, k, "left_anti").withColumn("issue", F.lit("missing_feature"))
+    return a.unionByName(b)
+
+
+# ---------------------------------------------------------------- ML surface
+from tessera.operators import ml as ML  # noqa: E402
+
+
+@query
+def q_max_pool_vectors(spark, sf):
+    from tessera.functions.text import split_ws as _sw
+    emb = table(spark, sf, "embeddings")
+    n = emb.select(F.count(F.lit(1))).scalar()
+    vocab = _vocab(spark, sf).select("token", "id")
+    toks = (table(spark, sf, "documents").select("doc_id", F.explode(_sw("text")).alias("token"))
+            .join(F.broadcast(vocab), "token")  # top-n vocabulary: bounded by VOCAB_N rows
+            .select("doc_id", (F.col("id") % n).alias("vec_id")).distinct())
+    tv = toks.join(emb.select("vec_id", F.col("embedding").alias("vector")), "vec_id")
+    mp = ML.max_pool_vectors(tv, "doc_id")
+    return mp.select("doc_id", F.col("dim").cast("bigint").alias("dim"), r6(F.col("value").cast("double")).alias("value"))
+
+
+@query
+def q_embedding_matrix(spark, sf):
+    vocab = _vocab(spark, sf)
+    vec = table(spark, sf, "embeddings").select(F.concat(F.lit("w"), F.col("vec_id").cast("string")).alias("token"),
+                                                F.col("embedding").alias("vector"))
+    # vocabulary words get the vector of row (id - 2) when it exists
+    vec = vec.select(F.col("token").alias("w"), "vector")
+    named = vocab.select("token", "id").join(
+        vec.select((F.substring("w", 2, 20).cast("int") + 2).alias("id"), "vector"), "id")
+    m = V.embedding_matrix(vocab, named.select("token", "vector"), dim=64, seed=13, vocab_size=VOCAB_N)
+    return m.select("id", "token", "matched", r6(F.aggregate("vector", F.lit(0.0),
+                                                             lambda a, x: a + x.cast("double"))).alias("vsum"))
+
+
+@query
+def q_classify_text(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    train = docs.join(table(spark, sf, "labels"), "doc_id", "left_semi")
+    model = ML.fit_text_classifier(train, "text", "lang", vocab_size=10000, max_iter=30)
+    pred = model.transform(docs)
+    labels = model.stages[0].labels
+    to_label = F.element_at(F.array(*[F.lit(x) for x in labels]), F.col("prediction").cast("int") + 1)
+    return pred.select("doc_id", "lang", to_label.alias("predicted"))
+
+
+@query
+def q_score_batches(spark, sf):
+    import numpy as np
+    from tessera.functions.arrays import argmax
+    rng = np.random.default_rng(5)
+    w, b = rng.normal(size=(64, 10)), np.zeros(10)
+    e = table(spark, sf, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("x"), "label")
+    s = ML.score(e, ML.linear_scorer(w, b), "x", "logits", batch_size=128, dim=64)
+    return s.select("vec_id", "label", argmax("logits").cast("bigint").alias("pred"))
+
+
+@query
+def q_map_batches(spark, sf):
+    import pandas as pd
+
+    def explode_lines(b: pd.DataFrame) -> pd.DataFrame:
+        rows = [(d, i, ln) for d, t in zip(b["doc_id"], b["text"]) for i, ln in enumerate(t.split("\n"))]
+        return pd.DataFrame(rows, columns=["doc_id", "line_no", "line"])
+
+    d = table(spark, sf, "documents").select("doc_id", "text")
+    return ML.map_batches(d, explode_lines, "doc_id long, line_no long, line string")

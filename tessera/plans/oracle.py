@@ -570,3 +570,36 @@ f AS (SELECT id, CASE WHEN em THEN 1.0 ELSE 0.0 END AS em,
                   ELSE 2 * (common / len(pt)) * (common / len(gt)) / (common / len(pt) + common / len(gt)) END AS f1
       FROM c)
 SELECT count(*) AS n, round(avg(em) * 100, 6) AS exact_match, round(avg(f1) * 100, 6) AS f1 FROM f"""
+
+# ---------------------------------------------------------------- sources / ML
+ORACLE_SQL["concat_json"] = """
+SELECT event_id // 8 AS line_id, count(*) AS n_objects,
+       sum(CAST(json_extract(props, '$.k') AS BIGINT)) AS sum_k FROM events GROUP BY 1"""
+
+ORACLE_SQL["word_vectors_scan"] = """
+SELECT 'w' || CAST(vec_id AS VARCHAR) AS token, CAST(len(embedding) AS BIGINT) AS dim,
+       round(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE))), 6) AS vsum FROM embeddings"""
+
+ORACLE_SQL["vector_dim_check"] = """
+SELECT count(*) AS n_rows, CAST(min(len(embedding)) AS BIGINT) AS min_dim, CAST(max(len(embedding)) AS BIGINT) AS max_dim,
+       count(*) FILTER (WHERE len(embedding) <> 64) AS n_bad FROM embeddings"""
+
+ORACLE_SQL["logit_feature_audit"] = """
+WITH l AS (SELECT vec_id // 2 AS example_id, vec_id AS feature_id FROM embeddings),
+f AS (SELECT doc_id AS example_id, doc_id * 2 AS feature_id FROM documents
+      UNION ALL SELECT doc_id, doc_id * 2 + 1 FROM documents)
+SELECT example_id, feature_id, 'missing_logits' AS issue FROM f
+WHERE NOT EXISTS (SELECT 1 FROM l WHERE l.example_id = f.example_id AND l.feature_id = f.feature_id)
+UNION ALL
+SELECT example_id, feature_id, 'missing_feature' FROM l
+WHERE NOT EXISTS (SELECT 1 FROM f WHERE l.example_id = f.example_id AND l.feature_id = f.feature_id)"""
+
+ORACLE_SQL["max_pool_vectors"] = f"""
+WITH {VOCAB_CTE},
+n AS (SELECT count(*) AS n FROM embeddings),
+t AS (SELECT DISTINCT d.doc_id, v.id % n.n AS vec_id
+      FROM (SELECT doc_id, unnest({WS_TOKENS.format(col='text')}) AS token FROM documents) d
+      JOIN vocab v USING (token) CROSS JOIN n),
+x AS (SELECT t.doc_id, generate_subscripts(e.embedding, 1) - 1 AS dim, unnest(e.embedding) AS v
+      FROM t JOIN embeddings e USING (vec_id))
+SELECT doc_id, CAST(dim AS BIGINT) AS dim, round(CAST(max(v) AS DOUBLE), 6) AS value FROM x GROUP BY doc_id, dim"""
