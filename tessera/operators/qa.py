@@ -84,7 +84,10 @@ def qa_nbest(examples: DataFrame, feats: DataFrame, n_best: int = 20, max_len: i
     Ranking is score desc, then feature order, start rank, end rank - the
     order a stable sort of the nested candidate loops gives."""
     cand = feature_candidates(feats, n_best, max_len)
-    rows = cand.select("example_id", "feature_id", F.explode("c").alias("c")).select(
+    # explode_outer + null filter: a plain explode makes the optimizer infer
+    # `size(c) > 0` and push that copy of the candidate search into the join
+    rows = cand.select("example_id", "feature_id", F.explode_outer("c").alias("c")).where(
+        F.col("c").isNotNull()).select(
         "example_id", "feature_id", (-F.col("c.nscore")).alias("score"),
         F.col("c.srank").alias("srank"), F.col("c.erank").alias("erank"),
         F.col("c.start_logit").alias("start_logit"), F.col("c.end_logit").alias("end_logit"),
@@ -160,7 +163,8 @@ def beam_candidates(beams: DataFrame, n_best: int = 20, max_len: int = 30,
         lambda e: F.struct(s["rank"].alias("srank"), (e["slot"] - s["rank"] * end_n).alias("erank"),
                            s["v"].alias("start_logit"), e["v"].alias("end_logit"),
                            s["o"]["s"].alias("cs"), e["o"]["e"].alias("ce")))))
-    return b.select("example_id", "feature_id", F.explode(pairs).alias("c")).select(
+    return b.select("example_id", "feature_id", F.explode_outer(pairs).alias("c")).where(
+        F.col("c").isNotNull()).select(
         "example_id", "feature_id", (F.col("c.start_logit") + F.col("c.end_logit")).alias("score"),
         F.col("c.srank").alias("srank"), F.col("c.erank").alias("erank"),
         F.col("c.start_logit").alias("start_logit"), F.col("c.end_logit").alias("end_logit"),

@@ -47,10 +47,10 @@ def rouge_n_set(toks: DataFrame, keys: list, n: int) -> DataFrame:
 
 def rouge_n_multiset(toks: DataFrame, keys: list, n: int) -> DataFrame:
     """Per pair p/r/f with clipped n-gram counts (overlap = sum of min counts)."""
-    side = F.explode(F.concat(
+    side = F.explode_outer(F.concat(
         F.transform(ngrams("ht", n), lambda g: F.struct(g.alias("g"), F.lit(1).alias("h"), F.lit(0).alias("r"))),
         F.transform(ngrams("rt", n), lambda g: F.struct(g.alias("g"), F.lit(0).alias("h"), F.lit(1).alias("r")))))
-    counts = (toks.select(*keys, side.alias("x"))
+    counts = (toks.select(*keys, side.alias("x")).where(F.col("x").isNotNull())
               .groupBy(*keys, F.col("x.g").alias("g"))
               .agg(F.sum("x.h").alias("ch"), F.sum("x.r").alias("cr")))
     per = counts.groupBy(*keys).agg(F.sum(F.least("ch", "cr")).alias("ov"),

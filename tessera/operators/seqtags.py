@@ -59,7 +59,7 @@ def chunks(tags_col, strict: bool) -> Column:
 
 def entities(df: DataFrame, keys: list, tags_col: str, strict: bool) -> DataFrame:
     """One row per entity: keys, etype, start, end (inclusive token indexes)."""
-    return (df.select(*keys, F.explode(chunks(tags_col, strict)).alias("e"))
+    return (df.select(*keys, F.explode_outer(chunks(tags_col, strict)).alias("e")).where(F.col("e").isNotNull())
             .select(*keys, "e.etype", "e.start", "e.end"))
 
 
@@ -76,7 +76,7 @@ def entity_counts(df: DataFrame, keys: list, gold_col: str, pred_col: str, stric
                                                    F.lit(p).alias("p"), F.lit(t).alias("t")))
 
     marks = F.concat(tally(gold, 1, 0, 0), tally(pred, 0, 1, 0), tally(F.array_intersect(gold, pred), 0, 0, 1))
-    return (df.select(F.explode(marks).alias("m"))
+    return (df.select(F.explode_outer(marks).alias("m")).where(F.col("m").isNotNull())
             .groupBy(F.col("m.etype").alias("etype"))
             .agg(F.sum("m.g").cast("long").alias("n_gold"), F.sum("m.p").cast("long").alias("n_pred"),
                  F.sum("m.t").cast("long").alias("n_tp")))

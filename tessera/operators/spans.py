@@ -16,7 +16,8 @@ def token_rows(df: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     on ``key`` first, so the window needs only a local sort (one shuffle of
     the text rows, none of the exploded tokens)."""
     pieces = F.regexp_extract_all(F.col(text_col), F.lit(r"(?U)\s*\S+"), 0)
-    ex = (df.repartition(key).select(key, F.posexplode(pieces).alias("pos", "piece"))
+    ex = (df.repartition(key).select(key, F.posexplode_outer(pieces).alias("pos", "piece"))
+          .where(F.col("pos").isNotNull())
           .withColumn("token", F.regexp_replace("piece", r"(?U)^\s+", "")))
     w = Window.partitionBy(key).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     end = F.sum(F.length("piece")).over(w)

@@ -19,7 +19,7 @@ def word_count(df: DataFrame, text_col: str = "text", tokens_col: str | None = N
     table passes its token array via ``tokens_col``.  Partial + final hash
     aggregation absorbs frequent (skewed) words map-side."""
     toks = F.col(tokens_col) if tokens_col else split_ws(text_col)
-    return (df.select(F.explode(toks).alias("token"))
+    return (df.select(F.explode_outer(toks).alias("token")).where(F.col("token").isNotNull())
             .groupBy("token").agg(F.count(F.lit(1)).alias("cnt")))
 
 
@@ -41,7 +41,8 @@ def encode(df: DataFrame, key: str, text_col: str, vocab: DataFrame, vocab_size:
     its size is bounded by ``vocab_size``; the big side is never shuffled
     before the map-side-combined regroup."""
     v = bounded_broadcast(vocab.select("token", "id"), vocab_size)
-    exploded = df.select(key, F.posexplode(split_space(text_col)).alias("pos", "token"))
+    exploded = (df.select(key, F.posexplode_outer(split_space(text_col)).alias("pos", "token"))
+                .where(F.col("pos").isNotNull()))
     joined = exploded.join(v, "token", "left").select(
         key, "pos", F.coalesce("id", F.lit(UNK_ID)).alias("id"))
     res = ordered_collect(joined, [key], "pos", "id", out)

@@ -474,8 +474,7 @@ def q_rouge_n_multiset(spark, sf):
     r1 = R.rouge_n_multiset(t, ["conv_id", "turn"], 1).select("conv_id", "turn", F.col("f").alias("a"))
     r2 = R.rouge_n_multiset(t, ["conv_id", "turn"], 2).select("conv_id", "turn", F.col("f").alias("b"))
     j = r1.join(r2, ["conv_id", "turn"])
-    return j.select("conv_id", "turn", F.round(F.col("a") * 100, 4).alias("rouge1"),
-                    F.round(F.col("b") * 100, 4).alias("rouge2"))
+    return j.select("conv_id", "turn", r6(F.col("a") * 100).alias("rouge1"), r6(F.col("b") * 100).alias("rouge2"))
 
 
 @query
@@ -547,10 +546,10 @@ def q_split_counts(spark, sf):
 def _log_lines(spark, sf):
     """Render per-day event aggregates as training-log lines."""
     d = _days(spark, sf).groupBy("day").agg(
-        F.round(F.avg(F.when(F.col("event_type") == "click", F.col("value"))), 4).alias("rouge1"),
-        F.round(F.avg(F.when(F.col("event_type") == "view", F.col("value"))), 4).alias("rouge2"),
-        F.round(F.avg(F.when(F.col("event_type") == "purchase", F.col("value"))), 4).alias("rougeL"),
-        F.round(F.avg(F.when(F.col("event_type") == "signup", F.col("value"))), 4).alias("rougeLsum"),
+        F.avg(F.when(F.col("event_type") == "click", F.col("value"))).alias("rouge1"),
+        F.avg(F.when(F.col("event_type") == "view", F.col("value"))).alias("rouge2"),
+        F.avg(F.when(F.col("event_type") == "purchase", F.col("value"))).alias("rougeL"),
+        F.avg(F.when(F.col("event_type") == "signup", F.col("value"))).alias("rougeLsum"),
         F.avg("value").alias("train_loss"), F.count(F.lit(1)).alias("step"))
     kv = [F.concat(F.lit(f"'{k}': "), F.coalesce(F.col(k).cast("string"), F.lit("nan"))) for k in
           ("rouge1", "rouge2", "rougeL", "rougeLsum", "train_loss")]

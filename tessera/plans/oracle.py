@@ -486,8 +486,8 @@ pr AS (SELECT k.conv_id, k.turn, k.n,
               CASE WHEN coalesce(nr, 0) > 0 THEN ov / nr ELSE 0.0 END AS r
        FROM k LEFT JOIN s USING (conv_id, turn, n)),
 f AS (SELECT *, CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0.0 END AS f FROM pr)
-SELECT conv_id, turn, round(max(f) FILTER (WHERE n = 1) * 100, 4) AS rouge1,
-       round(max(f) FILTER (WHERE n = 2) * 100, 4) AS rouge2
+SELECT conv_id, turn, round(max(f) FILTER (WHERE n = 1) * 100, 6) AS rouge1,
+       round(max(f) FILTER (WHERE n = 2) * 100, 6) AS rouge2
 FROM f GROUP BY conv_id, turn"""
 
 # ---------------------------------------------------------------- metrics
@@ -522,10 +522,10 @@ UNION ALL SELECT 'test', count(*) FROM conversations"""
 
 ORACLE_SQL["metric_log"] = """
 WITH d AS (SELECT CAST(ts AS DATE) AS day,
-                  round(avg(value) FILTER (WHERE event_type = 'click'), 4) AS rouge1,
-                  round(avg(value) FILTER (WHERE event_type = 'view'), 4) AS rouge2,
-                  round(avg(value) FILTER (WHERE event_type = 'purchase'), 4) AS rougeL,
-                  round(avg(value) FILTER (WHERE event_type = 'signup'), 4) AS rougeLsum,
+                  avg(value) FILTER (WHERE event_type = 'click') AS rouge1,
+                  avg(value) FILTER (WHERE event_type = 'view') AS rouge2,
+                  avg(value) FILTER (WHERE event_type = 'purchase') AS rougeL,
+                  avg(value) FILTER (WHERE event_type = 'signup') AS rougeLsum,
                   avg(value) AS train_loss, count(*) AS step FROM events GROUP BY 1)
 SELECT CAST(row_number() OVER (ORDER BY day) - 1 AS BIGINT) AS row_no, round(rouge1, 6) AS rouge1,
        round(rouge2, 6) AS rouge2, round(rougeL, 6) AS rougeL, round(rougeLsum, 6) AS rougeLsum,

@@ -27,6 +27,10 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # explode-derived `size(x) > 0` filters get pushed below projections and
+        # re-run expensive array expressions; the operators filter explicitly
+        .config("spark.sql.optimizer.excludedRules",
+                "org.apache.spark.sql.catalyst.optimizer.InferFiltersFromGenerate")
         .config("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEMORY", "16g"))
     )
     for k, v in (extra or {}).items():
