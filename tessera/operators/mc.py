@@ -43,10 +43,13 @@ def containing_docs(passages: DataFrame, docs: DataFrame, pkey: str = "item_id",
     probes = (passages.select(pkey, split_ws("text").alias("pt")).where(F.size("pt") > 0)
               .select(pkey, anchor.alias("h"), kind.alias("k")))
     toks = docs.select(dkey, split_ws("text").alias("dt"))
-    grams = toks.select(dkey, F.explode_outer(F.concat(
-        F.transform(_shingle_hashes("dt"), lambda h: F.struct(h.alias("h"), F.lit(3).alias("k"))),
-        F.transform(F.col("dt"), lambda t: F.struct(F.xxhash64(t).alias("h"), F.lit(1).alias("k"))))).alias("g")
-    ).where(F.col("g").isNotNull()).select(dkey, "g.h", "g.k")
+    sides = [F.transform(_shingle_hashes("dt"), lambda h: F.struct(h.alias("h"), F.lit(3).alias("k")))]
+    # single-word probes only exist for passages under five words; a one-row
+    # existence check keeps the (larger) unigram side out of the plan otherwise
+    if probes.where(F.col("k") == 1).limit(1).count() > 0:
+        sides.append(F.transform(F.col("dt"), lambda t: F.struct(F.xxhash64(t).alias("h"), F.lit(1).alias("k"))))
+    grams = toks.select(dkey, F.explode_outer(F.concat(*sides) if len(sides) > 1 else sides[0]).alias("g")
+                        ).where(F.col("g").isNotNull()).select(dkey, "g.h", "g.k")
     cand = grams.join(probes, ["h", "k"]).select(pkey, dkey).distinct()
     ptxt = passages.select(pkey, F.col("text").alias("ptext"))
     dtxt = docs.select(dkey, F.col("text").alias("dtext"))
