@@ -62,3 +62,32 @@ def max_pool_vectors(token_vec: DataFrame, key: str, vec_col: str = "vector") ->
     dims are exploded and max-aggregated (partial aggregation map-side)."""
     ex = token_vec.select(key, F.posexplode(vec_col).alias("dim", "v"))
     return ex.groupBy(key, "dim").agg(F.max("v").alias("value"))
+
+
+def token_context_features(df: DataFrame, keys: list, tokens_col: str, tags_col: str | None = None) -> DataFrame:
+    """One row per token with its neighbours as features (``w:``, ``p:``,
+    ``n:`` words), built by zipping shifted copies of the token array."""
+    t = F.col(tokens_col)
+    prev = F.concat(F.array(F.lit("<s>")), F.slice(t, 1, F.greatest(F.size(t) - 1, F.lit(0))))
+    nxt = F.concat(F.slice(t, 2, F.greatest(F.size(t), F.lit(1))), F.array(F.lit("</s>")))
+    cols = [t.alias("w"), prev.alias("p"), nxt.alias("n")]
+    if tags_col:
+        cols.append(F.col(tags_col).alias("tag"))
+    z = df.select(*keys, F.posexplode_outer(F.arrays_zip(*cols)).alias("pos", "x")).where(F.col("x").isNotNull())
+    feats = F.array(F.concat(F.lit("w:"), F.col("x.w")), F.concat(F.lit("p:"), F.col("x.p")),
+                    F.concat(F.lit("n:"), F.col("x.n")))
+    out = [*keys, "pos", F.col("x.w").alias("token"), feats.alias("feats")]
+    if tags_col:
+        out.append(F.col("x.tag").alias("tag"))
+    return z.select(*out)
+
+
+def fit_tagger(tokens: DataFrame, vocab_size: int = 20000, max_iter: int = 30) -> PipelineModel:
+    """Per-token multinomial logistic regression on word/neighbour features
+    (the re-aimed sequence tagger); labels indexed alphabetically."""
+    stages = [
+        StringIndexer(inputCol="tag", outputCol="label_idx", stringOrderType="alphabetAsc"),
+        CountVectorizer(inputCol="feats", outputCol="_features", vocabSize=vocab_size),
+        LogisticRegression(featuresCol="_features", labelCol="label_idx", maxIter=max_iter, family="multinomial"),
+    ]
+    return Pipeline(stages=stages).fit(tokens)

@@ -730,3 +730,46 @@ def q_map_batches(spark, sf):
 
     d = table(spark, sf, "documents").select("doc_id", "text")
     return ML.map_batches(d, explode_lines, "doc_id long, line_no long, line string")
+
+
+@query
+def q_tag_tokens(spark, sf):
+    """Train the token tagger on user turns, tag assistant turns, report
+    per-sequence correct counts against the gold tags."""
+    conv = table(spark, sf, "conversations").select("conv_id", "turn", "role")
+    seqs = S.tag_sequences(spark, sf).join(conv, ["conv_id", "turn"])
+    toks = ML.token_context_features(seqs, ["conv_id", "turn", "role"], "tokens", "gold")
+    model = ML.fit_tagger(toks.where(F.col("role") == "user"), max_iter=20)
+    labels = model.stages[0].labels
+    pred = model.transform(toks.where(F.col("role") == "assistant"))
+    to_label = F.element_at(F.array(*[F.lit(x) for x in labels]), F.col("prediction").cast("int") + 1)
+    return (pred.select("conv_id", "turn", (to_label == F.col("tag")).cast("int").alias("ok"))
+            .groupBy("conv_id", "turn").agg(F.count(F.lit(1)).alias("n_tokens"), F.sum("ok").alias("n_correct")))
+
+
+@query
+def q_qa_two_stage(spark, sf):
+    """Two-stage QA as one lazy plan: pick the context (word overlap), cut it
+    into overlapping token windows, score window tokens against the question
+    (stand-in scorer: 1 when the token is a question word, minus a small
+    position term; the end score is the start score of the next token),
+    decode the n-best span and repair the answer."""
+    from tessera.functions.text import repair_answer as _repair, split_ws as _sw
+    m = _mc(spark, sf)
+    chosen = MC.selected_context(m, MC.choose_context(m).select("id", "pred"))
+    q = m.select(F.col("video-id").alias("id"), F.array_distinct(_sw("sent1")).alias("qw"))
+    tok = SP.token_offsets(chosen.select("id", "context"), "id", "context")
+    win = SP.context_windows(tok, "id", w=64, overlap=16, keep_offsets=True)
+    win = win.join(tok.select("id", "tokens"), "id").join(q, "id")
+    win = win.select("id", "win", F.concat(F.array(F.lit(None).cast("struct<s:int,e:int>")),
+                                           F.slice("offsets", F.col("first_tok") + 1, F.greatest("n_tok", F.lit(1))))
+                     .alias("offsets"),
+                     F.slice("tokens", F.col("first_tok") + 1, F.greatest("n_tok", F.lit(1))).alias("wt"), "qw")
+    start = F.transform("wt", lambda t, i: F.array_contains(F.col("qw"), t).cast("double") - i * 0.001)
+    feats = win.select(F.col("id").alias("example_id"), F.col("win").alias("feature_id"), "offsets",
+                       F.concat(F.array(F.lit(-1.0)), start).alias("start_logits"))
+    feats = feats.withColumn("end_logits", F.concat(F.slice("start_logits", 2, F.size("start_logits")),
+                                                    F.array(F.lit(-1.0))))
+    nb = QA.qa_nbest(chosen.select(F.col("id").alias("example_id"), "context"), feats, n_best=20, max_len=30)
+    pr = QA.qa_predict(nb)
+    return pr.select(F.col("example_id").alias("id"), "prediction", _repair("prediction").alias("answer"))
