@@ -755,7 +755,10 @@ def q_qa_two_stage(spark, sf):
     position term; the end score is the start score of the next token),
     decode the n-best span and repair the answer."""
     from tessera.functions.text import repair_answer as _repair, split_ws as _sw
-    m = _mc(spark, sf)
+    from tessera.session import cut_lineage
+    # the multiple-choice rows feed three branches: materialise them once in
+    # the shared checkpoint folder instead of re-running the passage lookup
+    m = cut_lineage(_mc(spark, sf))
     chosen = MC.selected_context(m, MC.choose_context(m).select("id", "pred"))
     q = m.select(F.col("video-id").alias("id"), F.array_distinct(_sw("sent1")).alias("qw"))
     tok = SP.token_offsets(chosen.select("id", "context"), "id", "context")

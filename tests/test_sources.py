@@ -47,7 +47,7 @@ def test_concat_json_and_jsonl(spark):
     assert sorted(r.a for r in RD.read_concat_json(spark, f"{d}/c.json", "a int").collect()) == [1, 2]
     df = spark.createDataFrame([("21710", "標題")], "id string, title string")
     WR.write_jsonl(df, f"{d}/j")
-    part = [p for p in os.listdir(f"{d}/j") if p.endswith(".json")][0]
-    assert "標題" in open(f"{d}/j/{part}", encoding="utf-8").read()
+    text = "".join(open(f"{d}/j/{p}", encoding="utf-8").read() for p in os.listdir(f"{d}/j") if p.endswith(".json"))
+    assert "標題" in text
     back = RD.read_any(spark, f"{d}/j", "id string, title string", fmt="jsonl").first()
     assert back.id == "21710"
