@@ -190,7 +190,7 @@ FROM tagidx b JOIN tagidx i ON i.label = replace(b.label, 'B-', 'I-') WHERE b.la
 ORACLE_SQL["align_labels"] = f"""
 WITH {TAGS_CTE},
 w AS (SELECT conv_id, turn, pos, CAST(ceil(length(token) / 4) AS BIGINT) AS np, gid FROM tagids)
-SELECT conv_id, turn, 2 + sum(np) AS n_pieces, count(*) FILTER (WHERE np > 0) AS n_labeled,
+SELECT conv_id, turn, CAST(2 + sum(np) AS BIGINT) AS n_pieces, count(*) FILTER (WHERE np > 0) AS n_labeled,
        '-100 ' || string_agg(CAST(gid AS VARCHAR) || repeat(' -100', CAST(np - 1 AS BIGINT)), ' ' ORDER BY pos)
        || ' -100' AS labels
 FROM w GROUP BY conv_id, turn"""
@@ -574,7 +574,7 @@ SELECT count(*) AS n, round(avg(em) * 100, 6) AS exact_match, round(avg(f1) * 10
 # ---------------------------------------------------------------- sources / ML
 ORACLE_SQL["concat_json"] = """
 SELECT event_id // 8 AS line_id, count(*) AS n_objects,
-       sum(CAST(json_extract(props, '$.k') AS BIGINT)) AS sum_k FROM events GROUP BY 1"""
+       CAST(sum(CAST(json_extract(props, '$.k') AS BIGINT)) AS BIGINT) AS sum_k FROM events GROUP BY 1"""
 
 ORACLE_SQL["word_vectors_scan"] = """
 SELECT 'w' || CAST(vec_id AS VARCHAR) AS token, CAST(len(embedding) AS BIGINT) AS dim,
