@@ -5,4 +5,12 @@ function built from the DataFrame API, SQL functions and higher-order
 functions, so Catalyst plans it and Tungsten executes it.
 """
 
-__version__ = "0.1.0"
+import sys
+
+from pyspark import cloudpickle
+
+__version__ = "0.2.0"
+
+# Functions that run inside Python workers travel with the job, so executors
+# need no copy of this package on their import path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
