@@ -84,12 +84,14 @@ def _gain(n11, n1, pos, total):
     return out
 
 
-def fit_machine(doc: np.ndarray, h: np.ndarray, label: np.ndarray, factors: int = 4, min_gain: float = 12.0,
+def fit_machine(doc: np.ndarray, h: np.ndarray, label: np.ndarray, factors: int = 4, min_gain: float | None = None,
                 epochs: int = 400, rate: float = 0.3, l2: float = 2e-4, seed: int = 7) -> FactorMachine:
     """Fit on distinct (doc, term) pairs of a bounded sample; doc indexes label.
 
-    Full-batch AdaGrad on the logistic loss with L2; only terms tied to the
-    label by at least ``min_gain`` take part, so the fit is small.
+    Only terms tied to the label by at least ``min_gain`` take part (default
+    twice the log of the number of terms tried, so that about none passes by
+    chance), which keeps the fit small.  Weights start at smoothed log odds
+    ratios and are refined by full-batch AdaGrad on the logistic loss with L2.
     """
     n = len(label)
     pos = int(label.sum())
@@ -100,6 +102,8 @@ def fit_machine(doc: np.ndarray, h: np.ndarray, label: np.ndarray, factors: int
     term, inv = np.unique(h, return_inverse=True)
     n1 = np.bincount(inv, minlength=len(term)).astype(float)
     n11 = np.bincount(inv, weights=label[doc], minlength=len(term))
+    if min_gain is None:
+        min_gain = 2 * np.log(max(2, int((n1 >= 2).sum())))
     good = (_gain(n11, n1, pos, n) >= min_gain) & (n1 >= 2) & (n11 * n > n1 * pos)
     if not good.any():
         return none
@@ -109,7 +113,8 @@ def fit_machine(doc: np.ndarray, h: np.ndarray, label: np.ndarray, factors: int
     d, i = doc[keep][order], new[inv[keep]][order]
     m = int(good.sum())
     rng = np.random.default_rng(seed)
-    fm = FactorMachine(term[good], np.zeros(m), rng.normal(0, 0.02, (m, factors)), base)
+    odds = np.log((n11 + 0.5) / (n1 - n11 + 0.5))[good] - base
+    fm = FactorMachine(term[good], odds, rng.normal(0, 0.02, (m, factors)), base)
     gw, gv, gb = np.full(m, 1e-6), np.full((m, factors), 1e-6), 1e-6
     first = np.searchsorted(d, np.arange(n + 1))
     y = label.astype(float)
