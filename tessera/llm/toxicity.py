@@ -141,14 +141,15 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     """Machine fitted on at most ``sample_rows`` of the given labelled rows.
 
     The terms of the sample are computed on the executors; the driver receives
-    hashes of that bounded sample alone.  A row without id, or with a label
+    hashes of that bounded sample alone, and at most ``sample_rows`` ids are
+    broadcast to pick its texts.  A row without id, or with a label
     other than 0 or 1, is not learnt from; an id labelled twice takes its
     higher label.
     """
     lab = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y"))
            .where("id is not null and y in (0, 1)").groupBy("id").agg(F.max("y").alias("y")))
-    some = bounded_sample(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
-                          .join(lab, "id"), sample_rows, "id").repartition(8, "id")
+    some = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
+            .join(F.broadcast(bounded_sample(lab, sample_rows, "id")), "id"))
 
     def pairs(buf, offs):
         doc, h, w = terms(buf, offs)
