@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -10,9 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.llm.textvec import BLOCK_BYTES, cut, text_block
-from tessera.session import cut_lineage, table
+from tessera.session import ensure_checkpoint_dir, table
 
-__all__ = ["apart", "bounded_sample", "cut_lineage", "held_out", "letters", "map_text", "shared_rows", "table"]
+__all__ = ["apart", "bounded_sample", "components", "forget", "held_out", "letters", "likely", "map_text", "stored",
+           "table"]
 
 
 def held_out(doc_id: str | Column, mod: int, rest: int) -> Column:
@@ -57,9 +59,69 @@ def bounded_sample(df: DataFrame, rows: int, key: str) -> DataFrame:
     return df.orderBy(F.xxhash64(F.col(key)), F.col(key)).limit(rows)
 
 
-def shared_rows(df: DataFrame) -> DataFrame:
-    """The rows written once to the shared checkpoint folder, lineage cut."""
-    return cut_lineage(df)
+def stored(df: DataFrame) -> DataFrame:
+    """The rows written once as Parquet to the shared folder that spark.checkpoint.dir names.
+
+    Cuts the lineage: later jobs read files that outlive any executor.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tessera-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def forget(*dfs: DataFrame) -> None:
+    """Delete the files of ``stored`` results that nothing reads any more."""
+    for df in dfs:
+        if path := getattr(df, "_stored_at", None):
+            spark = df.sparkSession
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def likely(df: DataFrame, key: str, wanted: DataFrame, bits: int = 18) -> DataFrame:
+    """Rows of ``df`` whose key may be in the one column of ``wanted`` (a superset: an exact join has to follow).
+
+    Only hash slots are broadcast: at most 2**bits rows of one int whatever the
+    size of ``wanted``, so that a join for few keys does not move all of ``df``.
+    """
+    slot = F.pmod(F.xxhash64(F.col(wanted.columns[0]).cast("long")), F.lit(1 << bits)).cast("int")
+    slots = wanted.select(slot.alias("__slot")).distinct()
+    mine = F.pmod(F.xxhash64(F.col(key).cast("long")), F.lit(1 << bits)).cast("int")
+    return df.withColumn("__slot", mine).join(F.broadcast(slots), "__slot", "left_semi").drop("__slot")
+
+
+def _checksum(df: DataFrame) -> tuple:
+    return tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+
+
+def components(edges: DataFrame, store=stored) -> DataFrame:
+    """(u, v): v is the smallest node that u reaches, for every node u other than v.
+
+    ``edges`` has two long columns.  Alternates large-star and small-star steps
+    until nothing changes: the steps are grouped minima (combined before the
+    shuffle) and equi-joins that Spark can split on a hot node, and each step's
+    edges are written to the shared folder.
+    """
+    a, b = edges.columns
+    cur = store(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct())
+    mark = _checksum(cur)
+    while mark[0]:
+        both = cur.unionByName(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        large = (both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+                 .where("u <> v").distinct())
+        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = (large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+                 .unionByName(low.select("u", F.col("m").alias("v"))).distinct())
+        new = store(small)
+        forget(cur)
+        cur, was, mark = new, mark, _checksum(new)
+        if was == mark:
+            break
+    return cur
 
 
 def apart(spark: SparkSession, obj):

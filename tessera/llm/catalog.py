@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["toxicity"]
+MODULES = ["toxicity", "minhash", "spans", "decontam"]
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}

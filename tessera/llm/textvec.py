@@ -53,7 +53,7 @@ class _Scratch(dict):
 _CACHE = _Scratch()
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the hash base and of its inverse modulo 2**64, at least n of them."""
     have = _CACHE.get("pow")
     if have is None or len(have[0]) < n:
@@ -134,7 +134,7 @@ class Words:
         self.first = np.searchsorted(self.start, offs)
         self.doc = np.repeat(np.arange(len(offs) - 1), np.diff(self.first))
         if hashed:
-            self.pow, self.inv = _powers(n + 1)
+            self.pow, self.inv = powers(n + 1)
             sums = np.empty(n + 1, np.uint64)
             sums[0] = 0
             np.cumsum(_CACHE["byte"][buf] * self.pow[:n], out=sums[1:])
