@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["toxicity", "minhash", "spans", "decontam"]
+MODULES = ["toxicity", "minhash", "spans", "decontam", "mixing", "quality", "chat", "knn", "langid", "interp"]
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}

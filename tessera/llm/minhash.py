@@ -7,10 +7,15 @@
    combined before the shuffle): a group of copies costs one representative.
 3. Representatives that share a band key are candidates.  No bucket is paired
    up: in every round each bucket names hubs (first one, the member that shares
-   most buckets with others; then 16, 64, ... spread by hash) and members are
+   most buckets with others; then 64, 1024, ... spread by hash) and members are
    compared with hubs alone.  A hub has then met its whole bucket and leaves
    it; a bucket ends when its members are in one component.  Nothing is capped:
-   a pair of members is skipped only if already connected.
+   a pair of members is skipped only if already connected or if it cannot reach
+   the threshold.  The proof of that is exact: after the first round the
+   shingles of the open buckets' texts are counted, and a text of n shingles, u
+   of them shared at all, is at most u / (n + m - u) similar to one of m.  So
+   thousands of copies that differ from one original in words of their own meet
+   the original, but not one another.
 4. A candidate's similarity is estimated from equal packed lanes, counted by
    bit operations and corrected for chance agreement, (m - c) / (1 - c) with
    c = 1/16; pairs within ``slack`` of the threshold or above are confirmed on
@@ -38,7 +43,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.base import components, forget, likely, map_text, stored, table
-from tessera.llm.textvec import (BLOCK_BYTES, Words, distinct_pairs, lower_ascii, mix, shingles, text_block)
+from tessera.llm.textvec import (BLOCK_BYTES, Words, by_doc, distinct_pairs, lower_ascii, mix, shingles, text_block)
 
 SHINGLE = 5
 BANDS, ROWS = 48, 7
@@ -128,7 +133,7 @@ def confirm(pairs: DataFrame, docs: DataFrame, percent: int, shingle: int = SHIN
                 da, ha = sets(part.column(2), n)
                 db, hb = sets(part.column(3), n)
                 d, h = np.concatenate([da, db]), np.concatenate([ha, hb])
-                order = np.lexsort((h, d))
+                order = by_doc(d, h, n)
                 d, h = d[order], h[order]
                 same = (d[1:] == d[:-1]) & (h[1:] == h[:-1])
                 inter = np.bincount(d[1:][same], minlength=n)
@@ -139,6 +144,32 @@ def confirm(pairs: DataFrame, docs: DataFrame, percent: int, shingle: int = SHIN
     return both.mapInArrow(check, "a long, b long")
 
 
+def lone_shingles(ids: DataFrame, docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """(id, lone): how many shingles of each text of ``ids`` no other of these texts holds."""
+    def run(buf, offs):
+        w = Words(lower_ascii(buf), offs)
+        doc, h = distinct_pairs(*shingles(w, w.hashes(), shingle), len(offs) - 1)
+        return [_long_lists(h, np.searchsorted(doc, np.arange(len(offs))))]
+
+    some = likely(docs.where("id is not null"), "id", ids).join(ids, "id", "left_semi")
+    rows = map_text(some, run, "hs array<long>", ["id"], "t").select("id", F.explode("hs").alias("h"))
+    once = rows.groupBy("h").agg(F.count(F.lit(1)).alias("c"), F.min("id").alias("id")).where("c = 1")
+    return once.groupBy("id").agg(F.count(F.lit(1)).alias("lone"))
+
+
+def _open(rows: DataFrame, percent: int) -> DataFrame:
+    """Rows whose bucket still holds two components, without members that could reach no other member.
+
+    Of a text's n shingles u are shared with any other candidate, so against a
+    text of m shingles its similarity is at most u / (n + m - u).
+    """
+    least = rows.groupBy("key").agg(F.min("n").alias("m"))
+    able = rows.join(least, "key").where(F.lit(100) * F.col("u") >= F.lit(percent) * (F.col("n") + F.col("m") - F.col("u")))
+    able = able.drop("m")
+    two = able.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("key")
+    return able.join(two, "key", "left_semi")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80,
                     shingle: int = SHINGLE, bands: int = BANDS, rows: int = ROWS, slack: float = 0.15) -> DataFrame:
     """One row per row of ``docs``: id, n_shingles, component_id (smallest id reachable), kept."""
@@ -149,22 +180,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     member = stored(feats.select("id", "n", "fa", "fb").join(groups, ["fa", "fb", "n"], "left")
                     .select("id", "n", F.coalesce("rep", "id").alias("rep")))
     reps = groups.select(F.col("rep").alias("id"))
-    sig = sets.select("id", "sig", "keys").join(reps, "id", "left_semi").dropDuplicates(["id"])
-    sig = stored(sig)
-    rows_of = sig.select("id", F.explode("keys").alias("key"))
+    sig = stored(sets.select("id", "n", "sig", "keys").join(reps, "id", "left_semi").dropDuplicates(["id"]))
+    rows_of = sig.select("id", "n", F.explode("keys").alias("key"))
     shared = rows_of.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-    live = stored(rows_of.join(shared, "key").select("key", "id", "m"))
-    weight = live.groupBy("id").agg(F.sum("m").alias("w"))
-    live = stored(live.select("key", "id").join(weight, "id").select("key", "id", "w", F.col("id").alias("comp")))
-    links, comp, width, turn = None, None, 1, 0
+    first = stored(rows_of.join(shared, "key").select("key", "id", "n", "m"))
+    weight = first.groupBy("id").agg(F.sum("m").alias("w"))
+    live = stored(first.select("key", "id", "n").join(weight, "id")
+                  .select("key", "id", "w", "n", F.col("n").alias("u"), F.col("id").alias("comp")))
+    forget(first)
+    lanes = sig.select("id", "sig")
+    links, width, turn = None, 1, 0
     while not live.isEmpty():
         hubs = (live.groupBy("key", F.pmod(F.xxhash64("id", F.lit(turn)), F.lit(width)).alias("part"))
-                .agg(F.max(F.struct("w", (-F.col("id")).alias("minus"), "comp")).alias("h"))
-                .select("key", (-F.col("h.minus")).alias("hub"), F.col("h.comp").alias("hub_comp")))
+                .agg(F.max(F.struct("w", (-F.col("id")).alias("minus"), "comp", "n", "u")).alias("h"))
+                .select("key", (-F.col("h.minus")).alias("hub"), F.col("h.comp").alias("hub_comp"),
+                        F.col("h.n").alias("hub_n"), F.col("h.u").alias("hub_u")))
         hubs = stored(hubs)
+        both = F.least("u", "hub_u")
         pairs = (live.join(hubs, "key").where("id <> hub and comp <> hub_comp")
+                 .where(F.lit(100) * both >= F.lit(percent) * (F.col("n") + F.col("hub_n") - both))
                  .select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct())
-        lanes = sig.select("id", "sig")
         close = (pairs.join(lanes.select(F.col("id").alias("a"), F.col("sig").alias("sa")), "a")
                  .join(lanes.select(F.col("id").alias("b"), F.col("sig").alias("sb")), "b")
                  .where(estimate("sa", "sb", bands * rows) >= percent / 100 - slack).select("a", "b"))
@@ -172,15 +207,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         found = stored(confirm(close, src, percent, shingle))
         known = found if links is None else found.unionByName(links.select(F.col("u").alias("a"), F.col("v").alias("b")))
         old, links = links, components(known)
-        rest = live.join(hubs.select("key", F.col("hub").alias("id")), ["key", "id"], "left_anti").select("key", "id", "w")
+        rest = live.join(hubs.select("key", F.col("hub").alias("id")), ["key", "id"], "left_anti")
         rest = (rest.join(links.select(F.col("u").alias("id"), F.col("v").alias("to")), "id", "left")
-                .select("key", "id", "w", F.coalesce("to", "id").alias("comp")))
+                .select("key", "id", "w", "n", "u", F.coalesce("to", "id").alias("comp")))
         rest = stored(rest)
-        open_keys = rest.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y")
-        new = stored(rest.join(open_keys.select("key"), "key", "left_semi"))
-        forget(live, hubs, close, found, rest, *([old] if old is not None else []))
-        live, turn = new, turn + 1
-        width = 16 if width == 1 else width * 4
+        spare = [live, rest, hubs, close, found, *([old] if old is not None else [])]
+        live = stored(_open(rest, percent))
+        if turn == 0 and not live.isEmpty():
+            lone = lone_shingles(live.select("id").distinct(), src, shingle)
+            spare.append(live)
+            live = stored(_open(live.join(lone, "id", "left").withColumn("u", F.col("n") - F.coalesce("lone", F.lit(0)))
+                                .drop("lone"), percent))
+        forget(*spare)
+        turn += 1
+        width = 64 if width == 1 else width * 16
     out = member if links is None else member.join(
         links.select(F.col("u").alias("rep"), F.col("v").alias("comp")), "rep", "left")
     top = F.col("rep") if links is None else F.coalesce("comp", "rep")

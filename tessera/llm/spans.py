@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.llm.base import map_text, stored, table
-from tessera.llm.textvec import Words, powers, cut, lower_ascii, mix, text_block
+from tessera.llm.textvec import Words, by_doc, cut, lower_ascii, mix, powers, text_block
 
 SPAN, MIN_WORDS, PIECE = 3, 20, 4
 
@@ -96,12 +96,14 @@ def spans(doc: np.ndarray, key: np.ndarray, count: np.ndarray, span: int, min_wo
 
 
 def _first_of(doc, h):
-    """Mask of the leftmost occurrence of each (doc, hash)."""
-    order = np.lexsort((np.arange(len(h)), h, doc))
-    new = np.ones(len(h), bool)
-    new[1:] = (doc[order][1:] != doc[order][:-1]) | (h[order][1:] != h[order][:-1])
+    """Mask of the leftmost occurrence of each (doc, hash); doc ascends."""
+    if not len(h):
+        return np.zeros(0, bool)
+    order = by_doc(doc, h, int(doc[-1]) + 1)
+    d, k = doc[order], h[order]
+    at = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (k[1:] != k[:-1])]))
     out = np.zeros(len(h), bool)
-    out[order[new]] = True
+    out[np.minimum.reduceat(order, at)] = True
     return out
 
 

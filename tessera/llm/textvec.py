@@ -180,9 +180,19 @@ def shingles(words: Words, h: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarra
     return doc, hs
 
 
+def by_doc(doc: np.ndarray, h: np.ndarray, n_docs: int) -> np.ndarray:
+    """Order that puts equal (doc, hash) pairs side by side, documents ascending.
+
+    One sort of a packed key: the document above the hash's upper 44 bits.
+    """
+    if n_docs < 1 << 20:
+        return np.argsort((doc.astype(np.uint64) << np.uint64(44)) | (h >> np.uint64(20)))
+    return np.lexsort((h, doc))
+
+
 def distinct_pairs(doc: np.ndarray, h: np.ndarray, n_docs: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (doc, hash) pairs, sorted by doc and hash."""
-    order = np.lexsort((h, doc))
+    """Distinct (doc, hash) pairs, documents ascending."""
+    order = by_doc(doc, h, n_docs)
     doc, h = doc[order], h[order]
     if len(doc):
         new = np.ones(len(doc), bool)

@@ -185,10 +185,9 @@ def score_toxicity(docs: DataFrame, machine: FactorMachine, text_col: str = "tex
     def score(buf, offs):
         fm = shared.value
         doc, h, _ = terms(buf, offs)
-        at = fm.lookup(h)
-        hit = at >= 0
-        doc, at = distinct_pairs(doc[hit], at[hit], len(offs) - 1)
-        z = fm.logits(doc, at, len(offs) - 1)
+        hit = fm.lookup(h) >= 0
+        doc, h = distinct_pairs(doc[hit], h[hit], len(offs) - 1)
+        z = fm.logits(doc, fm.lookup(h), len(offs) - 1)
         return [1 / (1 + np.exp(-np.clip(z, -500, 500)))]
 
     return map_text(docs, score, f"`{out}` double", docs.columns if keep is None else keep, letters(text_col))
