@@ -21,7 +21,7 @@ of text, so a chunk fits a task and their number grows with the input.
    the way back.  These rows are written once to the shared folder.
 3. The texts meet their chunk's totals (a cogroup by chunk) and are scored, or,
    for the texts set apart, turned into a histogram of (bucket, bigram ratio,
-   unigram ratio), ratios in steps of a quarter octave; the driver runs the
+   unigram ratio), ratios in steps of an eighth of an octave; the driver runs the
    maximisation on that histogram, whose size the steps bound.
 
 No gram or document goes to the driver, and no count is dropped or sampled.
@@ -50,7 +50,7 @@ BLOCK = 3_000_000
 BUCKETS = 48
 UNI, BI, SUMS = 0, 1, 2
 _START, _END = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)
-STEP = 4  # histogram steps an octave
+STEP, ZERO, WIDE = 8, 1024, 4096  # histogram steps an octave, the step of a ratio of 1, steps in all
 
 
 def tokens(col: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -208,11 +208,11 @@ def histogram(back: pa.Table, docs: pa.Table, n: int, v: int, starts: int):
 
     def step(p):
         with np.errstate(divide="ignore"):
-            return np.where(p > 0, np.maximum(np.rint(STEP * np.log2(np.maximum(p, 1e-300) * (v + 1))) + 256, 0), -1).astype(np.int64)
+            return np.where(p > 0, np.maximum(np.rint(STEP * np.log2(np.maximum(p, 1e-300) * (v + 1))) + ZERO, 0), -1).astype(np.int64)
 
     s2, s1 = step(c2 / np.maximum(ch, 1)), step(c1 / max(n, 1))
-    key, cnt = np.unique((buckets(ch) * 1024 + s2 + 1) * 1024 + s1 + 1, return_counts=True)
-    return key // (1 << 20), key // 1024 % 1024 - 1, key % 1024 - 1, cnt
+    key, cnt = np.unique((buckets(ch) * WIDE + s2 + 1) * WIDE + s1 + 1, return_counts=True)
+    return key // WIDE // WIDE, key // WIDE % WIDE - 1, key % WIDE - 1, cnt
 
 
 def maximise(rows: list[tuple[int, int, int, int]], rounds: int = 60) -> np.ndarray:
@@ -221,7 +221,7 @@ def maximise(rows: list[tuple[int, int, int, int]], rounds: int = 60) -> np.ndar
     out[0] = [0.0, 0.9, 0.1]
     if rows:
         b, s2, s1, n = (np.array(x) for x in zip(*rows))
-        r = np.stack([np.where(s >= 0, 2.0 ** ((s - 256) / STEP), 0.0) for s in (s2, s1)] + [np.ones(len(b))], 1)
+        r = np.stack([np.where(s >= 0, 2.0 ** ((s - ZERO) / STEP), 0.0) for s in (s2, s1)] + [np.ones(len(b))], 1)
         for _ in range(rounds):
             part = out[b] * r
             part *= (n / part.sum(1))[:, None]
@@ -240,7 +240,7 @@ def score_texts(docs: DataFrame, train, id_col: str = "doc_id", text_col: str =
     size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     n_chunks = max(1, -(-int(size) // chunk_bytes))
     apart_of = F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 10 == em_of_ten, F.lit(False)) & train
-    spot = F.xxhash64(F.col(id_col))
+    spot = F.xxhash64("id")
     chunk = F.when(F.col("em"), F.pmod(spot, F.lit(-(-n_chunks // 10))) + n_chunks).otherwise(F.pmod(spot, F.lit(n_chunks)))
     rows = (docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("t"), train.alias("train"),
                         apart_of.alias("em")).withColumn("chunk", chunk.cast("long")))
@@ -250,7 +250,7 @@ def score_texts(docs: DataFrame, train, id_col: str = "doc_id", text_col: str =
     sums = [(unpack(r["c"]), unpack(r["rest"])) for r in back.where("chunk = -1").select("c", "rest").collect()]
     (n, v), (n_rest, v_rest) = (np.sum([s[i] for s in sums], axis=0).astype(np.int64).tolist() if sums else (0, 0)
                                 for i in (0, 1))
-    tally = rows.agg(F.count_if("train"), F.count_if("train and not em")).first()
+    tally = rows.agg(F.count_if("train"), F.count_if(F.expr("train and not em"))).first()
     starts, starts_rest = tally[0], tally[1]
     known = back.where("chunk >= 0")
 

@@ -178,7 +178,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets = feats.where("n > 0 and id is not null")
     groups = sets.groupBy("fa", "fb", "n").agg(F.min("id").alias("rep"))
     member = stored(feats.select("id", "n", "fa", "fb").join(groups, ["fa", "fb", "n"], "left")
-                    .select("id", "n", F.coalesce("rep", "id").alias("rep")))
+                    .select("id", "n", F.when(F.col("id").isNotNull(), F.coalesce("rep", "id")).alias("rep")))
     reps = groups.select(F.col("rep").alias("id"))
     sig = stored(sets.select("id", "n", "sig", "keys").join(reps, "id", "left_semi").dropDuplicates(["id"]))
     rows_of = sig.select("id", "n", F.explode("keys").alias("key"))

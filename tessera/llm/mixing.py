@@ -68,10 +68,12 @@ def _measure(sizes: DataFrame, exponents: list[float]) -> list[tuple[float, floa
 
 
 def bisect_exponent(sizes: DataFrame, target_entropy: float | None = None,
-                    max_repeats: float | None = MAX_REPEATS) -> float:
-    """Exponent for a per-source table with ``tokens`` and ``total``, to six decimals."""
-    if (target_entropy is None) == (max_repeats is None):
+                    max_repeats: float | None = None) -> float:
+    """Exponent for a per-source table with ``tokens`` and ``total``, to six decimals; without a target ``MAX_REPEATS``."""
+    if target_entropy is not None and max_repeats is not None:
         raise ValueError("give one of target_entropy and max_repeats")
+    if target_entropy is None and max_repeats is None:
+        max_repeats = MAX_REPEATS
     if sizes.where("tokens > 0").isEmpty():
         return 1.0
 
@@ -128,7 +130,7 @@ def mixture_plan(docs: DataFrame, id_col: str, source_col: str, tokens: Column,
     upto = F.sum("tokens").over(Window.partitionBy("src").orderBy("order", "block")
                                 .rowsBetween(Window.unboundedPreceding, 0))
     blocks = blocks.withColumn("upto", upto).withColumn("left", F.col("rest") - (F.col("upto") - F.col("tokens")))
-    blocks = stored(blocks.select("src", "block", (F.col("upto") <= F.col("rest")).alias("inside"),
+    blocks = stored(blocks.select("src", "block", ((F.col("rest") > 0) & (F.col("upto") <= F.col("rest"))).alias("inside"),
                                   ((F.col("upto") > F.col("rest")) & (F.col("left") > 0)).alias("edge"), "left"))
     used = F.sum("tokens").over(Window.partitionBy("src", "block").orderBy("key")
                                 .rangeBetween(Window.unboundedPreceding, 0))
@@ -140,7 +142,7 @@ def mixture_plan(docs: DataFrame, id_col: str, source_col: str, tokens: Column,
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
-        target_entropy: float | None = None, max_repeats: float | None = MAX_REPEATS,
+        target_entropy: float | None = None, max_repeats: float | None = None,
         budget: int | None = None) -> DataFrame:
     """Drawn rows of ``docs`` with ``weight`` (of the source), ``block`` and ``repeats`` (how often drawn)."""
     names = ("weight", "block", "repeats")
@@ -200,7 +202,7 @@ dealt AS (SELECT d.*, weight, passes, rest, ('0x' || substr(md5('mix:block:' ||
 bl AS (SELECT *, sum(tokens) OVER (PARTITION BY src ORDER BY o, block ROWS UNBOUNDED PRECEDING) AS upto
        FROM (SELECT src, block, sum(tokens) AS tokens, any_value(rest) AS rest,
                md5('mix:' || any_value(passes) || ':block:' || block) AS o FROM dealt GROUP BY src, block)),
-e AS (SELECT dealt.*, upto <= bl.rest AS inside, upto > bl.rest AND bl.rest - (upto - bl.tokens) > 0 AS edge,
+e AS (SELECT dealt.*, bl.rest > 0 AND upto <= bl.rest AS inside, upto > bl.rest AND bl.rest - (upto - bl.tokens) > 0 AS edge,
         bl.rest - (upto - bl.tokens) AS remain,
         sum(dealt.tokens) OVER (PARTITION BY src, block ORDER BY k RANGE UNBOUNDED PRECEDING) AS used
       FROM dealt JOIN bl USING (src, block))

@@ -64,8 +64,7 @@ def test_exponent_meets_either_target(spark):
     assert mixing.bisect_exponent(df, target_entropy=9.0, max_repeats=None) == 0.0
     assert mixing.bisect_exponent(df, target_entropy=0.0, max_repeats=None) == 1.0
     assert mixing.bisect_exponent(df, max_repeats=1e9) == 0.0
-    with pytest.raises(ValueError):
-        mixing.bisect_exponent(df)
+    assert mixing.bisect_exponent(df) == mixing.bisect_exponent(df, max_repeats=2.0)
     with pytest.raises(ValueError):
         mixing.bisect_exponent(df, target_entropy=1.0, max_repeats=2.0)
 
