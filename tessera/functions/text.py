@@ -84,5 +84,5 @@ def normalize_answer(col) -> Column:
     articles a/an/the, squeeze whitespace."""
     c = F.lower(_c(col))
     c = F.regexp_replace(c, r"[!-/:-@\[-`{-~]", "")
-    c = F.regexp_replace(c, r"\b(a|an|the)\b", " ")
+    c = F.regexp_replace(c, r"(?U)\b(a|an|the)\b", " ")
     return F.array_join(split_ws(c), " ")

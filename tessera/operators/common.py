@@ -2,28 +2,56 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A side is hinted for broadcast only when its row count has a proven upper
-# bound (a top-n, a label set of known size) below this many rows.  Otherwise
-# the join is left to AQE, which broadcasts at runtime only when the measured
-# size is under spark.sql.autoBroadcastJoinThreshold and keeps a shuffle join
-# beyond it.
+# A side is hinted for broadcast only when it has at most this many rows by
+# construction (a top-n) AND each row has a fixed width (numbers only), so that
+# its size is proven: 2 M rows of a few longs stay under 100 MB.  Every other
+# join is left to AQE, which broadcasts at runtime only what it has measured to
+# be under spark.sql.autoBroadcastJoinThreshold.
 BROADCAST_ROW_BOUND = 2_000_000
+SLOT_BITS = 18
 
 
 def bounded_broadcast(df: DataFrame, row_bound: int | None) -> DataFrame:
-    if row_bound is not None and row_bound <= BROADCAST_ROW_BOUND:
+    """Broadcast hint for at most ``row_bound`` rows of numbers; strings have no proven size."""
+    wide = [t for _, t in df.dtypes if t not in ("int", "bigint", "double", "float", "boolean", "smallint", "tinyint")]
+    if row_bound is not None and row_bound <= BROADCAST_ROW_BOUND and not wide:
         return F.broadcast(df)
     return df
 
 
+def fingerprint(col) -> list:
+    """Two 64-bit hashes that stand for a string of any length in a join."""
+    c = F.col(col) if isinstance(col, str) else col
+    return [F.xxhash64(c), F.xxhash64(c, F.lit(1))]
+
+
+def md5_number(col) -> Column:
+    """The first 32 bits of a string's MD5 as a number: a hash every SQL engine has."""
+    return F.conv(F.substring(F.md5(col), 1, 8), 16, 10).cast("long")
+
+
+def likely_keys(df: DataFrame, hash_col: str, probes: DataFrame) -> DataFrame:
+    """Rows whose long ``hash_col`` may be in the one column of ``probes``.
+
+    A semi join on 2**18 hash slots, all that is broadcast however many probes
+    there are; drops most rows before an exact join moves them."""
+    def slot(c):
+        return F.pmod(F.xxhash64(F.col(c)), F.lit(1 << SLOT_BITS)).cast("int")
+
+    slots = probes.select(slot(probes.columns[0]).alias("_slot")).distinct()
+    return df.withColumn("_slot", slot(hash_col)).join(F.broadcast(slots), "_slot", "left_semi").drop("_slot")
+
+
 def with_row_index(df: DataFrame, order_by: list, index_col: str = "row_idx") -> DataFrame:
     """Dense 0-based ordinal in ``order_by`` order without a single-partition
     window: sort (range-partitioned), checkpoint so partition contents are
     fixed, count rows per partition, turn the counts into offsets (one row
-    per partition, broadcast) and add the in-partition position."""
+    per partition, broadcast) and add the in-partition position.  All columns
+    of ``df`` are checkpointed: index the keys alone and join wide columns to
+    the result."""
     from tessera.session import cut_lineage
 
     sorted_df = cut_lineage(

@@ -29,10 +29,6 @@ def encode_labels(df: DataFrame, col: str, labels: DataFrame, out: str = "label_
     return j
 
 
-def decode_labels(df: DataFrame, col: str, labels: DataFrame, out: str = "label") -> DataFrame:
-    return df.join(labels.select(F.col("idx").alias(col), F.col("label").alias(out)), col, "left")
-
-
 def label_drift(model_labels: DataFrame, data_labels: DataFrame) -> DataFrame:
     """Full outer join of two label sets: status both / model_only / data_only."""
     m = model_labels.select(F.col("label")).distinct().withColumn("_m", F.lit(True))

@@ -1,15 +1,14 @@
 """Question -> context data: locating passages, multiple-choice rows
 (4-way positional lookup into a context pool), SQuAD rows, choice pairs,
-context choice by word overlap."""
+context choice by TF-IDF cosine."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.arrays import index_range
 from tessera.functions.text import split_ws
-from tessera.operators.common import ordered_collect
+from tessera.operators.common import likely_keys
 
 ENDING_COLS = ["ending0", "ending1", "ending2", "ending3"]
 # Wide multiple-choice CSV header and the constant gold source.
@@ -27,30 +26,52 @@ def _shingle_hashes(tokens_col: str, n: int = 3):
                        lambda x: F.xxhash64(F.concat_ws(" ", x["a"], x["b"], x["c"])))
 
 
+def _substrings(word: str, sizes: str):
+    """All substrings of a word with the lengths in an array column."""
+    return F.array_distinct(F.flatten(F.transform(
+        F.filter(sizes, lambda n: n <= F.length(word)),
+        lambda n: F.transform(F.sequence(F.lit(1), F.length(word) - n + 1), lambda i: F.substring(word, i, n)))))
+
+
 def containing_docs(passages: DataFrame, docs: DataFrame, pkey: str = "item_id",
                     dkey: str = "doc_id") -> DataFrame:
     """Every (passage, document) pair where the document text contains the
-    passage verbatim, found without a cross join: candidates come from an
-    equi-join on the hash of an interior word 3-gram of the passage (word 2-4,
-    whose boundaries are whitespace in both texts; a passage of under five
-    words uses its second word, or its only word), then ``instr`` confirms
-    each candidate.  No candidate is capped; verification makes it exact."""
+    passage verbatim, without a cross join or a cap.
+
+    Candidates come from equi-joins on something the document must hold, and
+    ``instr`` confirms each one, so the result is exact:
+
+    - five words or more: the word 3-gram 2-4, whose words are whole in any
+      containing document; three or four words: the whole word 2;
+    - one word: it lies inside a single document word; two words: the first is
+      the end of one.  Distinct corpus words are matched first (by substrings
+      of the probes' lengths), then the documents that hold such a word.
+
+    A semi join on bounded hash slots drops grams without a probe before any
+    shuffle; the short-passage branch has no rows to scan where no passage is
+    short (an empty broadcast side ends it at runtime).  A blank passage
+    matches nothing."""
     pt = F.col("pt")
     n = F.size(pt)
-    anchor = (F.when(n >= 5, F.xxhash64(F.concat_ws(" ", pt[1], pt[2], pt[3])))
-              .when(n >= 3, F.xxhash64(pt[1])).otherwise(F.xxhash64(pt[0])))
-    kind = F.when(n >= 5, F.lit(3)).otherwise(F.lit(1))
-    probes = (passages.select(pkey, split_ws("text").alias("pt")).where(F.size("pt") > 0)
-              .select(pkey, anchor.alias("h"), kind.alias("k")))
+    words = passages.select(pkey, split_ws("text").alias("pt")).where(F.size("pt") > 0)
+    gram = F.when(n >= 5, F.concat_ws(" ", pt[1], pt[2], pt[3])).otherwise(pt[1])
+    long = words.where(n >= 3).select(pkey, F.xxhash64(gram).alias("h"))
     toks = docs.select(dkey, split_ws("text").alias("dt"))
-    sides = [F.transform(_shingle_hashes("dt"), lambda h: F.struct(h.alias("h"), F.lit(3).alias("k")))]
-    # single-word probes only exist for passages under five words; a one-row
-    # existence check keeps the (larger) unigram side out of the plan otherwise
-    if probes.where(F.col("k") == 1).limit(1).count() > 0:
-        sides.append(F.transform(F.col("dt"), lambda t: F.struct(F.xxhash64(t).alias("h"), F.lit(1).alias("k"))))
-    grams = toks.select(dkey, F.explode_outer(F.concat(*sides) if len(sides) > 1 else sides[0]).alias("g")
-                        ).where(F.col("g").isNotNull()).select(dkey, "g.h", "g.k")
-    cand = grams.join(probes, ["h", "k"]).select(pkey, dkey).distinct()
+    grams = F.concat(_shingle_hashes("dt"), F.transform(F.array_distinct("dt"), lambda t: F.xxhash64(t)))
+    held = toks.select(dkey, F.explode_outer(grams).alias("h")).where(F.col("h").isNotNull())
+    cand = likely_keys(held, "h", long.select("h")).join(long, "h").select(pkey, dkey)
+
+    short = words.where(n <= 2).select(pkey, pt[0].alias("probe"), (n == 1).alias("single"))
+    sizes = short.agg(F.collect_set(F.length("probe")).alias("sizes"))  # one row: the distinct lengths
+    vocab = toks.select(F.explode_outer("dt").alias("word")).where(F.col("word").isNotNull()).distinct()
+    parts = vocab.crossJoin(F.broadcast(sizes)).where(F.size("sizes") > 0)
+    parts = parts.select("word", F.explode_outer(_substrings("word", "sizes")).alias("probe")).where(F.col("probe").isNotNull())
+    words_hit = parts.join(short, "probe").where(F.col("single") | F.col("word").endswith(F.col("probe"))).select(pkey, "word")
+    by_word = words_hit.select(pkey, F.xxhash64("word").alias("h"))
+    one = toks.select(dkey, F.explode_outer(F.transform(F.array_distinct("dt"), lambda t: F.xxhash64(t))).alias("h"))
+    cand_short = likely_keys(one.where(F.col("h").isNotNull()), "h", by_word.select("h")).join(by_word, "h").select(pkey, dkey)
+
+    cand = cand.unionByName(cand_short).distinct()
     ptxt = passages.select(pkey, F.col("text").alias("ptext"))
     dtxt = docs.select(dkey, F.col("text").alias("dtext"))
     return (cand.join(ptxt, pkey).join(dtxt, dkey)
@@ -88,13 +109,20 @@ def mc_rows(questions: DataFrame, contexts: DataFrame, labeled: bool = True,
     return good, rejects
 
 
-def squad_rows(questions: DataFrame, contexts: DataFrame) -> DataFrame:
-    """Single lookup of the relevant context; nested answers; title := id."""
-    return (questions.join(contexts.select(F.col("ctx_id").alias("relevant"), F.col("text").alias("context")),
-                           "relevant", "inner")
-            .select("id", F.col("id").alias("title"), "question", "context",
-                    F.struct(F.array(F.col("answer.text")).alias("text"),
-                             F.array(F.col("answer.start")).alias("answer_start")).alias("answers")))
+def squad_rows(questions: DataFrame, contexts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(good, rejects).  Single lookup of the relevant context; nested answers;
+    title := id.  A question whose context is not in the pool, or whose answer
+    has no start, goes to ``rejects`` with the reason."""
+    j = questions.join(contexts.select(F.col("ctx_id").alias("relevant"), F.col("text").alias("context")),
+                       "relevant", "left")
+    issue = (F.when(F.col("context").isNull(), F.lit("missing_context"))
+             .when(F.col("answer.start").isNull(), F.lit("no_answer")))
+    j = j.withColumn("issue", issue)
+    good = j.where(F.col("issue").isNull()).select(
+        "id", F.col("id").alias("title"), "question", "context",
+        F.struct(F.array(F.col("answer.text")).alias("text"),
+                 F.array(F.col("answer.start")).alias("answer_start")).alias("answers"))
+    return good, j.where(F.col("issue").isNotNull()).select("id", "relevant", "issue")
 
 
 def choice_pairs(mc: DataFrame) -> DataFrame:
@@ -107,24 +135,32 @@ def choice_pairs(mc: DataFrame) -> DataFrame:
         F.concat_ws(" ", F.col("sent2"), F.col("ending")).alias("second"), "labels")
 
 
-def regroup_choices(pairs: DataFrame, value: str = "second") -> DataFrame:
-    return ordered_collect(pairs, ["id"], "choice", value, "choices")
-
-
 def choose_context(mc: DataFrame) -> DataFrame:
-    """Pick 1 of k endings per question: most distinct question words found
-    in the ending's word set (ties -> lowest choice).  Scored per
-    (question, choice) row; the argmax is a max_by aggregation."""
-    pairs = choice_pairs(mc)
-    qw = F.array_distinct(split_ws("first"))
-    ew = F.array_distinct(split_ws("ending"))
-    scored = (mc.select(F.col("video-id").alias("id"), F.col("sent1").alias("first"),
-                        F.posexplode(F.array(*[F.col(c) for c in ENDING_COLS])).alias("choice", "ending"))
-              .select("id", "choice", F.size(F.array_intersect(qw, ew)).alias("score")))
-    return (scored.groupBy("id")
-            .agg(F.max_by(F.struct("score", (-F.col("choice")).alias("nc")),
-                          F.struct("score", (-F.col("choice")).alias("nc"))).alias("b"))
-            .select("id", (-F.col("b.nc")).alias("pred"), F.col("b.score").alias("score")))
+    """Pick 1 of k endings per question by TF-IDF cosine (ties -> lowest choice).
+
+    A text is one ending of one question; idf = ln((1 + N) / (1 + df)) + 1 over
+    the N endings, term weight = count * idf.  Words meet in an equi-join on
+    (id, word), so nothing is paired beyond a question's own endings."""
+    ends = (mc.select(F.col("video-id").alias("id"), F.posexplode(F.array(*[F.col(c) for c in ENDING_COLS]))
+                      .alias("choice", "ending")))
+    e = (ends.select("id", "choice", F.explode(split_ws("ending")).alias("word"))
+         .groupBy("id", "choice", "word").agg(F.count(F.lit(1)).alias("tf")))
+    q = (mc.select(F.col("video-id").alias("id"), F.explode(split_ws("sent1")).alias("word"))
+         .groupBy("id", "word").agg(F.count(F.lit(1)).alias("qtf")))
+    total = ends.select(F.count(F.lit(1))).scalar()
+    df = e.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+    idf = F.log((1 + total) / (1 + F.coalesce("df", F.lit(0)))) + 1
+    we = e.join(df, "word").select("id", "choice", "word", (F.col("tf") * idf).alias("w"))
+    wq = q.join(df, "word", "left").select("id", "word", (F.col("qtf") * idf).alias("qw"))
+    dot = we.join(wq, ["id", "word"]).groupBy("id", "choice").agg(F.sum(F.col("w") * F.col("qw")).alias("dot"))
+    norm = we.groupBy("id", "choice").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    qnorm = wq.groupBy("id").agg(F.sqrt(F.sum(F.col("qw") * F.col("qw"))).alias("qnorm"))
+    scored = (ends.select("id", "choice").join(dot, ["id", "choice"], "left").join(norm, ["id", "choice"], "left")
+              .join(qnorm, "id", "left")
+              .select("id", "choice", F.round(F.coalesce(F.col("dot") / (F.col("norm") * F.col("qnorm")), F.lit(0.0)), 9)
+                      .alias("score")))
+    best = F.max(F.struct("score", (-F.col("choice")).alias("nc"))).alias("b")
+    return scored.groupBy("id").agg(best).select("id", (-F.col("b.nc")).alias("pred"), F.col("b.score").alias("score"))
 
 
 def selected_context(mc: DataFrame, preds: DataFrame) -> DataFrame:

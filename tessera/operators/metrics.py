@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators.common import with_row_index
+
 # Metric prefix and the summarisation pass thresholds (strict >).
 METRIC_PREFIX = "eval"
 ROUGE_GATE = {"rouge1": 22.0, "rouge2": 8.5, "rougeL": 20.5}
@@ -41,6 +43,11 @@ def split_counts(df: DataFrame, split_col: str = "split") -> DataFrame:
     return df.groupBy(split_col).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def round_scaled(df: DataFrame, cols: list, scale: float = 100.0, digits: int = 4) -> DataFrame:
+    """Scores times ``scale``, rounded to ``digits`` (the form scores are logged in)."""
+    return df.select(*[F.round(F.col(c) * scale, digits).alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
 def prefix_metrics(long_metrics: DataFrame, prefix: str = METRIC_PREFIX) -> DataFrame:
     """(metric, value): names get ``{prefix}_`` unless they already start with it."""
     p = prefix + "_"
@@ -59,11 +66,14 @@ def quality_gate(wide: DataFrame, thresholds: dict = ROUGE_GATE) -> DataFrame:
 
 def parse_metric_log(lines: DataFrame, line_col: str = "line", order: list | None = None) -> DataFrame:
     """Pull each ``'key': number`` out of dict-literal log lines (no fixed
-    width truncation); ``row_no`` numbers the lines in ``order`` (epoch axis,
-    since step counts may restart)."""
-    cols = [F.regexp_extract(line_col, rf"'{k}': (-?[0-9.eE+-]+)", 1).try_cast("double").alias(k)
-            for k in LOG_KEYS]
-    out = lines.select(*(order or []), *cols).where(F.col("rouge1").isNotNull())
-    if order:
-        out = out.withColumn("row_no", F.row_number().over(Window.orderBy(*order)) - 1)
-    return out
+    width truncation); a key that is missing, nan or not a number is NULL, and a
+    line counts if it names any of the keys.  ``row_no`` numbers the lines in
+    ``order`` (epoch axis, since step counts may restart) without a
+    single-partition window."""
+    def number(k):
+        v = F.regexp_extract(line_col, rf"'{k}': (-?[0-9.eE+-]+)", 1).try_cast("double")
+        return F.when(~F.isnan(v), v).alias(k)
+
+    known = F.col(line_col).rlike("'(" + "|".join(LOG_KEYS) + ")':")
+    out = lines.where(known).select(*(order or []), *[number(k) for k in LOG_KEYS])
+    return with_row_index(out, order, "row_no") if order else out

@@ -57,11 +57,12 @@ def fit_text_classifier(df: DataFrame, text_col: str, label_col: str, vocab_size
     return Pipeline(stages=stages).fit(df)
 
 
-def max_pool_vectors(token_vec: DataFrame, key: str, vec_col: str = "vector") -> DataFrame:
-    """Element-wise max over each key's vectors, one row per (key, dim):
-    dims are exploded and max-aggregated (partial aggregation map-side)."""
-    ex = token_vec.select(key, F.posexplode(vec_col).alias("dim", "v"))
-    return ex.groupBy(key, "dim").agg(F.max("v").alias("value"))
+def max_pool_vectors(token_vec: DataFrame, key: str, vec_col: str = "vector", dim: int = 64) -> DataFrame:
+    """(key, pooled): element-wise max over each key's vectors of ``dim`` numbers.
+    One maximum per dimension in one grouping, combined map-side: no row per
+    dimension crosses the shuffle."""
+    pooled = token_vec.groupBy(key).agg(*[F.max(F.col(vec_col)[i]).alias(f"m{i}") for i in range(dim)])
+    return pooled.select(key, F.array(*[f"m{i}" for i in range(dim)]).alias("pooled"))
 
 
 def token_context_features(df: DataFrame, keys: list, tokens_col: str, tags_col: str | None = None) -> DataFrame:
@@ -84,7 +85,9 @@ def token_context_features(df: DataFrame, keys: list, tokens_col: str, tags_col:
 
 def fit_tagger(tokens: DataFrame, vocab_size: int = 20000, max_iter: int = 30) -> PipelineModel:
     """Per-token multinomial logistic regression on word/neighbour features
-    (the re-aimed sequence tagger); labels indexed alphabetically."""
+    (the re-aimed sequence tagger); labels indexed alphabetically.  The model's
+    features are the ``vocab_size`` most frequent ones; other words are
+    unknown to it."""
     stages = [
         StringIndexer(inputCol="tag", outputCol="label_idx", stringOrderType="alphabetAsc"),
         CountVectorizer(inputCol="feats", outputCol="_features", vocabSize=vocab_size),

@@ -16,8 +16,11 @@ from pyspark.sql import functions as F
 
 from tessera.functions.text import char_span, normalize_answer, split_ws
 
-# Fixed value: text of the fallback prediction when no candidate survives.
+# Text of the fallback prediction when no candidate survives,
+# and the beam form's fallback logits and score.
 EMPTY_TEXT = "empty"
+BEAM_FALLBACK_LOGIT = -1e-6
+BEAM_FALLBACK_SCORE = -2e-6
 
 
 def top_positions(logits: Column, n: int) -> Column:
@@ -103,29 +106,38 @@ def qa_nbest(examples: DataFrame, feats: DataFrame, n_best: int = 20, max_len: i
                          F.col("m.null_end").alias("end_logit"), F.lit(0).alias("cs"), F.lit(0).alias("ce"),
                          F.lit(True).alias("is_null")))
         rows = rows.unionByName(nulls)
-    w = Window.partitionBy("example_id").orderBy(F.desc("score"), "feature_id", "srank", "erank")
+    # the null candidate comes after candidates of the same score
+    w = Window.partitionBy("example_id").orderBy(F.desc("score"), "is_null", "feature_id", "srank", "erank")
     ranked = rows.withColumn("rank", F.row_number().over(w))
+    kept = F.col("rank") <= n_best
     if with_negative:
-        ranked = ranked.where((F.col("rank") <= n_best) | F.col("is_null"))
-    else:
-        ranked = ranked.where(F.col("rank") <= n_best)
-    with_text = ranked.join(examples.select("example_id", "context"), "example_id", "inner").select(
-        "example_id", "rank", char_span("context", "cs", "ce").alias("text"),
+        # a null candidate beyond the n best is added back, unless a kept span is [0, 0) itself
+        zero = F.max(F.when(kept & (F.col("cs") == 0) & (F.col("ce") == 0), 1)).over(Window.partitionBy("example_id"))
+        ranked = ranked.withColumn("_zero", zero)
+        kept = kept | (F.col("is_null") & F.col("_zero").isNull())
+    ranked = ranked.where(kept)
+    # examples drive: one without candidates gets a row without text
+    with_text = examples.select("example_id", "context").join(ranked, "example_id", "left").select(
+        "example_id", "rank", F.when(F.col("rank").isNotNull(), char_span("context", "cs", "ce")).alias("text"),
         "start_logit", "end_logit", "score", "is_null")
-    # fallback row when nothing (or only one empty-text prediction) survives
-    stats = with_text.groupBy("example_id").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col("text") != "").alias("n_text"))
-    need = (examples.select("example_id").join(stats, "example_id", "left")
-            .where(F.col("n").isNull() | ((F.col("n") == 1) & (F.col("n_text") == 0)))
-            .select("example_id", F.lit(0).alias("rank"), F.lit(EMPTY_TEXT).alias("text"),
-                    F.lit(0.0).alias("start_logit"), F.lit(0.0).alias("end_logit"),
-                    F.lit(0.0).alias("score"), F.lit(False).alias("is_null")))
-    allp = with_text.unionByName(need)
+    return _with_fallback(with_text, EMPTY_TEXT, 0.0, 0.0, also_lone_empty=True)
+
+
+def _with_fallback(rows: DataFrame, text: str, logit: float, score: float, also_lone_empty: bool) -> DataFrame:
+    """Softmax over an example's rows; an example without candidates (or, with
+    ``also_lone_empty``, with a single candidate of empty text) gets a made-up
+    first row.  One window for counts, ranks and probabilities."""
     we = Window.partitionBy("example_id")
-    wo = Window.partitionBy("example_id").orderBy("rank")
+    fake = F.struct(F.lit(0).alias("rank"), F.lit(text).alias("text"), F.lit(logit).alias("start_logit"),
+                    F.lit(logit).alias("end_logit"), F.lit(score).alias("score"), F.lit(False).alias("is_null"))
+    own = F.struct("rank", "text", "start_logit", "end_logit", "score", "is_null")
+    none = F.col("rank").isNull()
+    lone = (F.count(F.lit(1)).over(we) == 1) & (F.col("text") == "") if also_lone_empty else F.lit(False)
+    out = rows.withColumn("_rows", F.when(none, F.array(fake)).when(lone, F.array(fake, own)).otherwise(F.array(own)))
+    out = out.select("example_id", F.explode("_rows").alias("r")).select("example_id", "r.*")
     e = F.exp(F.col("score") - F.max("score").over(we))
-    return (allp.withColumn("probability", e / F.sum(e).over(we))
-            .withColumn("rank", F.row_number().over(wo)))
+    return (out.withColumn("probability", e / F.sum(e).over(we))
+            .withColumn("rank", F.row_number().over(we.orderBy("rank"))))
 
 
 def qa_predict(nbest: DataFrame, with_negative: bool = False, threshold: float = 0.0) -> DataFrame:
@@ -134,25 +146,33 @@ def qa_predict(nbest: DataFrame, with_negative: bool = False, threshold: float =
     when ``null - best_start - best_end > threshold`` (strict)."""
     if not with_negative:
         return nbest.where(F.col("rank") == 1).select("example_id", F.col("text").alias("prediction"))
-    best = (nbest.where(F.col("text") != "").groupBy("example_id")
-            .agg(F.min_by(F.struct("text", "start_logit", "end_logit"), F.col("rank")).alias("b")))
-    null = nbest.where("is_null").select("example_id", F.col("score").alias("null_score"))
-    j = best.join(null, "example_id", "inner")
+    full = F.col("text") != ""
+    j = nbest.groupBy("example_id").agg(
+        F.min_by(F.when(full, F.struct("text", "start_logit", "end_logit")), F.when(full, F.col("rank"))).alias("b"),
+        F.max(F.when(F.col("is_null"), F.col("score"))).alias("null_score"))
     diff = F.col("null_score") - F.col("b.start_logit") - F.col("b.end_logit")
-    return j.select("example_id", "null_score", F.col("b.text").alias("best_text"),
+    # every example keeps its row: without a non-empty candidate the answer is ''
+    return j.select("example_id", "null_score", F.coalesce("b.text", F.lit("")).alias("best_text"),
                     diff.alias("score_diff"),
-                    F.when(diff > F.lit(threshold), F.lit("")).otherwise(F.col("b.text")).alias("prediction"))
+                    F.when(diff > F.lit(threshold), F.lit("")).otherwise(F.coalesce("b.text", F.lit(""))).alias("prediction"))
 
 
 def beam_candidates(beams: DataFrame, n_best: int = 20, max_len: int = 30,
                     start_n: int = 5, end_n: int = 5) -> DataFrame:
-    """Beam-search layout: start slot i owns end slots i*end_n .. i*end_n+end_n-1."""
+    """Beam-search layout: start slot i owns end slots i*end_n .. i*end_n+end_n-1.
+    Starts without maximum context are left out where ``token_is_max_context`` is given."""
     offs = F.col("offsets")
+    if "token_is_max_context" in beams.columns:
+        most = F.transform("start_index", lambda p: F.coalesce(F.col("token_is_max_context")[p.cast("string")], F.lit(False)))
+    else:
+        most = F.transform("start_index", lambda p: F.lit(True))
+    beams = beams.withColumn("_most", most)
     b = beams.select(
         "example_id", "feature_id",
-        F.transform(F.arrays_zip(F.col("start_index").alias("pos"), F.col("start_log_probs").alias("v")),
+        F.transform(F.arrays_zip(F.col("start_index").alias("pos"), F.col("start_log_probs").alias("v"),
+                                 F.col("_most").alias("most")),
                     lambda x, i: F.struct(i.alias("rank"), x["v"].alias("v"), x["pos"].alias("pos"),
-                                          F.try_element_at(offs, x["pos"] + 1).alias("o"))).alias("_st"),
+                                          F.when(x["most"], F.try_element_at(offs, x["pos"] + 1)).alias("o"))).alias("_st"),
         F.transform(F.arrays_zip(F.col("end_index").alias("pos"), F.col("end_log_probs").alias("v")),
                     lambda x, i: F.struct(i.alias("slot"), x["v"].alias("v"), x["pos"].alias("pos"),
                                           F.try_element_at(offs, x["pos"] + 1).alias("o"))).alias("_en"))
@@ -176,45 +196,65 @@ def qa_beam_nbest(examples: DataFrame, beams: DataFrame, n_best: int = 20, max_l
     rows = beam_candidates(beams, n_best, max_len, start_n, end_n)
     w = Window.partitionBy("example_id").orderBy(F.desc("score"), "feature_id", "srank", "erank")
     ranked = rows.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n_best)
-    out = ranked.join(examples.select("example_id", "context"), "example_id").select(
-        "example_id", "rank", char_span("context", "cs", "ce").alias("text"),
-        "start_logit", "end_logit", "score")
-    we = Window.partitionBy("example_id")
-    e = F.exp(F.col("score") - F.max("score").over(we))
-    return out.withColumn("probability", e / F.sum(e).over(we))
-
-
-def min_null_score(feats: DataFrame) -> DataFrame:
-    """Smallest start[0]+end[0] over an example's features (first on ties)."""
-    s = F.col("start_logits")[0] + F.col("end_logits")[0]
-    return (feats.select("example_id", "feature_id", s.alias("null_score"))
-            .groupBy("example_id")
-            .agg(F.min_by(F.struct("null_score", "feature_id"), F.struct("null_score", "feature_id")).alias("m"))
-            .select("example_id", "m.null_score", "m.feature_id"))
-
-
-def em_f1_tokens(p: Column, g: Column, pt: Column, gt: Column) -> tuple[Column, Column]:
-    """SQuAD exact match and token F1 from normalised strings ``p``, ``g`` and
-    their token arrays ``pt``, ``gt`` (pass columns, not expressions)."""
-    em = (p == g).cast("double")
-    # multiset overlap: per distinct token min(count in pred, count in gold)
-    common = F.aggregate(
-        F.array_distinct(pt), F.lit(0),
-        lambda acc, t: acc + F.least(F.size(F.filter(pt, lambda x: x == t)),
-                                     F.size(F.filter(gt, lambda x: x == t))))
-    prec = F.when(F.size(pt) > 0, common / F.size(pt))
-    rec = F.when(F.size(gt) > 0, common / F.size(gt))
-    f1 = (F.when(common == 0, F.lit(0.0)).otherwise(2 * prec * rec / (prec + rec)))
-    f1 = F.when((F.size(pt) == 0) | (F.size(gt) == 0), (F.size(pt) == F.size(gt)).cast("double")).otherwise(f1)
-    return em, f1
-
-
-def qa_em_f1(preds: DataFrame, refs: DataFrame) -> DataFrame:
-    """EM and F1 (x100) - max over each id's gold answers, averaged over ids."""
-    j = refs.select("id", F.explode("answers").alias("gold")).join(preds.select("id", "prediction"), "id")
-    j = j.select("id", normalize_answer("prediction").alias("np"), normalize_answer("gold").alias("ng"))
-    j = j.select("id", "np", "ng", split_ws("np").alias("pt"), split_ws("ng").alias("gt"))
-    em, f1 = em_f1_tokens(F.col("np"), F.col("ng"), F.col("pt"), F.col("gt"))
-    per = j.groupBy("id").agg(F.max(em).alias("em"), F.max(f1).alias("f1"))
-    return per.agg(F.count(F.lit(1)).alias("n"), (F.avg("em") * 100).alias("exact_match"),
-                   (F.avg("f1") * 100).alias("f1"))
+    out = examples.select("example_id", "context").join(ranked, "example_id", "left").select(
+        "example_id", "rank", F.when(F.col("rank").isNotNull(), char_span("context", "cs", "ce")).alias("text"),
+        "start_logit", "end_logit", "score", F.lit(False).alias("is_null"))
+    return _with_fallback(out, "", BEAM_FALLBACK_LOGIT, BEAM_FALLBACK_SCORE, also_lone_empty=False).drop("is_null")
+
+
+def qa_beam_null_odds(nbest: DataFrame, beams: DataFrame) -> DataFrame:
+    """Null score of every example of a beam n-best: the smallest ``cls_logit``
+    of its features, or the fallback score where it has no candidate."""
+    low = beams.groupBy("example_id").agg(F.min("cls_logit").alias("low"))
+    first = nbest.where("rank = 1").select("example_id", F.col("text").alias("prediction"), "score")
+    made_up = (F.col("prediction") == "") & (F.col("score") == BEAM_FALLBACK_SCORE)
+    return first.join(low, "example_id", "left").select(
+        "example_id", "prediction",
+        F.when(made_up | F.col("low").isNull(), F.lit(BEAM_FALLBACK_SCORE)).otherwise(F.col("low")).alias("null_score"))
+
+
+def format_predictions(preds: DataFrame, with_negative: bool = False) -> DataFrame:
+    """Rows as a SQuAD scorer takes them: id, prediction_text and, for the
+    no-answer form, no_answer_probability 0.0."""
+    out = preds.select("id", F.col("prediction").alias("prediction_text"))
+    return out.withColumn("no_answer_probability", F.lit(0.0)) if with_negative else out
+
+
+def qa_scores(preds: DataFrame, refs: DataFrame) -> DataFrame:
+    """Exact match and token F1 (0..1) of every reference id: the best over its
+    gold answers.  An id without gold answers has the gold answer ''; an id
+    without prediction fails both.  Token overlap is counted by explode and
+    aggregation, linear in the answers' length."""
+    gold = F.when(F.size(F.coalesce("answers", F.array())) == 0, F.array(F.lit(""))).otherwise(F.col("answers"))
+    j = refs.select("id", F.posexplode(gold).alias("_no", "gold"),
+                    (F.size(F.coalesce("answers", F.array())) > 0).alias("has_answer"))
+    j = j.join(preds.select("id", "prediction"), "id", "left")
+    j = j.select("id", "_no", "has_answer", normalize_answer("prediction").alias("np"), normalize_answer("gold").alias("ng"))
+    j = j.select("*", F.coalesce(split_ws("np"), F.array()).alias("pt"), split_ws("ng").alias("gt"))
+    marks = F.concat(F.transform("pt", lambda t: F.struct(t.alias("t"), F.lit(1).alias("p"), F.lit(0).alias("g"))),
+                     F.transform("gt", lambda t: F.struct(t.alias("t"), F.lit(0).alias("p"), F.lit(1).alias("g"))))
+    keys = ["id", "_no", "has_answer", "np", "ng"]
+    per = (j.select(*keys, F.explode_outer(marks).alias("m")).groupBy(*keys, F.col("m.t").alias("t"))
+           .agg(F.sum("m.p").alias("p"), F.sum("m.g").alias("g"))
+           .groupBy(*keys).agg(F.coalesce(F.sum(F.least("p", "g")), F.lit(0)).alias("common"),
+                               F.coalesce(F.sum("p"), F.lit(0)).alias("n_p"), F.coalesce(F.sum("g"), F.lit(0)).alias("n_g")))
+    em = F.coalesce((F.col("np") == F.col("ng")).cast("double"), F.lit(0.0))
+    prec, rec = F.col("common") / F.col("n_p"), F.col("common") / F.col("n_g")
+    f1 = (F.when(F.col("np").isNull(), F.lit(0.0))
+          .when((F.col("n_p") == 0) | (F.col("n_g") == 0), (F.col("n_p") == F.col("n_g")).cast("double"))
+          .when(F.col("common") == 0, F.lit(0.0)).otherwise(2 * prec * rec / (prec + rec)))
+    return per.groupBy("id", "has_answer").agg(F.max(em).alias("em"), F.max(f1).alias("f1"))
+
+
+def qa_em_f1(preds: DataFrame, refs: DataFrame, with_negative: bool = False) -> DataFrame:
+    """EM and F1 (x100) averaged over ids; ``with_negative`` adds the figures of
+    ids with and without gold answers."""
+    def figures(prefix: str, cond):
+        return [F.count_if(cond).alias(f"{prefix}n"),
+                (F.avg(F.when(cond, F.col("em"))) * 100).alias(f"{prefix}exact_match"),
+                (F.avg(F.when(cond, F.col("f1"))) * 100).alias(f"{prefix}f1")]
+
+    aggs = figures("", F.lit(True))
+    if with_negative:
+        aggs += figures("has_answer_", F.col("has_answer")) + figures("no_answer_", ~F.col("has_answer"))
+    return qa_scores(preds, refs).agg(*aggs)

@@ -1,19 +1,24 @@
 """ROUGE as Spark jobs.
 
-- set ROUGE-N (n-gram *sets*, f = 2pr/(p+r+1e-8)) in-row with hash-based
-  array_distinct / array_intersect;
-- multiset ROUGE-N (clipped n-gram counts) as explode + aggregation keyed by
-  (pair, n-gram), partially aggregated map-side;
-- ROUGE-L from the LCS length, computed per pair by a small bit-parallel
-  helper in an Arrow-batched pandas UDF (no SQL form is linear).
+Two families of scores, each over token arrays of a pair's row:
+
+- set family: n-gram *sets* with f = 2pr/(p+r+1e-8), and ROUGE-L as the union of
+  the sentence-pair LCS over ``.``-sentences (the figures the gate uses);
+- multiset family: clipped n-gram counts, ROUGE-L over the whole token
+  sequence, and ROUGE-Lsum as the clipped union LCS over lines.
+
+All scores of a family are columns of one row, so a pair is neither shuffled
+nor joined: n-gram overlaps are higher-order functions over the row's arrays,
+and the LCS, which has no linear SQL form, is one Arrow-batched helper.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
 
 from tessera.functions.arrays import ngrams
 from tessera.functions.text import alnum_words, rouge_words, split_ws
@@ -21,47 +26,95 @@ from tessera.functions.text import alnum_words, rouge_words, split_ws
 # Fixed value: smoothing term of the set-ROUGE F score.
 SET_F_EPS = 1e-8
 
+
+def _chars(c: Column) -> Column:
+    return F.filter(F.split(c, "", -1), lambda t: ~t.rlike(r"(?U)^\s*$"))
+
+
+def _char_pairs(c: Column) -> Column:
+    """Characters in pairs, a lone character as it is."""
+    t = _chars(c)
+    return F.when(F.size(t) < 2, t).otherwise(F.zip_with(
+        F.slice(t, 1, F.greatest(F.size(t) - 1, F.lit(0))), F.slice(t, 2, F.greatest(F.size(t), F.lit(1))),
+        lambda a, b: F.concat(a, b)))
+
+
 TOKENIZERS = {
     "rouge": rouge_words,          # '.'-cut sentences, one-space words
     "whitespace": split_ws,
     "alnum": alnum_words,          # lower-case [a-z0-9] words
-    "char": lambda c: F.filter(F.split(c, "", -1), lambda t: ~t.rlike(r"^\s*$")),
+    "char": _chars,
+    "char_bigram": _char_pairs,
 }
 
 
-def tokenize_pairs(pairs: DataFrame, keys: list, hyp: str, ref: str, tokenizer: str = "rouge") -> DataFrame:
+def tokenize_pairs(pairs: DataFrame, keys: list, hyp: str, ref: str, tokenizer: str = "rouge",
+                   empty: str = "zero") -> DataFrame:
+    """Token arrays ``ht`` and ``rt`` of each pair, beside the pair's own columns.
+
+    ``empty`` says what becomes of a pair with a side without tokens: ``zero``
+    scores it 0, ``ignore`` leaves it out, ``error`` fails the job."""
     tok = TOKENIZERS[tokenizer]
-    return pairs.select(*keys, tok(F.col(hyp)).alias("ht"), tok(F.col(ref)).alias("rt"))
-
-
-def rouge_n_set(toks: DataFrame, keys: list, n: int) -> DataFrame:
-    """Per pair precision/recall/f of n-gram sets (inputs ``ht``, ``rt``)."""
-    g = toks.select(*keys, F.array_distinct(ngrams("ht", n)).alias("hg"),
-                    F.array_distinct(ngrams("rt", n)).alias("rg"))
-    ov = F.size(F.array_intersect("hg", "rg"))
-    p = F.when(F.size("hg") > 0, ov / F.size("hg")).otherwise(F.lit(0.0))
-    r = F.when(F.size("rg") > 0, ov / F.size("rg")).otherwise(F.lit(0.0))
-    return g.select(*keys, p.alias("p"), r.alias("r")).select(
-        *keys, "p", "r", (2.0 * (F.col("p") * F.col("r")) / (F.col("p") + F.col("r") + SET_F_EPS)).alias("f"))
-
-
-def rouge_n_multiset(toks: DataFrame, keys: list, n: int) -> DataFrame:
-    """Per pair p/r/f with clipped n-gram counts (overlap = sum of min counts)."""
-    side = F.explode_outer(F.concat(
-        F.transform(ngrams("ht", n), lambda g: F.struct(g.alias("g"), F.lit(1).alias("h"), F.lit(0).alias("r"))),
-        F.transform(ngrams("rt", n), lambda g: F.struct(g.alias("g"), F.lit(0).alias("h"), F.lit(1).alias("r")))))
-    counts = (toks.select(*keys, side.alias("x")).where(F.col("x").isNotNull())
-              .groupBy(*keys, F.col("x.g").alias("g"))
-              .agg(F.sum("x.h").alias("ch"), F.sum("x.r").alias("cr")))
-    per = counts.groupBy(*keys).agg(F.sum(F.least("ch", "cr")).alias("ov"),
-                                    F.sum("ch").alias("nh"), F.sum("cr").alias("nr"))
-    # pairs with no n-gram on either side still get a (zero) row
-    allp = toks.select(*keys).join(per, keys, "left").fillna(0, ["ov", "nh", "nr"])
-    p = F.when(F.col("nh") > 0, F.col("ov") / F.col("nh")).otherwise(F.lit(0.0))
-    r = F.when(F.col("nr") > 0, F.col("ov") / F.col("nr")).otherwise(F.lit(0.0))
-    return allp.select(*keys, p.alias("p"), r.alias("r")).select(
-        *keys, "p", "r", F.when((F.col("p") + F.col("r")) > 0,
-                                2 * F.col("p") * F.col("r") / (F.col("p") + F.col("r"))).otherwise(0.0).alias("f"))
+    out = pairs.withColumns({"ht": tok(F.col(hyp)), "rt": tok(F.col(ref))})
+    # a blank sentence counts as one empty token, which is no content
+    blank = ~(F.exists("ht", lambda t: t != "") & F.exists("rt", lambda t: t != ""))
+    if empty == "ignore":
+        out = out.where(~blank)
+    elif empty == "error":
+        out = out.withColumn("ht", F.when(blank, F.raise_error(F.lit("empty hypothesis or reference")).cast("array<string>"))
+                             .otherwise(F.col("ht")))
+    elif empty != "zero":
+        raise ValueError(f"empty={empty!r}; expected zero, ignore or error")
+    return out
+
+
+def _ratio(a, b) -> Column:
+    return F.when(b > 0, a / b).otherwise(F.lit(0.0))
+
+
+def set_f(p: Column, r: Column) -> Column:
+    return 2.0 * (p * r) / (p + r + SET_F_EPS)
+
+
+def plain_f(p: Column, r: Column) -> Column:
+    return F.when(p + r > 0, 2 * p * r / (p + r)).otherwise(F.lit(0.0))
+
+
+def rouge_n_set(toks: DataFrame, ns=(1, 2)) -> DataFrame:
+    """Adds set ROUGE-N F scores ``rouge{n}``; one row in, one row out, no shuffle."""
+    for n in ns:
+        toks = toks.withColumns({f"_h{n}": F.array_distinct(ngrams("ht", n)), f"_r{n}": F.array_distinct(ngrams("rt", n))})
+    for n in ns:
+        h, r = F.col(f"_h{n}"), F.col(f"_r{n}")
+        toks = toks.withColumn(f"_o{n}", F.size(F.array_intersect(h, r)))
+        toks = toks.withColumns({f"_p{n}": _ratio(F.col(f"_o{n}"), F.size(h)), f"_q{n}": _ratio(F.col(f"_o{n}"), F.size(r))})
+        toks = toks.withColumn(f"rouge{n}", set_f(F.col(f"_p{n}"), F.col(f"_q{n}")))
+        toks = toks.drop(f"_h{n}", f"_r{n}", f"_o{n}", f"_p{n}", f"_q{n}")
+    return toks
+
+
+def rouge_n_multiset(toks: DataFrame, keys: list, ns=(1, 2)) -> DataFrame:
+    """Per pair clipped n-gram F scores ``rouge{n}`` (overlap = sum of min counts).
+
+    One explode of all orders, one aggregation per (pair, order, n-gram) that is
+    combined map-side, one per pair; ``keys`` must be unique."""
+    def side(c, n, h, r):
+        return F.transform(ngrams(c, n), lambda g: F.struct(F.lit(n).alias("n"), g.alias("g"), F.lit(h).alias("h"),
+                                                            F.lit(r).alias("r")))
+
+    marks = F.concat(*[side(c, n, h, r) for n in ns for c, h, r in (("ht", 1, 0), ("rt", 0, 1))])
+    counts = (toks.select(*keys, F.explode_outer(marks).alias("x"))
+              .groupBy(*keys, F.col("x.n").alias("n"), F.col("x.g").alias("g"))
+              .agg(F.sum("x.h").alias("h"), F.sum("x.r").alias("r")))
+    aggs = []
+    for n in ns:
+        mine = F.col("n") == n
+        aggs += [F.coalesce(F.sum(F.when(mine, F.least("h", "r"))), F.lit(0)).alias(f"o{n}"),
+                 F.coalesce(F.sum(F.when(mine, F.col("h"))), F.lit(0)).alias(f"h{n}"),
+                 F.coalesce(F.sum(F.when(mine, F.col("r"))), F.lit(0)).alias(f"r{n}")]
+    per = counts.groupBy(*keys).agg(*aggs)
+    f = [plain_f(_ratio(F.col(f"o{n}"), F.col(f"h{n}")), _ratio(F.col(f"o{n}"), F.col(f"r{n}"))).alias(f"rouge{n}") for n in ns]
+    return per.select(*keys, *f)
 
 
 def lcs_length(a: list, b: list) -> int:
@@ -80,20 +133,95 @@ def lcs_length(a: list, b: list) -> int:
     return len(a) - bin(v).count("1")
 
 
-@F.pandas_udf(LongType())
-def _lcs_udf(h: pd.Series, r: pd.Series) -> pd.Series:
-    return pd.Series([lcs_length(list(x), list(y)) for x, y in zip(h, r)], dtype="int64")
-
-
-def rouge_l(toks: DataFrame, keys: list) -> DataFrame:
-    """Per pair ROUGE-L p/r/f from the LCS of the token sequences."""
-    j = toks.select(*keys, F.size("ht").alias("nh"), F.size("rt").alias("nr"), _lcs_udf("ht", "rt").alias("lcs"))
-    p = F.when(F.col("nh") > 0, F.col("lcs") / F.col("nh")).otherwise(F.lit(0.0))
-    r = F.when(F.col("nr") > 0, F.col("lcs") / F.col("nr")).otherwise(F.lit(0.0))
-    return j.select(*keys, p.alias("p"), r.alias("r")).select(
-        *keys, "p", "r", F.when((F.col("p") + F.col("r")) > 0,
-                                2 * F.col("p") * F.col("r") / (F.col("p") + F.col("r"))).otherwise(0.0).alias("f"))
+def lcs_places(ref: list, hyp: list, up_on_tie: bool) -> list:
+    """Places in ``ref`` of one longest common subsequence.
+
+    Where dropping the last word of either side costs nothing, ``up_on_tie``
+    drops the reference's, else the hypothesis's."""
+    n, m = len(ref), len(hyp)
+    rows = [[0] * (m + 1)]
+    for x in ref:
+        last, row = rows[-1], [0]
+        for j, y in enumerate(hyp):
+            row.append(last[j] + 1 if x == y else max(last[j + 1], row[j]))
+        rows.append(row)
+    out, i, j = [], n, m
+    while i and j:
+        if ref[i - 1] == hyp[j - 1]:
+            i, j = i - 1, j - 1
+            out.append(i)
+        elif rows[i - 1][j] > rows[i][j - 1] or (up_on_tie and rows[i - 1][j] == rows[i][j - 1]):
+            i -= 1
+        else:
+            j -= 1
+    return out[::-1]
+
+
+def union_lcs_words(refs: list, hyps: list) -> int:
+    """How many distinct words lie on an LCS of some reference and some hypothesis sentence."""
+    union = set()
+    for r in refs:
+        for h in hyps:
+            union.update(r[i] for i in lcs_places(r, h, up_on_tie=False))
+    return len(union)
+
+
+def union_lcs_hits(refs: list, hyps: list) -> int:
+    """Reference places on an LCS with some hypothesis sentence, clipped by both sides' word counts."""
+    left_r = Counter(w for s in refs for w in s)
+    left_h = Counter(w for s in hyps for w in s)
+    hits = 0
+    for r in refs:
+        for i in sorted({i for h in hyps for i in lcs_places(r, h, up_on_tie=True)}):
+            w = r[i]
+            if left_r[w] > 0 and left_h[w] > 0:
+                hits += 1
+                left_r[w] -= 1
+                left_h[w] -= 1
+    return hits
+
+
+def _pairwise(fn):
+    """An Arrow-batched udf of two array columns; built here so that it travels with the job."""
+    @F.pandas_udf("long")
+    def run(h: pd.Series, r: pd.Series) -> pd.Series:
+        def plain(x):
+            return [plain(y) for y in x] if hasattr(x, "__iter__") and not isinstance(x, str) else x
+        return pd.Series([fn(plain(y), plain(x)) for x, y in zip(h, r)], dtype="int64")
+
+    return run
+
+
+def rouge_l(toks: DataFrame) -> DataFrame:
+    """Adds ``rougeL``: F of the LCS of the whole token sequences (multiset family)."""
+    lcs = _pairwise(lcs_length)("ht", "rt")
+    out = toks.withColumn("_lcs", lcs)
+    return out.withColumn("rougeL", plain_f(_ratio(F.col("_lcs"), F.size("ht")), _ratio(F.col("_lcs"), F.size("rt")))).drop("_lcs")
+
+
+def dot_sentences(col) -> Column:
+    """Sentences cut at ``.`` (empty ones dropped), each as its whitespace words; a blank one is [""]."""
+    c = F.col(col) if isinstance(col, str) else col
+    pieces = F.filter(F.split(c, r"\.", -1), lambda p: F.length(p) > 0)
+    return F.transform(pieces, lambda p: F.when(F.size(split_ws(p)) == 0, F.array(F.lit(""))).otherwise(split_ws(p)))
+
+
+def rouge_l_set(toks: DataFrame, hyp: str, ref: str) -> DataFrame:
+    """Adds ``rougeL`` of the set family: union LCS over ``.``-sentences against distinct words."""
+    out = toks.withColumns({"_hs": dot_sentences(hyp), "_rs": dot_sentences(ref)})
+    out = out.withColumn("_lcs", _pairwise(union_lcs_words)("_hs", "_rs"))
+    n, m = F.size(F.array_distinct(F.flatten("_hs"))), F.size(F.array_distinct(F.flatten("_rs")))
+    return out.withColumn("rougeL", set_f(_ratio(F.col("_lcs"), n), _ratio(F.col("_lcs"), m))).drop("_hs", "_rs", "_lcs")
+
+
+def rouge_lsum(toks: DataFrame, hyp: str, ref: str, tokenizer: str = "alnum") -> DataFrame:
+    """Adds ``rougeLsum`` of the multiset family: clipped union LCS over lines."""
+    tok = TOKENIZERS[tokenizer]
 
+    def lines(c):
+        return F.filter(F.transform(F.split(F.col(c), "\n", -1), tok), lambda s: F.size(s) > 0)
 
-def mean_f(scores: DataFrame, name: str, scale: float = 100.0) -> DataFrame:
-    return scores.agg((F.avg("f") * scale).alias(name))
+    out = toks.withColumns({"_hs": lines(hyp), "_rs": lines(ref)})
+    out = out.withColumn("_hits", _pairwise(union_lcs_hits)("_hs", "_rs"))
+    n, m = F.size(F.flatten("_hs")), F.size(F.flatten("_rs"))
+    return out.withColumn("rougeLsum", plain_f(_ratio(F.col("_hits"), n), _ratio(F.col("_hits"), m))).drop("_hs", "_rs", "_hits")

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.arrays import IGNORE_INDEX, TAG_PAD, index_range
+from tessera.functions.arrays import IGNORE_INDEX, index_range
 
 # IOB2 prefixes and the outside tag.
 OUTSIDE = "O"
@@ -164,21 +164,19 @@ def subword_pieces(word: Column, k: int) -> Column:
                        lambda j: F.substring(word, j * k + 1, k))
 
 
-def align_labels(words_col: str, label_ids_col: str, k: int = 4, all_tokens: bool = False) -> Column:
+def align_labels(words_col: str, label_ids_col: str, k: int = 4, inside_ids_col: str | None = None) -> Column:
     """Per-piece labels: special tokens -> -100; the first piece of a word
-    carries the word's label; later pieces -100 (or the label again when
-    ``all_tokens``).  Returns array<struct<word_idx,label>> including the
-    leading and trailing special token."""
+    carries the word's label; later pieces -100, or, when ``inside_ids_col``
+    gives for each word the id of its label's I- form (the label itself where
+    there is none), that id.  Returns array<struct<word_idx,label>> including
+    the leading and trailing special token."""
     words, labels = F.col(words_col), F.col(label_ids_col)
+    later = (F.lit(IGNORE_INDEX) if inside_ids_col is None else None)
     per_word = F.transform(words, lambda w, i: F.transform(
         subword_pieces(w, k),
         lambda _p, j: F.struct(i.alias("word_idx"),
-                               F.when((j == 0) | F.lit(all_tokens), F.try_element_at(labels, i + 1))
-                               .otherwise(F.lit(IGNORE_INDEX)).alias("label"))))
+                               F.when(j == 0, F.try_element_at(labels, i + 1))
+                               .otherwise(later if later is not None else F.try_element_at(F.col(inside_ids_col), i + 1))
+                               .alias("label"))))
     special = F.struct(F.lit(None).cast("int").alias("word_idx"), F.lit(IGNORE_INDEX).alias("label"))
     return F.concat(F.array(special), F.flatten(per_word), F.array(special))
-
-
-def drop_sentinels(col, sentinels=(TAG_PAD, IGNORE_INDEX)) -> Column:
-    c = F.col(col) if isinstance(col, str) else col
-    return F.filter(c, lambda x: ~x.isin(*sentinels))

@@ -2,35 +2,43 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.arrays import index_range
-from tessera.operators.common import ordered_collect
+from tessera.functions.text import split_ws
 
-
-def token_rows(df: DataFrame, key: str, text_col: str = "text") -> DataFrame:
-    """One row per whitespace token: (key, pos, token, s, e) with code-point
-    offsets.  Each piece ``\\s*\\S+`` ends where its token ends, so the end
-    offset is a running sum of piece lengths.  The input is hash-partitioned
-    on ``key`` first, so the window needs only a local sort (one shuffle of
-    the text rows, none of the exploded tokens)."""
-    pieces = F.regexp_extract_all(F.col(text_col), F.lit(r"(?U)\s*\S+"), 0)
-    ex = (df.repartition(key).select(key, F.posexplode_outer(pieces).alias("pos", "piece"))
-          .where(F.col("pos").isNotNull())
-          .withColumn("token", F.regexp_replace("piece", r"(?U)^\s+", "")))
-    w = Window.partitionBy(key).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    end = F.sum(F.length("piece")).over(w)
-    return ex.select(key, "pos", "token", (end - F.length("token")).alias("s"), end.alias("e"))
+# The characters of Unicode's White_Space property.
+WHITESPACE = [*"\t\n\x0b\x0c\r \x85\xa0\u1680", *(chr(c) for c in range(0x2000, 0x200B)),
+              *"\u2028\u2029\u202f\u205f\u3000"]
 
 
 def token_offsets(df: DataFrame, key: str, text_col: str = "text") -> DataFrame:
-    """(key, tokens array<string>, offsets array<struct<s,e>>)."""
-    rows = token_rows(df, key, text_col).select(
-        key, "pos", F.struct("token", F.struct(F.col("s").cast("int").alias("s"),
-                                               F.col("e").cast("int").alias("e")).alias("o")).alias("v"))
-    g = ordered_collect(rows, [key], "pos", "v", "vs")
-    return g.select(key, F.col("vs.token").alias("tokens"), F.col("vs.o").alias("offsets"))
+    """(key, tokens array<string>, offsets array<struct<s,e>>): whitespace tokens
+    with code-point offsets, all inside the row: no shuffle, no window.
+
+    A word starts at a character that is no whitespace after one that is (or at
+    the start), and ends likewise; the n-th start belongs to the n-th end."""
+    chars = F.filter(F.split(F.col(text_col), "", -1), lambda c: c != "")
+    full = df.select(key, F.col(text_col).alias("_t"), chars.alias("_c"))
+    full = full.select(key, "_t", F.transform("_c", lambda c: ~c.isin(*WHITESPACE)).alias("_w"))
+    shift = F.arrays_zip(F.col("_w").alias("w"), F.concat(F.array(F.lit(False)), F.col("_w")).alias("p"),
+                         F.concat(F.slice("_w", 2, F.greatest(F.size("_w"), F.lit(1))), F.array(F.lit(False))).alias("n"))
+    full = full.select(key, "_t", F.transform(shift, lambda x, i: F.struct(
+        F.when(x["w"] & ~x["p"], i).alias("s"), F.when(x["w"] & ~x["n"], i + 1).alias("e"))).alias("_m"))
+    starts = F.filter(F.transform("_m", lambda x: x["s"]), lambda v: v.isNotNull())
+    ends = F.filter(F.transform("_m", lambda x: x["e"]), lambda v: v.isNotNull())
+    full = full.select(key, "_t", F.arrays_zip(starts.alias("s"), ends.alias("e")).alias("offsets"))
+    return full.select(key, split_ws("_t").alias("tokens"), "offsets")
+
+
+def token_rows(df: DataFrame, key: str, text_col: str = "text") -> DataFrame:
+    """One row per whitespace token: (key, pos, token, s, e) with code-point offsets."""
+    tok = token_offsets(df, key, text_col)
+    return (tok.select(key, F.posexplode_outer(F.arrays_zip("tokens", "offsets")).alias("pos", "x"))
+            .where(F.col("pos").isNotNull())
+            .select(key, "pos", F.col("x.tokens").alias("token"), F.col("x.offsets.s").alias("s"),
+                    F.col("x.offsets.e").alias("e")))
 
 
 def window_count(n, w: int, overlap: int):
@@ -38,34 +46,37 @@ def window_count(n, w: int, overlap: int):
     return F.greatest(F.lit(1), F.lit(1) + F.ceil(F.greatest(n - w, F.lit(0)) / F.lit(step)).cast("int"))
 
 
-def context_windows(tok: DataFrame, key: str, w: int, overlap: int, keep_offsets: bool = False) -> DataFrame:
+def context_windows(tok: DataFrame, key: str, w: int, overlap: int, keep: tuple = ()) -> DataFrame:
     """Overlapping windows of ``w`` tokens sharing ``overlap`` tokens:
     (key, window, first_tok, n_tok, start_char, end_char); an empty context
-    gives one empty window [0, 0).  Built in-row from the offsets array."""
+    gives one empty window [0, 0).  Each window is cut out of the row's arrays
+    before the explode, so a window row carries its own tokens only; ``keep``
+    names the arrays (``offsets``, ``tokens``) whose slices come along."""
     if not 0 <= overlap < w:
         raise ValueError("need 0 <= overlap < w")
     step = w - overlap
     n = F.size("offsets")
-    wins = F.transform(index_range(window_count(n, w, overlap)), lambda k: F.struct(
-        k.alias("win"), (k * step).alias("first_tok"),
-        F.greatest(F.least(F.lit(w), n - k * step), F.lit(0)).alias("n_tok")))
-    ex = tok.select(key, "offsets", F.explode(wins).alias("x")).select(key, "offsets", "x.*")
-    first = F.try_element_at(F.col("offsets"), F.col("first_tok") + 1)
-    last = F.try_element_at(F.col("offsets"), F.col("first_tok") + F.col("n_tok"))
-    return ex.select(key, "win", "first_tok", "n_tok",
-                     F.coalesce(first["s"], F.lit(0)).alias("start_char"),
-                     F.when(F.col("n_tok") > 0, last["e"]).otherwise(F.lit(0)).alias("end_char"),
-                     *(["offsets"] if keep_offsets else []))
+
+    def window(k):
+        size = F.greatest(F.least(F.lit(w), n - k * step), F.lit(0))
+        first = F.try_element_at(F.col("offsets"), k * step + 1)
+        last = F.try_element_at(F.col("offsets"), k * step + size)
+        slices = [F.when(size > 0, F.slice(c, k * step + 1, F.greatest(size, F.lit(1)))).otherwise(F.slice(c, 1, 0)).alias(c)
+                  for c in keep]
+        return F.struct(k.alias("win"), (k * step).alias("first_tok"), size.alias("n_tok"),
+                        F.coalesce(first["s"], F.lit(0)).alias("start_char"),
+                        F.when(size > 0, last["e"]).otherwise(F.lit(0)).alias("end_char"), *slices)
+
+    wins = F.transform(index_range(window_count(n, w, overlap)), window)
+    return tok.select(key, F.explode(wins).alias("x")).select(key, "x.*")
 
 
 def answer_token_span(tok: DataFrame, answers: DataFrame, key: str, w: int, overlap: int) -> DataFrame:
     """Label each window with the answer's token span (CLS = index 0, window
     tokens from 1).  Window tokens covering [start_char, end_char) must fully
-    contain the answer, else (0, 0).  ``answers``: key, start_char, end_char."""
-    j = context_windows(tok, key, w, overlap, keep_offsets=True).join(answers, key)
-    span = F.slice("offsets", F.col("first_tok") + 1, F.greatest(F.col("n_tok"), F.lit(1)))
-    j = j.withColumn("_span", F.when(F.col("n_tok") > 0, span).otherwise(F.array()))
-    span = F.col("_span")
+    contain the answer, else (0, 0).  ``answers``: key, a_start, a_end."""
+    j = context_windows(tok, key, w, overlap, keep=("offsets",)).join(answers, key)
+    span = F.col("offsets")
     inside = (F.col("n_tok") > 0) & (F.col("start_char") <= F.col("a_start")) & (F.col("end_char") >= F.col("a_end"))
     idx = index_range(F.size(span))
     st = F.array_max(F.filter(idx, lambda i: span[i]["s"] <= F.col("a_start")))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.arrays import PAD_ID, UNK_ID, pad_array
 from tessera.functions.text import split_space, split_ws
-from tessera.operators.common import bounded_broadcast, ordered_collect
+from tessera.operators.common import bounded_broadcast, fingerprint, md5_number, ordered_collect
 
 # Reserved vocabulary entries and their ids.
 PAD_TOKEN, UNK_TOKEN = "[PAD]", "[UNK]"
@@ -37,13 +37,15 @@ def vocabulary(counts: DataFrame, n: int = 10000) -> DataFrame:
 def encode(df: DataFrame, key: str, text_col: str, vocab: DataFrame, vocab_size: int | None,
            to_len: int | None = None, out: str = "ids") -> DataFrame:
     """Token -> id with UNK default.  Tokens come from a one-space split (so
-    an empty token is UNK, as at inference).  The vocabulary is broadcast when
-    its size is bounded by ``vocab_size``; the big side is never shuffled
+    an empty token is UNK, as at inference).  Tokens meet the vocabulary by
+    two 64-bit hashes, so what is broadcast (when ``vocab_size`` bounds it) has
+    a fixed width whatever the tokens' length; the big side is never shuffled
     before the map-side-combined regroup."""
-    v = bounded_broadcast(vocab.select("token", "id"), vocab_size)
+    h = fingerprint("token")
+    v = bounded_broadcast(vocab.select(h[0].alias("_h"), h[1].alias("_i"), "id"), vocab_size)
     exploded = (df.select(key, F.posexplode_outer(split_space(text_col)).alias("pos", "token"))
-                .where(F.col("pos").isNotNull()))
-    joined = exploded.join(v, "token", "left").select(
+                .where(F.col("pos").isNotNull()).select(key, "pos", h[0].alias("_h"), h[1].alias("_i")))
+    joined = exploded.join(v, ["_h", "_i"], "left").select(
         key, "pos", F.coalesce("id", F.lit(UNK_ID)).alias("id"))
     res = ordered_collect(joined, [key], "pos", "id", out)
     if to_len is not None:
@@ -76,26 +78,31 @@ def vocab_coverage(vocab: DataFrame, vectors: DataFrame) -> DataFrame:
                     (F.col("n_matched") / F.col("n_total")).alias("coverage")))
 
 
-def parse_word_vectors(lines: DataFrame, value_col: str = "value") -> tuple[DataFrame, DataFrame]:
-    """Word-vector text lines -> (vectors, rejects).  A header ``N d`` line is
-    skipped; fields are split on one space; a field that is not a float
-    routes the line to the reject table instead of aborting the job."""
-    body = lines.where(~F.col(value_col).rlike(r"^[0-9]+ [0-9]+$"))
-    parts = body.select(F.split(F.regexp_replace(value_col, r"\s+$", ""), " ", -1).alias("f"),
-                        F.col(value_col).alias("line"))
+def parse_word_vectors(lines: DataFrame, value_col: str = "value", order_col: str | None = None,
+                       vocab: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Word-vector text lines -> (vectors, rejects).
+
+    With ``order_col`` (line order) the FIRST line is skipped if it is a header
+    ``N d``; any other line of that shape is a vector of one dimension.  Without
+    it the lines are taken to have no header.  Fields are split on one space; a
+    field that is not a float routes the line to the reject table instead of
+    aborting the job.  A repeated word keeps its last line, and with ``vocab``
+    only words of the vocabulary stay (semi join)."""
+    body = lines.select(F.col(value_col).alias("line"), (F.col(order_col) if order_col else F.lit(0)).alias("_no"))
+    if order_col:
+        head = body.select(F.min("_no")).scalar()
+        body = body.where(~((F.col("_no") == head) & F.col("line").rlike(r"^[0-9]+ [0-9]+\s*$")))
+    parts = body.select(F.split(F.regexp_replace("line", r"\s+$", ""), " ", -1).alias("f"), "line", "_no")
     parsed = parts.select(
         F.col("f")[0].alias("token"),
         F.transform(F.slice("f", 2, F.size("f")), lambda x: x.try_cast("float")).alias("vector"),
-        "line")
+        "line", "_no")
     bad = F.exists("vector", lambda x: x.isNull())
-    return (parsed.where(~bad).select("token", "vector"),
-            parsed.where(bad).select("line"))
-
-
-def dedupe_vectors(vectors: DataFrame, order_col: str) -> DataFrame:
-    """A repeated word keeps its last line (``order_col`` = line order)."""
-    w = Window.partitionBy("token").orderBy(F.desc(order_col))
-    return vectors.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
+    good = parsed.where(~bad)
+    if vocab is not None:
+        good = good.join(vocab.select("token"), "token", "left_semi")
+    good = good.groupBy("token").agg(F.max_by("vector", "_no").alias("vector"))
+    return good, parsed.where(bad).select("line")
 
 
 def check_dims(vectors: DataFrame, dim: int | None = None) -> DataFrame:
@@ -120,7 +127,7 @@ def embedding_matrix(vocab: DataFrame, vectors: DataFrame, dim: int, seed: int =
     joined = ids.join(vectors.select("token", "vector"), "token", "left")
     rand_vec = F.transform(
         F.sequence(F.lit(0), F.lit(dim - 1)),
-        lambda d: (F.pmod(F.xxhash64(F.col("token"), d, F.lit(seed)), F.lit(1048576)).cast("double")
+        lambda d: ((md5_number(F.concat_ws(":", F.lit(seed), "token", d)) % 1048576).cast("double")
                    / F.lit(1048576.0) * F.lit(2.0) - F.lit(1.0)).cast("float"))
     return joined.select("id", "token", F.coalesce("vector", rand_vec).alias("vector"),
                          F.col("vector").isNotNull().alias("matched"))

@@ -17,7 +17,11 @@ from tessera.session import table
 from tessera.operators import vocab as V
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+# Parameters that are the feature of a query: vocabulary size, the length
+# limits of a summarisation pair, first-n and sample sizes.
 VOCAB_N = 10000
+MAX_SOURCE, MAX_TARGET = 512, 64
+FIRST_DOCS, FIRST_FEATURES, SAMPLE_ROWS = 100, 200, 20
 
 
 def query(fn):
@@ -119,7 +123,7 @@ def q_label_encode(spark, sf):
 def q_label_drift(spark, sf):
     docs = table(spark, sf, "documents")
     model = docs.select(F.col("lang").alias("label"))
-    labeled = docs.join(table(spark, sf, "labels").where("quality = 1"), "doc_id", "left_semi")
+    labeled = docs.join(table(spark, sf, "labels"), "doc_id", "left_semi")
     data = (labeled.select(F.col("lang").alias("label"))
             .unionByName(table(spark, sf, "events").select(F.col("event_type").alias("label"))))
     return L.label_drift(model, data)
@@ -186,23 +190,26 @@ def _tag_labels(spark, sf):
 
 
 def _tag_ids(spark, sf):
-    """Tag sequences with gold/pred tags mapped to label ids: explode the
-    positions, join the label table (AQE broadcasts it at runtime when
+    """Tag sequences with gold/pred tags mapped to label ids, and to the ids of
+    the labels' I- forms: explode the positions, join the label table (AQE broadcasts it at runtime when
     small), regroup per sequence with map-side combined collect_list."""
     from tessera.operators.common import ordered_collect
     seqs = S.tag_sequences(spark, sf)
     labels = _tag_labels(spark, sf)
     ex = seqs.select("conv_id", "turn",
                      F.posexplode(F.arrays_zip("tokens", "gold", "pred")).alias("pos", "z"))
-    ex = (ex.join(labels.select(F.col("label").alias("g"), F.col("idx").alias("gid")),
+    inside = L.b_to_i_map(labels).select(F.col("b_idx").alias("idx"), "i_idx")
+    labels = labels.join(inside, "idx", "left").select("label", "idx", F.coalesce("i_idx", "idx").alias("inside"))
+    ex = (ex.join(labels.select(F.col("label").alias("g"), F.col("idx").alias("gid"), F.col("inside").alias("gin")),
                   F.col("z.gold") == F.col("g"), "left")
-          .join(labels.select(F.col("label").alias("p"), F.col("idx").alias("pid")),
+          .join(labels.select(F.col("label").alias("p"), F.col("idx").alias("pid"), F.col("inside").alias("pin")),
                 F.col("z.pred") == F.col("p"), "left")
           .select("conv_id", "turn", "pos",
-                  F.struct(F.col("z.tokens").alias("token"), "gid", "pid").alias("v")))
+                  F.struct(F.col("z.tokens").alias("token"), "gid", "pid", "gin", "pin").alias("v")))
     g = ordered_collect(ex, ["conv_id", "turn"], "pos", "v", "vs")
     return g.select("conv_id", "turn", F.col("vs.token").alias("tokens"),
-                    F.col("vs.gid").alias("gold_ids"), F.col("vs.pid").alias("pred_ids"))
+                    F.col("vs.gid").alias("gold_ids"), F.col("vs.pid").alias("pred_ids"),
+                    F.col("vs.gin").alias("gold_inside"), F.col("vs.pin").alias("pred_inside"))
 
 
 @query
@@ -215,11 +222,19 @@ def q_align_labels(spark, sf):
         F.array_join(F.transform("a", lambda x: x["label"].cast("string")), " ").alias("labels"))
 
 
+@query
+def q_align_labels_all(spark, sf):
+    """Later pieces of a word carry the id of the label's I- form."""
+    s = _tag_ids(spark, sf)
+    al = T.align_labels("tokens", "gold_ids", k=4, inside_ids_col="gold_inside")
+    return s.select("conv_id", "turn", F.array_join(F.transform(al, lambda x: x["label"].cast("string")), " ").alias("labels"))
+
+
 @query
 def q_masked_token_accuracy(spark, sf):
     s = _tag_ids(spark, sf)
     gold = F.transform(T.align_labels("tokens", "gold_ids", k=4), lambda x: x["label"])
-    pred = F.transform(T.align_labels("tokens", "pred_ids", k=4, all_tokens=True), lambda x: x["label"])
+    pred = F.transform(T.align_labels("tokens", "pred_ids", k=4, inside_ids_col="pred_inside"), lambda x: x["label"])
     s = s.select(gold.alias("g"), pred.alias("p"))
     return T.token_accuracy(s, "p", "g", ignore=[-100, -1]).select(
         F.col("n_tokens").cast("bigint").alias("n_tokens"), r6("token_acc").alias("token_acc"))
@@ -271,9 +286,24 @@ def q_mc_rows(spark, sf):
     return m.withColumn("labels", F.col("labels").cast("bigint"))
 
 
+@query
+def q_mc_rejects(spark, sf):
+    _good, rej = MC.mc_rows(S.qa_questions(spark, sf), S.context_pool(spark, sf))
+    return rej.select("id", F.array_join("paragraphs", " ").alias("paragraphs"))
+
+
+def _squad(spark, sf):
+    return MC.squad_rows(S.qa_questions(spark, sf), S.context_pool(spark, sf))
+
+
+@query
+def q_squad_rejects(spark, sf):
+    return _squad(spark, sf)[1]
+
+
 @query
 def q_squad_rows(spark, sf):
-    sq = MC.squad_rows(S.qa_questions(spark, sf), S.context_pool(spark, sf))
+    sq, _rej = _squad(spark, sf)
     return sq.select("id", "title", "question", "context",
                      F.col("answers.text")[0].alias("answer_text"),
                      F.col("answers.answer_start")[0].cast("bigint").alias("answer_start"))
@@ -289,7 +319,7 @@ def q_choice_pairs(spark, sf):
 @query
 def q_choose_context(spark, sf):
     c = MC.choose_context(_mc(spark, sf))
-    return c.select("id", F.col("pred").cast("bigint").alias("pred"), F.col("score").cast("bigint").alias("score"))
+    return c.select("id", F.col("pred").cast("bigint").alias("pred"), r6("score").alias("score"))
 
 
 @query
@@ -312,11 +342,20 @@ def q_qa_nbest(spark, sf):
     return _nbest_out(nb)
 
 
+def _nbest_negative(spark, sf):
+    return QA.qa_nbest(S.qa_examples(spark, sf), S.qa_features(spark, sf), n_best=20, max_len=30, with_negative=True)
+
+
+@query
+def q_qa_nbest_negative(spark, sf):
+    return _nbest_negative(spark, sf).select(
+        "example_id", F.col("rank").cast("bigint").alias("rank"), "text", r6("start_logit").alias("start_logit"),
+        r6("end_logit").alias("end_logit"), r6("probability").alias("probability"), "is_null")
+
+
 @query
 def q_qa_null_odds(spark, sf):
-    nb = QA.qa_nbest(S.qa_examples(spark, sf), S.qa_features(spark, sf), n_best=20, max_len=30,
-                     with_negative=True)
-    pr = QA.qa_predict(nb, with_negative=True, threshold=0.0)
+    pr = QA.qa_predict(_nbest_negative(spark, sf), with_negative=True, threshold=0.0)
     return pr.select(F.col("example_id").cast("bigint").alias("example_id"), r6("null_score").alias("null_score"),
                      "best_text", r6("score_diff").alias("score_diff"), "prediction")
 
@@ -327,6 +366,13 @@ def q_qa_beam_nbest(spark, sf):
     return _nbest_out(nb)
 
 
+@query
+def q_qa_beam_null_odds(spark, sf):
+    beams = S.qa_beams(spark, sf)
+    odds = QA.qa_beam_null_odds(QA.qa_beam_nbest(S.qa_examples(spark, sf), beams, n_best=20, max_len=30), beams)
+    return odds.select("example_id", "prediction", r6("null_score").alias("null_score"))
+
+
 @query
 def q_qa_predictions(spark, sf):
     nb = QA.qa_nbest(S.qa_examples(spark, sf), S.qa_features(spark, sf), n_best=20, max_len=30)
@@ -338,7 +384,7 @@ def q_qa_predictions(spark, sf):
 @query
 def q_repair_answers(spark, sf):
     b = table(spark, sf, "benchmark")
-    a = F.substring("text", 21, 20)
+    a = F.col("text")
     k = F.col("item_id") % 5
     raw = (F.when(k == 0, F.concat(F.lit("《"), a)).when(k == 1, F.concat(a, F.lit("》")))
            .when(k == 2, F.concat(F.lit("「"), a)).when(k == 3, F.concat(a, F.lit("」"))).otherwise(a))
@@ -362,7 +408,7 @@ def q_context_windows(spark, sf):
 
 @query
 def q_answer_token_span(spark, sf):
-    sq = MC.squad_rows(S.qa_questions(spark, sf), S.context_pool(spark, sf))
+    sq, _rej = _squad(spark, sf)
     tok = SP.token_offsets(sq.select("id", "context"), "id", "context")
     ans = sq.select("id", F.col("answers.answer_start")[0].alias("a_start"),
                     (F.col("answers.answer_start")[0] + F.length(F.col("answers.text")[0])).alias("a_end"))
@@ -370,12 +416,31 @@ def q_answer_token_span(spark, sf):
     return a.select("id", *[F.col(c).cast("bigint").alias(c) for c in ("win", "start_position", "end_position")])
 
 
+def _shifted(sq):
+    """A prediction for every row: as many characters as the answer has, up to two places late."""
+    shift = F.col("id").cast("int") % 3
+    start, size = F.col("answers.answer_start")[0], F.length(F.col("answers.text")[0])
+    return sq.select("id", F.substring("context", start + shift + 1, size).alias("prediction"))
+
+
+@query
+def q_qa_em_f1_v2(spark, sf):
+    """The no-answer form: unanswerable questions too; every second question is answered with ''."""
+    sq, rej = _squad(spark, sf)
+    refs = sq.select("id", F.col("answers.text").alias("answers")).unionByName(
+        rej.select("id", F.array().cast("array<string>").alias("answers")))
+    some = refs.select("id").join(_shifted(sq), "id", "left").select(
+        "id", F.when(F.col("id").cast("int") % 2 == 0, F.lit("")).otherwise(F.coalesce("prediction", F.lit("some text")))
+        .alias("prediction"))
+    scored = QA.format_predictions(some, with_negative=True)
+    r = QA.qa_em_f1(scored.select("id", F.col("prediction_text").alias("prediction")), refs, with_negative=True)
+    return r.select(*[c if c.endswith("n") and not c.endswith("match") else r6(c).alias(c) for c in r.columns])
+
+
 @query
 def q_qa_em_f1(spark, sf):
-    sq = MC.squad_rows(S.qa_questions(spark, sf), S.context_pool(spark, sf))
-    shift = F.col("id").cast("int") % 3
-    start = F.col("answers.answer_start")[0]
-    preds = sq.select("id", F.substring("context", start + shift + 1, 20).alias("prediction"))
+    sq, _rej = _squad(spark, sf)
+    preds = _shifted(sq)
     refs = sq.select("id", F.col("answers.text").alias("answers"))
     r = QA.qa_em_f1(preds, refs)
     return r.select("n", r6("exact_match").alias("exact_match"), r6("f1").alias("f1"))
@@ -392,11 +457,12 @@ def q_argmax_label(spark, sf):
 @query
 def q_span_accuracy(spark, sf):
     from tessera.functions.arrays import argmax
-    f = S.qa_features(spark, sf)
-    e = table(spark, sf, "embeddings").select(F.col("vec_id").alias("feature_id"), "label")
-    x = f.join(e, "feature_id").select(
-        argmax("start_logits").alias("ps"), argmax("end_logits").alias("pe"),
-        F.col("label").alias("gs"), (F.col("label") + F.col("feature_id") % 3).alias("ge"))
+    # a row's start vector is its own, its end vector that of the next row
+    e = table(spark, sf, "embeddings")
+    n = e.select(F.count(F.lit(1))).scalar()
+    end = e.select(((F.col("vec_id") + n - 1) % n).alias("vec_id"), argmax("embedding").alias("pe"))
+    x = e.select("vec_id", argmax("embedding").alias("ps"), "label").join(end, "vec_id").select(
+        "ps", "pe", F.col("label").alias("gs"), (F.col("label") + F.col("vec_id") % 3).alias("ge"))
     return M.span_accuracy(x, "ps", "pe", "gs", "ge").select("n", r6("span_acc").alias("span_acc"))
 
 
@@ -415,6 +481,11 @@ def q_paired_summaries(spark, sf):
     return S.summary_pairs(spark, sf)
 
 
+@query
+def q_pair_by_id(spark, sf):
+    return S.all_pairs(spark, sf)
+
+
 @query
 def q_strip_text(spark, sf):
     c = table(spark, sf, "conversations")
@@ -431,10 +502,10 @@ def q_sentence_lines(spark, sf):
 @query
 def q_truncate_pairs(spark, sf):
     s = S.summaries(spark, sf).select("id", split_ws("maintext").alias("src"), split_ws("title").alias("tgt"))
-    return s.select("id", F.size("src").cast("bigint").alias("n_src"),
-                    F.size(F.slice("src", 1, 512)).cast("bigint").alias("n_src_kept"),
-                    F.size("tgt").cast("bigint").alias("n_tgt"),
-                    F.size(F.slice("tgt", 1, 64)).cast("bigint").alias("n_tgt_kept"))
+    s = s.select("id", "src", "tgt", F.slice("src", 1, MAX_SOURCE).alias("src_kept"), F.slice("tgt", 1, MAX_TARGET).alias("tgt_kept"))
+    return s.select("id", F.size("src").cast("bigint").alias("n_src"), F.size("src_kept").cast("bigint").alias("n_src_kept"),
+                    F.size("tgt").cast("bigint").alias("n_tgt"), F.size("tgt_kept").cast("bigint").alias("n_tgt_kept"),
+                    F.array_join("src_kept", " ").alias("src_text"), F.array_join("tgt_kept", " ").alias("tgt_text"))
 
 
 @query
@@ -445,53 +516,64 @@ def q_mask_labels(spark, sf):
     return enc.select("doc_id", F.array_join(mask_pad("ids"), " ").alias("labels"))
 
 
+PAIR = ["conv_id", "turn"]
+
+
 def _pair_tokens(spark, sf, tokenizer="rouge"):
-    return R.tokenize_pairs(S.summary_pairs(spark, sf), ["conv_id", "turn"], "pred", "ref", tokenizer)
+    return R.tokenize_pairs(S.summary_pairs(spark, sf), PAIR, "pred", "ref", tokenizer)
 
 
 @query
 def q_rouge_n(spark, sf):
-    t = _pair_tokens(spark, sf)
-    r1 = R.rouge_n_set(t, ["conv_id", "turn"], 1).select("conv_id", "turn", F.col("f").alias("rouge1_f"))
-    r2 = R.rouge_n_set(t, ["conv_id", "turn"], 2).select("conv_id", "turn", F.col("f").alias("rouge2_f"))
-    return r1.join(r2, ["conv_id", "turn"]).select("conv_id", "turn", r6("rouge1_f").alias("rouge1_f"),
-                                                   r6("rouge2_f").alias("rouge2_f"))
+    t = R.rouge_n_set(_pair_tokens(spark, sf))
+    return t.select(*PAIR, r6("rouge1").alias("rouge1_f"), r6("rouge2").alias("rouge2_f"))
+
+
+@query
+def q_rouge_n_char(spark, sf):
+    t = R.rouge_n_set(_pair_tokens(spark, sf, "char"))
+    return t.select(*PAIR, r6("rouge1").alias("rouge1_f"), r6("rouge2").alias("rouge2_f"))
+
+
+@query
+def q_rouge_n_char_bigram(spark, sf):
+    t = R.rouge_n_set(_pair_tokens(spark, sf, "char_bigram"))
+    return t.select(*PAIR, r6("rouge1").alias("rouge1_f"), r6("rouge2").alias("rouge2_f"))
 
 
 @query
 def q_rouge_scores(spark, sf):
-    t = _pair_tokens(spark, sf)
-    r1 = R.rouge_n_set(t, ["conv_id", "turn"], 1).select("conv_id", "turn", F.col("f").alias("f1"))
-    r2 = R.rouge_n_set(t, ["conv_id", "turn"], 2).select("conv_id", "turn", F.col("f").alias("f2"))
-    j = r1.join(r2, ["conv_id", "turn"])
-    return j.agg(F.count(F.lit(1)).alias("n_pairs"), r6(F.avg("f1") * 100).alias("rouge1"),
-                 r6(F.avg("f2") * 100).alias("rouge2"))
+    t = R.rouge_n_set(_pair_tokens(spark, sf))
+    return t.agg(F.count(F.lit(1)).alias("n_pairs"), r6(F.avg("rouge1") * 100).alias("rouge1"),
+                 r6(F.avg("rouge2") * 100).alias("rouge2"))
 
 
 @query
 def q_rouge_n_multiset(spark, sf):
-    t = _pair_tokens(spark, sf, "alnum")
-    r1 = R.rouge_n_multiset(t, ["conv_id", "turn"], 1).select("conv_id", "turn", F.col("f").alias("a"))
-    r2 = R.rouge_n_multiset(t, ["conv_id", "turn"], 2).select("conv_id", "turn", F.col("f").alias("b"))
-    j = r1.join(r2, ["conv_id", "turn"])
-    return j.select("conv_id", "turn", r6(F.col("a") * 100).alias("rouge1"), r6(F.col("b") * 100).alias("rouge2"))
+    t = R.rouge_n_multiset(_pair_tokens(spark, sf, "alnum"), PAIR)
+    return t.select(*PAIR, r6(F.col("rouge1") * 100).alias("rouge1"), r6(F.col("rouge2") * 100).alias("rouge2"))
+
+
+@query
+def q_rouge_logged(spark, sf):
+    """The multiset family as it is logged: means times 100, four digits."""
+    t = R.rouge_lsum(R.rouge_l(_pair_tokens(spark, sf, "alnum")), "pred", "ref")
+    n = R.rouge_n_multiset(_pair_tokens(spark, sf, "alnum"), PAIR)
+    mean = t.agg(F.avg("rougeL").alias("rougeL"), F.avg("rougeLsum").alias("rougeLsum")).withColumn("_k", F.lit(0)).join(
+        n.agg(F.avg("rouge1").alias("rouge1"), F.avg("rouge2").alias("rouge2")).withColumn("_k", F.lit(0)), "_k").drop("_k")
+    return M.round_scaled(mean, ["rouge1", "rouge2", "rougeL", "rougeLsum"])
 
 
 @query
 def q_rouge_l(spark, sf):
-    t = _pair_tokens(spark, sf)
-    return R.rouge_l(t, ["conv_id", "turn"]).select("conv_id", "turn", r6("f").alias("rougeL_f"))
+    t = R.rouge_l_set(_pair_tokens(spark, sf), "pred", "ref")
+    return t.select(*PAIR, r6("rougeL").alias("rougeL_f"))
 
 
 @query
 def q_quality_gate(spark, sf):
-    t = _pair_tokens(spark, sf)
-    k = ["conv_id", "turn"]
-    j = (R.rouge_n_set(t, k, 1).select(*k, F.col("f").alias("f1"))
-         .join(R.rouge_n_set(t, k, 2).select(*k, F.col("f").alias("f2")), k)
-         .join(R.rouge_l(t, k).select(*k, F.col("f").alias("fl")), k))
-    wide = j.agg((F.avg("f1") * 100).alias("rouge1"), (F.avg("f2") * 100).alias("rouge2"),
-                 (F.avg("fl") * 100).alias("rougeL"))
+    t = R.rouge_l_set(R.rouge_n_set(_pair_tokens(spark, sf)), "pred", "ref")
+    wide = t.agg(*[(F.avg(c) * 100).alias(c) for c in ("rouge1", "rouge2", "rougeL")])
     return M.quality_gate(wide).select(r6("rouge1").alias("rouge1"), r6("rouge2").alias("rouge2"),
                                        r6("rougeL").alias("rougeL"), "passed")
 
@@ -587,10 +669,10 @@ def q_padded_batches(spark, sf):
 
 @query
 def q_first_n_features(spark, sf):
-    d = B.first_n(table(spark, sf, "documents"), ["doc_id"], 100)
+    d = B.first_n(table(spark, sf, "documents"), ["doc_id"], FIRST_DOCS)
     tok = SP.token_offsets(d, "doc_id", "text")
     w = SP.context_windows(tok, "doc_id", w=128, overlap=32)
-    w = B.first_n(w, ["doc_id", "win"], 200)
+    w = B.first_n(w, ["doc_id", "win"], FIRST_FEATURES)
     return w.select("doc_id", F.col("win").cast("bigint").alias("win"),
                     F.col("start_char").cast("bigint").alias("start_char"),
                     F.col("end_char").cast("bigint").alias("end_char"))
@@ -598,7 +680,7 @@ def q_first_n_features(spark, sf):
 
 @query
 def q_sample_rows(spark, sf):
-    return B.sample_rows(table(spark, sf, "documents"), "doc_id", 20, seed=7).select("doc_id", "lang")
+    return B.sample_rows(table(spark, sf, "documents"), "doc_id", SAMPLE_ROWS, seed=7).select("doc_id", "lang")
 
 
 @query
@@ -629,17 +711,30 @@ def q_concat_json(spark, sf):
 
 
 def _vector_lines(spark, sf):
+    """A word-vector file: header first, one line a vector; every line with vec_id % 50 = 7 ends in a field
+    that is no number, and every vec_id % 20 = 3 has an earlier line, which the later one replaces."""
     e = table(spark, sf, "embeddings")
-    body = e.select(F.concat_ws(" ", F.concat(F.lit("w"), F.col("vec_id").cast("string")),
-                                F.array_join(F.col("embedding").cast("array<string>"), " ")).alias("value"))
+    word = F.concat(F.lit("w"), F.col("vec_id").cast("string"))
+    bad = F.when(F.col("vec_id") % 50 == 7, F.lit("x"))
+    body = e.select(F.concat_ws(" ", word, F.array_join(F.col("embedding").cast("array<string>"), " "), bad).alias("value"),
+                    (F.col("vec_id") * 2 + 2).alias("line_no"))
+    early = e.where("vec_id % 20 = 3").select(F.concat(word, F.lit(" 1 2 3")).alias("value"),
+                                              (F.col("vec_id") * 2 + 1).alias("line_no"))
     header = e.agg(F.concat_ws(" ", F.count(F.lit(1)).cast("string"),
-                               F.max(F.size("embedding")).cast("string")).alias("value"))
-    return header.unionByName(body)
+                               F.max(F.size("embedding")).cast("string")).alias("value")).withColumn("line_no", F.lit(0).cast("long"))
+    return header.unionByName(body).unionByName(early)
+
+
+@query
+def q_word_vector_rejects(spark, sf):
+    _vec, rej = V.parse_word_vectors(_vector_lines(spark, sf), order_col="line_no")
+    f = F.split("line", " ")
+    return rej.select(f[0].alias("token"), F.size(f).cast("bigint").alias("n_fields"))
 
 
 @query
 def q_word_vectors_scan(spark, sf):
-    vec, _rej = V.parse_word_vectors(_vector_lines(spark, sf))
+    vec, _rej = V.parse_word_vectors(_vector_lines(spark, sf), order_col="line_no")
     return vec.select("token", F.size("vector").cast("bigint").alias("dim"),
                       r6(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x.cast("double"))).alias("vsum"))
 
@@ -672,15 +767,17 @@ from tessera.operators import ml as ML  # noqa: E402
 
 @query
 def q_max_pool_vectors(spark, sf):
-    from tessera.functions.text import split_ws as _sw
+    """Every token has the vector whose id is its hash modulo the table's size; a text without tokens has [PAD]'s."""
+    from tessera.operators.common import md5_number
     emb = table(spark, sf, "embeddings")
     n = emb.select(F.count(F.lit(1))).scalar()
-    vocab = _vocab(spark, sf).select("token", "id")
-    toks = (table(spark, sf, "documents").select("doc_id", F.explode(_sw("text")).alias("token"))
-            .join(F.broadcast(vocab), "token")  # top-n vocabulary: bounded by VOCAB_N rows
-            .select("doc_id", (F.col("id") % n).alias("vec_id")).distinct())
+    words = table(spark, sf, "documents").select("doc_id", F.array_distinct(split_ws("text")).alias("ts"))
+    words = words.select("doc_id", F.when(F.size("ts") == 0, F.array(F.lit(V.PAD_TOKEN))).otherwise(F.col("ts")).alias("ts"))
+    toks = (words.select("doc_id", F.explode("ts").alias("token"))
+            .select("doc_id", (md5_number("token") % n).alias("vec_id")).distinct())
     tv = toks.join(emb.select("vec_id", F.col("embedding").alias("vector")), "vec_id")
-    mp = ML.max_pool_vectors(tv, "doc_id")
+    mp = ML.max_pool_vectors(tv, "doc_id", dim=64)
+    mp = mp.select("doc_id", F.posexplode("pooled").alias("dim", "value"))
     return mp.select("doc_id", F.col("dim").cast("bigint").alias("dim"), r6(F.col("value").cast("double")).alias("value"))
 
 
@@ -700,10 +797,13 @@ def q_embedding_matrix(spark, sf):
 
 @query
 def q_classify_text(spark, sf):
+    """Language of the held-out fifth of all documents (by a hash of the id); the labelled rest is learnt from."""
+    from tessera.operators.common import md5_number
     docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
-    train = docs.join(table(spark, sf, "labels"), "doc_id", "left_semi")
+    away = md5_number(F.col("doc_id").cast("string")) % 5 == 0
+    train = docs.where(~away).join(table(spark, sf, "labels"), "doc_id", "left_semi")
     model = ML.fit_text_classifier(train, "text", "lang", vocab_size=10000, max_iter=30)
-    pred = model.transform(docs)
+    pred = model.transform(docs.where(away))
     labels = model.stages[0].labels
     to_label = F.element_at(F.array(*[F.lit(x) for x in labels]), F.col("prediction").cast("int") + 1)
     return pred.select("doc_id", "lang", to_label.alias("predicted"))
@@ -711,12 +811,12 @@ def q_classify_text(spark, sf):
 
 @query
 def q_score_batches(spark, sf):
+    """Scores of a linear model whose weights follow a rule: ((7 i + 13 j) % 11 - 5) / 4 for input i, class j."""
     import numpy as np
     from tessera.functions.arrays import argmax
-    rng = np.random.default_rng(5)
-    w, b = rng.normal(size=(64, 10)), np.zeros(10)
+    i, j = np.indices((64, 10))
     e = table(spark, sf, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("x"), "label")
-    s = ML.score(e, ML.linear_scorer(w, b), "x", "logits", batch_size=128, dim=64)
+    s = ML.score(e, ML.linear_scorer(((7 * i + 13 * j) % 11 - 5) / 4, np.zeros(10)), "x", "logits", batch_size=128, dim=64)
     return s.select("vec_id", "label", argmax("logits").cast("bigint").alias("pred"))
 
 
@@ -749,30 +849,23 @@ def q_tag_tokens(spark, sf):
 
 @query
 def q_qa_two_stage(spark, sf):
-    """Two-stage QA as one lazy plan: pick the context (word overlap), cut it
-    into overlapping token windows, score window tokens against the question
+    """Two-stage QA as one lazy plan: pick the context (TF-IDF), cut it into
+    overlapping token windows, score window tokens against the question
     (stand-in scorer: 1 when the token is a question word, minus a small
     position term; the end score is the start score of the next token),
     decode the n-best span and repair the answer."""
-    from tessera.functions.text import repair_answer as _repair, split_ws as _sw
-    from tessera.session import cut_lineage
-    # the multiple-choice rows feed three branches: materialise them once in
-    # the shared checkpoint folder instead of re-running the passage lookup
-    m = cut_lineage(_mc(spark, sf))
+    m = _mc(spark, sf)
     chosen = MC.selected_context(m, MC.choose_context(m).select("id", "pred"))
-    q = m.select(F.col("video-id").alias("id"), F.array_distinct(_sw("sent1")).alias("qw"))
+    q = m.select(F.col("video-id").alias("id"), F.array_distinct(split_ws("sent1")).alias("qw"))
     tok = SP.token_offsets(chosen.select("id", "context"), "id", "context")
-    win = SP.context_windows(tok, "id", w=64, overlap=16, keep_offsets=True)
-    win = win.join(tok.select("id", "tokens"), "id").join(q, "id")
-    win = win.select("id", "win", F.concat(F.array(F.lit(None).cast("struct<s:int,e:int>")),
-                                           F.slice("offsets", F.col("first_tok") + 1, F.greatest("n_tok", F.lit(1))))
-                     .alias("offsets"),
-                     F.slice("tokens", F.col("first_tok") + 1, F.greatest("n_tok", F.lit(1))).alias("wt"), "qw")
-    start = F.transform("wt", lambda t, i: F.array_contains(F.col("qw"), t).cast("double") - i * 0.001)
-    feats = win.select(F.col("id").alias("example_id"), F.col("win").alias("feature_id"), "offsets",
+    win = SP.context_windows(tok, "id", w=64, overlap=16, keep=("offsets", "tokens")).join(q, "id")
+    start = F.transform("tokens", lambda t, i: F.array_contains(F.col("qw"), t).cast("double") - i * 0.001)
+    feats = win.select(F.col("id").alias("example_id"), F.col("win").alias("feature_id"),
+                       F.concat(F.array(F.lit(None).cast("struct<s:int,e:int>")),
+                                F.col("offsets").cast("array<struct<s:int,e:int>>")).alias("offsets"),
                        F.concat(F.array(F.lit(-1.0)), start).alias("start_logits"))
     feats = feats.withColumn("end_logits", F.concat(F.slice("start_logits", 2, F.size("start_logits")),
                                                     F.array(F.lit(-1.0))))
     nb = QA.qa_nbest(chosen.select(F.col("id").alias("example_id"), "context"), feats, n_best=20, max_len=30)
     pr = QA.qa_predict(nb)
-    return pr.select(F.col("example_id").alias("id"), "prediction", _repair("prediction").alias("answer"))
+    return pr.select(F.col("example_id").alias("id"), "prediction", repair_answer("prediction").alias("answer"))

@@ -80,7 +80,7 @@ SELECT d.doc_id, d.lang, i.idx AS label_id FROM documents d JOIN idx i ON i.labe
 ORACLE_SQL["label_drift"] = """
 WITH m AS (SELECT DISTINCT lang AS label FROM documents),
 d AS (SELECT DISTINCT label FROM (
-        SELECT lang AS label FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)
+        SELECT lang AS label FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)
         UNION ALL SELECT event_type FROM events))
 SELECT coalesce(m.label, d.label) AS label,
        CASE WHEN m.label IS NOT NULL AND d.label IS NOT NULL THEN 'both'
@@ -104,8 +104,9 @@ tags AS (SELECT *, CASE WHEN pos % 5 = 2 THEN 'O'
                         WHEN pos % 7 = 3 THEN regexp_replace(gold, '^B-', 'I-') ELSE gold END AS pred FROM gl),
 tagidx AS (SELECT label, row_number() OVER (ORDER BY label) - 1 AS idx
            FROM (SELECT DISTINCT gold AS label FROM tags)),
-tagids AS (SELECT t.*, g.idx AS gid, p.idx AS pid FROM tags t
-           LEFT JOIN tagidx g ON g.label = t.gold LEFT JOIN tagidx p ON p.label = t.pred)
+tagids AS (SELECT t.*, g.idx AS gid, p.idx AS pid, coalesce(gi.idx, g.idx) AS gin FROM tags t
+           LEFT JOIN tagidx g ON g.label = t.gold LEFT JOIN tagidx p ON p.label = t.pred
+           LEFT JOIN tagidx gi ON t.gold LIKE 'B-%' AND gi.label = replace(t.gold, 'B-', 'I-'))
 """
 
 
@@ -195,6 +196,13 @@ SELECT conv_id, turn, CAST(2 + sum(np) AS BIGINT) AS n_pieces, count(*) FILTER (
        || ' -100' AS labels
 FROM w GROUP BY conv_id, turn"""
 
+ORACLE_SQL["align_labels_all"] = f"""
+WITH {TAGS_CTE},
+w AS (SELECT conv_id, turn, pos, CAST(ceil(length(token) / 4) AS BIGINT) AS np, gid, gin FROM tagids)
+SELECT conv_id, turn, '-100 ' || string_agg(CAST(gid AS VARCHAR) || repeat(' ' || CAST(gin AS VARCHAR), CAST(np - 1 AS BIGINT)),
+       ' ' ORDER BY pos) || ' -100' AS labels
+FROM w GROUP BY conv_id, turn"""
+
 ORACLE_SQL["masked_token_accuracy"] = f"""
 WITH {TAGS_CTE}
 SELECT count(*) AS n_tokens, round(avg(CASE WHEN pid = gid THEN 1.0 ELSE 0.0 END), 6) AS token_acc FROM tagids"""
@@ -215,21 +223,22 @@ QQ_CTE = """
 n_docs AS (SELECT count(*) AS n FROM documents),
 hit AS (SELECT b.item_id, d.doc_id, position(b.text IN d.text) - 1 AS cs
         FROM benchmark b JOIN documents d ON position(b.text IN d.text) > 0),
-rel AS (SELECT item_id, min(doc_id) AS relevant, arg_min(cs, doc_id) AS char_start FROM hit GROUP BY item_id),
-q AS (SELECT CAST(r.item_id AS VARCHAR) AS id, r.item_id, substr(b.text, 1, 20) AS question, r.relevant,
-             substr(b.text, 21, 20) AS answer_text, r.char_start + 20 AS answer_start, r.item_id % 4 AS rp
+rel AS (SELECT b.item_id, coalesce(min(doc_id), b.item_id % n) AS relevant, arg_min(cs, doc_id) AS char_start
+        FROM benchmark b CROSS JOIN n_docs LEFT JOIN hit USING (item_id) GROUP BY b.item_id, n),
+q AS (SELECT CAST(r.item_id AS VARCHAR) AS id, r.item_id, b.text AS question, r.relevant,
+             b.text AS answer_text, r.char_start AS answer_start, r.item_id % 4 AS rp
       FROM rel r JOIN benchmark b USING (item_id)),
 qp AS (SELECT q.*, t.p, CASE WHEN t.p = rp THEN relevant
                            ELSE (relevant + 101 * CASE WHEN t.p < rp THEN t.p + 1 ELSE t.p END + item_id) % n END AS ctx_id
        FROM q CROSS JOIN n_docs CROSS JOIN range(4) t(p)),
-qpt AS (SELECT qp.*, d.text FROM qp JOIN documents d ON d.doc_id = qp.ctx_id),
+qpt AS (SELECT qp.*, d.text FROM qp JOIN documents d ON d.doc_id = qp.ctx_id WHERE item_id % 10 <> 9),
 mc AS (SELECT id, question,
               max(text) FILTER (WHERE p = 0) AS ending0, max(text) FILTER (WHERE p = 1) AS ending1,
               max(text) FILTER (WHERE p = 2) AS ending2, max(text) FILTER (WHERE p = 3) AS ending3,
               min(p) FILTER (WHERE ctx_id = relevant) AS labels
        FROM qpt GROUP BY id, question),
 sq AS (SELECT q.id, q.question, d.text AS context, q.answer_text, q.answer_start
-       FROM q JOIN documents d ON d.doc_id = q.relevant)
+       FROM q JOIN documents d ON d.doc_id = q.relevant WHERE q.answer_start IS NOT NULL)
 """
 
 ORACLE_SQL["relevant_context"] = """
@@ -241,6 +250,15 @@ WITH {QQ_CTE}
 SELECT id AS "video-id", id AS "fold-ind", question AS startphrase, question AS sent1, question AS sent2,
        'gold' AS "gold-source", ending0, ending1, ending2, ending3, CAST(labels AS BIGINT) AS labels FROM mc"""
 
+ORACLE_SQL["mc_rejects"] = f"""
+WITH {QQ_CTE}
+SELECT id, string_agg(CAST(ctx_id AS VARCHAR), ' ' ORDER BY p) AS paragraphs
+FROM qp WHERE item_id % 10 = 9 AND p < 3 GROUP BY id"""
+
+ORACLE_SQL["squad_rejects"] = f"""
+WITH {QQ_CTE}
+SELECT id, relevant, 'no_answer' AS issue FROM q WHERE answer_start IS NULL"""
+
 ORACLE_SQL["squad_rows"] = f"""
 WITH {QQ_CTE}
 SELECT id, id AS title, question, context, answer_text, CAST(answer_start AS BIGINT) AS answer_start FROM sq"""
@@ -252,124 +270,159 @@ SELECT qpt.id, CAST(qpt.p AS BIGINT) AS choice, qpt.question AS first, qpt.quest
 FROM qpt JOIN mc USING (id)"""
 
 CHOOSE_CTE = QQ_CTE + """,
-sc AS (SELECT id, p, len(list_intersect(
-           list_distinct(list_filter(regexp_split_to_array(question, '\\s+'), lambda t: t <> '')),
-           list_distinct(list_filter(regexp_split_to_array(text, '\\s+'), lambda t: t <> '')))) AS score, text
-       FROM qpt),
+ew AS (SELECT id, p, unnest(list_filter(regexp_split_to_array(text, '\\s+'), lambda t: t <> '')) AS word FROM qpt),
+et AS (SELECT id, p, word, count(*) AS tf FROM ew GROUP BY ALL),
+qw AS (SELECT id, unnest(list_filter(regexp_split_to_array(question, '\\s+'), lambda t: t <> '')) AS word FROM mc),
+qt AS (SELECT id, word, count(*) AS qtf FROM qw GROUP BY ALL),
+nd AS (SELECT count(*) AS n FROM qpt),
+df AS (SELECT word, count(*) AS df FROM et GROUP BY word),
+wt0 AS (SELECT et.*, tf * (ln((1 + n) / (1 + df)) + 1) AS w FROM et JOIN df USING (word) CROSS JOIN nd),
+wq AS (SELECT qt.*, qtf * (ln((1 + n) / (1 + coalesce(df, 0))) + 1) AS w FROM qt LEFT JOIN df USING (word) CROSS JOIN nd),
+dot AS (SELECT wt0.id, p, sum(wt0.w * wq.w) AS dot FROM wt0 JOIN wq ON wq.id = wt0.id AND wq.word = wt0.word GROUP BY 1, 2),
+nr AS (SELECT id, p, sqrt(sum(w * w)) AS norm FROM wt0 GROUP BY 1, 2),
+nq AS (SELECT id, sqrt(sum(w * w)) AS qnorm FROM wq GROUP BY 1),
+sc AS (SELECT qpt.id, qpt.p, round(coalesce(dot / (norm * qnorm), 0.0), 9) AS score, text
+       FROM qpt LEFT JOIN dot USING (id, p) LEFT JOIN nr USING (id, p) LEFT JOIN nq USING (id)),
 ch AS (SELECT id, p AS pred, score, text FROM sc
        QUALIFY row_number() OVER (PARTITION BY id ORDER BY score DESC, p) = 1)
 """
 
 ORACLE_SQL["choose_context"] = f"""
 WITH {CHOOSE_CTE}
-SELECT id, CAST(pred AS BIGINT) AS pred, CAST(score AS BIGINT) AS score FROM ch"""
+SELECT id, CAST(pred AS BIGINT) AS pred, round(score, 6) AS score FROM ch"""
 
 ORACLE_SQL["mc_selected_context"] = f"""
 WITH {CHOOSE_CTE}
 SELECT id, CAST(pred AS BIGINT) AS pred, text AS context FROM ch"""
 
-QA_CTE = """
-nemb AS (SELECT count(*) AS n FROM embeddings),
-f AS (SELECT a.vec_id // 2 AS example_id, a.vec_id AS feature_id, (a.vec_id % 2) * 100 AS base,
-             a.embedding AS sl, b.embedding AS el
-      FROM embeddings a CROSS JOIN nemb JOIN embeddings b ON b.vec_id = (a.vec_id + 1) % nemb.n),
-s AS (SELECT example_id, feature_id, base, generate_subscripts(sl, 1) - 1 AS pos, CAST(unnest(sl) AS DOUBLE) AS v FROM f),
-e AS (SELECT example_id, feature_id, generate_subscripts(el, 1) - 1 AS pos, CAST(unnest(el) AS DOUBLE) AS v FROM f),
-sr AS (SELECT *, row_number() OVER (PARTITION BY feature_id ORDER BY v DESC, pos) - 1 AS rk FROM s),
-er AS (SELECT *, row_number() OVER (PARTITION BY feature_id ORDER BY v DESC, pos) - 1 AS rk FROM e),
-c AS (SELECT st.example_id, st.feature_id, st.base, st.pos AS sp, en.pos AS ep, st.rk AS srk, en.rk AS erk,
+TOKROWS = """
+pieces AS (SELECT {key} AS k, generate_subscripts(arr, 1) - 1 AS pos, unnest(arr) AS piece
+           FROM (SELECT {key}, regexp_extract_all({text}, '\\s*\\S+') AS arr FROM {src})),
+toks AS (SELECT k, pos, regexp_replace(piece, '^\\s+', '') AS token,
+                sum(length(piece)) OVER (PARTITION BY k ORDER BY pos ROWS UNBOUNDED PRECEDING) AS e FROM pieces),
+tokrows AS (SELECT k, pos, token, e - length(token) AS s, e FROM toks)
+"""
+
+WINDOWS = """
+ntok AS (SELECT k, count(*) AS n FROM tokrows GROUP BY k),
+wins AS (SELECT k, n, w.k2 AS win
+         FROM ntok CROSS JOIN LATERAL (SELECT unnest(range(CAST(1 + ceil(greatest(n - {w}, 0) / {step}) AS BIGINT))) AS k2) w),
+wt AS (SELECT wins.k, wins.win, t.pos, t.s, t.e FROM wins JOIN tokrows t
+       ON t.k = wins.k AND t.pos >= wins.win * {step} AND t.pos < wins.win * {step} + {w})
+"""
+
+QA_CTE = f"""
+{TOKROWS.format(key='doc_id', text='text', src='documents')}, {WINDOWS.format(w=384, step=256)},
+qd AS (SELECT doc_id, len(regexp_extract_all(text, '\\S+')) AS n FROM documents),
+f AS (SELECT doc_id AS example_id, u.win, doc_id * 100000 + u.win AS feature_id
+      FROM qd CROSS JOIN LATERAL (SELECT unnest(range(CAST(1 + ceil(greatest(n - 384, 0) / 256) AS BIGINT))) AS win) u),
+lg AS (SELECT k AS example_id, k * 100000 + win AS feature_id, CAST(pos - win * 256 + 1 AS BIGINT) AS pos, s AS cs, e AS ce,
+              CAST((7919 * k + 10473 * pos + 31 * pos * pos) % 997 AS DOUBLE) / 100 - 5 AS sv,
+              CAST((5501 * k + 7727 * pos + 17 * pos * pos) % 991 AS DOUBLE) / 100 - 5 AS ev FROM wt
+       UNION ALL
+       SELECT example_id, feature_id, 0, NULL, NULL, CAST((13 * example_id + 7 * win) % 400 AS DOUBLE) / 100,
+              CAST((11 * example_id + 5 * win) % 400 AS DOUBLE) / 100 - 2 FROM f),
+sr AS (SELECT *, sv AS v, row_number() OVER (PARTITION BY feature_id ORDER BY sv DESC, pos) - 1 AS rk FROM lg),
+er AS (SELECT *, ev AS v, row_number() OVER (PARTITION BY feature_id ORDER BY ev DESC, pos) - 1 AS rk FROM lg),
+c AS (SELECT st.example_id, st.feature_id, st.pos AS sp, en.pos AS ep, st.rk AS srk, en.rk AS erk, st.cs, en.ce,
              st.v AS start_logit, en.v AS end_logit, st.v + en.v AS score
       FROM sr st JOIN er en ON st.feature_id = en.feature_id AND st.rk < 20 AND en.rk < 20
-      WHERE st.pos BETWEEN 1 AND 60 AND en.pos BETWEEN 1 AND 60 AND en.pos >= st.pos AND en.pos - st.pos + 1 <= 30),
+      WHERE st.pos >= 1 AND en.pos >= st.pos AND en.pos - st.pos + 1 <= 30),
 cf AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY feature_id ORDER BY score DESC, srk, erk) <= 20),
-ct AS (SELECT cf.*, substr(d.text, base + 4 * (sp - 1) + 1, 4 * (ep - sp) + 3) AS text
+ct AS (SELECT cf.*, substr(d.text, CAST(cs + 1 AS BIGINT), CAST(ce - cs AS BIGINT)) AS text
        FROM cf JOIN documents d ON d.doc_id = cf.example_id)
 """
 
-ORACLE_SQL["qa_nbest"] = f"""
-WITH {QA_CTE},
-r AS (SELECT *, row_number() OVER (PARTITION BY example_id ORDER BY score DESC, feature_id, srk, erk) AS rank
+# examples without any candidate get the made-up first row
+NBEST = """
+r AS (SELECT example_id, text, start_logit, end_logit, score,
+             row_number() OVER (PARTITION BY example_id ORDER BY score DESC, feature_id, srk, erk) AS rank
       FROM ct QUALIFY rank <= 20),
-m AS (SELECT *, exp(score - max(score) OVER (PARTITION BY example_id)) AS ex FROM r)
-SELECT example_id, CAST(rank AS BIGINT) AS rank, text, round(start_logit, 6) AS start_logit,
-       round(end_logit, 6) AS end_logit, round(ex / sum(ex) OVER (PARTITION BY example_id), 6) AS probability FROM m"""
+a AS (SELECT r.* FROM r UNION ALL
+      SELECT doc_id, 'empty', 0.0, 0.0, 0.0, 1 FROM documents WHERE doc_id NOT IN (SELECT example_id FROM r)),
+m AS (SELECT *, exp(score - max(score) OVER (PARTITION BY example_id)) AS ex FROM a)
+"""
+NBEST_OUT = """round(start_logit, 6) AS start_logit, round(end_logit, 6) AS end_logit,
+       round(ex / sum(ex) OVER (PARTITION BY example_id), 6) AS probability"""
+
+ORACLE_SQL["qa_nbest"] = f"""
+WITH {QA_CTE}, {NBEST}
+SELECT example_id, CAST(rank AS BIGINT) AS rank, text, {NBEST_OUT} FROM m"""
+
+REPAIR = """CASE WHEN contains({x}, ',') THEN replace({x}, ',', '')
+            WHEN contains({x}, '《') AND NOT contains({x}, '》') THEN {x} || '》'
+            WHEN contains({x}, '》') AND NOT contains({x}, '《') THEN '《' || {x}
+            WHEN contains({x}, '「') AND NOT contains({x}, '」') THEN {x} || '」'
+            WHEN contains({x}, '」') AND NOT contains({x}, '「') THEN '「' || {x}
+            ELSE {x} END"""
 
 ORACLE_SQL["qa_predictions"] = f"""
-WITH {QA_CTE},
-b AS (SELECT example_id, text FROM ct
-      QUALIFY row_number() OVER (PARTITION BY example_id ORDER BY score DESC, feature_id, srk, erk) = 1)
-SELECT example_id, text AS prediction,
-       CASE WHEN contains(text, ',') THEN replace(text, ',', '')
-            WHEN contains(text, '《') AND NOT contains(text, '》') THEN text || '》'
-            WHEN contains(text, '》') AND NOT contains(text, '《') THEN '《' || text
-            WHEN contains(text, '「') AND NOT contains(text, '」') THEN text || '」'
-            WHEN contains(text, '」') AND NOT contains(text, '「') THEN '「' || text
-            ELSE text END AS answer
-FROM b"""
+WITH {QA_CTE}, {NBEST}
+SELECT example_id, text AS prediction, {REPAIR.format(x='text')} AS answer FROM m WHERE rank = 1"""
+
+# the null candidate of an example: its smallest CLS score, the first feature on ties; it
+# ranks after candidates of the same score and is added back where it is not among the best
+NEGATIVE = """
+nl AS (SELECT l.example_id, l.feature_id, l.sv AS start_logit, l.ev AS end_logit, l.sv + l.ev AS score
+       FROM lg l JOIN documents d ON d.doc_id = l.example_id WHERE l.pos = 0
+       QUALIFY row_number() OVER (PARTITION BY l.example_id ORDER BY l.sv + l.ev, l.feature_id) = 1),
+al AS (SELECT example_id, text, start_logit, end_logit, score, FALSE AS is_null, feature_id, srk, erk FROM ct
+       UNION ALL SELECT example_id, '', start_logit, end_logit, score, TRUE, feature_id, -1, -1 FROM nl),
+rk AS (SELECT *, row_number() OVER (PARTITION BY example_id ORDER BY score DESC, is_null, feature_id, srk, erk) AS rank FROM al),
+kp AS (SELECT *, count(*) OVER (PARTITION BY example_id) AS n FROM rk WHERE rank <= 20 OR is_null),
+fk AS (SELECT example_id, rank, text, start_logit, end_logit, score, is_null FROM kp
+       UNION ALL SELECT example_id, 0, 'empty', 0.0, 0.0, 0.0, FALSE FROM kp WHERE n = 1 AND text = ''),
+m AS (SELECT *, exp(score - max(score) OVER (PARTITION BY example_id)) AS ex,
+             row_number() OVER (PARTITION BY example_id ORDER BY rank) AS place FROM fk)
+"""
 
-ORACLE_SQL["qa_null_odds"] = f"""
-WITH {QA_CTE},
-nl AS (SELECT f.example_id, min(CAST(sl[1] AS DOUBLE) + CAST(el[1] AS DOUBLE)) AS null_score
-       FROM f JOIN documents d ON d.doc_id = f.example_id GROUP BY f.example_id),
-b AS (SELECT * FROM ct WHERE text <> ''
-      QUALIFY row_number() OVER (PARTITION BY example_id ORDER BY score DESC, feature_id, srk, erk) = 1)
-SELECT b.example_id, round(nl.null_score, 6) AS null_score, b.text AS best_text,
-       round(nl.null_score - b.start_logit - b.end_logit, 6) AS score_diff,
-       CASE WHEN nl.null_score - b.start_logit - b.end_logit > 0 THEN '' ELSE b.text END AS prediction
-FROM b JOIN nl USING (example_id)"""
+ORACLE_SQL["qa_nbest_negative"] = f"""
+WITH {QA_CTE}, {NEGATIVE}
+SELECT example_id, CAST(place AS BIGINT) AS rank, text, {NBEST_OUT}, is_null FROM m"""
 
-ORACLE_SQL["qa_beam_nbest"] = f"""
-WITH {QA_CTE},
-slot AS (SELECT s.example_id, s.feature_id, s.base, s.rk AS i, s.pos AS sp, s.v AS start_logit,
-                x.pos AS ep, x.v AS end_logit,
+ORACLE_SQL["qa_null_odds"] = f"""
+WITH {QA_CTE}, {NEGATIVE},
+b AS (SELECT * FROM m WHERE text <> '' QUALIFY row_number() OVER (PARTITION BY example_id ORDER BY place) = 1)
+SELECT nl.example_id, round(nl.score, 6) AS null_score, coalesce(b.text, '') AS best_text,
+       round(nl.score - b.start_logit - b.end_logit, 6) AS score_diff,
+       CASE WHEN nl.score - b.start_logit - b.end_logit > 0 THEN '' ELSE coalesce(b.text, '') END AS prediction
+FROM nl LEFT JOIN b USING (example_id)"""
+
+BEAM = """
+slot AS (SELECT s.example_id, s.feature_id, s.rk AS i, s.pos AS sp, s.v AS start_logit, s.cs,
+                x.pos AS ep, x.v AS end_logit, x.ce,
                 row_number() OVER (PARTITION BY s.feature_id, s.rk ORDER BY x.rk) - 1 AS j
          FROM sr s JOIN er x ON x.feature_id = s.feature_id AND x.pos >= s.pos AND s.rk < 5
          QUALIFY j < 5),
-bc AS (SELECT *, start_logit + end_logit AS score FROM slot
-       WHERE sp BETWEEN 1 AND 60 AND ep BETWEEN 1 AND 60 AND ep - sp + 1 <= 30),
+bc AS (SELECT *, start_logit + end_logit AS score FROM slot WHERE sp >= 1 AND ep - sp + 1 <= 30),
 r AS (SELECT *, row_number() OVER (PARTITION BY example_id ORDER BY score DESC, feature_id, i, j) AS rank
       FROM bc QUALIFY rank <= 20),
-t AS (SELECT r.*, substr(d.text, base + 4 * (sp - 1) + 1, 4 * (ep - sp) + 3) AS text
-      FROM r JOIN documents d ON d.doc_id = r.example_id),
+t AS (SELECT r.example_id, r.rank, substr(d.text, CAST(cs + 1 AS BIGINT), CAST(ce - cs AS BIGINT)) AS text,
+             start_logit, end_logit, score FROM r JOIN documents d ON d.doc_id = r.example_id
+      UNION ALL SELECT doc_id, 1, '', -1e-6, -1e-6, -2e-6 FROM documents WHERE doc_id NOT IN (SELECT example_id FROM bc)),
 m AS (SELECT *, exp(score - max(score) OVER (PARTITION BY example_id)) AS ex FROM t)
-SELECT example_id, CAST(rank AS BIGINT) AS rank, text, round(start_logit, 6) AS start_logit,
-       round(end_logit, 6) AS end_logit, round(ex / sum(ex) OVER (PARTITION BY example_id), 6) AS probability FROM m"""
-
-ORACLE_SQL["repair_answers"] = """
-WITH r AS (SELECT item_id, CASE item_id % 5 WHEN 0 THEN '《' || substr(text, 21, 20)
-                                       WHEN 1 THEN substr(text, 21, 20) || '》'
-                                       WHEN 2 THEN '「' || substr(text, 21, 20)
-                                       WHEN 3 THEN substr(text, 21, 20) || '」'
-                                       ELSE substr(text, 21, 20) END AS raw FROM benchmark)
-SELECT item_id, raw,
-       CASE WHEN contains(raw, ',') THEN replace(raw, ',', '')
-            WHEN contains(raw, '《') AND NOT contains(raw, '》') THEN raw || '》'
-            WHEN contains(raw, '》') AND NOT contains(raw, '《') THEN '《' || raw
-            WHEN contains(raw, '「') AND NOT contains(raw, '」') THEN raw || '」'
-            WHEN contains(raw, '」') AND NOT contains(raw, '「') THEN '「' || raw
-            ELSE raw END AS answer
-FROM r"""
-
-TOKROWS = """
-pieces AS (SELECT {key} AS k, generate_subscripts(arr, 1) - 1 AS pos, unnest(arr) AS piece
-           FROM (SELECT {key}, regexp_extract_all({text}, '\\s*\\S+') AS arr FROM {src})),
-toks AS (SELECT k, pos, regexp_replace(piece, '^\\s+', '') AS token,
-                sum(length(piece)) OVER (PARTITION BY k ORDER BY pos ROWS UNBOUNDED PRECEDING) AS e FROM pieces),
-tokrows AS (SELECT k, pos, token, e - length(token) AS s, e FROM toks)
 """
 
+ORACLE_SQL["qa_beam_nbest"] = f"""
+WITH {QA_CTE}, {BEAM}
+SELECT example_id, CAST(rank AS BIGINT) AS rank, text, {NBEST_OUT} FROM m"""
+
+ORACLE_SQL["qa_beam_null_odds"] = f"""
+WITH {QA_CTE}, {BEAM},
+lo AS (SELECT example_id, min(sv + ev) AS low FROM lg WHERE pos = 0 GROUP BY example_id)
+SELECT m.example_id, m.text AS prediction,
+       round(CASE WHEN m.example_id NOT IN (SELECT example_id FROM bc) THEN -2e-6 ELSE low END, 6) AS null_score
+FROM m JOIN lo USING (example_id) WHERE rank = 1"""
+
+ORACLE_SQL["repair_answers"] = f"""
+WITH r AS (SELECT item_id, CASE item_id % 5 WHEN 0 THEN '《' || text WHEN 1 THEN text || '》'
+                                       WHEN 2 THEN '「' || text WHEN 3 THEN text || '」' ELSE text END AS raw FROM benchmark)
+SELECT item_id, raw, {REPAIR.format(x='raw')} AS answer FROM r"""
+
 ORACLE_SQL["token_offsets"] = f"""
 WITH {TOKROWS.format(key='doc_id', text='text', src='documents')}
 SELECT k AS doc_id, CAST(pos AS BIGINT) AS pos, token, CAST(s AS BIGINT) AS s, CAST(e AS BIGINT) AS e FROM tokrows"""
 
-WINDOWS = """
-ntok AS (SELECT k, count(*) AS n FROM tokrows GROUP BY k),
-wins AS (SELECT k, n, w.k2 AS win
-         FROM ntok CROSS JOIN LATERAL (SELECT unnest(range(CAST(1 + ceil(greatest(n - {w}, 0) / {step}) AS BIGINT))) AS k2) w),
-wt AS (SELECT wins.k, wins.win, t.pos, t.s, t.e FROM wins JOIN tokrows t
-       ON t.k = wins.k AND t.pos >= wins.win * {step} AND t.pos < wins.win * {step} + {w})
-"""
-
 ORACLE_SQL["context_windows"] = f"""
 WITH {TOKROWS.format(key='doc_id', text='text', src='documents')}, {WINDOWS.format(w=128, step=96)}
 SELECT k AS doc_id, CAST(win AS BIGINT) AS win, CAST(min(pos) AS BIGINT) AS first_tok,
@@ -392,11 +445,11 @@ ORACLE_SQL["argmax_label"] = """
 SELECT vec_id, CAST(list_position(embedding, list_max(embedding)) - 1 AS BIGINT) AS pred,
        CAST(label AS BIGINT) AS label FROM embeddings"""
 
-ORACLE_SQL["span_accuracy"] = f"""
-WITH {QA_CTE},
-x AS (SELECT f.feature_id, list_position(sl, list_max(sl)) - 1 AS ps, list_position(el, list_max(el)) - 1 AS pe,
-             m.label AS gs, m.label + f.feature_id % 3 AS ge
-      FROM f JOIN embeddings m ON m.vec_id = f.feature_id)
+ORACLE_SQL["span_accuracy"] = """
+WITH nemb AS (SELECT count(*) AS n FROM embeddings),
+x AS (SELECT list_position(a.embedding, list_max(a.embedding)) - 1 AS ps,
+             list_position(b.embedding, list_max(b.embedding)) - 1 AS pe, a.label AS gs, a.label + a.vec_id % 3 AS ge
+      FROM embeddings a CROSS JOIN nemb JOIN embeddings b ON b.vec_id = (a.vec_id + 1) % nemb.n)
 SELECT count(*) AS n, round(avg(CASE WHEN ps = gs AND pe = ge THEN 1.0 ELSE 0.0 END), 6) AS span_acc FROM x"""
 
 # ---------------------------------------------------------------- summaries
@@ -413,8 +466,14 @@ sp AS (SELECT r.conv_id, r.turn, {STRIP.format(x='r.text')} AS ref, {STRIP.forma
        WHERE r.role = 'user' AND h.role = 'assistant')
 """
 
-ROUGE_SET_CTE = SP_CTE + f""",
-rt0 AS (SELECT conv_id, turn, {ROUGE_WORDS.format(x='pred')} AS ht, {ROUGE_WORDS.format(x='ref')} AS rt FROM sp),
+CHARS = "list_filter(string_split({x}, ''), lambda t: NOT regexp_full_match(t, '\\s*'))"
+CHAR_PAIRS = ("CASE WHEN len(" + CHARS + ") < 2 THEN " + CHARS + " ELSE list_transform(range(len(" + CHARS + ") - 1), "
+              "lambda i: " + CHARS + "[i + 1] || " + CHARS + "[i + 2]) END")
+
+
+def rouge_set_cte(words: str) -> str:
+    return SP_CTE + f""",
+rt0 AS (SELECT conv_id, turn, {words.format(x='pred')} AS ht, {words.format(x='ref')} AS rt FROM sp),
 rg AS (SELECT conv_id, turn, list_distinct(ht) AS h1, list_distinct(rt) AS r1,
               list_distinct({BIGRAMS.format(t='ht')}) AS h2, list_distinct({BIGRAMS.format(t='rt')}) AS r2 FROM rt0),
 ro AS (SELECT conv_id, turn,
@@ -425,12 +484,24 @@ ro AS (SELECT conv_id, turn,
 rf AS (SELECT conv_id, turn, 2.0 * (p1 * q1) / (p1 + q1 + 1e-8) AS f1, 2.0 * (p2 * q2) / (p2 + q2 + 1e-8) AS f2 FROM ro)
 """
 
+
+ROUGE_SET_CTE = rouge_set_cte(ROUGE_WORDS)
+for _name, _words in (("char", CHARS), ("char_bigram", CHAR_PAIRS)):
+    ORACLE_SQL[f"rouge_n_{_name}"] = f"""
+WITH {rouge_set_cte(_words)}
+SELECT conv_id, turn, round(f1, 6) AS rouge1_f, round(f2, 6) AS rouge2_f FROM rf"""
+
 ORACLE_SQL["summary_projection"] = """
 SELECT CAST(doc_id AS VARCHAR) AS id,
        CASE WHEN instr(text, chr(10)) > 0 THEN substr(text, 1, instr(text, chr(10)) - 1) ELSE text END AS title,
        CASE WHEN instr(text, chr(10)) > 0 THEN substr(text, instr(text, chr(10)) + 1) ELSE '' END AS maintext
 FROM documents"""
 
+ORACLE_SQL["pair_by_id"] = f"""
+SELECT r.conv_id, r.turn, {STRIP.format(x='r.text')} AS ref, {STRIP.format(x='h.text')} AS pred, h.conv_id IS NOT NULL AS matched
+FROM conversations r LEFT JOIN conversations h ON h.conv_id = r.conv_id AND h.turn = r.turn + 1 AND h.role = 'assistant'
+WHERE r.role = 'user'"""
+
 ORACLE_SQL["paired_summaries"] = f"WITH {SP_CTE} SELECT conv_id, turn, ref, pred FROM sp"
 
 ORACLE_SQL["strip_text"] = f"SELECT conv_id, turn, {STRIP.format(x='text')} AS text FROM conversations"
@@ -449,9 +520,10 @@ sm AS (SELECT doc_id, CAST(doc_id AS VARCHAR) AS id,
 """
 
 ORACLE_SQL["truncate_pairs"] = f"""
-WITH {SUMMARY_CTE}, t AS (SELECT id, len({WS.format(x='maintext')}) AS ns, len({WS.format(x='title')}) AS nt FROM sm)
-SELECT id, CAST(ns AS BIGINT) AS n_src, CAST(least(ns, 512) AS BIGINT) AS n_src_kept,
-       CAST(nt AS BIGINT) AS n_tgt, CAST(least(nt, 64) AS BIGINT) AS n_tgt_kept FROM t"""
+WITH {SUMMARY_CTE}, t AS (SELECT id, {WS.format(x='maintext')} AS s, {WS.format(x='title')} AS t FROM sm)
+SELECT id, CAST(len(s) AS BIGINT) AS n_src, CAST(least(len(s), 512) AS BIGINT) AS n_src_kept,
+       CAST(len(t) AS BIGINT) AS n_tgt, CAST(least(len(t), 64) AS BIGINT) AS n_tgt_kept,
+       coalesce(array_to_string(s[1:512], ' '), '') AS src_text, coalesce(array_to_string(t[1:64], ' '), '') AS tgt_text FROM t"""
 
 ORACLE_SQL["mask_labels"] = f"""
 WITH {VOCAB_CTE}, {SUMMARY_CTE},
@@ -531,7 +603,7 @@ SELECT CAST(row_number() OVER (ORDER BY day) - 1 AS BIGINT) AS row_no, round(rou
        round(rouge2, 6) AS rouge2, round(rougeL, 6) AS rougeL, round(rougeLsum, 6) AS rougeLsum,
        round(train_loss, 6) AS train_loss, CAST(date_diff('day', DATE '2000-01-01', day) AS DOUBLE) AS epoch,
        CAST(step AS DOUBLE) AS step
-FROM d WHERE rouge1 IS NOT NULL"""
+FROM d"""
 
 # ---------------------------------------------------------------- ordering
 ORACLE_SQL["predictions_indexed"] = """
@@ -552,13 +624,11 @@ SELECT * FROM wa ORDER BY doc_id, win LIMIT 200"""
 
 ORACLE_SQL["max_length"] = "SELECT CAST(max(len(string_split(text, ' '))) AS BIGINT) AS max_len FROM documents"
 
-ORACLE_SQL["qa_em_f1"] = f"""
-WITH {QQ_CTE},
-pr AS (SELECT id, substr(context, answer_start + CAST(id AS INTEGER) % 3 + 1, 20) AS prediction, answer_text FROM sq),
+EM_CORE = """
 nz AS (SELECT id,
-         list_filter({WS.format(x="regexp_replace(lower(prediction), '[!-/:-@\\[-`{{-~]', '', 'g')")},
+         list_filter(@P@,
                      lambda t: t NOT IN ('a', 'an', 'the')) AS pt,
-         list_filter({WS.format(x="regexp_replace(lower(answer_text), '[!-/:-@\\[-`{{-~]', '', 'g')")},
+         list_filter(@G@,
                      lambda t: t NOT IN ('a', 'an', 'the')) AS gt FROM pr),
 c AS (SELECT id, pt, gt, array_to_string(pt, ' ') = array_to_string(gt, ' ') AS em,
              coalesce(list_sum(list_transform(list_distinct(pt), lambda t:
@@ -569,8 +639,33 @@ f AS (SELECT id, CASE WHEN em THEN 1.0 ELSE 0.0 END AS em,
                   WHEN common = 0 THEN 0.0
                   ELSE 2 * (common / len(pt)) * (common / len(gt)) / (common / len(pt) + common / len(gt)) END AS f1
       FROM c)
+"""
+for _mark, _col in (("@P@", "prediction"), ("@G@", "answer_text")):
+    EM_CORE = EM_CORE.replace(_mark, WS.format(x=f"regexp_replace(lower({_col}), '[!-/:-@\\[-`{{-~]', '', 'g')"))
+
+ORACLE_SQL["qa_em_f1"] = f"""
+WITH {QQ_CTE},
+pr AS (SELECT id, substr(context, answer_start + CAST(id AS INTEGER) % 3 + 1, length(answer_text)) AS prediction, answer_text FROM sq),
+{EM_CORE}
 SELECT count(*) AS n, round(avg(em) * 100, 6) AS exact_match, round(avg(f1) * 100, 6) AS f1 FROM f"""
 
+ORACLE_SQL["qa_em_f1_v2"] = f"""
+WITH {QQ_CTE},
+pr AS (SELECT q.id, coalesce(q.answer_start IS NOT NULL, FALSE) AS has,
+              CASE WHEN q.answer_start IS NULL THEN '' ELSE q.answer_text END AS answer_text,
+              CASE WHEN CAST(q.id AS INTEGER) % 2 = 0 THEN ''
+                   ELSE coalesce(substr(sq.context, sq.answer_start + CAST(q.id AS INTEGER) % 3 + 1, length(sq.answer_text)),
+                                 'some text') END AS prediction
+       FROM q LEFT JOIN sq ON sq.id = q.id),
+{EM_CORE},
+g AS (SELECT f.*, has FROM f JOIN pr USING (id))
+SELECT count(*) AS n, round(avg(em) * 100, 6) AS exact_match, round(avg(f1) * 100, 6) AS f1,
+       count(*) FILTER (has) AS has_answer_n, round(avg(em) FILTER (has) * 100, 6) AS has_answer_exact_match,
+       round(avg(f1) FILTER (has) * 100, 6) AS has_answer_f1,
+       count(*) FILTER (NOT has) AS no_answer_n, round(avg(em) FILTER (NOT has) * 100, 6) AS no_answer_exact_match,
+       round(avg(f1) FILTER (NOT has) * 100, 6) AS no_answer_f1
+FROM g"""
+
 # ---------------------------------------------------------------- sources / ML
 ORACLE_SQL["concat_json"] = """
 SELECT event_id // 8 AS line_id, count(*) AS n_objects,
@@ -578,7 +673,14 @@ SELECT event_id // 8 AS line_id, count(*) AS n_objects,
 
 ORACLE_SQL["word_vectors_scan"] = """
 SELECT 'w' || CAST(vec_id AS VARCHAR) AS token, CAST(len(embedding) AS BIGINT) AS dim,
-       round(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE))), 6) AS vsum FROM embeddings"""
+       round(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE))), 6) AS vsum FROM embeddings
+WHERE vec_id % 50 <> 7
+UNION ALL
+SELECT 'w' || CAST(vec_id AS VARCHAR), 3, 6.0 FROM embeddings WHERE vec_id % 50 = 7 AND vec_id % 20 = 3"""
+
+ORACLE_SQL["word_vector_rejects"] = """
+SELECT 'w' || CAST(vec_id AS VARCHAR) AS token, CAST(len(embedding) + 2 AS BIGINT) AS n_fields FROM embeddings
+WHERE vec_id % 50 = 7"""
 
 ORACLE_SQL["vector_dim_check"] = """
 SELECT count(*) AS n_rows, CAST(min(len(embedding)) AS BIGINT) AS min_dim, CAST(max(len(embedding)) AS BIGINT) AS max_dim,
@@ -594,12 +696,61 @@ UNION ALL
 SELECT example_id, feature_id, 'missing_feature' FROM l
 WHERE NOT EXISTS (SELECT 1 FROM f WHERE l.example_id = f.example_id AND l.feature_id = f.feature_id)"""
 
+MD5 = "('0x' || substr(md5({x}), 1, 8))::BIGINT"
+
 ORACLE_SQL["max_pool_vectors"] = f"""
-WITH {VOCAB_CTE},
-n AS (SELECT count(*) AS n FROM embeddings),
-t AS (SELECT DISTINCT d.doc_id, v.id % n.n AS vec_id
-      FROM (SELECT doc_id, unnest({WS_TOKENS.format(col='text')}) AS token FROM documents) d
-      JOIN vocab v USING (token) CROSS JOIN n),
+WITH n AS (SELECT count(*) AS n FROM embeddings),
+w AS (SELECT doc_id, list_distinct({WS_TOKENS.format(col='text')}) AS ts FROM documents),
+t AS (SELECT DISTINCT doc_id, {MD5.format(x='token')} % n.n AS vec_id
+      FROM (SELECT doc_id, unnest(CASE WHEN len(ts) = 0 THEN ['[PAD]'] ELSE ts END) AS token FROM w) CROSS JOIN n),
 x AS (SELECT t.doc_id, generate_subscripts(e.embedding, 1) - 1 AS dim, unnest(e.embedding) AS v
       FROM t JOIN embeddings e USING (vec_id))
 SELECT doc_id, CAST(dim AS BIGINT) AS dim, round(CAST(max(v) AS DOUBLE), 6) AS value FROM x GROUP BY doc_id, dim"""
+
+ORACLE_SQL["sample_rows"] = f"""
+SELECT doc_id, lang FROM documents ORDER BY {MD5.format(x="'7:' || doc_id")}, doc_id LIMIT 20"""
+
+ORACLE_SQL["shuffled_order"] = f"""
+SELECT doc_id, lang, {MD5.format(x="'11:' || doc_id")} AS shuffle_key FROM documents"""
+
+ORACLE_SQL["map_batches"] = """
+WITH l AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents)
+SELECT doc_id, generate_subscripts(ls, 1) - 1 AS line_no, unnest(ls) AS line FROM l"""
+
+ORACLE_SQL["embedding_matrix"] = f"""
+WITH {VOCAB_CTE},
+a AS (SELECT token, id FROM vocab UNION ALL SELECT '[PAD]', 0 UNION ALL SELECT '[UNK]', 1),
+j AS (SELECT a.id, a.token, e.embedding FROM a LEFT JOIN embeddings e ON e.vec_id = a.id - 2 AND a.id >= 2),
+r AS (SELECT id, sum(CAST(CAST({MD5.format(x="'13:' || token || ':' || d")} % 1048576 / 1048576.0 * 2.0 - 1.0 AS FLOAT) AS DOUBLE)) AS s
+      FROM a CROSS JOIN range(64) t(d) GROUP BY id)
+SELECT CAST(j.id AS INTEGER) AS id, j.token, embedding IS NOT NULL AS matched,
+       round(CASE WHEN embedding IS NOT NULL THEN list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE)))
+                  ELSE r.s END, 6) AS vsum
+FROM j JOIN r USING (id)"""
+
+ORACLE_SQL["score_batches"] = """
+WITH e AS (SELECT vec_id, label, generate_subscripts(embedding, 1) - 1 AS i, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings),
+s AS (SELECT vec_id, any_value(label) AS label, j, sum(x * (((7 * i + 13 * j) % 11 - 5) / 4.0)) AS z
+      FROM e CROSS JOIN range(10) t(j) GROUP BY vec_id, j)
+SELECT vec_id, label, j AS pred FROM s QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY z DESC, j) = 1"""
+
+ORACLE_SQL["qa_two_stage"] = f"""
+WITH {CHOOSE_CTE}, chosen AS (SELECT ch.id, ch.text AS context FROM ch),
+{TOKROWS.format(key='id', text='context', src='chosen')}, {WINDOWS.format(w=64, step=48)},
+qs AS (SELECT DISTINCT id, word FROM qw),
+nw AS (SELECT k, win, count(*) AS n FROM wt GROUP BY k, win),
+lg AS (SELECT wt.k, wt.win, CAST(pos - wt.win * 48 + 1 AS BIGINT) AS p, wt.s AS cs, wt.e AS ce,
+              CAST(CASE WHEN qs.word IS NOT NULL THEN 1 ELSE 0 END AS DOUBLE) - (pos - wt.win * 48) * 0.001::DOUBLE AS sv
+       FROM wt JOIN tokrows t USING (k, pos) LEFT JOIN qs ON qs.id = wt.k AND qs.word = t.token
+       UNION ALL SELECT k, win, 0, NULL, NULL, -1.0 FROM nw),
+se AS (SELECT lg.*, coalesce(lead(sv) OVER (PARTITION BY k, win ORDER BY p), -1.0) AS ev FROM lg),
+st AS (SELECT *, row_number() OVER (PARTITION BY k, win ORDER BY sv DESC, p) - 1 AS rk FROM se),
+en AS (SELECT *, row_number() OVER (PARTITION BY k, win ORDER BY ev DESC, p) - 1 AS rk FROM se),
+c AS (SELECT a.k, a.win, a.sv + b.ev AS score, a.rk AS srk, b.rk AS erk, a.cs, b.ce
+      FROM st a JOIN en b ON a.k = b.k AND a.win = b.win AND a.rk < 20 AND b.rk < 20
+      WHERE a.p >= 1 AND b.p >= a.p AND b.p - a.p + 1 <= 30),
+b AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY k ORDER BY score DESC, win, srk, erk) = 1),
+pr AS (SELECT chosen.id, CASE WHEN b.k IS NULL THEN 'empty'
+                              ELSE substr(context, CAST(cs + 1 AS BIGINT), CAST(ce - cs AS BIGINT)) END AS text
+       FROM chosen LEFT JOIN b ON b.k = chosen.id)
+SELECT id, text AS prediction, {REPAIR.format(x='text')} AS answer FROM pr"""

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.text import split_ws
-from tessera.session import table
+from tessera.session import cut_lineage, table
 
 
 def tag_sequences(spark, sf) -> DataFrame:
@@ -38,17 +38,22 @@ def tag_sequences(spark, sf) -> DataFrame:
 # QA stand-ins --------------------------------------------------------------
 # Fixed rules:
 # - relevant document of a benchmark item = smallest doc_id whose text
-#   contains the item text; items without such a document are dropped.
+#   contains the item text; an item without such a document takes document
+#   item_id % n_documents and has no answer start.
 # - distractor k (1..3) = (relevant + 101*k + item_id) % n_documents; the
 #   relevant id sits at position item_id % 4, distractors fill the other
-#   positions in order of k.
-# - question = characters 1-20 of the passage, answer = characters 21-40,
-#   answer start = offset of the passage in the document + 20.
-# - QA features: one per embeddings row; example = vec_id div 2 (context =
-#   document doc_id = example), start logits = the row's vector, end logits =
-#   the vector of row (vec_id + 1) % n_rows; token 0 is CLS and tokens above
-#   60 are not context (null offsets); token p >= 1 covers characters
-#   [b + 4(p-1), b + 4(p-1) + 3) with b = 100 * (vec_id % 2).
+#   positions in order of k.  Items with item_id % 10 = 9 list three
+#   paragraphs only, which the multiple-choice rows have to reject.
+# - question = answer = the whole passage, answer start = its offset in the
+#   relevant document.
+# - QA examples = all documents; features = their windows of 384 tokens that
+#   share 128, a CLS token first.  Logits of document d's token t, and of the
+#   CLS token of window w (whole numbers modulo primes, over 100):
+#     start: (7919 d + 10473 t + 31 t t) % 997 / 100 - 5; CLS (13 d + 7 w) % 400 / 100
+#     end:   (5501 d + 7727 t + 17 t t) % 991 / 100 - 5; CLS (11 d + 5 w) % 400 / 100 - 2
+QA_WINDOW, QA_OVERLAP = 384, 128
+
+
 def qa_questions(spark, sf) -> DataFrame:
     from tessera.operators.mc import containing_docs
     docs = table(spark, sf, "documents")
@@ -56,53 +61,58 @@ def qa_questions(spark, sf) -> DataFrame:
     hits = containing_docs(bench, docs)
     rel = (hits.groupBy("item_id")
            .agg(F.min_by(F.struct("doc_id", "char_start"), F.col("doc_id")).alias("r"))
-           .select("item_id", F.col("r.doc_id").alias("relevant"), F.col("r.char_start").alias("char_start")))
+           .select("item_id", F.col("r.doc_id").alias("found"), F.col("r.char_start").alias("char_start")))
+    rel = cut_lineage(rel)  # three numbers an item: looked up once, read by every branch of the plan
     n_docs = docs.select(F.count(F.lit(1))).scalar()
-    q = rel.join(bench, "item_id").withColumn("n_docs", n_docs)
+    q = bench.join(rel, "item_id", "left").withColumn("n_docs", n_docs)
+    q = q.withColumn("relevant", F.coalesce("found", F.col("item_id") % F.col("n_docs")))
     rp = F.col("item_id") % 4
     paragraphs = F.transform(F.sequence(F.lit(0), F.lit(3)), lambda p: F.when(p == rp, F.col("relevant"))
                              .otherwise((F.col("relevant") + 101 * F.when(p < rp, p + 1).otherwise(p)
                                          + F.col("item_id")) % F.col("n_docs")))
+    listed = F.slice(paragraphs, 1, F.when(F.col("item_id") % 10 == 9, 3).otherwise(4))
     return q.select(F.col("item_id").cast("string").alias("id"), "item_id",
-                    F.substring("text", 1, 20).alias("question"), paragraphs.alias("paragraphs"),
-                    "relevant",
-                    F.struct(F.substring("text", 21, 20).alias("text"),
-                             (F.col("char_start") + 20).cast("int").alias("start")).alias("answer"))
+                    F.col("text").alias("question"), listed.alias("paragraphs"), "relevant",
+                    F.struct("text", F.col("char_start").cast("int").alias("start")).alias("answer"))
 
 
 def context_pool(spark, sf) -> DataFrame:
     return table(spark, sf, "documents").select(F.col("doc_id").alias("ctx_id"), "text")
 
 
+def qa_examples(spark, sf) -> DataFrame:
+    return table(spark, sf, "documents").select(F.col("doc_id").alias("example_id"), F.col("text").alias("context"))
+
+
 def qa_features(spark, sf) -> DataFrame:
-    emb = table(spark, sf, "embeddings")
-    n = emb.select(F.count(F.lit(1))).scalar()
-    nxt = emb.select(F.col("vec_id").alias("nid"), F.col("embedding").alias("end_vec"))
-    j = emb.join(nxt, F.col("nid") == (F.col("vec_id") + 1) % n)
-    base = F.lit(100) * (F.col("vec_id") % 2)
-    offsets = F.transform(F.sequence(F.lit(0), F.size("embedding") - 1), lambda p: F.when(
-        (p >= 1) & (p <= 60),
-        F.struct((base + 4 * (p - 1)).alias("s"), (base + 4 * (p - 1) + 3).alias("e"))))
-    return j.select((F.col("vec_id") / 2).cast("long").alias("example_id"),
-                    F.col("vec_id").alias("feature_id"), offsets.alias("offsets"),
-                    F.col("embedding").cast("array<double>").alias("start_logits"),
-                    F.col("end_vec").cast("array<double>").alias("end_logits"))
+    from tessera.operators.spans import context_windows, token_offsets
+    tok = token_offsets(table(spark, sf, "documents"), "doc_id", "text")
+    win = context_windows(tok, "doc_id", QA_WINDOW, QA_OVERLAP, keep=("offsets",))
+    d, w = F.col("doc_id"), F.col("win")
 
+    def logits(a, b, c, mod, cls):
+        own = F.transform("offsets", lambda o, i: _logit(a, b, c, mod, d, F.col("first_tok").cast("long") + i))
+        return F.concat(F.array(cls), own)
 
-def qa_examples(spark, sf) -> DataFrame:
-    """Examples = documents that some feature points at."""
-    ex = table(spark, sf, "documents").select(F.col("doc_id").alias("example_id"),
-                                              F.col("text").alias("context"))
-    return ex.join(qa_features(spark, sf).select("example_id"), "example_id", "left_semi")
+    none = F.array(F.lit(None).cast("struct<s:int,e:int>"))
+    return win.select(d.alias("example_id"), (d * 100_000 + w).alias("feature_id"),
+                      F.concat(none, F.col("offsets").cast("array<struct<s:int,e:int>>")).alias("offsets"),
+                      logits(7919, 10473, 31, 997, ((13 * d + 7 * w) % 400).cast("double") / 100).alias("start_logits"),
+                      logits(5501, 7727, 17, 991, ((11 * d + 5 * w) % 400).cast("double") / 100 - 2).alias("end_logits"))
+
+
+def _logit(a, b, c, mod, d, t):
+    return ((a * d + b * t + c * t * t) % mod).cast("double") / 100 - 5
 
 
 def qa_beams(spark, sf) -> DataFrame:
     """Beam layout from the same features: start slots = top-5 start
     positions, end slot i*5+j = the j-th best end position among those at or
-    after start slot i's position (rank order; logits as log-probs)."""
+    after start slot i's position (rank order; logits as log-probs); the null
+    score is the CLS token's start + end logit."""
     from tessera.operators.qa import top_positions
     f = qa_features(spark, sf).select("*", top_positions(F.col("start_logits"), 5).alias("_st"),
-                                      top_positions(F.col("end_logits"), 64).alias("_en"))
+                                      top_positions(F.col("end_logits"), QA_WINDOW + 1).alias("_en"))
     st, ends = F.col("_st"), F.col("_en")
     per_start = F.transform(st, lambda s: F.slice(F.filter(ends, lambda e: e["pos"] >= s["pos"]), 1, 5))
     padded = F.transform(per_start, lambda l: F.concat(l, F.array_repeat(
@@ -112,21 +122,27 @@ def qa_beams(spark, sf) -> DataFrame:
                     F.transform(st, lambda s: s["v"]).alias("start_log_probs"),
                     F.transform(st, lambda s: s["pos"]).alias("start_index"),
                     F.transform(flat, lambda e: e["v"]).alias("end_log_probs"),
-                    F.transform(flat, lambda e: e["pos"]).alias("end_index"))
+                    F.transform(flat, lambda e: e["pos"]).alias("end_index"),
+                    (F.col("start_logits")[0] + F.col("end_logits")[0]).alias("cls_logit"))
 
 
 # Summarisation stand-ins ---------------------------------------------------
 # Fixed rules: a reference/prediction pair is a user turn (reference) and the
 # assistant turn that directly follows it in the same conversation
 # (prediction); a document's title is its first line, its main text the rest.
-def summary_pairs(spark, sf) -> DataFrame:
+def all_pairs(spark, sf) -> DataFrame:
+    """Every user turn with the assistant turn after it (NULL and not matched where there is none)."""
     from tessera.functions.text import strip_ws
+    from tessera.operators.pairs import pair_by_id
     c = table(spark, sf, "conversations")
-    ref = c.where(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("ref"))
+    ref = c.where(F.col("role") == "user").select("conv_id", "turn", strip_ws("text").alias("ref"))
     hyp = c.where(F.col("role") == "assistant").select(
-        "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("pred"))
-    return ref.join(hyp, ["conv_id", "turn"], "inner").select(
-        "conv_id", "turn", strip_ws("ref").alias("ref"), strip_ws("pred").alias("pred"))
+        "conv_id", (F.col("turn") - 1).alias("turn"), strip_ws("text").alias("pred"))
+    return pair_by_id(ref, hyp, ["conv_id", "turn"], strict=False)
+
+
+def summary_pairs(spark, sf) -> DataFrame:
+    return all_pairs(spark, sf).where("matched").drop("matched")
 
 
 def summaries(spark, sf) -> DataFrame:

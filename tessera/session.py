@@ -27,10 +27,6 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        # explode-derived `size(x) > 0` filters get pushed below projections and
-        # re-run expensive array expressions; the operators filter explicitly
-        .config("spark.sql.optimizer.excludedRules",
-                "org.apache.spark.sql.catalyst.optimizer.InferFiltersFromGenerate")
         .config("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEMORY", "16g"))
     )
     for k, v in (extra or {}).items():
@@ -42,11 +38,16 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir`` (a shared folder); only when
-    it is unset (local tests) create a scratch folder for it."""
+    """The shared folder that ``spark.checkpoint.dir`` names.  Only a local
+    master without that setting (tests) gets a scratch folder; on a cluster a
+    machine-local folder would lose data, so the setting is asked for."""
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
-        current = spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="tessera-ckpt-")
+        current = spark.sparkContext.getCheckpointDir()
+        master = spark.sparkContext.master
+        if not current and (not master.startswith("local") or master.startswith("local-cluster")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        current = current or tempfile.mkdtemp(prefix="tessera-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(current)
