@@ -7,9 +7,9 @@
    combined before the shuffle): a group of copies costs one representative.
 3. Representatives that share a band key are candidates.  No bucket is paired
    up: in every round each bucket names hubs (first one, the member that shares
-   most buckets with others; then 64, 1024, ... spread by hash) and members are
-   compared with hubs alone.  A hub has then met its whole bucket and leaves
-   it; a bucket ends when its members are in one component.  Nothing is capped:
+   most buckets with others; then up to 64, spread by hash) and members are
+   compared with hubs alone (then 256, ...).  A hub has then met its whole bucket and leaves
+   it; a bucket ends when its members are known to be connected.  Nothing is capped:
    a pair of members is skipped only if already connected or if it cannot reach
    the threshold.  The proof of that is exact: after the first round the
    shingles of the open buckets' texts are counted, and a text of n shingles, u
@@ -35,6 +35,7 @@ gives an empty result; other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +49,7 @@ from tessera.llm.textvec import (BLOCK_BYTES, Words, by_doc, distinct_pairs, low
 SHINGLE = 5
 BANDS, ROWS = 48, 7
 LANES = 16  # of 4 bits in a long
+HUBS = 64   # that a large bucket names in the second round, four times as many in each further one
 
 
 def _long_lists(flat: np.ndarray, first: np.ndarray) -> pa.Array:
@@ -170,6 +172,18 @@ def _open(rows: DataFrame, percent: int) -> DataFrame:
     return able.join(two, "key", "left_semi")
 
 
+def _labels(links: DataFrame) -> DataFrame:
+    """(id, comp): the smallest node within two links of each linked node.
+
+    Equal labels prove that nodes are connected (a star gets one label), which
+    is all that skipping pairs needs; whole components follow at the end."""
+    both = links.select(F.col("a").alias("id"), F.col("b").alias("to")).unionByName(
+        links.select(F.col("b").alias("id"), F.col("a").alias("to")))
+    one = both.groupBy("id").agg(F.min("to").alias("m")).select("id", F.least("id", "m").alias("m"))
+    two = (both.join(one.select(F.col("id").alias("to"), "m"), "to").groupBy("id").agg(F.min("m").alias("comp")))
+    return two.select("id", F.least("id", "comp").alias("comp"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80,
                     shingle: int = SHINGLE, bands: int = BANDS, rows: int = ROWS, slack: float = 0.15) -> DataFrame:
     """One row per row of ``docs``: id, n_shingles, component_id (smallest id reachable), kept."""
@@ -189,29 +203,39 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                   .select("key", "id", "w", "n", F.col("n").alias("u"), F.col("id").alias("comp")))
     forget(first)
     lanes = sig.select("id", "sig")
-    links, width, turn = None, 1, 0
+    links, turn = [], 0
     while not live.isEmpty():
-        hubs = (live.groupBy("key", F.pmod(F.xxhash64("id", F.lit(turn)), F.lit(width)).alias("part"))
-                .agg(F.max(F.struct("w", (-F.col("id")).alias("minus"), "comp", "n", "u")).alias("h"))
+        was = live
+        if turn:  # a small bucket ends in one round: each member is a hub; a large one names more hubs each round
+            wide = HUBS * 4 ** (turn - 1)
+            size = live.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
+            # a pair that shares several open buckets meets in the smallest of them alone
+            own = live.groupBy("id").agg(F.collect_list("key").alias("ks"))  # at most one for each band
+            live = live.join(own, "id")
+            part = F.when(F.col("size") <= HUBS, F.col("id")).otherwise(F.pmod(F.xxhash64("id", F.lit(turn)), F.lit(wide)))
+            dealt = live.join(size, "key").withColumn("part", part)
+        else:
+            live = live.withColumn("ks", F.array(F.col("key")))
+            dealt = live.withColumn("part", F.lit(0))
+        hubs = (dealt.groupBy("key", "part")
+                .agg(F.max(F.struct("w", (-F.col("id")).alias("minus"), "comp", "n", "u", "ks")).alias("h"))
                 .select("key", (-F.col("h.minus")).alias("hub"), F.col("h.comp").alias("hub_comp"),
-                        F.col("h.n").alias("hub_n"), F.col("h.u").alias("hub_u")))
+                        F.col("h.n").alias("hub_n"), F.col("h.u").alias("hub_u"), F.col("h.ks").alias("hub_ks")))
         hubs = stored(hubs)
         both = F.least("u", "hub_u")
-        pairs = (live.join(hubs, "key").where("id <> hub and comp <> hub_comp")
+        meet = F.lit(True) if turn == 0 else F.array_min(F.array_intersect("ks", "hub_ks")) == F.col("key")
+        pairs = (live.join(hubs, "key").where("id <> hub and comp <> hub_comp").where(meet)
                  .where(F.lit(100) * both >= F.lit(percent) * (F.col("n") + F.col("hub_n") - both))
                  .select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct())
         close = (pairs.join(lanes.select(F.col("id").alias("a"), F.col("sig").alias("sa")), "a")
                  .join(lanes.select(F.col("id").alias("b"), F.col("sig").alias("sb")), "b")
                  .where(estimate("sa", "sb", bands * rows) >= percent / 100 - slack).select("a", "b"))
         close = stored(close)
-        found = stored(confirm(close, src, percent, shingle))
-        known = found if links is None else found.unionByName(links.select(F.col("u").alias("a"), F.col("v").alias("b")))
-        old, links = links, components(known)
-        rest = live.join(hubs.select("key", F.col("hub").alias("id")), ["key", "id"], "left_anti")
-        rest = (rest.join(links.select(F.col("u").alias("id"), F.col("v").alias("to")), "id", "left")
-                .select("key", "id", "w", "n", "u", F.coalesce("to", "id").alias("comp")))
-        rest = stored(rest)
-        spare = [live, rest, hubs, close, found, *([old] if old is not None else [])]
+        links.append(stored(confirm(close, src, percent, shingle)))
+        rest = live.drop("comp", "ks").join(hubs.select("key", F.col("hub").alias("id")), ["key", "id"], "left_anti")
+        rest = stored(rest.join(_labels(reduce(DataFrame.unionByName, links)), "id", "left")
+                      .withColumn("comp", F.coalesce("comp", "id")))
+        spare = [was, rest, hubs, close]
         live = stored(_open(rest, percent))
         if turn == 0 and not live.isEmpty():
             lone = lone_shingles(live.select("id").distinct(), src, shingle)
@@ -220,10 +244,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                                 .drop("lone"), percent))
         forget(*spare)
         turn += 1
-        width = 64 if width == 1 else width * 16
-    out = member if links is None else member.join(
-        links.select(F.col("u").alias("rep"), F.col("v").alias("comp")), "rep", "left")
-    top = F.col("rep") if links is None else F.coalesce("comp", "rep")
+    out, top = member, F.col("rep")
+    if links:
+        comp = components(reduce(DataFrame.unionByName, links))
+        out = member.join(comp.select(F.col("u").alias("rep"), F.col("v").alias("comp")), "rep", "left")
+        top = F.coalesce("comp", "rep")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), top.alias("component_id"),
                       F.coalesce(F.col("id") == top, F.lit(True)).alias("kept"))
 
