@@ -11,7 +11,7 @@ held-out counts: a tenth of the training texts (``em_of_ten``) is set apart, the
 others' counts give the three estimates of its tokens, and the weights of each
 bucket maximise its likelihood.  The final model counts all training texts.
 
-Texts are dealt by a hash of their id to chunks of about ``chunk_bytes`` (16 MB)
+Texts are dealt by a hash of their id to chunks of about ``chunk_bytes`` (5 MB)
 of text, so a chunk fits a task and their number grows with the input.
 
 1. Each chunk emits its distinct unigrams and bigrams as sorted 64-bit hashes
@@ -44,9 +44,10 @@ from pyspark.sql import functions as F
 from tessera.llm.base import apart, held_out, stored, table
 from tessera.llm.textvec import Words, lower_ascii, mix, text_block
 
-CHUNK_BYTES = 16_000_000
+CHUNK_BYTES = 5_000_000
 MAX_RANGES = 200_000
-BLOCK = 3_000_000
+BLOCK = 1_500_000
+BIG_BITS = 56  # of a bigram's hash; a unigram's has 64
 BUCKETS = 48
 UNI, BI, SUMS = 0, 1, 2
 _START, _END = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)
@@ -75,7 +76,7 @@ def tokens(col: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     ctx = np.empty_like(tok)
     ctx[1:] = tok[:-1]
     ctx[first[:-1]] = _START
-    return tok, mix(ctx * np.uint64(0xD1342543DE82EF95) + tok), first
+    return tok, mix(ctx * np.uint64(0xD1342543DE82EF95) + tok) >> np.uint64(64 - BIG_BITS), first
 
 
 def pack(x: np.ndarray) -> bytes:
@@ -96,9 +97,9 @@ def _local(h: np.ndarray, counted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return s[at], (c[np.append(at[1:], len(s))] - c[at]).astype(np.int64) if len(s) else np.zeros(0, np.int64)
 
 
-def _ranges(h: np.ndarray, n: int) -> np.ndarray:
-    """First index of each of ``n`` equal hash ranges in sorted hashes."""
-    edges = ((np.arange(1, n, dtype=object) << 64) // n).astype(np.uint64) if n > 1 else np.zeros(0, np.uint64)
+def _ranges(h: np.ndarray, n: int, bits: int) -> np.ndarray:
+    """First index of each of ``n`` equal ranges in sorted hashes of ``bits`` bits."""
+    edges = ((np.arange(1, n, dtype=object) << bits) // n).astype(np.uint64) if n > 1 else np.zeros(0, np.uint64)
     return np.concatenate([[0], np.searchsorted(h, edges), [len(h)]])
 
 
@@ -114,9 +115,9 @@ def emitted(rows: DataFrame, n_ranges: int) -> DataFrame:
         counted = np.repeat(np.asarray(t.column("train")), np.diff(first))
         out = []
         chunk, em = t.column("chunk")[0].as_py(), t.column("em")[0].as_py()
-        for kind, x in ((UNI, tok), (BI, big)):
+        for kind, x, bits in ((UNI, tok, 64), (BI, big, BIG_BITS)):
             h, c = _local(x, counted)
-            at = _ranges(h, n_ranges)
+            at = _ranges(h, n_ranges, bits)
             out += [(r, chunk, em, kind, pack(h[a:b]), pack(c[a:b]))
                     for r, (a, b) in enumerate(zip(at[:-1], at[1:])) if b > a]
         return pa.Table.from_arrays([pa.array(x, y) for x, y in zip(zip(*out), kinds)], names=names)
