@@ -52,9 +52,13 @@ def read_contexts(spark: SparkSession, path: str) -> DataFrame:
         F.col("ctx_id").cast("long").alias("ctx_id"), "text")
 
 
-def read_word_vectors(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Word-vector text -> (vectors token/vector, rejected lines)."""
-    return parse_word_vectors(spark.read.text(path))
+def read_word_vectors(spark: SparkSession, path: str, vocab: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Word-vector text -> (vectors token/vector, rejected lines).  A line's
+    order is its file, the block it was read from and its place in that block:
+    the first line may be a header, and a repeated word keeps its last line."""
+    lines = spark.read.text(path).select("value", F.struct(
+        F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("_no"))
+    return parse_word_vectors(lines, order_col="_no", vocab=vocab)
 
 
 def read_label_map(spark: SparkSession, path: str) -> DataFrame:
