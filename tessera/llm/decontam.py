@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from tessera.llm.base import apart, map_text, table
 
 Q = 8
-RATE = 0.05
+RATE = 0.1
 SHARD_BYTES = 4_000_000
 MAP_BITS = 22
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)

@@ -40,9 +40,10 @@ def corpus(seed=2):
     return items, docs
 
 
-def test_matches_brute_force():
+@pytest.mark.parametrize("rate", [0.0, 0.05, 0.1])
+def test_matches_brute_force(rate):
     items, docs = corpus()
-    index = ItemIndex([(i, t.encode()) for i, t in items], 0.05)
+    index = ItemIndex([(i, t.encode()) for i, t in items], rate)
     raw = [t.encode() for _, t in docs]
     offs = np.concatenate([[0], np.cumsum([len(x) for x in raw])])
     got = {k: v[0] for k, v in matches(index, np.frombuffer(b"".join(raw), np.uint8), offs).items()}
@@ -52,7 +53,7 @@ def test_matches_brute_force():
             e = edits(index.text[j], t.encode())
             if e <= index.edits[j]:
                 want[d, j] = e
-    assert got == want and len(want) > 20 and len(set(want.values())) > 2
+    assert got == want and len(want) > 10 and (rate == 0 or len(set(want.values())) > 2)
 
 
 @pytest.mark.parametrize("seed", range(5))
