@@ -4,7 +4,7 @@ context choice by TF-IDF cosine."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.text import split_ws
@@ -26,8 +26,8 @@ def _shingle_hashes(tokens_col: str, n: int = 3):
                        lambda x: F.xxhash64(F.concat_ws(" ", x["a"], x["b"], x["c"])))
 
 
-def _substrings(word: str, sizes: str):
-    """All substrings of a word with the lengths in an array column."""
+def _substrings(word: Column, sizes: Column) -> Column:
+    """All substrings of a word with the lengths in an array."""
     return F.array_distinct(F.flatten(F.transform(
         F.filter(sizes, lambda n: n <= F.length(word)),
         lambda n: F.transform(F.sequence(F.lit(1), F.length(word) - n + 1), lambda i: F.substring(word, i, n)))))
@@ -48,8 +48,8 @@ def containing_docs(passages: DataFrame, docs: DataFrame, pkey: str = "item_id",
       of the probes' lengths), then the documents that hold such a word.
 
     A semi join on bounded hash slots drops grams without a probe before any
-    shuffle; the short-passage branch has no rows to scan where no passage is
-    short (an empty broadcast side ends it at runtime).  A blank passage
+    shuffle; the short-passage branch lets no document through where no passage
+    is short.  A blank passage
     matches nothing."""
     pt = F.col("pt")
     n = F.size(pt)
@@ -62,13 +62,16 @@ def containing_docs(passages: DataFrame, docs: DataFrame, pkey: str = "item_id",
     cand = likely_keys(held, "h", long.select("h")).join(long, "h").select(pkey, dkey)
 
     short = words.where(n <= 2).select(pkey, pt[0].alias("probe"), (n == 1).alias("single"))
-    sizes = short.agg(F.collect_set(F.length("probe")).alias("sizes"))  # one row: the distinct lengths
-    vocab = toks.select(F.explode_outer("dt").alias("word")).where(F.col("word").isNotNull()).distinct()
-    parts = vocab.crossJoin(F.broadcast(sizes)).where(F.size("sizes") > 0)
-    parts = parts.select("word", F.explode_outer(_substrings("word", "sizes")).alias("probe")).where(F.col("probe").isNotNull())
+    # no document goes on below where no passage is short: a semi join on a constant with at most one row
+    always = F.pmod(F.xxhash64(F.col(pkey)), F.lit(1)).alias("_any")
+    toks_s = (toks.withColumn("_any", F.pmod(F.xxhash64(F.col(dkey)), F.lit(1)))
+              .join(F.broadcast(short.select(always).limit(1)), "_any", "left_semi"))
+    vocab = toks_s.select(F.explode_outer("dt").alias("word")).where(F.col("word").isNotNull()).distinct()
+    parts = vocab.withColumn("sizes", short.select(F.collect_set(F.length("probe"))).scalar())
+    parts = parts.select("word", F.explode_outer(_substrings(F.col("word"), F.col("sizes"))).alias("probe")).where(F.col("probe").isNotNull())
     words_hit = parts.join(short, "probe").where(F.col("single") | F.col("word").endswith(F.col("probe"))).select(pkey, "word")
     by_word = words_hit.select(pkey, F.xxhash64("word").alias("h"))
-    one = toks.select(dkey, F.explode_outer(F.transform(F.array_distinct("dt"), lambda t: F.xxhash64(t))).alias("h"))
+    one = toks_s.select(dkey, F.explode_outer(F.transform(F.array_distinct("dt"), lambda t: F.xxhash64(t))).alias("h"))
     cand_short = likely_keys(one.where(F.col("h").isNotNull()), "h", by_word.select("h")).join(by_word, "h").select(pkey, dkey)
 
     cand = cand.unionByName(cand_short).distinct()
