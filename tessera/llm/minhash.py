@@ -7,9 +7,10 @@
    combined before the shuffle): a group of copies costs one representative.
 3. Representatives that share a band key are candidates.  No bucket is paired
    up: in every round each bucket names hubs (first one, the member that shares
-   most buckets with others; then up to 64, spread by hash) and members are
-   compared with hubs alone (then 256, ...).  A hub has then met its whole bucket and leaves
-   it; a bucket ends when its members are known to be connected.  Nothing is capped:
+   most buckets with others; then up to 256 of those outside its largest
+   component, spread by hash; then 1024, ...) and members are compared with hubs
+   alone.  A hub has then met its whole bucket and leaves it; a bucket ends when
+   its members are known to be connected.  Nothing is capped:
    a pair of members is skipped only if already connected or if it cannot reach
    the threshold.  The proof of that is exact: after the first round the
    shingles of the open buckets' texts are counted, and a text of n shingles, u
@@ -49,7 +50,7 @@ from tessera.llm.textvec import (BLOCK_BYTES, Words, by_doc, distinct_pairs, low
 SHINGLE = 5
 BANDS, ROWS = 48, 7
 LANES = 16  # of 4 bits in a long
-HUBS = 64   # that a large bucket names in the second round, four times as many in each further one
+HUBS = 256  # that a large bucket names in the second round, four times as many in each further one
 
 
 def _long_lists(flat: np.ndarray, first: np.ndarray) -> pa.Array:
@@ -206,16 +207,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links, turn = [], 0
     while not live.isEmpty():
         was = live
-        if turn:  # a small bucket ends in one round: each member is a hub; a large one names more hubs each round
+        if turn:  # members outside a bucket's largest component are hubs: all at once where they are few
             wide = HUBS * 4 ** (turn - 1)
-            size = live.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
+            tally = live.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"))
+            size = (tally.groupBy("key").agg(F.max(F.struct("c", "comp")).alias("top"), F.sum("c").alias("size"))
+                    .select("key", F.col("top.comp").alias("main"), (F.col("size") - F.col("top.c")).alias("size")))
             # a pair that shares several open buckets meets in the smallest of them alone
             own = live.groupBy("id").agg(F.collect_list("key").alias("ks"))  # at most one for each band
-            live = live.join(own, "id")
+            live = live.join(own, "id").join(size, "key")
             part = F.when(F.col("size") <= HUBS, F.col("id")).otherwise(F.pmod(F.xxhash64("id", F.lit(turn)), F.lit(wide)))
-            dealt = live.join(size, "key").withColumn("part", part)
+            dealt = live.where("comp <> main").withColumn("part", part)
         else:
-            live = live.withColumn("ks", F.array(F.col("key")))
+            live = live.withColumns({"ks": F.array(F.col("key")), "main": F.col("comp"), "size": F.lit(0)})
             dealt = live.withColumn("part", F.lit(0))
         hubs = (dealt.groupBy("key", "part")
                 .agg(F.max(F.struct("w", (-F.col("id")).alias("minus"), "comp", "n", "u", "ks")).alias("h"))
@@ -223,7 +226,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                         F.col("h.n").alias("hub_n"), F.col("h.u").alias("hub_u"), F.col("h.ks").alias("hub_ks")))
         hubs = stored(hubs)
         both = F.least("u", "hub_u")
-        meet = F.lit(True) if turn == 0 else F.array_min(F.array_intersect("ks", "hub_ks")) == F.col("key")
+        meet = F.lit(True)
+        if turn:  # in one bucket, and once where both are hubs
+            meet = ((F.array_min(F.array_intersect("ks", "hub_ks")) == F.col("key"))
+                    & ((F.col("comp") == F.col("main")) | (F.col("size") > HUBS) | (F.col("id") < F.col("hub"))))
         pairs = (live.join(hubs, "key").where("id <> hub and comp <> hub_comp").where(meet)
                  .where(F.lit(100) * both >= F.lit(percent) * (F.col("n") + F.col("hub_n") - both))
                  .select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct())
@@ -232,7 +238,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                  .where(estimate("sa", "sb", bands * rows) >= percent / 100 - slack).select("a", "b"))
         close = stored(close)
         links.append(stored(confirm(close, src, percent, shingle)))
-        rest = live.drop("comp", "ks").join(hubs.select("key", F.col("hub").alias("id")), ["key", "id"], "left_anti")
+        rest = live.drop("comp", "ks", "main", "size").join(hubs.select("key", F.col("hub").alias("id")), ["key", "id"], "left_anti")
         rest = stored(rest.join(_labels(reduce(DataFrame.unionByName, links)), "id", "left")
                       .withColumn("comp", F.coalesce("comp", "id")))
         spare = [was, rest, hubs, close]
