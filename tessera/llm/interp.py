@@ -16,9 +16,9 @@ of text, so a chunk fits a task and their number grows with the input.
 
 1. Each chunk emits its distinct unigrams and bigrams as sorted 64-bit hashes
    with local counts, packed by hash range: one row for each range and chunk.
-2. Each range adds up its chunks' counts and sends every chunk the totals that
-   differ from its own counts; a gram that no other chunk holds costs nothing on
-   the way back.  These rows are written once to the shared folder.
+2. Each range adds up its chunks' counts and answers every chunk with the totals
+   of its grams, in the order in which the chunk sent them, so that no hash
+   travels back.  These rows are written once to the shared folder.
 3. The texts meet their chunk's totals (a cogroup by chunk) and are scored, or,
    for the texts set apart, turned into a histogram of (bucket, bigram ratio,
    unigram ratio), ratios in steps of an eighth of an octave; the driver runs the
@@ -88,6 +88,15 @@ def unpack(b: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(8, -1).T).view("<u8").ravel()
 
 
+def pack_sorted(x: np.ndarray) -> bytes:
+    """Ascending numbers as their differences."""
+    return pack(np.diff(x, prepend=np.uint64(0)))
+
+
+def unpack_sorted(b: bytes) -> np.ndarray:
+    return np.cumsum(unpack(b), dtype=np.uint64)
+
+
 def _local(h: np.ndarray, counted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct hashes, sorted, and how many of each are in counted texts."""
     order = np.argsort(h)
@@ -104,7 +113,7 @@ def _ranges(h: np.ndarray, n: int, bits: int) -> np.ndarray:
 
 
 OUT = "part int, chunk long, em boolean, kind int, h binary, c binary"
-BACK = "chunk long, kind int, h binary, c binary, rest binary"
+BACK = "chunk long, kind int, part int, c binary, rest binary"
 
 
 def emitted(rows: DataFrame, n_ranges: int) -> DataFrame:
@@ -118,7 +127,7 @@ def emitted(rows: DataFrame, n_ranges: int) -> DataFrame:
         for kind, x, bits in ((UNI, tok, 64), (BI, big, BIG_BITS)):
             h, c = _local(x, counted)
             at = _ranges(h, n_ranges, bits)
-            out += [(r, chunk, em, kind, pack(h[a:b]), pack(c[a:b]))
+            out += [(r, chunk, em, kind, pack_sorted(h[a:b]), pack(c[a:b]))
                     for r, (a, b) in enumerate(zip(at[:-1], at[1:])) if b > a]
         return pa.Table.from_arrays([pa.array(x, y) for x, y in zip(zip(*out), kinds)], names=names)
 
@@ -128,7 +137,7 @@ def emitted(rows: DataFrame, n_ranges: int) -> DataFrame:
 
 
 def totals(rows: DataFrame) -> DataFrame:
-    """For each chunk the totals that differ from its own counts, and each range's sums (chunk -1).
+    """For each chunk and range the totals of the grams it sent, and each range's sums (chunk -1).
 
     ``rest`` holds totals without the texts set apart, for chunks of such texts.
     A sums row has (N, V) of all training texts in ``c`` and without those set
@@ -138,53 +147,40 @@ def totals(rows: DataFrame) -> DataFrame:
         out = []
         n = np.zeros(2, np.int64)
         v = np.zeros(2, np.int64)
+        part = t.column("part")[0].as_py()
         for kind in (UNI, BI):
             rows = [r for r in t.to_pylist() if r["kind"] == kind]
             if not rows:
                 continue
-            hs, cs = [unpack(r["h"]) for r in rows], [unpack(r["c"]).astype(np.int64) for r in rows]
-            h = np.concatenate(hs)
-            uniq, inv = np.unique(h, return_inverse=True)
-            em = np.repeat([r["em"] for r in rows], [len(x) for x in hs])
-            c = np.concatenate(cs)
+            hs = [unpack_sorted(r["h"]) for r in rows]
+            size = [len(x) for x in hs]
+            c = np.concatenate([unpack(r["c"]) for r in rows]).astype(np.int64)
+            uniq, inv = np.unique(np.concatenate(hs), return_inverse=True)
+            em = np.repeat([r["em"] for r in rows], size)
             every = np.bincount(inv, weights=c, minlength=len(uniq)).astype(np.int64)
             rest = every - np.bincount(inv, weights=c * em, minlength=len(uniq)).astype(np.int64)
             if kind == UNI:
                 n += [every.sum(), rest.sum()]
                 v += [(every > 0).sum(), (rest > 0).sum()]
-            at = 0
-            for r, x, own in zip(rows, hs, cs):
-                mine = inv[at:at + len(x)]
-                at += len(x)
-                other = np.flatnonzero(every[mine] != own)
-                if len(other):
-                    out.append((r["chunk"], kind, pack(x[other]), pack(every[mine][other]),
-                                pack(rest[mine][other]) if r["em"] else None))
-        out.append((-1, SUMS, b"", pack(np.array([n[0], v[0]])), pack(np.array([n[1], v[1]]))))
+            ends = np.cumsum(size)
+            for r, a, b in zip(rows, ends - size, ends):
+                out.append((r["chunk"], kind, part, pack(every[inv[a:b]]), pack(rest[inv[a:b]]) if r["em"] else None))
+        out.append((-1, SUMS, part, pack(np.array([n[0], v[0]])), pack(np.array([n[1], v[1]]))))
         return pa.Table.from_arrays([pa.array(x, y) for x, y in zip(zip(*out), kinds)], names=names)
 
-    kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
-    names = ["chunk", "kind", "h", "c", "rest"]
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+    names = ["chunk", "kind", "part", "c", "rest"]
     return rows.groupBy("part").applyInArrow(add, BACK)
 
 
-def _known(back: pa.Table, kind: int, col: str) -> tuple[np.ndarray, np.ndarray]:
-    rows = [r for r in back.to_pylist() if r["kind"] == kind]
-    if not rows:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    h, c = np.concatenate([unpack(r["h"]) for r in rows]), np.concatenate([unpack(r[col]) for r in rows])
-    order = np.argsort(h)
-    return h[order], c[order].astype(np.int64)
-
-
-def counts(x: np.ndarray, counted: np.ndarray, back: pa.Table, kind: int, deleted: bool) -> np.ndarray:
+def counts(x: np.ndarray, back: pa.Table, kind: int, deleted: bool) -> np.ndarray:
     """Corpus count of each gram of a chunk; ``deleted`` leaves the texts set apart out."""
     uniq, inv = np.unique(x, return_inverse=True)
-    own = np.bincount(inv, weights=counted, minlength=len(uniq)).astype(np.int64)
-    c = np.zeros_like(own) if deleted else own
-    h, total = _known(back, kind, "rest" if deleted else "c")
-    c[np.searchsorted(uniq, h)] = total
-    return c[inv]
+    got = sorted((r["part"], r["rest" if deleted else "c"]) for r in back.to_pylist() if r["kind"] == kind)
+    total = np.concatenate([unpack(b) for _, b in got]) if got else np.zeros(0, np.uint64)
+    if len(total) != len(uniq):
+        raise ValueError(f"{len(total)} totals for {len(uniq)} grams")
+    return total.astype(np.int64)[inv]
 
 
 def context_counts(c1: np.ndarray, first: np.ndarray, starts: int) -> np.ndarray:
@@ -203,8 +199,7 @@ def buckets(ch: np.ndarray) -> np.ndarray:
 def histogram(back: pa.Table, docs: pa.Table, n: int, v: int, starts: int):
     """(bucket, bigram step, unigram step, tokens) rows; a step of -1 stands for an estimate of 0."""
     tok, big, first = tokens(docs.column("t"))
-    counted = np.repeat(np.asarray(docs.column("train")), np.diff(first))
-    c1, c2 = counts(tok, counted, back, UNI, True), counts(big, counted, back, BI, True)
+    c1, c2 = counts(tok, back, UNI, True), counts(big, back, BI, True)
     ch = context_counts(c1, first, starts)
 
     def step(p):
@@ -273,8 +268,7 @@ def score_texts(docs: DataFrame, train, id_col: str = "doc_id", text_col: str =
             return pa.Table.from_arrays([pa.array([], x) for x in (left.schema.field("id").type, *[pa.int64()] * 3,
                                                                     *[pa.float64()] * 2)], names=names)
         tok, big, first = tokens(left.column("t"))
-        counted = np.repeat(np.asarray(left.column("train")), np.diff(first))
-        c1, c2 = counts(tok, counted, right, UNI, False), counts(big, counted, right, BI, False)
+        c1, c2 = counts(tok, right, UNI, False), counts(big, right, BI, False)
         ch = context_counts(c1, first, starts)
         w = shared.value[buckets(ch)]
         if n:

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.llm.base import held_out
-from tessera.llm.interp import BUCKETS, maximise, pack, score_texts, unpack
+from tessera.llm.interp import BUCKETS, maximise, pack, pack_sorted, score_texts, unpack, unpack_sorted
 
 
 def toks(t):
@@ -105,6 +105,7 @@ def test_model_beats_base_on_held_out_text(spark):
 def test_pack_round_trip():
     x = np.sort(np.random.default_rng(0).integers(0, 2**63, 1000, dtype=np.uint64))
     assert np.array_equal(unpack(pack(x)), x) and len(unpack(pack(x[:0]))) == 0
+    assert np.array_equal(unpack_sorted(pack_sorted(x)), x) and len(unpack_sorted(pack_sorted(x[:0]))) == 0
 
 
 def test_maximise_raises_likelihood():
