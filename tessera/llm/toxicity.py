@@ -27,10 +27,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.base import apart, bounded_sample, held_out, letters, map_text, table
+from tessera.llm.base import apart, bounded_sample, forget, held_out, letters, map_text, stored, table
 from tessera.llm.textvec import Words, distinct_pairs, mix, seg_sum, shingles
 
 SAMPLE_ROWS = 6000
@@ -140,9 +141,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
                  label_col: str = "toxic", sample_rows: int = SAMPLE_ROWS, **fit) -> FactorMachine:
     """Machine fitted on at most ``sample_rows`` of the given labelled rows.
 
-    The terms of the sample are computed on the executors; the driver receives
-    hashes of that bounded sample alone, and at most ``sample_rows`` ids are
-    broadcast to pick its texts.  A row without id, or with a label
+    The sample's terms are computed, counted and tested against the label on the
+    executors; the driver receives the terms tied to the label alone, and at
+    most ``sample_rows`` ids are broadcast to pick the sample's texts.  A row without id, or with a label
     other than 0 or 1, is not learnt from; an id labelled twice takes its
     higher label.
     """
@@ -160,21 +161,37 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
         if len(sd):
             at = np.flatnonzero(np.concatenate([[True], sd[1:] != sd[:-1]]))
             low[sd[at]] = np.minimum.reduceat(sh, at)
-        return ([h[a:b].tobytes() for a, b in zip(first[:-1], first[1:])], low.view(np.int64))
-
-    rows = map_text(some, pairs, "h binary, sketch long", ["id", "y"], letters("t")).collect()
-    seen, label, doc, h = set(), [], [], []
-    for r in sorted(rows, key=lambda r: r["id"]):
-        if (r["sketch"], r["y"]) in seen and r["sketch"]:
-            continue
-        seen.add((r["sketch"], r["y"]))
-        x = np.frombuffer(r["h"], np.uint64)
-        doc.append(np.full(len(x), len(label)))
-        h.append(x)
-        label.append(r["y"])
-    if not label:
-        return fit_machine(np.zeros(0, int), np.zeros(0, np.uint64), np.zeros(0), **fit)
-    return fit_machine(np.concatenate(doc), np.concatenate(h), np.array(label, float), **fit)
+        return (pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(h.view(np.int64))), low.view(np.int64))
+
+    rows = stored(map_text(some, pairs, "h array<long>, sketch long", ["id", "y"], letters("t")))
+    # near copies share their smallest shingle hash and count once; texts without words have none
+    alike = F.when(F.col("sketch") == 0, F.xxhash64("id")).otherwise(F.col("sketch"))
+    firsts = rows.groupBy(alike.alias("_s"), "y").agg(F.min("id").alias("id")).select("id")
+    rows = rows.join(F.broadcast(firsts), "id", "left_semi").dropDuplicates(["id"])  # at most sample_rows ids
+    label = {r["id"]: r["y"] for r in rows.select("id", "y").collect()}
+    n, pos = len(label), sum(label.values())
+    held = rows.select("id", "y", F.explode("h").alias("h"))
+    seen = stored(held.groupBy("h").agg(F.count(F.lit(1)).alias("n1"), F.sum("y").alias("n11")).where("n1 >= 2"))
+    least = fit.pop("min_gain", None)
+    if least is None:
+        least = 2 * float(np.log(max(2, seen.count())))
+    tied = seen.where((_gain_column(n, pos) >= least) & (F.col("n11") * n > F.col("n1") * pos)).select("h")
+    found = held.join(tied, "h").select("id", "h").collect()
+    ids = sorted(label)
+    place = {x: i for i, x in enumerate(ids)}
+    doc = np.array([place[r["id"]] for r in found], dtype=int)
+    h = np.array([r["h"] for r in found], dtype=np.int64).view(np.uint64)
+    forget(seen)
+    return fit_machine(doc, h, np.array([label[x] for x in ids], float), min_gain=0.0, **fit)
+
+
+def _gain_column(n: int, pos: int):
+    """G statistic of a term's table from its columns n1 (rows that hold it) and n11 (toxic ones)."""
+    n1, n11 = F.col("n1"), F.col("n11")
+    out = F.lit(0.0)
+    for x, row, col in ((n11, n1, pos), (n1 - n11, n1, n - pos), (pos - n11, n - n1, pos), (n - n1 - pos + n11, n - n1, n - pos)):
+        out = out + F.when((x > 0) & (row > 0) & F.lit(col > 0), 2 * x * F.log(x * n / (row * F.lit(max(col, 1))))).otherwise(0.0)
+    return out
 
 
 def score_toxicity(docs: DataFrame, machine: FactorMachine, text_col: str = "text", keep: list[str] | None = None,
