@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+import time
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -13,8 +15,8 @@ from pyspark.sql import types as T
 from tessera.llm.textvec import BLOCK_BYTES, cut, text_block
 from tessera.session import ensure_checkpoint_dir, table
 
-__all__ = ["apart", "bounded_sample", "components", "forget", "held_out", "letters", "likely", "map_text", "stored",
-           "table"]
+__all__ = ["apart", "bounded_sample", "components", "forget", "held_out", "letters", "likely", "map_text", "release",
+           "stored", "table"]
 
 
 def held_out(doc_id: str | Column, mod: int, rest: int) -> Column:
@@ -81,6 +83,17 @@ def forget(*dfs: DataFrame) -> None:
             at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of finished jobs.
+
+    Its cleaner does so once the driver's collector has found the jobs' plans
+    unreachable: one collection for the plans, one for what they held."""
+    for _ in range(2):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(1)
+
+
 def likely(df: DataFrame, key: str, wanted: DataFrame, bits: int = 18) -> DataFrame:
     """Rows of ``df`` whose key may be in the one column of ``wanted`` (a superset: an exact join has to follow).
 

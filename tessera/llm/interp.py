@@ -34,14 +34,12 @@ result; other columns are not read.
 
 from __future__ import annotations
 
-import gc
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.base import apart, held_out, stored, table
+from tessera.llm.base import apart, held_out, release, stored, table
 from tessera.llm.textvec import Words, lower_ascii, mix, text_block
 
 CHUNK_BYTES = 5_000_000
@@ -241,8 +239,7 @@ def score_texts(docs: DataFrame, train, id_col: str = "doc_id", text_col: str =
     rows = (docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("t"), train.alias("train"),
                         apart_of.alias("em")).withColumn("chunk", chunk.cast("long")))
     back = stored(totals(emitted(rows, min(n_chunks, MAX_RANGES))))
-    gc.collect()
-    spark._jvm.System.gc()  # lets Spark drop the shuffle files of the finished job
+    release(spark)
     sums = [(unpack(r["c"]), unpack(r["rest"])) for r in back.where("chunk = -1").select("c", "rest").collect()]
     (n, v), (n_rest, v_rest) = (np.sum([s[i] for s in sums], axis=0).astype(np.int64).tolist() if sums else (0, 0)
                                 for i in (0, 1))
