@@ -14,7 +14,8 @@
    a pair of members is skipped only if already connected or if it cannot reach
    the threshold.  The proof of that is exact: after the first round the
    shingles of the open buckets' texts are counted, and a text of n shingles, u
-   of them shared at all, is at most u / (n + m - u) similar to one of m.  So
+   of them shared at all, is at most u / (n + m - u) similar to one of m; when
+   texts go for that reason, the rest are counted again.  So
    thousands of copies that differ from one original in words of their own meet
    the original, but not one another.
 4. A candidate's similarity is estimated from equal packed lanes, counted by
@@ -243,8 +244,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                       .withColumn("comp", F.coalesce("comp", "id")))
         spare = [was, rest, hubs, close]
         live = stored(_open(rest, percent))
-        if turn == 0 and not live.isEmpty():
-            lone = lone_shingles(live.select("id").distinct(), src, shingle)
+        before = None
+        while turn == 0 and not live.isEmpty():
+            # once texts have gone, more shingles of the others are theirs alone: peel until few more go
+            ids = live.select("id").distinct()
+            left = ids.count()
+            if before is not None and left > 0.9 * before:
+                break
+            before = left
+            lone = lone_shingles(ids, src, shingle)
             spare.append(live)
             live = stored(_open(live.join(lone, "id", "left").withColumn("u", F.col("n") - F.coalesce("lone", F.lit(0)))
                                 .drop("lone"), percent))
