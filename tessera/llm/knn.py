@@ -2,18 +2,20 @@
 
 Vectors become integers, floor(256 * x).  A bounded set of pivots (vectors whose
 id hashes lowest, about one for each 4096 vectors and at most 256) parts data
-and queries into cells.  A cell's summary is its pivot, its count and its radius
-(largest distance to the pivot).  For a query group g (pivot p, radius r) and a
+and queries into cells.  A cell's summary is its pivot, its radius (largest
+distance to the pivot) and its count of ids, an id with several vectors counting
+in the cell of its least vector only, so that no cell counts copies.  For a query group g (pivot p, radius r) and a
 data cell c (pivot s, radius t), every inner product lies within
 
     p.s +- (r |s| + (|p| + r) t)
 
-so the cells with the highest lower bounds that together hold k + 1 vectors (the
-query's own row does not count) give a floor for the k-th score of every query of
+so the cells with the highest lower bounds that together hold k + 1 ids (the
+query's own does not count) give a floor for the k-th score of every query of
 the group, and a cell whose upper bound is under that floor cannot matter.  The
 rest, the necessary data, is replicated to the group, in packed blocks, and
-solved there by matrix products; each task keeps k rows a query, and a ranked
-window picks the final k.
+solved there by matrix products; an id's rows of a block become its best score
+before anything is cut, each task keeps k ids a query, and a ranked window picks
+the final k.
 
 Summaries (at most 256 x 256 numbers) are all that the driver sees.  A hot cell
 is many blocks: blocks of a group are dealt to ``slices`` tasks, each of which
@@ -22,8 +24,8 @@ for rounding, so bounds stay on the safe side.
 
 Defined cases: vectors that are null, empty or hold a null or non-finite
 component take no part, nor do rows without id; vectors meet only vectors of
-their own length; rows repeated under one id count once in a result, with their
-best score; ties go to the smaller id; a query with fewer candidates gets all;
+their own length; rows repeated in full are dropped first, and different vectors
+under one id count once in a result, with their best score; ties go to the smaller id; a query with fewer candidates gets all;
 an empty table gives an empty result; other columns are not read.
 """
 
@@ -75,12 +77,23 @@ def _products(d: np.ndarray, q: np.ndarray) -> np.ndarray:
     return np.array([[int(x) for x in row] for row in big], dtype=np.int64)
 
 
+def once(rows: DataFrame) -> DataFrame:
+    """Distinct (id, dim, v), stored, with ``first``: true for one vector of each id and length."""
+    rows = stored(rows.dropDuplicates(["id", "v"]))
+    n, ids = rows.agg(F.count(F.lit(1)), F.count_distinct("id", "dim")).first()
+    if n == ids:
+        return rows.withColumn("first", F.lit(True))
+    least = rows.groupBy("id", "dim").agg(F.min("v").alias("least"))
+    return rows.join(least, ["id", "dim"]).select("id", "dim", "v", (F.col("v") == F.col("least")).alias("first"))
+
+
 def in_cells(rows: DataFrame, pivots: dict[int, np.ndarray], block: int) -> DataFrame:
-    """Packed blocks: dim, cell, n, radius, ids, vecs; a block's vectors share length and nearest pivot."""
+    """Packed blocks: dim, cell, n (firsts), radius, ids, vecs; a block's vectors share length and nearest pivot."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = np.asarray(batch.column(0))
             dims = np.asarray(batch.column(1))
+            first = batch.column(3).to_numpy(zero_copy_only=False)
             for dim in np.unique(dims):
                 pick = np.flatnonzero(dims == dim)
                 x = _matrix(batch.column(2).take(pa.array(pick)))
@@ -94,10 +107,10 @@ def in_cells(rows: DataFrame, pivots: dict[int, np.ndarray], block: int) -> Data
                         o = own[a:a + block]
                         yield pa.RecordBatch.from_pydict({
                             "dim": pa.array([dim], pa.int32()), "cell": pa.array([c], pa.int32()),
-                            "n": pa.array([len(o)], pa.int64()), "radius": [float(dist[o].max())],
+                            "n": pa.array([int(first[pick[o]].sum())], pa.int64()), "radius": [float(dist[o].max())],
                             "ids": [ids[pick[o]].astype("<i8").tobytes()], "vecs": [_pack(x[o])]})
 
-    return rows.select("id", "dim", "v").mapInArrow(
+    return rows.select("id", "dim", "v", "first").mapInArrow(
         run, "dim int, cell int, n long, radius double, ids binary, vecs binary")
 
 
@@ -134,8 +147,8 @@ def voronoi_knn(vectors: DataFrame, query: Column, k: int = 5, id_col: str = "ve
                 vec_col: str = "embedding") -> DataFrame:
     """query_id, rank, id, score of the k best rows for every row of ``vectors`` where ``query`` holds."""
     spark = vectors.sparkSession
-    rows = integers(vectors, id_col, vec_col)
-    wanted = integers(vectors.where(query), id_col, vec_col).dropDuplicates(["id", "v"])
+    rows = once(integers(vectors, id_col, vec_col))
+    wanted = integers(vectors.where(query), id_col, vec_col).dropDuplicates(["id", "v"]).withColumn("first", F.lit(True))
     n_rows, n_queries = rows.count(), wanted.count()
     schema = f"query_id long, rank int, {id_col} long, score long"
     if not n_queries:
@@ -179,6 +192,10 @@ def voronoi_knn(vectors: DataFrame, query: Column, k: int = 5, id_col: str = "ve
             for dim, ids, vecs, qids, qvecs in zip(*(c.to_pylist() for c in batch.columns)):
                 di, qi = np.frombuffer(ids, "<i8"), np.frombuffer(qids, "<i8")
                 s = _products(_unpack(vecs, dim), _unpack(qvecs, dim))
+                order = np.argsort(di, kind="stable")
+                start = np.flatnonzero(np.diff(di[order], prepend=di[order[0]] - 1))
+                if len(start) < len(di):  # several vectors under one id
+                    di, s = di[order[start]], np.maximum.reduceat(s[order], start, axis=0)
                 top = min(k + 1, len(di))
                 for j, q in enumerate(qi.tolist()):
                     col = s[:, j]

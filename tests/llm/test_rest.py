@@ -211,6 +211,22 @@ def test_knn_odd_rows(spark):
     assert knn.voronoi_knn(df.limit(0), F.col("vec_id") == 0).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["twice", "hot row", "hot id"])
+def test_knn_repeated_ids(spark, kind, monkeypatch):
+    """Blocks of more than 4 k rows in which copies, or one id's many vectors, hold the best scores."""
+    monkeypatch.setattr(knn, "CELL_ROWS", 64)
+    rng = np.random.default_rng(8)
+    vecs = [(i, (rng.normal(size=4) + 2).tolist()) for i in range(120)]
+    best = [4.0, 4.0, 4.0, 4.0]
+    more = {"twice": vecs, "hot row": [(7, best)] * 300, "hot id": [(7, [x + 0.1 * (i % 40) for x in best]) for i in range(300)]}
+    vecs = vecs + more[kind]
+    df = spark.createDataFrame(vecs, "vec_id long, embedding array<double>").repartition(2)
+    got = knn.voronoi_knn(df, F.col("vec_id") % 20 == 0, 5).collect()
+    whole = [(i, np.floor(np.array(v) * 256).astype(object)) for i, v in vecs]
+    asked = {i: (i, v) for i, v in whole if i % 20 == 0}
+    assert sorted(tuple(r) for r in got) == brute_knn(whole, list(asked.values()), 5)
+
+
 # ----------------------------------------------------------------- pipeline
 def test_stages_keep_columns_and_take_effect(spark):
     docs = table(spark, SF, "documents")
