@@ -11,9 +11,13 @@ group mention) has a weight of its own through the factors v.
 
 Fitting uses a bounded, documented sample of labelled rows (``sample_rows``,
 default 6000, those whose id hashes lowest).  Rows that share the smallest
-shingle hash (near copies) count once.  Terms that the sample does not tie to a
-toxic label (G statistic under ``min_gain``) get no weight; what marks a text as
-clean is the absence of such terms, so that harmless wording cannot hide an insult.  Scoring reads whole
+shingle hash (near copies) count once.  Two kinds of terms take part: those that
+the sample ties to a toxic label (G statistic of ``min_gain`` or more), and those
+of a pair that is tied to it beyond what either term says, whatever the terms'
+own counts.  All pairs of terms that ``PAIR_ROWS`` toxic rows hold are counted on
+the executors, by matrix products of blocks of terms.  Other wording gets no
+weight, so that it cannot hide an insult.  A term or pair too rare in the sample
+to pass its test is not learnt, however large the corpus.  Scoring reads whole
 texts of all rows in one narrow map: no shuffle.
 
 Defined cases: a null or empty text holds no term and scores sigmoid(b); a
@@ -24,6 +28,7 @@ Extra columns pass through; one named like a result column is replaced.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -36,6 +41,8 @@ from tessera.llm.textvec import Words, distinct_pairs, mix, seg_sum, shingles
 
 SAMPLE_ROWS = 6000
 PREFIXES = (4, 5, 6)
+PAIR_ROWS = 5       # toxic rows of the sample that hold both terms of a pair
+PAIR_BLOCK = 2048   # terms in a block of the pair counts
 
 
 def terms(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, Words]:
@@ -85,14 +92,25 @@ def _gain(n11, n1, pos, total):
     return out
 
 
+def _pair_gain(c11, c, x11, x, y11, y):
+    """How much a pair says about the label beyond either of its terms.
+
+    From the toxic and all rows that hold the pair, its first and its second
+    term: among the rows of each term, the G statistic of the other one; the
+    lesser of both, 0 where the pair is not the more toxic.
+    """
+    more = (c11 * x > x11 * c) & (c11 * y > y11 * c)
+    return np.where(more, np.minimum(_gain(c11, c, x11, x), _gain(c11, c, y11, y)), 0.0)
+
+
 def fit_machine(doc: np.ndarray, h: np.ndarray, label: np.ndarray, factors: int = 4, min_gain: float | None = None,
-                epochs: int = 400, rate: float = 0.3, l2: float = 2e-4, seed: int = 7) -> FactorMachine:
+                paired: np.ndarray | None = None, epochs: int = 400, rate: float = 0.3, l2: float = 2e-4, seed: int = 7) -> FactorMachine:
     """Fit on distinct (doc, term) pairs of a bounded sample; doc indexes label.
 
-    Only terms tied to the label by at least ``min_gain`` take part (default
-    twice the log of the number of terms tried, so that about none passes by
-    chance), which keeps the fit small.  Weights start at smoothed log odds
-    ratios and are refined by full-batch AdaGrad on the logistic loss with L2.
+    Terms tied to the label by at least ``min_gain`` take part (default twice
+    the log of the number of terms tried, so that about none passes by chance),
+    and the ``paired`` ones, which keeps the fit small.  Weights start at
+    smoothed log odds ratios, those of the paired terms alone at 0, and are refined by full-batch AdaGrad on the logistic loss with L2.
     """
     n = len(label)
     pos = int(label.sum())
@@ -106,6 +124,9 @@ def fit_machine(doc: np.ndarray, h: np.ndarray, label: np.ndarray, factors: int
     if min_gain is None:
         min_gain = 2 * np.log(max(2, int((n1 >= 2).sum())))
     good = (_gain(n11, n1, pos, n) >= min_gain) & (n1 >= 2) & (n11 * n > n1 * pos)
+    tied = good
+    if paired is not None:
+        good = good | np.isin(term, paired)
     if not good.any():
         return none
     new = np.cumsum(good) - 1
@@ -114,7 +135,7 @@ def fit_machine(doc: np.ndarray, h: np.ndarray, label: np.ndarray, factors: int
     d, i = doc[keep][order], new[inv[keep]][order]
     m = int(good.sum())
     rng = np.random.default_rng(seed)
-    odds = np.log((n11 + 0.5) / (n1 - n11 + 0.5))[good] - base
+    odds = np.where(tied, np.log((n11 + 0.5) / (n1 - n11 + 0.5)) - base, 0.0)[good]
     fm = FactorMachine(term[good], odds, rng.normal(0, 0.02, (m, factors)), base)
     gw, gv, gb = np.full(m, 1e-6), np.full((m, factors), 1e-6), 1e-6
     first = np.searchsorted(d, np.arange(n + 1))
@@ -141,8 +162,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
                  label_col: str = "toxic", sample_rows: int = SAMPLE_ROWS, **fit) -> FactorMachine:
     """Machine fitted on at most ``sample_rows`` of the given labelled rows.
 
-    The sample's terms are computed, counted and tested against the label on the
-    executors; the driver receives the terms tied to the label alone, and at
+    The sample's terms and pairs of terms are computed, counted and tested
+    against the label on the executors; the driver receives the terms that pass, alone or in a pair, and at
     most ``sample_rows`` ids are broadcast to pick the sample's texts.  A row without id, or with a label
     other than 0 or 1, is not learnt from; an id labelled twice takes its
     higher label.
@@ -168,7 +189,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     alike = F.when(F.col("sketch") == 0, F.xxhash64("id")).otherwise(F.col("sketch"))
     firsts = rows.groupBy(alike.alias("_s"), "y").agg(F.min("id").alias("id")).select("id")
     rows = rows.join(F.broadcast(firsts), "id", "left_semi").dropDuplicates(["id"])  # at most sample_rows ids
-    label = {r["id"]: r["y"] for r in rows.select("id", "y").collect()}
+    sample = sorted(rows.select("id", "y", F.xxhash64("id").alias("k")).collect(), key=lambda r: r["id"])
+    label = {r["id"]: r["y"] for r in sample}
     n, pos = len(label), sum(label.values())
     held = rows.select("id", "y", F.explode("h").alias("h"))
     seen = stored(held.groupBy("h").agg(F.count(F.lit(1)).alias("n1"), F.sum("y").alias("n11")).where("n1 >= 2"))
@@ -176,13 +198,79 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     if least is None:
         least = 2 * float(np.log(max(2, seen.count())))
     tied = seen.where((_gain_column(n, pos) >= least) & (F.col("n11") * n > F.col("n1") * pos)).select("h")
-    found = held.join(tied, "h").select("id", "h").collect()
-    ids = sorted(label)
-    place = {x: i for i, x in enumerate(ids)}
-    doc = np.array([place[r["id"]] for r in found], dtype=int)
-    h = np.array([r["h"] for r in found], dtype=np.int64).view(np.uint64)
-    forget(seen)
-    return fit_machine(doc, h, np.array([label[x] for x in ids], float), min_gain=0.0, **fit)
+    tied = tied.withColumn("tied", F.lit(True))
+    key, y = np.array([r["k"] for r in sample], np.int64), np.array([r["y"] for r in sample], float)
+    paired = paired_terms(held.select(F.xxhash64("id").alias("k"), "h"), seen, key, y)
+    picked = tied.unionByName(paired.select("h", F.lit(False).alias("tied"))).groupBy("h").agg(F.max("tied").alias("tied"))
+    found = held.join(picked, "h").select(F.xxhash64("id").alias("k"), "h", "tied").toArrow()
+    order = np.argsort(key)
+    doc = order[np.searchsorted(key, np.asarray(found["k"]), sorter=order)] if n else np.zeros(0, int)
+    h = np.asarray(found["h"]).astype(np.int64).view(np.uint64)
+    lone = h[~found["tied"].to_numpy().astype(bool)]
+    forget(seen, paired)
+    return fit_machine(doc, h, y, min_gain=0.0, paired=np.unique(lone), **fit)
+
+
+def paired_terms(held: DataFrame, seen: DataFrame, key: np.ndarray, y: np.ndarray) -> DataFrame:
+    """h of the terms in a pair that is tied to the label beyond either of its terms.
+
+    ``held`` has the (k, h) pairs of the sample's rows, ``key`` and ``y`` those
+    rows' k and label.  Terms are dealt by hash to blocks of about
+    ``PAIR_BLOCK``; a task counts all pairs of two blocks.  A pair passes at a
+    gain of twice the log of the number of pairs.
+    """
+    some = seen.where(F.col("n11") >= PAIR_ROWS).select("h")
+    size = some.count()
+    blocks = max(1, -(-size // PAIR_BLOCK))
+    least = 2 * float(np.log(max(2, size * (size - 1) // 2)))
+    order = np.argsort(key)
+    key, toxic = key[order], y[order] > 0
+    packed = (held.join(some, "h").withColumn("b", F.pmod(F.xxhash64("h"), F.lit(blocks)).cast("int"))
+              .groupBy("b").agg(F.collect_list(F.struct("k", "h")).alias("x")))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        small = np.uint16 if len(key) <= 65536 else np.uint32
+        for batch in batches:
+            for b, k, h in zip(batch.column(0), batch.column(1), batch.column(2)):
+                k, h = np.asarray(k.values), np.asarray(h.values)
+                row = np.searchsorted(key, k)
+                by = np.lexsort((row, h))
+                term, size = np.unique(h, return_counts=True)
+                yield pa.RecordBatch.from_pydict({"b": pa.array([b.as_py()], pa.int32()), "t": [term.tobytes()],
+                                                  "n": [size.astype(np.uint32).tobytes()], "r": [row[by].astype(small).tobytes()]})
+
+    packed = packed.select("b", F.col("x.k").alias("k"), F.col("x.h").alias("h")).mapInArrow(
+        pack, "b int, t binary, n binary, r binary")
+    packed = stored(packed)
+    left = packed.select(F.col("b").alias("i"), F.explode(F.sequence("b", F.lit(blocks - 1))).alias("j"),
+                         *[F.col(c).alias(f"{c}1") for c in "tnr"])
+    right = packed.select(F.explode(F.sequence(F.lit(0), "b")).alias("i"), F.col("b").alias("j"),
+                          *[F.col(c).alias(f"{c}2") for c in "tnr"])
+
+    def table_of(t, n, r):
+        small = np.uint16 if len(key) <= 65536 else np.uint32
+        term = np.frombuffer(t, np.int64)
+        held = np.zeros((len(key), len(term)), np.float32)
+        held[np.frombuffer(r, small), np.repeat(np.arange(len(term)), np.frombuffer(n, np.uint32))] = 1
+        return term, held
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(batch.num_rows):
+                one = [batch.column(c)[at].as_py() for c in range(6)]
+                (t1, a), (t2, b) = table_of(*one[:3]), table_of(*one[3:])
+                c11 = a[toxic].T @ b[toxic]
+                p, q = np.nonzero(c11 >= PAIR_ROWS)
+                rest = a[~toxic].T @ b[~toxic]
+                c11, c0 = c11[p, q].astype(float), rest[p, q].astype(float)
+                a11, a1, b11, b1 = (x.sum(0, dtype=float) for x in (a[toxic], a, b[toxic], b))
+                ok = _pair_gain(c11, c11 + c0, a11[p], a1[p], b11[q], b1[q]) >= least
+                yield pa.RecordBatch.from_arrays([pa.array(np.union1d(t1[p[ok]], t2[q[ok]]))], names=["h"])
+
+    both = left.join(right, ["i", "j"]).select("t1", "n1", "r1", "t2", "n2", "r2")
+    found = stored(both.mapInArrow(run, "h long").distinct())
+    forget(packed)
+    return found
 
 
 def _gain_column(n: int, pos: int):

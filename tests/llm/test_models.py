@@ -60,6 +60,23 @@ def test_factor_machine_learns_pairs():
     assert ((z > 0) == (y == 1)).mean() > 0.97 and (z[only] < 0).mean() > 0.97
 
 
+def test_pairs_are_learnt_from_terms_without_signal(spark):
+    """Both words are as frequent in clean as in toxic texts; a text that holds both is toxic."""
+    rng = random.Random(2)
+    cells = [("badger heron", 1, 60), ("badger", 0, 140), ("heron", 0, 140), ("", 1, 120), ("", 0, 140)]
+    rows = []
+    for said, toxic, size in cells:
+        for _ in range(size):
+            words = said.split() + [f"{a}{b}" for a, b in zip(rng.choices("bdfgk", k=12), rng.choices("aeiou", k=12))]
+            rng.shuffle(words)
+            rows.append((len(rows), " ".join(words), said, toxic))
+    df = spark.createDataFrame(rows, "doc_id long, text string, said string, toxic int")
+    out = toxicity.score_toxicity(df, toxicity.fit_toxicity(df.select("doc_id", "text"), df.select("doc_id", "toxic")))
+    by = {s: [r.toxicity for r in out.collect() if r.said == s] for s in ("badger heron", "badger", "heron")}
+    assert np.mean(np.array(by["badger heron"]) >= 0.7) > 0.9
+    assert np.mean(np.array(by["badger"] + by["heron"]) < 0.3) > 0.9
+
+
 def test_models_without_labels_or_of_one_kind(spark, odd_docs, no_docs):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     one = spark.createDataFrame([(0, 1, 0), (1, 1, 0), (None, 0, 1), (2, 5, 7)], "doc_id long, quality int, toxic int")
