@@ -15,8 +15,10 @@ without loss (the header; the whole of other people's turns), +n for n with loss
 (text and end mark of the perspective's own turns).
 
 A conversation longer than ``max_turns`` (512) turn numbers is rendered in parts
-of that many, so that no row and no task grows with the longest dialogue; every
-turn is in exactly one part, and a part gives one row for each of its speakers.
+of that many; every turn is in exactly one part, and every part gives one row for
+each speaker of the whole conversation, also for those silent in it.  Parts after
+the first do not repeat earlier turns or system turns.  Turns that share a number
+(null ones all have 0) share a part, which grows with them.
 
 Defined cases: rows repeated in full count once (combined before the shuffle);
 several texts of one turn are ordered by speaker and text; a null turn counts as
@@ -50,8 +52,14 @@ def rotate(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
         F.struct(turn.alias("turn"), F.coalesce(role_col, F.lit("unknown")).alias("role"),
                  F.coalesce(text_col, F.lit("")).alias("text")).alias("m"))
     parts = rows.groupBy("conv_id", "part").agg(F.array_sort(F.collect_set("m")).alias("ms"))
+    said = rows.select("conv_id", "part", F.col("m.role").alias("perspective"))
+    long = said.groupBy("conv_id").agg(F.min("part").alias("a"), F.max("part").alias("b")).where("a < b").select("conv_id")
     speakers = F.array_sort(F.filter(F.array_distinct(F.col("ms.role")), lambda r: r != system))
-    views = parts.select("conv_id", "part", "ms", F.explode(speakers).alias("perspective"))
+    if long.isEmpty():  # a part is a whole conversation and has its speakers
+        views = parts.select("conv_id", "part", "ms", F.explode(speakers).alias("perspective"))
+    else:
+        who = said.where(F.col("perspective") != system).select("conv_id", "perspective").distinct()
+        views = parts.join(who, "conv_id").select("conv_id", "part", "ms", "perspective")
 
     def head(m: Column) -> Column:
         who = (F.when(m["role"] == system, F.lit("system")).when(m["role"] == F.col("perspective"), F.lit("assistant"))

@@ -158,6 +158,15 @@ def test_rotation_parts_and_odd_rows(spark):
     assert chat.rotate(df.limit(0)).count() == 0
 
 
+def test_rotation_gives_every_speaker_every_part(spark):
+    rows = [(1, 0, "system", "be brief"), (1, 1, "a", "x"), (1, 2, "b", "y"), (1, 5, "a", "z"), (1, 9, "c", "w"), (2, 0, "d", "v")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    out = {(r.conv_id, r.part, r.perspective): r for r in chat.rotate(df, max_turns=4).collect()}
+    assert set(out) == {(1, p, s) for p in range(3) for s in "abc"} | {(2, 0, "d")}
+    assert out[1, 1, "b"].rendered == "<|im_start|>user name=a\nz<|im_end|>\n" and out[1, 1, "b"].n_loss_turns == 0
+    assert out[1, 2, "c"].rendered == "<|im_start|>assistant\nw<|im_end|>\n"
+
+
 def test_rotation_has_no_python_and_one_shuffle(spark):
     plan = chat.op9_perspectives(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and plan.count("Exchange") == 1
