@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["toxicity", "minhash", "spans", "decontam", "mixing", "quality", "chat", "knn", "langid", "interp"]
+MODULES = ["toxicity", "minhash", "spans", "decontam", "mixing", "quality", "chat", "knn", "langid", "interp",
+           "phrases"]
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
