@@ -5,7 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 
 MODULES = ["toxicity", "minhash", "spans", "decontam", "mixing", "quality", "chat", "knn", "langid", "interp",
-           "phrases"]
+           "phrases", "negatives", "warc"]
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}

@@ -5,6 +5,7 @@ import random
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -21,7 +22,7 @@ def norm(v):
         return tuple(norm(x) for x in v)
     if hasattr(v, "item"):
         v = v.item()
-    return "null" if v is None or isinstance(v, float) and math.isnan(v) else round(v, 5) if isinstance(v, float) else v
+    return "null" if v is None or v is pd.NA or isinstance(v, float) and math.isnan(v) else round(v, 5) if isinstance(v, float) else v
 
 
 def rows(pdf):
@@ -38,7 +39,7 @@ def test_query_matches_sql(spark, name):
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(k[2:].split("_")[0]) for k in catalog.QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in catalog.QUERIES) == list(range(1, 14))
 
 
 # ------------------------------------------------------------------ mixture
