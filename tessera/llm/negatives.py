@@ -156,7 +156,8 @@ def best(s: np.ndarray, ok: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.nda
         key = np.where(ok, s * BLOCK + (BLOCK - 1 - np.arange(s.shape[1])), _NONE)
         if k < s.shape[1]:
             key = np.partition(key, s.shape[1] - k, axis=1)[:, -k:]
-        return key // BLOCK, ids[BLOCK - 1 - key % BLOCK], key != _NONE
+        ok = key != _NONE
+        return key // BLOCK, ids[np.where(ok, BLOCK - 1 - key % BLOCK, 0)], ok
     at = np.array([sorted(range(len(ids)), key=lambda j: (not g[j], -int(r[j]), ids[j]))[:k] for r, g in zip(s, ok)],
                   dtype=np.int64).reshape(len(s), k)
     return np.take_along_axis(s, at, 1), ids[at], np.take_along_axis(ok, at, 1)
