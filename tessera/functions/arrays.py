@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-__all__ = ["pad_array", "mask_pad", "unmask", "argmax", "ngrams", "index_range",
+__all__ = ["let", "pad_array", "mask_pad", "unmask", "argmax", "ngrams", "index_range",
            "PAD_ID", "UNK_ID", "TAG_PAD", "IGNORE_INDEX"]
 
 # Fixed sentinel values of the reference's encoded outputs.
@@ -19,6 +19,12 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once a row: as a lambda variable it
+    cannot be put back into ``body``'s own lambdas by the optimizer."""
+    return F.transform(F.array(value), body)[0]
+
+
 def pad_array(col, n, pad=PAD_ID) -> Column:
     """Pad with ``pad`` / truncate to exactly ``n`` elements (n may be a Column)."""
     n = n if isinstance(n, Column) else F.lit(int(n))

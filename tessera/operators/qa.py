@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.functions.arrays import let
 from tessera.functions.text import char_span, normalize_answer, split_ws
 
 # Text of the fallback prediction when no candidate survives,
@@ -25,10 +26,17 @@ BEAM_FALLBACK_SCORE = -2e-6
 
 def top_positions(logits: Column, n: int) -> Column:
     """array<struct<v,pos,rank>> of the n largest values (value desc, then
-    lowest position) - an in-row sort of one feature's logits."""
-    srt = F.sort_array(F.transform(logits, lambda v, i: F.struct((-v).alias("nv"), i.alias("pos"))))
-    return F.transform(F.slice(srt, 1, n),
-                       lambda x, r: F.struct((-x["nv"]).alias("v"), x["pos"].alias("pos"), r.alias("rank")))
+    lowest position).  The plain numbers are sorted for the n-th value; only
+    positions that reach it become structs."""
+    low = F.sort_array(F.transform(logits, lambda v: -v))
+
+    def pick(nth):
+        some = F.filter(F.transform(logits, lambda v, i: F.when(-v <= nth, F.struct((-v).alias("nv"), i.alias("pos")))),
+                        lambda x: x.isNotNull())
+        return F.transform(F.slice(F.sort_array(some), 1, n),
+                           lambda x, r: F.struct((-x["nv"]).alias("v"), x["pos"].alias("pos"), r.alias("rank")))
+
+    return let(F.try_element_at(low, F.least(F.lit(n), F.greatest(F.size(logits), F.lit(1)))), pick)
 
 
 def _with_offsets(tops: Column, offsets: Column) -> Column:
@@ -47,8 +55,8 @@ def feature_candidates(feats: DataFrame, n_best: int, max_len: int) -> DataFrame
     ends inside the band ``start <= end < start + max_len`` (both on context
     tokens, start allowed by ``token_is_max_context`` when given).  Only the
     feature's best ``n_best`` pairs are kept - the example-level n-best can
-    only contain those.  Each step is its own projection so no lambda
-    re-evaluates a computed array."""
+    only contain those.  Both tops are lambda variables of the pairing, so each
+    is computed once a row."""
     has_tmc = "token_is_max_context" in feats.columns
     offs = F.col("offsets")
     st = _with_offsets(top_positions(F.col("start_logits"), n_best), offs)
@@ -57,14 +65,9 @@ def feature_candidates(feats: DataFrame, n_best: int, max_len: int) -> DataFrame
         st = F.transform(st, lambda x: F.struct(
             x["v"].alias("v"), x["pos"].alias("pos"), x["rank"].alias("rank"),
             F.when(F.coalesce(tmc[x["pos"].cast("string")], F.lit(False)), x["o"]).alias("o")))
-    f = feats.select(
-        "example_id", "feature_id", st.alias("_st"),
-        _with_offsets(top_positions(F.col("end_logits"), n_best), offs).alias("_en"),
-        (F.col("start_logits")[0] + F.col("end_logits")[0]).alias("null_score"),
-        F.col("start_logits")[0].alias("null_start"), F.col("end_logits")[0].alias("null_end"))
-    en = F.col("_en")
+    tops = F.struct(st.alias("st"), _with_offsets(top_positions(F.col("end_logits"), n_best), offs).alias("en"))
 
-    def ends_for(s):
+    def ends_for(s, en):
         return F.transform(
             F.filter(en, lambda e: _ok(s) & _ok(e) & (e["pos"] >= s["pos"])
                      & (e["pos"] - s["pos"] + 1 <= max_len)),
@@ -72,8 +75,10 @@ def feature_candidates(feats: DataFrame, n_best: int, max_len: int) -> DataFrame
                                e["rank"].alias("erank"), s["o"]["s"].alias("cs"), e["o"]["e"].alias("ce"),
                                s["v"].alias("start_logit"), e["v"].alias("end_logit")))
 
-    pairs = F.slice(F.sort_array(F.flatten(F.transform(F.col("_st"), ends_for))), 1, n_best)
-    return f.select("example_id", "feature_id", pairs.alias("c"), "null_score", "null_start", "null_end")
+    pairs = let(tops, lambda x: F.slice(F.sort_array(F.flatten(F.transform(x["st"], lambda s: ends_for(s, x["en"])))), 1, n_best))
+    return feats.select("example_id", "feature_id", pairs.alias("c"),
+                        F.struct(F.col("start_logits")[0].alias("start_logit"), F.col("end_logits")[0].alias("end_logit"))
+                        .alias("null"))
 
 
 def qa_nbest(examples: DataFrame, feats: DataFrame, n_best: int = 20, max_len: int = 30,
@@ -87,25 +92,24 @@ def qa_nbest(examples: DataFrame, feats: DataFrame, n_best: int = 20, max_len: i
     Ranking is score desc, then feature order, start rank, end rank - the
     order a stable sort of the nested candidate loops gives."""
     cand = feature_candidates(feats, n_best, max_len)
+    found = F.transform("c", lambda x: F.struct(
+        (-x["nscore"]).alias("score"), x["srank"].alias("srank"), x["erank"].alias("erank"), x["start_logit"].alias("start_logit"),
+        x["end_logit"].alias("end_logit"), x["cs"].alias("cs"), x["ce"].alias("ce"), F.lit(False).alias("is_null")))
+    if with_negative:  # a feature's null candidate travels with its spans
+        null = F.col("null")
+        found = F.concat(found, F.array(F.struct(
+            (null["start_logit"] + null["end_logit"]).alias("score"), F.lit(-1).alias("srank"), F.lit(-1).alias("erank"),
+            null["start_logit"].alias("start_logit"), null["end_logit"].alias("end_logit"), F.lit(0).alias("cs"),
+            F.lit(0).alias("ce"), F.lit(True).alias("is_null"))))
     # explode_outer + null filter: a plain explode makes the optimizer infer
     # `size(c) > 0` and push that copy of the candidate search into the join
-    rows = cand.select("example_id", "feature_id", F.explode_outer("c").alias("c")).where(
-        F.col("c").isNotNull()).select(
-        "example_id", "feature_id", (-F.col("c.nscore")).alias("score"),
-        F.col("c.srank").alias("srank"), F.col("c.erank").alias("erank"),
-        F.col("c.start_logit").alias("start_logit"), F.col("c.end_logit").alias("end_logit"),
-        F.col("c.cs").alias("cs"), F.col("c.ce").alias("ce"), F.lit(False).alias("is_null"))
+    rows = (cand.select("example_id", "feature_id", F.explode_outer(found).alias("c")).where(F.col("c").isNotNull())
+            .select("example_id", "feature_id", "c.*"))
     if with_negative:
         # minimum null score over the example's features (first feature on ties)
-        nulls = (cand.groupBy("example_id")
-                 .agg(F.min_by(F.struct("null_score", "null_start", "null_end", "feature_id"),
-                               F.struct("null_score", "feature_id")).alias("m"))
-                 .select("example_id", F.col("m.feature_id").alias("feature_id"),
-                         F.col("m.null_score").alias("score"), F.lit(-1).alias("srank"),
-                         F.lit(-1).alias("erank"), F.col("m.null_start").alias("start_logit"),
-                         F.col("m.null_end").alias("end_logit"), F.lit(0).alias("cs"), F.lit(0).alias("ce"),
-                         F.lit(True).alias("is_null")))
-        rows = rows.unionByName(nulls)
+        own = F.when(F.col("is_null"), F.struct("score", "feature_id"))
+        rows = (rows.withColumn("_least", F.min(own).over(Window.partitionBy("example_id")))
+                .where(~F.col("is_null") | (F.struct("score", "feature_id") == F.col("_least"))).drop("_least"))
     # the null candidate comes after candidates of the same score
     w = Window.partitionBy("example_id").orderBy(F.desc("score"), "is_null", "feature_id", "srank", "erank")
     ranked = rows.withColumn("rank", F.row_number().over(w))

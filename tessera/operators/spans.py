@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.arrays import index_range
@@ -13,23 +15,56 @@ WHITESPACE = [*"\t\n\x0b\x0c\r \x85\xa0\u1680", *(chr(c) for c in range(0x2000,
               *"\u2028\u2029\u202f\u205f\u3000"]
 
 
+def whitespace_bytes(buf: np.ndarray) -> np.ndarray:
+    """Which bytes of a UTF-8 buffer belong to a whitespace character."""
+    table = np.zeros(256, bool)
+    table[[ord(c) for c in WHITESPACE if ord(c) < 128]] = True
+    out = table[buf]
+    for c in (c.encode() for c in WHITESPACE if ord(c) >= 128):
+        at = np.flatnonzero(buf[:len(buf) - len(c) + 1] == c[0]) if len(buf) >= len(c) else np.zeros(0, np.int64)
+        for i, b in enumerate(c[1:], 1):
+            at = at[buf[at + i] == b]
+        for i in range(len(c)):
+            out[at + i] = True
+    return out
+
+
+def scan_tokens(texts: pa.Array) -> pa.Array:
+    """Whitespace tokens' code-point offsets, list<struct<s, e>> for each text: a few passes over the bytes."""
+    texts = texts.cast(pa.large_string())
+    n = len(texts)
+    offs = np.frombuffer(texts.buffers()[1], np.int64, n + 1, offset=8 * texts.offset) if n else np.zeros(1, np.int64)
+    data = texts.buffers()[2] if n else None
+    buf = np.frombuffer(data, np.uint8)[offs[0]:offs[-1]] if data is not None else np.zeros(0, np.uint8)
+    offs = offs - offs[0]
+    word = ~whitespace_bytes(buf)
+    edge = offs[:-1][np.diff(offs) > 0]
+    before = np.concatenate([[False], word[:-1]]) if len(buf) else word
+    before[edge] = False
+    after = np.concatenate([word[1:], [False]]) if len(buf) else word
+    after[edge[1:] - 1] = False
+    starts, ends = np.flatnonzero(word & ~before), np.flatnonzero(word & ~after) + 1
+    chars = np.concatenate([[0], np.cumsum((buf & 0xC0) != 0x80)])  # characters before each byte
+    first = np.searchsorted(starts, offs)
+    base = np.repeat(chars[offs[:-1]], np.diff(first))
+    pairs = pa.StructArray.from_arrays([pa.array((chars[x] - base).astype(np.int32)) for x in (starts, ends)], names=["s", "e"])
+    return pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pairs, mask=texts.is_null() if texts.null_count else None)
+
+
+def offsets_of(text: Column) -> Column:
+    """array<struct<s,e>> of a text's whitespace tokens, by an Arrow-batched byte scan."""
+    @F.arrow_udf("array<struct<s:int,e:int>>")
+    def scan(t: pa.Array) -> pa.Array:
+        return scan_tokens(t)
+
+    return scan(text)
+
+
 def token_offsets(df: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     """(key, tokens array<string>, offsets array<struct<s,e>>): whitespace tokens
-    with code-point offsets, all inside the row: no shuffle, no window.
-
-    A word starts at a character that is no whitespace after one that is (or at
-    the start), and ends likewise; the n-th start belongs to the n-th end."""
-    chars = F.filter(F.split(F.col(text_col), "", -1), lambda c: c != "")
-    full = df.select(key, F.col(text_col).alias("_t"), chars.alias("_c"))
-    full = full.select(key, "_t", F.transform("_c", lambda c: ~c.isin(*WHITESPACE)).alias("_w"))
-    shift = F.arrays_zip(F.col("_w").alias("w"), F.concat(F.array(F.lit(False)), F.col("_w")).alias("p"),
-                         F.concat(F.slice("_w", 2, F.greatest(F.size("_w"), F.lit(1))), F.array(F.lit(False))).alias("n"))
-    full = full.select(key, "_t", F.transform(shift, lambda x, i: F.struct(
-        F.when(x["w"] & ~x["p"], i).alias("s"), F.when(x["w"] & ~x["n"], i + 1).alias("e"))).alias("_m"))
-    starts = F.filter(F.transform("_m", lambda x: x["s"]), lambda v: v.isNotNull())
-    ends = F.filter(F.transform("_m", lambda x: x["e"]), lambda v: v.isNotNull())
-    full = full.select(key, "_t", F.arrays_zip(starts.alias("s"), ends.alias("e")).alias("offsets"))
-    return full.select(key, split_ws("_t").alias("tokens"), "offsets")
+    with code-point offsets, all inside the row: no shuffle, no window, and
+    linear in the text's bytes."""
+    return df.select(key, split_ws(text_col).alias("tokens"), offsets_of(F.col(text_col)).alias("offsets"))
 
 
 def token_rows(df: DataFrame, key: str, text_col: str = "text") -> DataFrame:
