@@ -15,6 +15,7 @@ and the LCS, which has no linear SQL form, is one Arrow-batched helper.
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -48,13 +49,20 @@ TOKENIZERS = {
 }
 
 
-def tokenize_pairs(pairs: DataFrame, keys: list, hyp: str, ref: str, tokenizer: str = "rouge",
+def segmented_words(segment) -> Callable[[Column], Column]:
+    """Words as the scorer sees text that was segmented and joined by spaces."""
+    return lambda c: rouge_words(F.array_join(segment(c), " "))
+
+
+def tokenize_pairs(pairs: DataFrame, keys: list, hyp: str, ref: str, tokenizer: str | Callable = "rouge",
                    empty: str = "zero") -> DataFrame:
     """Token arrays ``ht`` and ``rt`` of each pair, beside the pair's own columns.
 
-    ``empty`` says what becomes of a pair with a side without tokens: ``zero``
-    scores it 0, ``ignore`` leaves it out, ``error`` fails the job."""
-    tok = TOKENIZERS[tokenizer]
+    ``tokenizer`` is a name of ``TOKENIZERS`` or a function from a text column
+    to an array of words (a segmenter).  ``empty`` says what becomes of a pair
+    with a side without tokens: ``zero`` scores it 0, ``ignore`` leaves it out,
+    ``error`` fails the job."""
+    tok = TOKENIZERS[tokenizer] if isinstance(tokenizer, str) else tokenizer
     out = pairs.withColumns({"ht": tok(F.col(hyp)), "rt": tok(F.col(ref))})
     # a blank sentence counts as one empty token, which is no content
     blank = ~(F.exists("ht", lambda t: t != "") & F.exists("rt", lambda t: t != ""))

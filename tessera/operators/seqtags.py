@@ -158,25 +158,19 @@ def token_accuracy(df: DataFrame, pred_col: str, gold_col: str, ignore=None) ->
     return per.agg(F.sum("n").alias("n_tokens"), (F.sum("c") / F.sum("n")).alias("token_acc"))
 
 
-def subword_pieces(word: Column, k: int) -> Column:
-    """Fixed-width pieces of ``k`` code points (a stand-in sub-word tokenizer)."""
-    return F.transform(index_range(F.ceil(F.length(word) / F.lit(k)).cast("int")),
-                       lambda j: F.substring(word, j * k + 1, k))
-
-
-def align_labels(words_col: str, label_ids_col: str, k: int = 4, inside_ids_col: str | None = None) -> Column:
+def align_labels(pieces_col: str, label_ids_col: str, inside_ids_col: str | None = None) -> Column:
     """Per-piece labels: special tokens -> -100; the first piece of a word
     carries the word's label; later pieces -100, or, when ``inside_ids_col``
     gives for each word the id of its label's I- form (the label itself where
-    there is none), that id.  Returns array<struct<word_idx,label>> including
-    the leading and trailing special token."""
-    words, labels = F.col(words_col), F.col(label_ids_col)
-    later = (F.lit(IGNORE_INDEX) if inside_ids_col is None else None)
-    per_word = F.transform(words, lambda w, i: F.transform(
-        subword_pieces(w, k),
-        lambda _p, j: F.struct(i.alias("word_idx"),
-                               F.when(j == 0, F.try_element_at(labels, i + 1))
-                               .otherwise(later if later is not None else F.try_element_at(F.col(inside_ids_col), i + 1))
-                               .alias("label"))))
+    there is none), that id.  ``pieces_col`` holds each word's array of pieces.
+    Returns array<struct<word_idx,label>> including the leading and trailing
+    special token."""
+    labels = F.col(label_ids_col)
+    per_word = F.transform(F.col(pieces_col), lambda ps, i: F.transform(
+        ps, lambda _p, j: F.struct(
+            i.alias("word_idx"),
+            F.when(j == 0, F.try_element_at(labels, i + 1))
+            .otherwise(F.lit(IGNORE_INDEX) if inside_ids_col is None else F.try_element_at(F.col(inside_ids_col), i + 1))
+            .alias("label"))))
     special = F.struct(F.lit(None).cast("int").alias("word_idx"), F.lit(IGNORE_INDEX).alias("label"))
     return F.concat(F.array(special), F.flatten(per_word), F.array(special))

@@ -13,14 +13,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.session import table
+from tessera.functions.text import split_ws
 from tessera.operators import vocab as V
+from tessera.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 # Parameters that are the feature of a query: vocabulary size, the length
 # limits of a summarisation pair, first-n and sample sizes.
 VOCAB_N = 10000
 MAX_SOURCE, MAX_TARGET = 512, 64
+PIECE_FILE = "/opt/tokenizers/byte_bpe_50k.tiktoken"  # a public vocabulary, read where it lies
 FIRST_DOCS, FIRST_FEATURES, SAMPLE_ROWS = 100, 200, 20
 
 
@@ -97,6 +99,8 @@ def q_vocab_coverage(spark, sf):
 # ---------------------------------------------------------------- labels
 from tessera.operators import labels as L  # noqa: E402
 from tessera.operators import metrics as M  # noqa: E402
+from tessera.operators import pieces as PC  # noqa: E402
+from tessera.operators import segment as SG  # noqa: E402
 from tessera.operators import seqtags as T  # noqa: E402
 from tessera.plans import standins as S  # noqa: E402
 
@@ -212,11 +216,28 @@ def _tag_ids(spark, sf):
                     F.col("vs.gin").alias("gold_inside"), F.col("vs.pin").alias("pred_inside"))
 
 
+def _pieces(spark):
+    return PC.piece_splitter(spark, PIECE_FILE)
+
+
+@query
+def q_word_pieces(spark, sf):
+    """Every word of every document in pieces of a public vocabulary."""
+    cut = _pieces(spark)
+    docs = table(spark, sf, "documents").select("doc_id", F.coalesce(F.flatten(cut(split_ws("text"))), F.array()).alias("p"))
+    return docs.select("doc_id", F.size("p").cast("bigint").alias("n_pieces"),
+                       F.size(F.filter("p", lambda x: x["id"].isNull())).cast("bigint").alias("n_unknown"),
+                       F.array_join(F.transform("p", lambda x: x["id"].cast("string")), " ", "?").alias("ids"))
+
+
+def _aligned(spark, sf, inside=None):
+    s = _tag_ids(spark, sf).withColumn("pieces", _pieces(spark)(F.col("tokens")))
+    return s.select("conv_id", "turn", T.align_labels("pieces", "gold_ids", inside).alias("a"))
+
+
 @query
 def q_align_labels(spark, sf):
-    s = _tag_ids(spark, sf)
-    al = T.align_labels("tokens", "gold_ids", k=4)
-    return s.select("conv_id", "turn", al.alias("a")).select(
+    return _aligned(spark, sf).select(
         "conv_id", "turn", F.size("a").cast("bigint").alias("n_pieces"),
         F.size(F.filter("a", lambda x: x["label"] != -100)).cast("bigint").alias("n_labeled"),
         F.array_join(F.transform("a", lambda x: x["label"].cast("string")), " ").alias("labels"))
@@ -225,9 +246,8 @@ def q_align_labels(spark, sf):
 @query
 def q_align_labels_all(spark, sf):
     """Later pieces of a word carry the id of the label's I- form."""
-    s = _tag_ids(spark, sf)
-    al = T.align_labels("tokens", "gold_ids", k=4, inside_ids_col="gold_inside")
-    return s.select("conv_id", "turn", F.array_join(F.transform(al, lambda x: x["label"].cast("string")), " ").alias("labels"))
+    return _aligned(spark, sf, "gold_inside").select(
+        "conv_id", "turn", F.array_join(F.transform("a", lambda x: x["label"].cast("string")), " ").alias("labels"))
 
 
 @query
@@ -541,6 +561,30 @@ def q_rouge_n_char_bigram(spark, sf):
     return t.select(*PAIR, r6("rouge1").alias("rouge1_f"), r6("rouge2").alias("rouge2_f"))
 
 
+def _dictionary(spark, sf):
+    return SG.learn_dictionary(table(spark, sf, "documents"), "text")
+
+
+@query
+def q_segment_dictionary(spark, sf):
+    return _dictionary(spark, sf).select("word", "cnt", "cohesion", "freedom", "cost")
+
+
+@query
+def q_segment_text(spark, sf):
+    split = SG.segmenter(spark, _dictionary(spark, sf))
+    docs = table(spark, sf, "documents").select("doc_id", F.coalesce(split(F.col("text")), F.array()).alias("words"))
+    return docs.select("doc_id", F.size("words").cast("bigint").alias("n_words"), F.array_join("words", " ").alias("text"))
+
+
+@query
+def q_rouge_n_segmented(spark, sf):
+    """Both sides cut into the words of the documents' dictionary before they are scored."""
+    split = SG.segmenter(spark, _dictionary(spark, sf))
+    t = R.rouge_n_set(_pair_tokens(spark, sf, R.segmented_words(split)))
+    return t.select(*PAIR, r6("rouge1").alias("rouge1_f"), r6("rouge2").alias("rouge2_f"))
+
+
 @query
 def q_rouge_scores(spark, sf):
     t = R.rouge_n_set(_pair_tokens(spark, sf))

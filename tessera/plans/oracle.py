@@ -188,21 +188,6 @@ WITH {TAGS_CTE}
 SELECT b.label AS b_label, CAST(b.idx AS BIGINT) AS b_idx, i.label AS i_label, CAST(i.idx AS BIGINT) AS i_idx
 FROM tagidx b JOIN tagidx i ON i.label = replace(b.label, 'B-', 'I-') WHERE b.label LIKE 'B-%'"""
 
-ORACLE_SQL["align_labels"] = f"""
-WITH {TAGS_CTE},
-w AS (SELECT conv_id, turn, pos, CAST(ceil(length(token) / 4) AS BIGINT) AS np, gid FROM tagids)
-SELECT conv_id, turn, CAST(2 + sum(np) AS BIGINT) AS n_pieces, count(*) FILTER (WHERE np > 0) AS n_labeled,
-       '-100 ' || string_agg(CAST(gid AS VARCHAR) || repeat(' -100', CAST(np - 1 AS BIGINT)), ' ' ORDER BY pos)
-       || ' -100' AS labels
-FROM w GROUP BY conv_id, turn"""
-
-ORACLE_SQL["align_labels_all"] = f"""
-WITH {TAGS_CTE},
-w AS (SELECT conv_id, turn, pos, CAST(ceil(length(token) / 4) AS BIGINT) AS np, gid, gin FROM tagids)
-SELECT conv_id, turn, '-100 ' || string_agg(CAST(gid AS VARCHAR) || repeat(' ' || CAST(gin AS VARCHAR), CAST(np - 1 AS BIGINT)),
-       ' ' ORDER BY pos) || ' -100' AS labels
-FROM w GROUP BY conv_id, turn"""
-
 ORACLE_SQL["masked_token_accuracy"] = f"""
 WITH {TAGS_CTE}
 SELECT count(*) AS n_tokens, round(avg(CASE WHEN pid = gid THEN 1.0 ELSE 0.0 END), 6) AS token_acc FROM tagids"""
@@ -754,3 +739,5 @@ pr AS (SELECT chosen.id, CASE WHEN b.k IS NULL THEN 'empty'
                               ELSE substr(context, CAST(cs + 1 AS BIGINT), CAST(ce - cs AS BIGINT)) END AS text
        FROM chosen LEFT JOIN b ON b.k = chosen.id)
 SELECT id, text AS prediction, {REPAIR.format(x='text')} AS answer FROM pr"""
+
+from tessera.plans import oracle_text  # noqa: E402, F401  adds its queries
