@@ -101,6 +101,7 @@ from tessera.operators import labels as L  # noqa: E402
 from tessera.operators import metrics as M  # noqa: E402
 from tessera.operators import pieces as PC  # noqa: E402
 from tessera.operators import segment as SG  # noqa: E402
+from tessera.operators import tagger as TG  # noqa: E402
 from tessera.operators import seqtags as T  # noqa: E402
 from tessera.plans import standins as S  # noqa: E402
 
@@ -161,14 +162,17 @@ def q_entities_lenient(spark, sf):
                     F.col("end").cast("bigint").alias("end"))
 
 
-@query
-def q_entity_f1_strict(spark, sf):
-    counts = T.entity_counts(S.tag_sequences(spark, sf), ["conv_id", "turn"], "gold", "pred", strict=True)
-    rep = T.entity_report(counts)
+def _entity_report(seqs, strict):
+    rep = T.entity_report(T.entity_counts(seqs, ["conv_id", "turn"], "gold", "pred", strict=strict))
     return rep.select("label", r6("precision").alias("precision"), r6("recall").alias("recall"),
                       r6("f1").alias("f1"), F.col("support").cast("bigint").alias("support"))
 
 
+@query
+def q_entity_f1_strict(spark, sf):
+    return _entity_report(S.tag_sequences(spark, sf), strict=True)
+
+
 @query
 def q_entity_f1_lenient(spark, sf):
     seqs = S.tag_sequences(spark, sf)
@@ -876,21 +880,44 @@ def q_map_batches(spark, sf):
     return ML.map_batches(d, explode_lines, "doc_id long, line_no long, line string")
 
 
+def _tag_split(spark, sf):
+    """Tag sequences of all turns, every fifth by hash held out."""
+    held = F.crc32(F.concat_ws("/", F.col("conv_id").cast("string"), F.col("turn").cast("string")).cast("binary")) % 5 == 0
+    return S.tag_sequences(spark, sf).withColumn("held", held)
+
+
 @query
 def q_tag_tokens(spark, sf):
-    """Train the token tagger on user turns, tag assistant turns, report
-    per-sequence correct counts against the gold tags."""
-    conv = table(spark, sf, "conversations").select("conv_id", "turn", "role")
-    seqs = S.tag_sequences(spark, sf).join(conv, ["conv_id", "turn"])
-    toks = ML.token_context_features(seqs, ["conv_id", "turn", "role"], "tokens", "gold")
-    model = ML.fit_tagger(toks.where(F.col("role") == "user"), max_iter=20)
+    """Every token decided alone: learnt from four fifths of the turns, correct counts of the held-out ones."""
+    toks = ML.token_context_features(_tag_split(spark, sf), ["conv_id", "turn", "held"], "tokens", "gold")
+    model = ML.fit_tagger(toks.where(~F.col("held")), max_iter=20)
     labels = model.stages[0].labels
-    pred = model.transform(toks.where(F.col("role") == "assistant"))
+    pred = model.transform(toks.where("held"))
     to_label = F.element_at(F.array(*[F.lit(x) for x in labels]), F.col("prediction").cast("int") + 1)
     return (pred.select("conv_id", "turn", (to_label == F.col("tag")).cast("int").alias("ok"))
             .groupBy("conv_id", "turn").agg(F.count(F.lit(1)).alias("n_tokens"), F.sum("ok").alias("n_correct")))
 
 
+@query
+def q_tag_sequences(spark, sf):
+    """A turn's tags decided together: learnt from four fifths of the turns, all turns tagged."""
+    seqs = _tag_split(spark, sf)
+    model = TG.fit_tagger(seqs.where(~F.col("held")), "tokens", "gold")
+    out = seqs.withColumn("pred", TG.tag(spark, model, F.col("tokens")))
+    ok = F.size(F.filter(F.arrays_zip("pred", "gold"), lambda x: x["pred"] == x["gold"]))
+    return out.select("conv_id", "turn", "held", F.size("tokens").cast("bigint").alias("n_tokens"), ok.cast("bigint").alias("n_correct"),
+                      F.array_join("pred", " ").alias("tags"))
+
+
+@query
+def q_tag_sequence_f1(spark, sf):
+    """Entity F1 of the held-out turns, strict chunks."""
+    seqs = _tag_split(spark, sf)
+    model = TG.fit_tagger(seqs.where(~F.col("held")), "tokens", "gold")
+    held = seqs.where("held").withColumn("pred", TG.tag(spark, model, F.col("tokens")))
+    return _entity_report(held, strict=True)
+
+
 @query
 def q_qa_two_stage(spark, sf):
     """Two-stage QA as one lazy plan: pick the context (TF-IDF), cut it into

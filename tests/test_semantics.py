@@ -221,8 +221,13 @@ def test_classifier_and_tagger_accuracy(spark):
     sf = "/root/testdata/sf0.01"
     rows = E.queries()["classify_text"](spark, sf).collect()
     assert 100 < len(rows) < 320 and sum(r.lang == r.predicted for r in rows) / len(rows) > 0.9
-    rows = E.queries()["tag_tokens"](spark, sf).collect()
-    assert sum(r.n_correct for r in rows) / sum(r.n_tokens for r in rows) > 0.8
+    alone = E.queries()["tag_tokens"](spark, sf).collect()
+    together = [r for r in E.queries()["tag_sequences"](spark, sf).collect() if r.held]
+    assert {(r.conv_id, r.turn) for r in alone} == {(r.conv_id, r.turn) for r in together}
+    share = [sum(r.n_correct for r in rows) / sum(r.n_tokens for r in rows) for rows in (alone, together)]
+    assert share[0] > 0.8 and share[1] > max(0.95, share[0])
+    report = {r.label: r.f1 for r in E.queries()["tag_sequence_f1"](spark, sf).collect()}
+    assert report["micro avg"] > 0.9
 
 
 def test_vector_max_over_all_tokens(spark):
