@@ -7,17 +7,18 @@
    combined before the shuffle): a group of copies costs one representative.
 3. Representatives that share a band key are candidates.  No bucket is paired
    up: in every round each bucket names hubs (first one, the member that shares
-   most buckets with others; then up to 256 of those outside its largest
-   component, spread by hash; then 1024, ...) and members are compared with hubs
-   alone.  A hub has then met its whole bucket and leaves it; a bucket ends when
-   its members are known to be connected.  Nothing is capped:
-   a pair of members is skipped only if already connected or if it cannot reach
-   the threshold.  The proof of that is exact: after the first round the
-   shingles of the open buckets' texts are counted, and a text of n shingles, u
-   of them shared at all, is at most u / (n + m - u) similar to one of m; when
-   texts go for that reason, the rest are counted again.  So
+   most buckets with others, in the first eight bands and then in all; then up
+   to 256 of those outside its largest component, spread by hash; then 1024, ...)
+   and members are compared with hubs alone.  A hub has then met its whole bucket
+   and leaves it; a bucket ends when its members are known to be connected.
+   Nothing is capped: a pair of members is skipped only if already connected or
+   if it cannot reach the threshold.  The proof of that is exact: the shingles of
+   the open buckets' texts are counted, and a text of n shingles, u of them
+   shared at all, is at most u / n similar to any other and u / (n + m - u) to
+   one of m; when texts go for that reason, the rest are counted again.  So
    thousands of copies that differ from one original in words of their own meet
-   the original, but not one another.
+   the original, but not one another.  Between rounds a text is one row with its
+   open keys; only the buckets' counts and meetings are made key by key.
 4. A candidate's similarity is estimated from equal packed lanes, counted by
    bit operations and corrected for chance agreement, (m - c) / (1 - c) with
    c = 1/16; pairs within ``slack`` of the threshold or above are confirmed on
@@ -30,8 +31,9 @@ is 0.15.
 
 Defined cases: a null, empty or blank text has 0 shingles and is linked with
 nothing; a text of fewer than five words is one shingle; rows repeated under
-one id are one node; a null id is linked with nothing and kept; an empty table
-gives an empty result; other columns are not read.
+one id are one node, with the links of all its texts; a null id is linked with
+nothing and kept; very long texts are read whole, a block of text holds one at
+least; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -51,6 +53,7 @@ from tessera.llm.textvec import (BLOCK_BYTES, Words, by_doc, distinct_pairs, low
 SHINGLE = 5
 BANDS, ROWS = 48, 7
 LANES = 16  # of 4 bits in a long
+FIRST = 8   # bands whose buckets meet one hub before the others are looked at
 HUBS = 256  # that a large bucket names in the second round, four times as many in each further one
 
 
@@ -161,17 +164,71 @@ def lone_shingles(ids: DataFrame, docs: DataFrame, shingle: int = SHINGLE) -> Da
     return once.groupBy("id").agg(F.count(F.lit(1)).alias("lone"))
 
 
-def _open(rows: DataFrame, percent: int) -> DataFrame:
-    """Rows whose bucket still holds two components, without members that could reach no other member.
+def _open(state: DataFrame, percent: int) -> DataFrame:
+    """The rows of ``state`` with the keys of buckets that still hold two components, and w, these buckets' sizes.
 
-    Of a text's n shingles u are shared with any other candidate, so against a
-    text of m shingles its similarity is at most u / (n + m - u).
+    A key also goes where the row could reach no member: of a text's n shingles
+    u are shared with any other candidate, so against a text of m shingles its
+    similarity is at most u / (n + m - u).
     """
-    least = rows.groupBy("key").agg(F.min("n").alias("m"))
-    able = rows.join(least, "key").where(F.lit(100) * F.col("u") >= F.lit(percent) * (F.col("n") + F.col("m") - F.col("u")))
-    able = able.drop("m")
-    two = able.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("key")
-    return able.join(two, "key", "left_semi")
+    rows = state.select("id", "set", "n", "u", "comp", "many", F.explode("keys").alias("key"))
+    buckets = (rows.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("n").alias("m"), F.min("comp").alias("x"),
+                                       F.max("comp").alias("y")).where("x < y").select("key", "c", "m"))
+    able = rows.join(buckets, "key").where(
+        F.lit(100) * F.col("u") >= F.lit(percent) * (F.col("n") + F.col("m") - F.col("u")))
+    return (able.groupBy("id", "set", "n", "u", "comp", "many")
+            .agg(F.sum("c").alias("w"), F.collect_list("key").alias("keys")))  # at most one for each band
+
+
+def _labelled(state: DataFrame, links: list[DataFrame]) -> DataFrame:
+    """``state`` with comp from the links so far."""
+    if not links:
+        return state.withColumn("comp", F.col("id"))
+    labels = _labels(reduce(DataFrame.unionByName, links))
+    return state.drop("comp").join(labels, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+
+
+def _peeled(state: DataFrame, src: DataFrame, percent: int, shingle: int) -> DataFrame:
+    """``state`` with u, without texts of which u / n, the most they can reach, is under the threshold.
+
+    Once texts have gone, more shingles of the others are theirs alone: repeated
+    until few more go.  The lone shingles of an id with several texts are not
+    told apart, so such an id stays as it is.
+    """
+    left = None
+    while True:
+        ids = state.select("id").distinct()
+        before, left = left, ids.count()
+        if not left or before is not None and left > 0.9 * before:
+            return state
+        was, state = state, stored(
+            state.join(lone_shingles(ids, src, shingle), "id", "left")
+            .withColumn("u", F.when(F.col("many"), F.col("n")).otherwise(F.col("n") - F.coalesce("lone", F.lit(0)))).drop("lone")
+            .where(F.lit(100) * F.col("u") >= F.lit(percent) * F.col("n")))
+        forget(was)
+
+
+def _hubs(state: DataFrame, wide: int, turn: int) -> tuple[DataFrame, DataFrame]:
+    """Rows by bucket, and the hubs that each bucket names; ``wide`` is 0 where it names one.
+
+    Rows have ks, their open keys, main, their bucket's largest component, and
+    size, how many of its members are outside it."""
+    rows = state.select("id", "n", "u", "w", "comp", "many", F.col("keys").alias("ks"), F.explode("keys").alias("key"))
+    if wide:  # members outside a bucket's largest component are hubs: all at once where they are few
+        tally = rows.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"))
+        size = (tally.groupBy("key").agg(F.max(F.struct("c", "comp")).alias("top"), F.sum("c").alias("size"))
+                .select("key", F.col("top.comp").alias("main"), (F.col("size") - F.col("top.c")).alias("size")))
+        rows = rows.join(size, "key")
+        part = F.when(F.col("size") <= HUBS, F.col("id")).otherwise(F.pmod(F.xxhash64("id", F.lit(turn)), F.lit(wide)))
+        dealt = rows.where("comp <> main").withColumn("part", part)
+    else:
+        rows = rows.withColumns({"main": F.col("comp"), "size": F.lit(0)})
+        dealt = rows.withColumn("part", F.lit(0))
+    hubs = (dealt.groupBy("key", "part")
+            .agg(F.max(F.struct("w", (-F.col("id")).alias("minus"), "comp", "n", "u", "many", "ks")).alias("h"))
+            .select("key", (-F.col("h.minus")).alias("hub"), F.col("h.comp").alias("hub_comp"), F.col("h.n").alias("hub_n"),
+                    F.col("h.u").alias("hub_u"), F.col("h.many").alias("hub_many"), F.col("h.ks").alias("hub_ks")))
+    return rows, hubs
 
 
 def _labels(links: DataFrame) -> DataFrame:
@@ -195,68 +252,61 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     groups = sets.groupBy("fa", "fb", "n").agg(F.min("id").alias("rep"))
     member = stored(feats.select("id", "n", "fa", "fb").join(groups, ["fa", "fb", "n"], "left")
                     .select("id", "n", F.when(F.col("id").isNotNull(), F.coalesce("rep", "id")).alias("rep")))
+    # an id with several texts is one node: its texts' representatives are linked through it
+    some = (member.where("id is not null").groupBy("id").agg(F.min("rep").alias("x"), F.max("rep").alias("y"),
+                                                             F.min("n").alias("p"), F.max("n").alias("q"))
+            .where("x < y or p < q").select("id"))
+    many = stored(some)
+    mixed = not many.isEmpty()
     reps = groups.select(F.col("rep").alias("id"))
-    sig = stored(sets.select("id", "n", "sig", "keys").join(reps, "id", "left_semi").dropDuplicates(["id"]))
-    rows_of = sig.select("id", "n", F.explode("keys").alias("key"))
-    shared = rows_of.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-    first = stored(rows_of.join(shared, "key").select("key", "id", "n", "m"))
-    weight = first.groupBy("id").agg(F.sum("m").alias("w"))
-    live = stored(first.select("key", "id", "n").join(weight, "id")
-                  .select("key", "id", "w", "n", F.col("n").alias("u"), F.col("id").alias("comp")))
-    forget(first)
+    sig = sets.select("id", "fa", "fb", "n", "sig", "keys").join(reps, "id", "left_semi").dropDuplicates(["id", "fa", "fb", "n"])
+    sig = sig.withColumn("set", F.xxhash64("fa", "fb", "n")).drop("fa", "fb")
+    sig = sig.join(many.withColumn("many", F.lit(True)), "id", "left") if mixed else sig.withColumn("many", F.lit(None).cast("boolean"))
+    sig = stored(sig.withColumn("many", F.coalesce("many", F.lit(False))))
     lanes = sig.select("id", "sig")
-    links, turn = [], 0
-    while not live.isEmpty():
-        was = live
-        if turn:  # members outside a bucket's largest component are hubs: all at once where they are few
-            wide = HUBS * 4 ** (turn - 1)
-            tally = live.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"))
-            size = (tally.groupBy("key").agg(F.max(F.struct("c", "comp")).alias("top"), F.sum("c").alias("size"))
-                    .select("key", F.col("top.comp").alias("main"), (F.col("size") - F.col("top.c")).alias("size")))
-            # a pair that shares several open buckets meets in the smallest of them alone
-            own = live.groupBy("id").agg(F.collect_list("key").alias("ks"))  # at most one for each band
-            live = live.join(own, "id").join(size, "key")
-            part = F.when(F.col("size") <= HUBS, F.col("id")).otherwise(F.pmod(F.xxhash64("id", F.lit(turn)), F.lit(wide)))
-            dealt = live.where("comp <> main").withColumn("part", part)
-        else:
-            live = live.withColumns({"ks": F.array(F.col("key")), "main": F.col("comp"), "size": F.lit(0)})
-            dealt = live.withColumn("part", F.lit(0))
-        hubs = (dealt.groupBy("key", "part")
-                .agg(F.max(F.struct("w", (-F.col("id")).alias("minus"), "comp", "n", "u", "ks")).alias("h"))
-                .select("key", (-F.col("h.minus")).alias("hub"), F.col("h.comp").alias("hub_comp"),
-                        F.col("h.n").alias("hub_n"), F.col("h.u").alias("hub_u"), F.col("h.ks").alias("hub_ks")))
+    links = [stored(member.where("n > 0").join(many, "id", "left_semi").select(F.col("id").alias("a"), F.col("rep").alias("b"))
+                    .distinct())] if mixed else []
+
+    def meet(state: DataFrame, wide: int, turn: int) -> DataFrame:
+        """Members of a bucket against its hubs; hubs leave their buckets."""
+        by_key, hubs = _hubs(state, wide, turn)
         hubs = stored(hubs)
         both = F.least("u", "hub_u")
-        meet = F.lit(True)
-        if turn:  # in one bucket, and once where both are hubs
-            meet = ((F.array_min(F.array_intersect("ks", "hub_ks")) == F.col("key"))
-                    & ((F.col("comp") == F.col("main")) | (F.col("size") > HUBS) | (F.col("id") < F.col("hub"))))
-        pairs = (live.join(hubs, "key").where("id <> hub and comp <> hub_comp").where(meet)
-                 .where(F.lit(100) * both >= F.lit(percent) * (F.col("n") + F.col("hub_n") - both))
+        meets = F.lit(True)
+        if wide:  # a pair that shares several open buckets meets in one of them, and once where both are hubs
+            meets = ((F.array_min(F.array_intersect("ks", "hub_ks")) == F.col("key"))
+                     & ((F.col("comp") == F.col("main")) | (F.col("size") > HUBS) | (F.col("id") < F.col("hub"))))
+            if mixed:  # of an id with several texts each has its own keys
+                meets = meets | F.col("many") | F.col("hub_many")
+        near = F.lit(100) * both >= F.lit(percent) * (F.col("n") + F.col("hub_n") - both)
+        pairs = (by_key.join(hubs, "key").where("id <> hub and comp <> hub_comp").where(meets)
+                 .where(near | F.col("many") | F.col("hub_many"))
                  .select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct())
-        close = (pairs.join(lanes.select(F.col("id").alias("a"), F.col("sig").alias("sa")), "a")
-                 .join(lanes.select(F.col("id").alias("b"), F.col("sig").alias("sb")), "b")
-                 .where(estimate("sa", "sb", bands * rows) >= percent / 100 - slack).select("a", "b"))
-        close = stored(close)
-        links.append(stored(confirm(close, src, percent, shingle)))
-        rest = live.drop("comp", "ks", "main", "size").join(hubs.select("key", F.col("hub").alias("id")), ["key", "id"], "left_anti")
-        rest = stored(rest.join(_labels(reduce(DataFrame.unionByName, links)), "id", "left")
-                      .withColumn("comp", F.coalesce("comp", "id")))
-        spare = [was, rest, hubs, close]
-        live = stored(_open(rest, percent))
-        before = None
-        while turn == 0 and not live.isEmpty():
-            # once texts have gone, more shingles of the others are theirs alone: peel until few more go
-            ids = live.select("id").distinct()
-            left = ids.count()
-            if before is not None and left > 0.9 * before:
-                break
-            before = left
-            lone = lone_shingles(ids, src, shingle)
-            spare.append(live)
-            live = stored(_open(live.join(lone, "id", "left").withColumn("u", F.col("n") - F.coalesce("lone", F.lit(0)))
-                                .drop("lone"), percent))
-        forget(*spare)
+        close = stored(pairs.join(lanes.select(F.col("id").alias("a"), F.col("sig").alias("sa")), "a")
+                       .join(lanes.select(F.col("id").alias("b"), F.col("sig").alias("sb")), "b")
+                       .where(estimate("sa", "sb", bands * rows) >= percent / 100 - slack).select("a", "b").distinct())
+        links.append(stored(confirm(close, src, percent, shingle).distinct()))
+        gone = hubs.groupBy(F.col("hub").alias("id")).agg(F.collect_set("key").alias("met"))
+        left = state.join(gone, "id", "left").withColumn(
+            "keys", F.when(F.col("met").isNull(), F.col("keys")).otherwise(F.array_except("keys", "met"))).drop("met")
+        new = stored(_open(_labelled(left, links), percent))
+        forget(state, hubs, close)
+        return new
+
+    def start(keys: Column) -> DataFrame:
+        return stored(_open(_labelled(sig.select("id", "set", "n", F.col("n").alias("u"), "many", keys.alias("keys")), links),
+                            percent))
+
+    # one hub for each bucket of the first bands: most copies meet their original there
+    state = start(F.slice("keys", 1, FIRST))
+    if not state.isEmpty():
+        meet(state, 0, 0)
+    state = start(F.col("keys"))
+    if not state.isEmpty():
+        state = stored(_open(_peeled(state, src, percent, shingle), percent))
+    turn = 0
+    while not state.isEmpty():
+        state = meet(state, HUBS * 4 ** (turn - 1) if turn else 0, turn)
         turn += 1
     out, top = member, F.col("rep")
     if links:

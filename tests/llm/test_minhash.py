@@ -64,6 +64,31 @@ def test_classes_match_brute_force(spark, percent):
     assert len(set(want.values())) < len(want)
 
 
+@pytest.mark.parametrize("hubs,first", [(2, 1), (2, 48), (1, 8)])
+def test_many_rounds_of_few_hubs(spark, monkeypatch, hubs, first):
+    from tessera.llm import minhash
+    monkeypatch.setattr(minhash, "HUBS", hubs)
+    monkeypatch.setattr(minhash, "FIRST", first)
+    rows = variants(7)
+    out = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), percent=80).collect()
+    assert {r.doc_id: r.component_id for r in out} == brute(rows, 80)
+
+
+def test_one_id_with_several_texts(spark):
+    rng = random.Random(2)
+    x, y, z = ([f"{c}{rng.randrange(900)}" for _ in range(120)] for c in "xyz")
+
+    def near(t, k):
+        t = list(t)
+        t[k] = "other"
+        return " ".join(t)
+
+    rows = [(1, " ".join(x)), (1, " ".join(y)), (2, near(x, 5)), (3, near(y, 100)), (4, " ".join(z)), (9, near(z, 50)),
+            (9, " ".join(x)), (10, "a b c"), (10, "a b c d e f g"), (11, "a b c d e f g")]
+    out = {(r.doc_id, r.component_id) for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out == {(1, 1), (2, 1), (3, 1), (4, 1), (9, 1), (10, 10), (11, 10)}
+
+
 def test_odd_rows(odd_docs, no_docs):
     out = near_duplicates(odd_docs).collect()
     assert len(out) == odd_docs.count()
