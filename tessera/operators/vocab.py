@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,6 +15,8 @@ from tessera.operators.common import bounded_broadcast, fingerprint, md5_number,
 # Reserved vocabulary entries and their ids.
 PAD_TOKEN, UNK_TOKEN = "[PAD]", "[UNK]"
 FIRST_WORD_ID = 2
+# A vocabulary within both bounds (50 MB at most) goes to every task.
+NARROW_ROWS, NARROW_TOKEN = 50_000, 1024
 
 
 def word_count(df: DataFrame, text_col: str = "text", tokens_col: str | None = None) -> DataFrame:
@@ -34,34 +39,80 @@ def vocabulary(counts: DataFrame, n: int = 10000) -> DataFrame:
         .cast("int").alias("id"))
 
 
+def token_table(vocab: DataFrame, vocab_size: int | None) -> pa.Table | None:
+    """(token, id) of a vocabulary that is proven small enough to be sent to every task: at most ``NARROW_ROWS``
+    rows, no token over ``NARROW_TOKEN`` bytes.  Otherwise None."""
+    if vocab_size is None or vocab_size > NARROW_ROWS:
+        return None
+    short = F.when(F.octet_length("token") <= NARROW_TOKEN, F.col("token")).alias("token")
+    rows = vocab.select(short, F.col("id").cast("int").alias("id")).limit(vocab_size).toArrow().combine_chunks()
+    return None if rows.column("token").null_count else rows
+
+
+def _per_list(lists: pa.Array, values: pa.Array) -> pa.Array:
+    """``values`` cut like ``lists``."""
+    ends = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))])
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), values, mask=lists.is_null() if lists.null_count else None)
+
+
 def encode(df: DataFrame, key: str, text_col: str, vocab: DataFrame, vocab_size: int | None,
            to_len: int | None = None, out: str = "ids") -> DataFrame:
-    """Token -> id with UNK default.  Tokens come from a one-space split (so
-    an empty token is UNK, as at inference).  Tokens meet the vocabulary by
-    two 64-bit hashes, so what is broadcast (when ``vocab_size`` bounds it) has
-    a fixed width whatever the tokens' length; the big side is never shuffled
-    before the map-side-combined regroup."""
-    h = fingerprint("token")
-    v = bounded_broadcast(vocab.select(h[0].alias("_h"), h[1].alias("_i"), "id"), vocab_size)
-    exploded = (df.select(key, F.posexplode_outer(split_space(text_col)).alias("pos", "token"))
-                .where(F.col("pos").isNotNull()).select(key, "pos", h[0].alias("_h"), h[1].alias("_i")))
-    joined = exploded.join(v, ["_h", "_i"], "left").select(
-        key, "pos", F.coalesce("id", F.lit(UNK_ID)).alias("id"))
-    res = ordered_collect(joined, [key], "pos", "id", out)
+    """(key, ids): token -> id with UNK default.  Tokens come from a one-space
+    split (so an empty token is UNK, as at inference); a null text has no row.
+
+    A vocabulary of proven size is looked up inside the row, by a hash table
+    that each task holds: nothing is shuffled.  Any other one meets the tokens
+    in a join on two 64-bit hashes."""
+    known = token_table(vocab, vocab_size)
+    if known is None:
+        res = _encode_by_join(df, key, text_col, vocab, out)
+    else:
+        sent = df.sparkSession.sparkContext.broadcast((known.column("token").to_pylist(), known.column("id").to_numpy()))
+
+        @F.arrow_udf("array<int>")
+        def lookup(tokens: pa.Array) -> pa.Array:
+            words, ids = sent.value
+            at = pc.index_in(tokens.flatten(), value_set=pa.array(words, pa.string()))
+            found = np.append(ids, UNK_ID)[pc.fill_null(at, len(ids)).to_numpy(zero_copy_only=False)]
+            return _per_list(tokens, pa.array(found.astype(np.int32)))
+
+        res = df.where(F.col(text_col).isNotNull()).select(key, lookup(split_space(text_col)).alias(out))
     if to_len is not None:
         res = res.withColumn(out, pad_array(out, to_len, PAD_ID))
     return res
 
 
+def _encode_by_join(df: DataFrame, key: str, text_col: str, vocab: DataFrame, out: str) -> DataFrame:
+    h = fingerprint("token")
+    v = vocab.select(h[0].alias("_h"), h[1].alias("_i"), "id")
+    exploded = (df.select(key, F.posexplode_outer(split_space(text_col)).alias("pos", "token"))
+                .where(F.col("pos").isNotNull()).select(key, "pos", h[0].alias("_h"), h[1].alias("_i")))
+    joined = exploded.join(v, ["_h", "_i"], "left").select(key, "pos", F.coalesce("id", F.lit(UNK_ID)).alias("id"))
+    return ordered_collect(joined, [key], "pos", "id", out)
+
+
 def decode(df: DataFrame, key: str, ids_col: str, vocab: DataFrame, vocab_size: int | None,
            out: str = "tokens") -> DataFrame:
-    """Id -> token, special ids (PAD/UNK and anything < 2) dropped."""
-    v = bounded_broadcast(vocab.select("token", "id").where(F.col("id") >= FIRST_WORD_ID), vocab_size)
-    exploded = df.select(key, F.posexplode(ids_col).alias("pos", "id"))
-    joined = exploded.join(v, "id", "left")
-    kept = F.when(F.col("token").isNotNull(), F.struct(F.col("pos").alias("p"), F.col("token").alias("v")))
-    return (joined.groupBy(key).agg(F.sort_array(F.collect_list(kept)).alias("_pairs"))
-            .select(key, F.col("_pairs.v").alias(out)))
+    """(key, tokens): id -> token, special ids (PAD/UNK and anything < 2) and unknown ids dropped.
+
+    As in ``encode``, a vocabulary of proven size is looked up inside the row."""
+    known = token_table(vocab.where(F.col("id") >= FIRST_WORD_ID), vocab_size)
+    if known is None:
+        exploded = df.select(key, F.posexplode(ids_col).alias("pos", "id"))
+        joined = exploded.join(vocab.select("token", "id").where(F.col("id") >= FIRST_WORD_ID), "id", "left")
+        kept = F.when(F.col("token").isNotNull(), F.struct(F.col("pos").alias("p"), F.col("token").alias("v")))
+        return (joined.groupBy(key).agg(F.sort_array(F.collect_list(kept)).alias("_pairs"))
+                .select(key, F.col("_pairs.v").alias(out)))
+    sent = df.sparkSession.sparkContext.broadcast((known.column("token").to_pylist(), known.column("id").to_pylist()))
+
+    @F.arrow_udf("array<string>")
+    def lookup(ids: pa.Array) -> pa.Array:
+        words, known_ids = sent.value
+        at = pc.index_in(ids.flatten().cast(pa.int32()), value_set=pa.array(known_ids, pa.int32()))
+        return _per_list(ids, pa.array(words, pa.string()).take(at))
+
+    tokens = F.filter(lookup(F.col(ids_col).cast("array<int>")), lambda t: t.isNotNull())
+    return df.where(F.size(ids_col) > 0).select(key, tokens.alias(out))
 
 
 def oov_tokens(counts: DataFrame, vocab: DataFrame, vocab_size: int | None) -> DataFrame:
