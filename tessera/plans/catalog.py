@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.text import split_ws
 from tessera.operators import vocab as V
-from tessera.session import table
+from tessera.session import cut_lineage, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 # Parameters that are the feature of a query: vocabulary size, the length
@@ -101,6 +101,7 @@ from tessera.operators import labels as L  # noqa: E402
 from tessera.operators import metrics as M  # noqa: E402
 from tessera.operators import pieces as PC  # noqa: E402
 from tessera.operators import segment as SG  # noqa: E402
+from tessera.operators import spanscore as SS  # noqa: E402
 from tessera.operators import tagger as TG  # noqa: E402
 from tessera.operators import seqtags as T  # noqa: E402
 from tessera.plans import standins as S  # noqa: E402
@@ -918,25 +919,33 @@ def q_tag_sequence_f1(spark, sf):
     return _entity_report(held, strict=True)
 
 
-@query
-def q_qa_two_stage(spark, sf):
+# Windows of the second stage, and the longest span: a benchmark passage has to fit into one.
+SPAN_WINDOW, SPAN_OVERLAP, SPAN_LONGEST = 128, 64, 64
+
+
+def _two_stage(spark, sf):
     """Two-stage QA as one lazy plan: pick the context (TF-IDF), cut it into
-    overlapping token windows, score window tokens against the question
-    (stand-in scorer: 1 when the token is a question word, minus a small
-    position term; the end score is the start score of the next token),
-    decode the n-best span and repair the answer."""
+    overlapping token windows, score spans by the question's words and their
+    nearness, decode the best span."""
     m = _mc(spark, sf)
     chosen = MC.selected_context(m, MC.choose_context(m).select("id", "pred"))
-    q = m.select(F.col("video-id").alias("id"), F.array_distinct(split_ws("sent1")).alias("qw"))
+    weights = SS.question_weights(m.select(F.col("video-id").alias("id"), "sent1"), table(spark, sf, "documents"), "id", "sent1", "text")
     tok = SP.token_offsets(chosen.select("id", "context"), "id", "context")
-    win = SP.context_windows(tok, "id", w=64, overlap=16, keep=("offsets", "tokens")).join(q, "id")
-    start = F.transform("tokens", lambda t, i: F.array_contains(F.col("qw"), t).cast("double") - i * 0.001)
-    feats = win.select(F.col("id").alias("example_id"), F.col("win").alias("feature_id"),
-                       F.concat(F.array(F.lit(None).cast("struct<s:int,e:int>")),
-                                F.col("offsets").cast("array<struct<s:int,e:int>>")).alias("offsets"),
-                       F.concat(F.array(F.lit(-1.0)), start).alias("start_logits"))
-    feats = feats.withColumn("end_logits", F.concat(F.slice("start_logits", 2, F.size("start_logits")),
-                                                    F.array(F.lit(-1.0))))
-    nb = QA.qa_nbest(chosen.select(F.col("id").alias("example_id"), "context"), feats, n_best=20, max_len=30)
-    pr = QA.qa_predict(nb)
-    return pr.select(F.col("example_id").alias("id"), "prediction", repair_answer("prediction").alias("answer"))
+    win = SP.context_windows(tok, "id", SPAN_WINDOW, SPAN_OVERLAP, keep=("offsets", "tokens")).join(weights, "id")
+    # every position may start or end a span: prefix sums are no scores of their own
+    nb = QA.qa_nbest(chosen.select(F.col("id").alias("example_id"), "context"), SS.span_logits(win, "id"),
+                     n_best=SPAN_WINDOW + 1, max_len=SPAN_LONGEST)
+    return QA.qa_predict(nb).select(F.col("example_id").alias("id"), "prediction")
+
+
+@query
+def q_qa_two_stage(spark, sf):
+    return _two_stage(spark, sf).select("id", "prediction", repair_answer("prediction").alias("answer"))
+
+
+@query
+def q_qa_two_stage_scores(spark, sf):
+    """Exact match and F1 of the second stage's spans against the questions' answers."""
+    pred = cut_lineage(_two_stage(spark, sf))
+    refs = _mc(spark, sf).select(F.col("video-id").alias("id"), F.array("sent1").alias("answers"))
+    return QA.qa_em_f1(pred, refs).select("n", r6("exact_match").alias("exact_match"), r6("f1").alias("f1"))

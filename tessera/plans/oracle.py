@@ -719,25 +719,33 @@ s AS (SELECT vec_id, any_value(label) AS label, j, sum(x * (((7 * i + 13 * j) %
       FROM e CROSS JOIN range(10) t(j) GROUP BY vec_id, j)
 SELECT vec_id, label, j AS pred FROM s QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY z DESC, j) = 1"""
 
-ORACLE_SQL["qa_two_stage"] = f"""
-WITH {CHOOSE_CTE}, chosen AS (SELECT ch.id, ch.text AS context FROM ch),
-{TOKROWS.format(key='id', text='context', src='chosen')}, {WINDOWS.format(w=64, step=48)},
+TWO_STAGE_CTE = f"""{CHOOSE_CTE}, chosen AS (SELECT ch.id, ch.text AS context FROM ch),
+{TOKROWS.format(key='id', text='context', src='chosen')}, {WINDOWS.format(w=128, step=64)},
 qs AS (SELECT DISTINCT id, word FROM qw),
-nw AS (SELECT k, win, count(*) AS n FROM wt GROUP BY k, win),
-lg AS (SELECT wt.k, wt.win, CAST(pos - wt.win * 48 + 1 AS BIGINT) AS p, wt.s AS cs, wt.e AS ce,
-              CAST(CASE WHEN qs.word IS NOT NULL THEN 1 ELSE 0 END AS DOUBLE) - (pos - wt.win * 48) * 0.001::DOUBLE AS sv
-       FROM wt JOIN tokrows t USING (k, pos) LEFT JOIN qs ON qs.id = wt.k AND qs.word = t.token
-       UNION ALL SELECT k, win, 0, NULL, NULL, -1.0 FROM nw),
-se AS (SELECT lg.*, coalesce(lead(sv) OVER (PARTITION BY k, win ORDER BY p), -1.0) AS ev FROM lg),
+dfw AS (SELECT word, count(*) AS df FROM (SELECT DISTINCT doc_id, unnest({WS_TOKENS.format(col='text')}) AS word FROM documents)
+        WHERE word IN (SELECT word FROM qs) GROUP BY 1),
+qwt AS (SELECT id, word, CAST(round(ln((1 + (SELECT count(*) FROM documents))::DOUBLE / (1 + coalesce(df, 0))) * 1000) AS BIGINT) AS w
+        FROM qs LEFT JOIN dfw USING (word)),
+lg AS (SELECT wt.k, wt.win, pos - wt.win * 64 + 1 AS p, wt.s AS cs, wt.e AS ce, coalesce(qwt.w, -1000) AS x
+       FROM wt JOIN tokrows t USING (k, pos) LEFT JOIN qwt ON qwt.id = wt.k AND qwt.word = t.token),
+pf AS (SELECT *, sum(x) OVER (PARTITION BY k, win ORDER BY p) AS pe FROM lg),
+se AS (SELECT *, -(pe - x)::DOUBLE / 1000 AS sv, pe::DOUBLE / 1000 AS ev FROM pf),
 st AS (SELECT *, row_number() OVER (PARTITION BY k, win ORDER BY sv DESC, p) - 1 AS rk FROM se),
 en AS (SELECT *, row_number() OVER (PARTITION BY k, win ORDER BY ev DESC, p) - 1 AS rk FROM se),
-c AS (SELECT a.k, a.win, a.sv + b.ev AS score, a.rk AS srk, b.rk AS erk, a.cs, b.ce
-      FROM st a JOIN en b ON a.k = b.k AND a.win = b.win AND a.rk < 20 AND b.rk < 20
-      WHERE a.p >= 1 AND b.p >= a.p AND b.p - a.p + 1 <= 30),
-b AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY k ORDER BY score DESC, win, srk, erk) = 1),
-pr AS (SELECT chosen.id, CASE WHEN b.k IS NULL THEN 'empty'
+pairs AS (SELECT a.k, a.win, a.sv + b.ev AS score, a.rk AS srk, b.rk AS erk, a.cs, b.ce
+      FROM st a JOIN en b ON a.k = b.k AND a.win = b.win AND b.p >= a.p AND b.p - a.p + 1 <= 64),
+top AS (SELECT * FROM pairs QUALIFY row_number() OVER (PARTITION BY k ORDER BY score DESC, win, srk, erk) = 1),
+two AS (SELECT chosen.id, CASE WHEN top.k IS NULL THEN 'empty'
                               ELSE substr(context, CAST(cs + 1 AS BIGINT), CAST(ce - cs AS BIGINT)) END AS text
-       FROM chosen LEFT JOIN b ON b.k = chosen.id)
-SELECT id, text AS prediction, {REPAIR.format(x='text')} AS answer FROM pr"""
+       FROM chosen LEFT JOIN top ON top.k = chosen.id)"""
+ORACLE_SQL["qa_two_stage"] = f"""
+WITH {TWO_STAGE_CTE}
+SELECT id, text AS prediction, {REPAIR.format(x='text')} AS answer FROM two"""
+
+ORACLE_SQL["qa_two_stage_scores"] = f"""
+WITH {TWO_STAGE_CTE},
+pr AS (SELECT two.id, two.text AS prediction, mc.question AS answer_text FROM two JOIN mc ON mc.id = two.id),
+{EM_CORE}
+SELECT count(*) AS n, round(avg(em) * 100, 6) AS exact_match, round(avg(f1) * 100, 6) AS f1 FROM f"""
 
 from tessera.plans import oracle_text  # noqa: E402, F401  adds its queries
