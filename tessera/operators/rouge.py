@@ -14,6 +14,7 @@ and the LCS, which has no linear SQL form, is one Arrow-batched helper.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Callable
 
@@ -22,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.arrays import ngrams
+from tessera.functions.stem import stems
 from tessera.functions.text import alnum_words, rouge_words, split_ws
 
 # Fixed value: smoothing term of the set-ROUGE F score.
@@ -44,6 +46,7 @@ TOKENIZERS = {
     "rouge": rouge_words,          # '.'-cut sentences, one-space words
     "whitespace": split_ws,
     "alnum": alnum_words,          # lower-case [a-z0-9] words
+    "alnum_stemmed": lambda c: stems(alnum_words(c)),  # their stems
     "char": _chars,
     "char_bigram": _char_pairs,
 }
@@ -145,23 +148,47 @@ def lcs_places(ref: list, hyp: list, up_on_tie: bool) -> list:
     """Places in ``ref`` of one longest common subsequence.
 
     Where dropping the last word of either side costs nothing, ``up_on_tie``
-    drops the reference's, else the hypothesis's."""
+    drops the reference's, else the hypothesis's.
+
+    A row of the table is one integer: bit j is 0 where the j-th word of ``hyp``
+    adds to the length.  Every sqrt(n)-th row is kept and the rows between two
+    of them are made again on the way back, so that memory is about
+    2 sqrt(n) m bits."""
     n, m = len(ref), len(hyp)
-    rows = [[0] * (m + 1)]
-    for x in ref:
-        last, row = rows[-1], [0]
-        for j, y in enumerate(hyp):
-            row.append(last[j] + 1 if x == y else max(last[j + 1], row[j]))
-        rows.append(row)
-    out, i, j = [], n, m
-    while i and j:
+    masks: dict = {}
+    for j, y in enumerate(hyp):
+        masks[y] = masks.get(y, 0) | (1 << j)
+    full = (1 << m) - 1
+
+    def below(v: int, word) -> int:
+        u = v & masks.get(word, 0)
+        return ((v + u) | (v - u)) & full
+
+    step = math.isqrt(n) + 1
+    kept, v = [full], full
+    for i, x in enumerate(ref, 1):
+        v = below(v, x)
+        if i % step == 0:
+            kept.append(v)
+    out, i, j, base, rows = [], n, m, None, []
+    length = m - v.bit_count()  # of the first i and j words
+    while length:
+        if base != (i - 1) // step:
+            base = (i - 1) // step
+            rows = [kept[base]]
+            for x in ref[base * step:min(n, (base + 1) * step)]:
+                rows.append(below(rows[-1], x))
         if ref[i - 1] == hyp[j - 1]:
-            i, j = i - 1, j - 1
+            i, j, length = i - 1, j - 1, length - 1
             out.append(i)
-        elif rows[i - 1][j] > rows[i][j - 1] or (up_on_tie and rows[i - 1][j] == rows[i][j - 1]):
-            i -= 1
+            continue
+        here = i - base * step
+        up = j - (rows[here - 1] & ((1 << j) - 1)).bit_count()
+        left = length - (0 if rows[here] >> (j - 1) & 1 else 1)
+        if up > left or (up_on_tie and up == left):
+            i, length = i - 1, up
         else:
-            j -= 1
+            j, length = j - 1, left
     return out[::-1]
 
 
@@ -222,12 +249,11 @@ def rouge_l_set(toks: DataFrame, hyp: str, ref: str) -> DataFrame:
     return out.withColumn("rougeL", set_f(_ratio(F.col("_lcs"), n), _ratio(F.col("_lcs"), m))).drop("_hs", "_rs", "_lcs")
 
 
-def rouge_lsum(toks: DataFrame, hyp: str, ref: str, tokenizer: str = "alnum") -> DataFrame:
-    """Adds ``rougeLsum`` of the multiset family: clipped union LCS over lines."""
-    tok = TOKENIZERS[tokenizer]
-
+def rouge_lsum(toks: DataFrame, hyp: str, ref: str, stemmed: bool = False) -> DataFrame:
+    """Adds ``rougeLsum`` of the multiset family: clipped union LCS over lines, of words or of their stems."""
     def lines(c):
-        return F.filter(F.transform(F.split(F.col(c), "\n", -1), tok), lambda s: F.size(s) > 0)
+        found = F.filter(F.transform(F.split(F.col(c), "\n", -1), alnum_words), lambda s: F.size(s) > 0)
+        return stems(found, nested=True) if stemmed else found
 
     out = toks.withColumns({"_hs": lines(hyp), "_rs": lines(ref)})
     out = out.withColumn("_hits", _pairwise(union_lcs_hits)("_hs", "_rs"))

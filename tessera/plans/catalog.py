@@ -603,16 +603,26 @@ def q_rouge_n_multiset(spark, sf):
     return t.select(*PAIR, r6(F.col("rouge1") * 100).alias("rouge1"), r6(F.col("rouge2") * 100).alias("rouge2"))
 
 
-@query
-def q_rouge_logged(spark, sf):
+def _logged(spark, sf, stemmed):
     """The multiset family as it is logged: means times 100, four digits."""
-    t = R.rouge_lsum(R.rouge_l(_pair_tokens(spark, sf, "alnum")), "pred", "ref")
-    n = R.rouge_n_multiset(_pair_tokens(spark, sf, "alnum"), PAIR)
+    toks = _pair_tokens(spark, sf, "alnum_stemmed" if stemmed else "alnum")
+    t = R.rouge_lsum(R.rouge_l(toks), "pred", "ref", stemmed)
+    n = R.rouge_n_multiset(toks, PAIR)
     mean = t.agg(F.avg("rougeL").alias("rougeL"), F.avg("rougeLsum").alias("rougeLsum")).withColumn("_k", F.lit(0)).join(
         n.agg(F.avg("rouge1").alias("rouge1"), F.avg("rouge2").alias("rouge2")).withColumn("_k", F.lit(0)), "_k").drop("_k")
     return M.round_scaled(mean, ["rouge1", "rouge2", "rougeL", "rougeLsum"])
 
 
+@query
+def q_rouge_logged(spark, sf):
+    return _logged(spark, sf, stemmed=False)
+
+
+@query
+def q_rouge_logged_stemmed(spark, sf):
+    return _logged(spark, sf, stemmed=True)
+
+
 @query
 def q_rouge_l(spark, sf):
     t = R.rouge_l_set(_pair_tokens(spark, sf), "pred", "ref")

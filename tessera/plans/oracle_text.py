@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from tessera.plans.catalog import PIECE_FILE
-from tessera.plans.oracle import ORACLE_SQL, ROUGE_WORDS, SP_CTE, STRIP, TAGS_CTE, WS_TOKENS, rouge_set_cte
+from tessera.plans.oracle import (ALNUM_WORDS, ORACLE_SQL, ROUGE_SET_CTE, ROUGE_WORDS, SP_CTE, STRIP, TAGS_CTE, WS, WS_TOKENS,
+                                  rouge_set_cte)
 
 # Word segmentation: the dictionary by n-gram counts, the cheapest path by a
 # recursion over a run's letters that carries costs and last words as lists.
@@ -134,3 +135,87 @@ ORACLE_SQL["align_labels_all"] = f"""
 SELECT conv_id, turn, '-100 ' || string_agg(CAST(gid AS VARCHAR) || repeat(' ' || CAST(gin AS VARCHAR), CAST(np - 1 AS BIGINT)),
        ' ' ORDER BY pos) || ' -100' AS labels
 FROM w GROUP BY conv_id, turn"""
+
+
+# Longest common subsequences: the table's rows one after another, then the way
+# back through it.
+def lcs_cte(name: str, up_on_tie: bool) -> str:
+    """{name}_on(conv_id, turn, rs, place): the places of reference sentence rs on an LCS with some other sentence;
+    {name}_len: the lengths.  Reads {name}_in(conv_id, turn, rs, hs, rw, hw)."""
+    return r"""
+NAME_dp AS (
+  SELECT *, 0 AS i, [[0 FOR j IN range(0, len(hw) + 1)]] AS t FROM NAME_in
+  UNION ALL
+  SELECT conv_id, turn, rs, hs, rw, hw, i + 1, list_append(t, list_reduce([[j] FOR j IN range(0, len(hw) + 1)],
+    lambda done, x: list_append(done, CASE WHEN rw[i + 1] = hw[x[1]] THEN t[i + 1][x[1]] + 1
+                                           ELSE greatest(t[i + 1][x[1] + 1], done[x[1]]) END)))
+  FROM NAME_dp WHERE i < len(rw)),
+NAME_len AS MATERIALIZED (SELECT conv_id, turn, rs, hs, rw, hw, t, t[len(rw) + 1][len(hw) + 1] AS lcs FROM NAME_dp WHERE i = len(rw)),
+NAME_bt AS (
+  SELECT conv_id, turn, rs, hs, rw, hw, t, len(rw) AS i, len(hw) AS j, []::BIGINT[] AS places FROM NAME_len
+  UNION ALL
+  SELECT conv_id, turn, rs, hs, rw, hw, t, CASE WHEN same OR up THEN i - 1 ELSE i END, CASE WHEN same OR NOT up THEN j - 1 ELSE j END,
+    CASE WHEN same THEN list_append(places, i) ELSE places END
+  FROM (SELECT *, rw[i] = hw[j] AS same, t[i][j + 1] > t[i + 1][j] OR (TIE AND t[i][j + 1] = t[i + 1][j]) AS up
+        FROM NAME_bt WHERE i > 0 AND j > 0)),
+NAME_on AS (SELECT DISTINCT conv_id, turn, rs, rw, unnest(places) AS place FROM NAME_bt WHERE i = 0 OR j = 0)
+""".replace("NAME", name).replace("TIE", str(up_on_tie).upper())
+
+
+DOT_SENTENCES = ("list_transform(list_filter(string_split({x}, '.'), lambda p: length(p) > 0), "
+                 "lambda p: CASE WHEN len(" + WS.format(x="p") + ") = 0 THEN [''] ELSE " + WS.format(x="p") + " END)")
+LINES = "list_filter(list_transform(string_split({x}, chr(10)), lambda p: " + ALNUM_WORDS.format(x="p") + "), lambda s: len(s) > 0)"
+
+
+def sentence_pairs(name: str, split: str) -> str:
+    return f"""
+{name}_s AS (SELECT conv_id, turn, {split.format(x='ref')} AS rs, {split.format(x='pred')} AS hs FROM sp),
+{name}_r AS (SELECT conv_id, turn, generate_subscripts(rs, 1) AS rs, unnest(rs) AS rw FROM {name}_s),
+{name}_h AS (SELECT conv_id, turn, generate_subscripts(hs, 1) AS hs, unnest(hs) AS hw FROM {name}_s),
+{name}_in AS (SELECT r.conv_id, r.turn, rs, hs, rw, hw FROM {name}_r r JOIN {name}_h h ON h.conv_id = r.conv_id AND h.turn = r.turn)"""
+
+
+ROUGE_L_CTE = f"""{ROUGE_SET_CTE}, {sentence_pairs('set', DOT_SENTENCES)}, {lcs_cte('set', False)},
+set_words AS (SELECT conv_id, turn, count(DISTINCT rw[place]) AS u FROM set_on GROUP BY 1, 2),
+set_f AS (SELECT s.conv_id, s.turn, coalesce(u, 0) AS u, len(list_distinct(flatten(hs))) AS n, len(list_distinct(flatten(rs))) AS m
+          FROM set_s s LEFT JOIN set_words w ON w.conv_id = s.conv_id AND w.turn = s.turn),
+set_pq AS (SELECT conv_id, turn, CASE WHEN n > 0 THEN u / n ELSE 0.0 END AS p, CASE WHEN m > 0 THEN u / m ELSE 0.0 END AS q FROM set_f),
+set_l AS (SELECT conv_id, turn, 2.0 * (p * q) / (p + q + 1e-8) AS fl FROM set_pq)"""
+ORACLE_SQL["rouge_l"] = f"WITH RECURSIVE {ROUGE_L_CTE} SELECT conv_id, turn, round(fl, 6) AS rougeL_f FROM set_l"
+
+ORACLE_SQL["quality_gate"] = f"""
+WITH RECURSIVE {ROUGE_L_CTE},
+mean AS (SELECT (SELECT avg(f1) * 100 FROM rf) AS r1, (SELECT avg(f2) * 100 FROM rf) AS r2, (SELECT avg(fl) * 100 FROM set_l) AS rl)
+SELECT round(r1, 6) AS rouge1, round(r2, 6) AS rouge2, round(rl, 6) AS rougeL, r1 > 22.0 AND r2 > 8.5 AND rl > 20.5 AS passed FROM mean"""
+
+_PLAIN_F = "CASE WHEN {h} > 0 AND {r} > 0 AND {o} > 0 THEN 2 * ({o} / {h}) * ({o} / {r}) / ({o} / {h} + {o} / {r}) ELSE 0.0 END"
+
+
+def logged_cte(words: str, lines: str) -> str:
+    """scores(conv_id, turn, rouge1, rouge2, rougel, rougelsum) of the multiset family."""
+    return f"""{SP_CTE},
+tk AS (SELECT conv_id, turn, {words.format(x='pred')} AS h, {words.format(x='ref')} AS r FROM sp),
+ng AS (SELECT conv_id, turn, n, side, array_to_string(w[i:i + n - 1], chr(31)) AS g
+       FROM (SELECT conv_id, turn, side, n, w, unnest(range(1, len(w) - n + 2)) AS i
+             FROM (SELECT conv_id, turn, 'h' AS side, h AS w FROM tk UNION ALL SELECT conv_id, turn, 'r', r FROM tk),
+                  (SELECT unnest([1, 2]) AS n) WHERE len(w) >= n)),
+nc AS (SELECT conv_id, turn, n, g, count(*) FILTER (side = 'h') AS h, count(*) FILTER (side = 'r') AS r FROM ng GROUP BY 1, 2, 3, 4),
+no AS (SELECT conv_id, turn, n, sum(least(h, r)) AS o, sum(h) AS h, sum(r) AS r FROM nc GROUP BY 1, 2, 3),
+nf AS (SELECT conv_id, turn, n, {_PLAIN_F.format(o='o', h='h', r='r')} AS f FROM no),
+one_in AS (SELECT conv_id, turn, 1 AS rs, 1 AS hs, r AS rw, h AS hw FROM tk), {lcs_cte('one', True)},
+ol AS (SELECT conv_id, turn, {_PLAIN_F.format(o='lcs', h='len(hw)', r='len(rw)')} AS f FROM one_len),
+{sentence_pairs('ln', lines)}, {lcs_cte('ln', True)},
+lw AS (SELECT conv_id, turn, rw[place] AS w, count(*) AS c FROM ln_on GROUP BY 1, 2, 3),
+lh AS (SELECT conv_id, turn, w, count(*) AS c FROM (SELECT conv_id, turn, unnest(hw) AS w FROM ln_h) GROUP BY 1, 2, 3),
+lo AS (SELECT lw.conv_id, lw.turn, sum(least(lw.c, lh.c)) AS o FROM lw JOIN lh USING (conv_id, turn, w) GROUP BY 1, 2),
+lf AS (SELECT s.conv_id, s.turn, {_PLAIN_F.format(o='coalesce(o, 0)', h='len(flatten(hs))', r='len(flatten(rs))')} AS f
+       FROM ln_s s LEFT JOIN lo ON lo.conv_id = s.conv_id AND lo.turn = s.turn),
+scores AS (SELECT tk.conv_id, tk.turn, coalesce(a.f, 0) AS rouge1, coalesce(b.f, 0) AS rouge2, ol.f AS rougel, lf.f AS rougelsum FROM tk
+           LEFT JOIN nf a ON a.conv_id = tk.conv_id AND a.turn = tk.turn AND a.n = 1
+           LEFT JOIN nf b ON b.conv_id = tk.conv_id AND b.turn = tk.turn AND b.n = 2
+           JOIN ol ON ol.conv_id = tk.conv_id AND ol.turn = tk.turn JOIN lf ON lf.conv_id = tk.conv_id AND lf.turn = tk.turn)"""
+
+
+_MEANS = ("SELECT " + ", ".join(f"round(avg({c.lower()}) * 100, 4) AS {c}" for c in ("rouge1", "rouge2", "rougeL", "rougeLsum"))
+          + " FROM scores")
+ORACLE_SQL["rouge_logged"] = f"WITH RECURSIVE {logged_cte(ALNUM_WORDS, LINES)} {_MEANS}"

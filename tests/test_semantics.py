@@ -173,6 +173,31 @@ def test_lcs_helpers():
             assert R.lcs_places(a, b, up) == model_places(a, b, up)
 
 
+def test_lcs_of_long_texts_needs_little_memory():
+    import tracemalloc
+    rng = random.Random(3)
+    a, b = ([rng.randrange(2000) for _ in range(20_000)] for _ in range(2))
+    tracemalloc.start()
+    places = R.lcs_places(a, b, True)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(places) == R.lcs_length(a, b) and peak < 50e6
+    at = 0  # a subsequence of both
+    for x in (a[i] for i in places):
+        at = b.index(x, at) + 1
+
+
+def test_logged_scores_with_stems(spark):
+    pairs = spark.createDataFrame([(1, "The runner was running\nfast", "the runners run\nfaster")], "k int, hyp string, ref string")
+    for tokenizer in ("alnum", "alnum_stemmed"):
+        t = R.rouge_lsum(R.tokenize_pairs(pairs, ["k"], "hyp", "ref", tokenizer), "hyp", "ref", tokenizer != "alnum")
+        n = R.rouge_n_multiset(t, ["k"], (1,)).first()
+        hits = {"alnum": 1, "alnum_stemmed": 3}[tokenizer]  # the; runner run -> the, runner, run
+        assert abs(n.rouge1 - 2 * hits / 9) < 1e-9 and abs(t.first().rougeLsum - 2 * hits / 9) < 1e-9
+    plain, stemmed = (E.queries()[q](spark, SF).first() for q in ("rouge_logged", "rouge_logged_stemmed"))
+    assert stemmed.rouge1 >= plain.rouge1 and stemmed.rougeLsum >= plain.rougeLsum
+
+
 def test_rouge_l_of_either_family(spark):
     pairs = spark.createDataFrame([(1, "police killed the gunman", "police kill the gunman"),
                                    (2, "w1 w2 w6 w7 w8. w1 w3 w8 w9 w5", "w1 w2 w3 w4 w5"),
