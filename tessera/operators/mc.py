@@ -7,8 +7,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.arrays import let
 from tessera.functions.text import split_ws
 from tessera.operators.common import likely_keys
+from tessera.session import cut_lineage
 
 ENDING_COLS = ["ending0", "ending1", "ending2", "ending3"]
 # Wide multiple-choice CSV header and the constant gold source.
@@ -17,13 +19,35 @@ WIDE_COLS = ["video-id", "fold-ind", "startphrase", "sent1", "sent2", "gold-sour
 GOLD_SOURCE = "gold"
 
 
-def _shingle_hashes(tokens_col: str, n: int = 3):
-    """Hashes of contiguous word 3-grams, built by zipping shifted copies of
-    the token array (no lambda re-evaluates the array)."""
-    t = F.col(tokens_col)
-    z = F.arrays_zip(t.alias("a"), F.slice(t, 2, F.size(t)).alias("b"), F.slice(t, 3, F.size(t)).alias("c"))
-    return F.transform(F.filter(z, lambda x: x["c"].isNotNull()),
-                       lambda x: F.xxhash64(F.concat_ws(" ", x["a"], x["b"], x["c"])))
+def _grams(tokens: Column, inner: bool) -> Column:
+    """Hashes of what a text that holds these words whole must hold, built by
+    zipping shifted copies of the array: every word between two others with the
+    last letter before and the first letter after it, and every word 3-gram.
+    ``inner``: the first and the last word may be parts of longer ones, so a
+    3-gram has to lie between them."""
+    def shifted(k):
+        return F.slice(tokens, k + 1, F.greatest(F.size(tokens), F.lit(1)))
+
+    def hashes(z):
+        edges = F.transform(z, lambda x: F.xxhash64(F.lit("edge"), F.substring(x["a"], -1, 1), x["b"], F.substring(x["c"], 1, 1)))
+        whole = F.slice(z, 2, F.greatest(F.size(z) - 2, F.lit(0))) if inner else z
+        return F.array_distinct(F.concat(edges, F.transform(whole, lambda x: F.xxhash64(F.concat_ws(" ", x["a"], x["b"], x["c"])))))
+
+    return let(F.filter(F.arrays_zip(tokens.alias("a"), shifted(1).alias("b"), shifted(2).alias("c")), lambda x: x["c"].isNotNull()), hashes)
+
+
+def rare_gram_pairs(words: DataFrame, toks: DataFrame, pkey: str, dkey: str) -> DataFrame:
+    """(passage, document) candidates: the documents that hold the rarest gram of a passage of three words or more.
+
+    ``words``: passages as pt, ``toks``: documents as dt, arrays of words.  A
+    first pass counts in how many documents each of the passages' grams occurs."""
+    probes = words.where("size(pt) >= 3").select(pkey, F.explode_outer(_grams(F.col("pt"), inner=True)).alias("h"))
+    probes = probes.where(F.col("h").isNotNull())
+    held = toks.select(dkey, F.explode_outer(_grams(F.col("dt"), inner=False)).alias("h")).where(F.col("h").isNotNull())
+    seen = likely_keys(held, "h", probes.select("h")).groupBy("h").agg(F.count(F.lit(1)).alias("df"))
+    rarest = F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "h")).alias("m")
+    long = cut_lineage(probes.join(seen, "h", "left").groupBy(pkey).agg(rarest).where("m.df > 0").select(pkey, "m.h"))
+    return likely_keys(held, "h", long.select("h")).join(long, "h").select(pkey, dkey)
 
 
 def _substrings(word: Column, sizes: Column) -> Column:
@@ -41,8 +65,10 @@ def containing_docs(passages: DataFrame, docs: DataFrame, pkey: str = "item_id",
     Candidates come from equi-joins on something the document must hold, and
     ``instr`` confirms each one, so the result is exact:
 
-    - five words or more: the word 3-gram 2-4, whose words are whole in any
-      containing document; three or four words: the whole word 2;
+    - three words or more: the rarest of its grams (see ``_grams``), which any
+      containing document holds; a first pass counts in how many documents each
+      of the passages' grams occurs, so that a passage with a common word in the
+      middle meets only documents that share something rare with it;
     - one word: it lies inside a single document word; two words: the first is
       the end of one.  Distinct corpus words are matched first (by substrings
       of the probes' lengths), then the documents that hold such a word.
@@ -54,12 +80,8 @@ def containing_docs(passages: DataFrame, docs: DataFrame, pkey: str = "item_id",
     pt = F.col("pt")
     n = F.size(pt)
     words = passages.select(pkey, split_ws("text").alias("pt")).where(F.size("pt") > 0)
-    gram = F.when(n >= 5, F.concat_ws(" ", pt[1], pt[2], pt[3])).otherwise(pt[1])
-    long = words.where(n >= 3).select(pkey, F.xxhash64(gram).alias("h"))
     toks = docs.select(dkey, split_ws("text").alias("dt"))
-    grams = F.concat(_shingle_hashes("dt"), F.transform(F.array_distinct("dt"), lambda t: F.xxhash64(t)))
-    held = toks.select(dkey, F.explode_outer(grams).alias("h")).where(F.col("h").isNotNull())
-    cand = likely_keys(held, "h", long.select("h")).join(long, "h").select(pkey, dkey)
+    cand = rare_gram_pairs(words, toks, pkey, dkey)
 
     short = words.where(n <= 2).select(pkey, pt[0].alias("probe"), (n == 1).alias("single"))
     # no document goes on below where no passage is short: a semi join on a constant with at most one row

@@ -101,6 +101,7 @@ from tessera.operators import labels as L  # noqa: E402
 from tessera.operators import metrics as M  # noqa: E402
 from tessera.operators import pieces as PC  # noqa: E402
 from tessera.operators import segment as SG  # noqa: E402
+from tessera.operators import sentences as ST  # noqa: E402
 from tessera.operators import spanscore as SS  # noqa: E402
 from tessera.operators import tagger as TG  # noqa: E402
 from tessera.operators import seqtags as T  # noqa: E402
@@ -524,6 +525,28 @@ def q_sentence_lines(spark, sf):
                     F.array_join("s", "\n").alias("lines"))
 
 
+def _sentence_model(spark, sf):
+    docs = table(spark, sf, "documents")
+    counts = cut_lineage(ST.period_counts(docs, "text"))
+    short = cut_lineage(ST.abbreviations(counts))
+    return short, cut_lineage(ST.starters(docs, "text", counts, short))
+
+
+@query
+def q_sentence_model(spark, sf):
+    """Abbreviations and sentence starters of the documents."""
+    short, first = _sentence_model(spark, sf)
+    return (short.select(F.lit("abbreviation").alias("kind"), "word", "n", F.col("dotted").alias("marked"), "score")
+            .unionByName(first.select(F.lit("starter").alias("kind"), "word", "n", F.col("after").alias("marked"), "score")))
+
+
+@query
+def q_sentences_learned(spark, sf):
+    split = ST.sentence_splitter(spark, *_sentence_model(spark, sf))
+    docs = table(spark, sf, "documents").select("doc_id", F.coalesce(split(F.col("text")), F.array()).alias("s"))
+    return docs.select("doc_id", F.size("s").cast("bigint").alias("n_sentences"), F.array_join("s", "\n").alias("lines"))
+
+
 @query
 def q_truncate_pairs(spark, sf):
     s = S.summaries(spark, sf).select("id", split_ws("maintext").alias("src"), split_ws("title").alias("tgt"))

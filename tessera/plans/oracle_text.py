@@ -219,3 +219,52 @@ scores AS (SELECT tk.conv_id, tk.turn, coalesce(a.f, 0) AS rouge1, coalesce(b.f,
 _MEANS = ("SELECT " + ", ".join(f"round(avg({c.lower()}) * 100, 4) AS {c}" for c in ("rouge1", "rouge2", "rougeL", "rougeLsum"))
           + " FROM scores")
 ORACLE_SQL["rouge_logged"] = f"WITH RECURSIVE {logged_cte(ALNUM_WORDS, LINES)} {_MEANS}"
+
+
+# Sentence boundaries: counts of words before periods, then every token's ending
+# and the next one's opening.
+SENTENCE_CTE = r"""
+tok AS MATERIALIZED (
+  SELECT doc_id, generate_subscripts(a, 1) AS i, unnest(a) AS token FROM (
+    SELECT doc_id, list_filter(regexp_split_to_array(regexp_replace(text, '([。！？])', '\1 ', 'g'), '\s+'), lambda t: t <> '') AS a FROM documents)),
+bare AS (SELECT *, regexp_replace(regexp_replace(lower(token), '^["''(\[{«“„‘]+', ''), '["'')\]}»”’,;:]+$', '') AS bare FROM tok),
+kind AS MATERIALIZED (SELECT *, ends_with(bare, '.') AS dot, regexp_replace(bare, '\.$', '') AS word,
+    lead(token) OVER w AS next FROM bare WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+nxt AS MATERIALIZED (SELECT *, lead(word) OVER (PARTITION BY doc_id ORDER BY i) AS next_word FROM kind),
+cnt AS MATERIALIZED (SELECT word, count(*) AS n, count(*) FILTER (dot) AS dotted FROM kind GROUP BY word),
+tot AS (SELECT sum(n) AS n, sum(dotted) AS d FROM cnt),
+abbr0 AS (SELECT word, cnt.n, dotted, length(replace(word, '.', '')) AS l,
+    2 * (dotted * ln(0.99 / (tot.d / tot.n)) + (cnt.n - dotted) * ln(0.01 / (1 - tot.d / tot.n))) AS ratio
+  FROM cnt, tot WHERE dotted > 0 AND regexp_matches(word, '^\p{L}+([.''-]\p{L}+)*$')),
+abbr AS MATERIALIZED (SELECT word, n, dotted, round(ratio * exp(-l) * (length(word) - l + 1) * pow(l::DOUBLE, -(n - dotted)), 6) AS score
+  FROM abbr0 WHERE round(ratio * exp(-l) * (length(word) - l + 1) * pow(l::DOUBLE, -(n - dotted)), 6) >= 0.3
+  QUALIFY row_number() OVER (ORDER BY dotted DESC, word) <= 20000),
+aft AS (SELECT next_word AS word, count(*) AS k FROM nxt
+  WHERE dot AND next IS NOT NULL AND NOT regexp_matches(word, '^[0-9]') AND NOT regexp_full_match(word, '\p{L}')
+    AND word NOT IN (SELECT word FROM abbr) GROUP BY 1),
+atot AS (SELECT sum(k) AS a FROM aft),
+st0 AS (SELECT word, n::DOUBLE AS b, k::DOUBLE AS k, (SELECT n FROM tot)::DOUBLE AS n, (SELECT a FROM atot)::DOUBLE AS a FROM aft JOIN cnt USING (word)
+  WHERE regexp_matches(word, '\p{L}') AND k * (SELECT n FROM tot) > n * (SELECT a FROM atot)),
+st1 AS (SELECT word, b, k, round(2 * (
+    CASE WHEN k > 0 THEN k * ln(k / a) ELSE 0 END + CASE WHEN a > k THEN (a - k) * ln(1 - k / a) ELSE 0 END
+    + CASE WHEN b > k THEN (b - k) * ln((b - k) / (n - a)) ELSE 0 END + CASE WHEN n - a > b - k THEN (n - a - (b - k)) * ln(1 - (b - k) / (n - a)) ELSE 0 END
+    - CASE WHEN k > 0 THEN k * ln(b / n) ELSE 0 END - CASE WHEN a > k THEN (a - k) * ln(1 - b / n) ELSE 0 END
+    - CASE WHEN b > k THEN (b - k) * ln(b / n) ELSE 0 END - CASE WHEN n - a > b - k THEN (n - a - (b - k)) * ln(1 - b / n) ELSE 0 END), 6) AS score FROM st0),
+starts AS MATERIALIZED (SELECT word, b::BIGINT AS n, k::BIGINT AS k, score FROM st1 WHERE score >= 30 QUALIFY row_number() OVER (ORDER BY k DESC, word) <= 20000)
+"""
+ORACLE_SQL["sentence_model"] = f"""
+WITH {SENTENCE_CTE}
+SELECT 'abbreviation' AS kind, word, n, dotted AS marked, score FROM abbr UNION ALL SELECT 'starter', word, n, k, score FROM starts"""
+
+ORACLE_SQL["sentences_learned"] = "WITH " + SENTENCE_CTE + r""",
+shut AS (SELECT *, regexp_replace(token, '["'')\]}»”’,;:]+$', '') AS shut, regexp_replace(next, '^["''(\[{«“„‘]+', '') AS first FROM nxt),
+e AS (SELECT *, regexp_matches(first, '^\p{Lu}') AS capital,
+    CASE WHEN regexp_matches(token, '[。！？]$') OR regexp_matches(shut, '[!?]$') THEN 1 WHEN NOT ends_with(shut, '.') THEN 0
+         WHEN word IN (SELECT word FROM abbr) OR regexp_full_match(word, '\p{L}') THEN 2
+         WHEN regexp_matches(word, '^[0-9]') THEN 3 ELSE 1 END AS ending FROM shut),
+c AS (SELECT doc_id, i, token, next IS NULL OR ending = 1 OR ending = 2 AND capital AND next_word IN (SELECT word FROM starts)
+             OR ending = 3 AND capital AS cut FROM e),
+g AS (SELECT *, coalesce(sum(cut::INT) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS nr FROM c),
+s AS (SELECT doc_id, nr, string_agg(token, ' ' ORDER BY i) AS line FROM g GROUP BY 1, 2),
+l AS (SELECT doc_id, count(*) AS n, string_agg(line, chr(10) ORDER BY nr) AS lines FROM s GROUP BY 1)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_sentences, coalesce(lines, '') AS lines FROM documents LEFT JOIN l USING (doc_id)"""

@@ -63,6 +63,23 @@ def test_lookup_matches_plain_containment(spark):
     assert {(r.item_id, r.doc_id) for r in only_long} == {k for k in want if k[0] in (4, 5)}
 
 
+def test_common_middle_words_make_few_candidates(spark):
+    from tessera.functions.text import split_ws
+    rng = random.Random(5)
+    filler = ["".join(rng.choice("bcdfgklmnprstvz") for _ in range(5)) for _ in range(400)]
+    passages = [(i, f"{rng.choice(filler)} common {rng.choice(filler)}") for i in range(20)]
+    passages += [(100 + i, " ".join([rng.choice(filler), "common", "common", rng.choice(filler), "common", rng.choice(filler)])) for i in range(20)]
+    docs = [(i, " ".join(w for _ in range(8) for w in (rng.choice(filler), "common"))) for i in range(400)]
+    docs += [(1000 + i, "common x" + t + "y common") for i, (_, t) in enumerate(passages)]
+    p = spark.createDataFrame(passages, "item_id int, text string")
+    d = spark.createDataFrame(docs, "doc_id int, text string")
+    pairs = MC.rare_gram_pairs(p.select("item_id", split_ws("text").alias("pt")), d.select("doc_id", split_ws("text").alias("dt")),
+                               "item_id", "doc_id").distinct().count()
+    true = sum(x in t for _, x in passages for _, t in docs)
+    assert MC.containing_docs(p, d).count() == true >= 40
+    assert pairs <= 2 * true + 400 * 20 * 8 / 15 ** 2  # a word's neighbours share both letters by chance
+
+
 # ----------------------------------------------------- n-best and no answer
 def nbest(spark, start, end, offsets, **kw):
     offs = [None if o is None else {"s": o[0], "e": o[1]} for o in offsets]
