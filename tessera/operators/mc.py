@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.arrays import let
+from tessera.functions.arrays import argmax, let
 from tessera.functions.text import split_ws
 from tessera.operators.common import likely_keys
 from tessera.session import cut_lineage
@@ -160,8 +160,19 @@ def choice_pairs(mc: DataFrame) -> DataFrame:
         F.concat_ws(" ", F.col("sent2"), F.col("ending")).alias("second"), "labels")
 
 
-def choose_context(mc: DataFrame) -> DataFrame:
-    """Pick 1 of k endings per question by TF-IDF cosine (ties -> lowest choice).
+def regroup_choices(rows: DataFrame, k: int = 4, value: str = "score") -> DataFrame:
+    """Scored choices (id, choice, value) back to one row a question: (id, values in choice order, pred).
+
+    ``pred`` is the first choice of the largest value.  A question without
+    exactly the choices 0 .. k-1 has no row; a group has at most its own k."""
+    per = rows.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("choice", value))).alias("c"))
+    per = per.where((F.size("c") == k) & F.forall(F.transform("c", lambda x, i: x["choice"] == i), lambda x: x))
+    values = F.col(f"c.{value}")
+    return per.select("id", values.alias("values"), argmax(values).alias("pred"))
+
+
+def choice_scores(mc: DataFrame) -> DataFrame:
+    """(id, choice, score): TF-IDF cosine of every ending with its question.
 
     A text is one ending of one question; idf = ln((1 + N) / (1 + df)) + 1 over
     the N endings, term weight = count * idf.  Words meet in an equi-join on
@@ -184,8 +195,13 @@ def choose_context(mc: DataFrame) -> DataFrame:
               .join(qnorm, "id", "left")
               .select("id", "choice", F.round(F.coalesce(F.col("dot") / (F.col("norm") * F.col("qnorm")), F.lit(0.0)), 9)
                       .alias("score")))
+    return scored
+
+
+def choose_context(mc: DataFrame) -> DataFrame:
+    """(id, pred, score): the ending of the largest score (ties -> lowest choice)."""
     best = F.max(F.struct("score", (-F.col("choice")).alias("nc"))).alias("b")
-    return scored.groupBy("id").agg(best).select("id", (-F.col("b.nc")).alias("pred"), F.col("b.score").alias("score"))
+    return choice_scores(mc).groupBy("id").agg(best).select("id", (-F.col("b.nc")).alias("pred"), F.col("b.score").alias("score"))
 
 
 def selected_context(mc: DataFrame, preds: DataFrame) -> DataFrame:

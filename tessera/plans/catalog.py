@@ -312,6 +312,20 @@ def q_mc_rows(spark, sf):
     return m.withColumn("labels", F.col("labels").cast("bigint"))
 
 
+@query
+def q_mc_rows_unlabeled(spark, sf):
+    """The split without labels: nothing but paragraphs is known, and every label is 0."""
+    m, _rej = MC.mc_rows(S.qa_questions(spark, sf).drop("relevant", "answer"), S.context_pool(spark, sf), labeled=False)
+    return m.withColumn("labels", F.col("labels").cast("bigint"))
+
+
+@query
+def q_choices_regrouped(spark, sf):
+    """A score for every choice of every question, four to a row."""
+    g = MC.regroup_choices(MC.choice_scores(_mc(spark, sf)))
+    return g.select("id", *[r6(F.col("values")[i]).alias(f"score{i}") for i in range(4)], F.col("pred").cast("bigint").alias("pred"))
+
+
 @query
 def q_mc_rejects(spark, sf):
     _good, rej = MC.mc_rows(S.qa_questions(spark, sf), S.context_pool(spark, sf))
@@ -368,6 +382,13 @@ def q_qa_nbest(spark, sf):
     return _nbest_out(nb)
 
 
+@query
+def q_qa_nbest_max_context(spark, sf):
+    """Starts only where the window is the token's best one (by rule: every third token is not)."""
+    feats = S.with_max_context(S.qa_features(spark, sf))
+    return _nbest_out(QA.qa_nbest(S.qa_examples(spark, sf), feats, n_best=20, max_len=30))
+
+
 def _nbest_negative(spark, sf):
     return QA.qa_nbest(S.qa_examples(spark, sf), S.qa_features(spark, sf), n_best=20, max_len=30, with_negative=True)
 

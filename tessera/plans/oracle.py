@@ -235,6 +235,8 @@ WITH {QQ_CTE}
 SELECT id AS "video-id", id AS "fold-ind", question AS startphrase, question AS sent1, question AS sent2,
        'gold' AS "gold-source", ending0, ending1, ending2, ending3, CAST(labels AS BIGINT) AS labels FROM mc"""
 
+ORACLE_SQL["mc_rows_unlabeled"] = ORACLE_SQL["mc_rows"].replace("CAST(labels AS BIGINT) AS labels", "0::BIGINT AS labels")
+
 ORACLE_SQL["mc_rejects"] = f"""
 WITH {QQ_CTE}
 SELECT id, string_agg(CAST(ctx_id AS VARCHAR), ' ' ORDER BY p) AS paragraphs
@@ -276,6 +278,11 @@ ORACLE_SQL["choose_context"] = f"""
 WITH {CHOOSE_CTE}
 SELECT id, CAST(pred AS BIGINT) AS pred, round(score, 6) AS score FROM ch"""
 
+ORACLE_SQL["choices_regrouped"] = f"""
+WITH {CHOOSE_CTE}
+SELECT id, {", ".join(f"round(max(sc.score) FILTER (p = {i}), 6) AS score{i}" for i in range(4))},
+       CAST(max(ch.pred) AS BIGINT) AS pred FROM sc JOIN ch USING (id) GROUP BY id"""
+
 ORACLE_SQL["mc_selected_context"] = f"""
 WITH {CHOOSE_CTE}
 SELECT id, CAST(pred AS BIGINT) AS pred, text AS context FROM ch"""
@@ -334,6 +341,9 @@ ORACLE_SQL["qa_nbest"] = f"""
 WITH {QA_CTE}, {NBEST}
 SELECT example_id, CAST(rank AS BIGINT) AS rank, text, {NBEST_OUT} FROM m"""
 
+ORACLE_SQL["qa_nbest_max_context"] = ORACLE_SQL["qa_nbest"].replace("WHERE st.pos >= 1 AND", """WHERE st.pos >= 1
+        AND (st.example_id + st.pos - 1 + (st.feature_id - st.example_id * 100000) * 256) % 3 <> 0 AND""")
+
 REPAIR = """CASE WHEN contains({x}, ',') THEN replace({x}, ',', '')
             WHEN contains({x}, '《') AND NOT contains({x}, '》') THEN {x} || '》'
             WHEN contains({x}, '》') AND NOT contains({x}, '《') THEN '《' || {x}

@@ -101,6 +101,16 @@ def qa_features(spark, sf) -> DataFrame:
                       logits(5501, 7727, 17, 991, ((11 * d + 5 * w) % 400).cast("double") / 100 - 2).alias("end_logits"))
 
 
+def with_max_context(feats) -> DataFrame:
+    """Adds token_is_max_context: false at the CLS token and at every token t of document d with (d + t) % 3 = 0."""
+    first = (F.col("feature_id") - F.col("example_id") * 100_000) * (QA_WINDOW - QA_OVERLAP)
+    at = F.sequence(F.lit(1), F.size("offsets") - 1)
+    known = F.map_from_arrays(F.transform(at, lambda p: p.cast("string")),
+                              F.transform(at, lambda p: (F.col("example_id") + first + p - 1) % 3 != 0))
+    return feats.withColumn("token_is_max_context", F.when(F.size("offsets") > 1, known)
+                            .otherwise(F.create_map().cast("map<string,boolean>")))
+
+
 def _logit(a, b, c, mod, d, t):
     return ((a * d + b * t + c * t * t) % mod).cast("double") / 100 - 5
 
