@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tessera.operators.vocab import parse_word_vectors
+from tessera.sources.json_ranges import RANGE_BYTES, read_json_array, split_objects
 
 # Fixed value: file extensions accepted by the reference's loaders (we add
 # jsonl and parquet).
@@ -43,13 +44,20 @@ def read_splits(spark: SparkSession, paths: dict, schema=None, fmt: str | None =
     return out
 
 
-def read_contexts(spark: SparkSession, path: str) -> DataFrame:
-    """A JSON array of strings -> (ctx_id = position, text).  The file is one
-    value, so this is an ingest step: write the result to parquet."""
-    whole = spark.read.text(path, wholetext=True)
-    arr = whole.select(F.from_json("value", "array<string>").alias("a"))
-    return arr.select(F.posexplode("a").alias("ctx_id", "text")).select(
-        F.col("ctx_id").cast("long").alias("ctx_id"), "text")
+def read_records(spark: SparkSession, path: str, schema: StructType | str, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """The records of JSON files that are one array each, in the array's order by (file, idx).
+
+    A file is read in byte ranges by several tasks; ``schema`` is that of a record."""
+    ddl = schema if isinstance(schema, str) else ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    names = StructType.fromDDL(ddl).names
+    fields = ", ".join(f"`{f.name}`: {f.dataType.simpleString()}" for f in StructType.fromDDL(ddl).fields)
+    rows = read_json_array(spark, path, f"struct<{fields}>", range_bytes)
+    return rows.select("file", "idx", *[F.col(f"value.`{n}`").alias(n) for n in names])
+
+
+def read_contexts(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """A JSON array of strings -> (ctx_id = position, text), read in byte ranges by several tasks."""
+    return read_json_array(spark, path, "string", range_bytes).select(F.col("idx").alias("ctx_id"), F.col("value").alias("text"))
 
 
 def read_word_vectors(spark: SparkSession, path: str, vocab: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
@@ -70,11 +78,11 @@ def read_label_map(spark: SparkSession, path: str) -> DataFrame:
 
 def split_concat_json(col: Column) -> Column:
     """Cut text holding JSON objects written back to back (``{..}{..}``) into
-    one string per object (flat objects)."""
-    return F.split(col, r"(?<=\})\s*(?=\{)", -1)
+    one string per object; braces inside strings and nested objects cut nothing."""
+    return split_objects(col)
 
 
 def read_concat_json(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     lines = spark.read.text(path)
-    objs = lines.select(F.explode(split_concat_json(F.col("value"))).alias("o")).where(F.trim("o") != "")
+    objs = lines.select(F.explode(split_concat_json(F.col("value"))).alias("o"))
     return objs.select(F.from_json("o", schema).alias("r")).select("r.*")
