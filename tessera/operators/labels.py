@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 def label_index(df: DataFrame, col: str, explode: bool = False) -> DataFrame:
     """Distinct labels -> dense 0-based index in sorted order.  The distinct
-    runs as a partial/final aggregate; only the (small) distinct set is
-    numbered."""
+    runs as a partial/final aggregate; only the distinct set is numbered, in one
+    task: it is meant for label sets (up to a few million labels)."""
     c = F.explode(col) if explode else F.col(col)
     labels = df.select(c.alias("label")).where(F.col("label").isNotNull()).distinct()
     return labels.select("label", (F.row_number().over(Window.orderBy("label")) - 1).alias("idx"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.arrays import IGNORE_INDEX, index_range
+from tessera.functions.arrays import IGNORE_INDEX, TAG_PAD, index_range, pad_array
 
 # IOB2 prefixes and the outside tag.
 OUTSIDE = "O"
@@ -158,6 +158,15 @@ def token_accuracy(df: DataFrame, pred_col: str, gold_col: str, ignore=None) ->
     return per.agg(F.sum("n").alias("n_tokens"), (F.sum("c") / F.sum("n")).alias("token_acc"))
 
 
+# Fixed value: the length that tag sequences are cut and padded to.
+TAG_LENGTH = 40
+
+
+def encode_tags(ids_col: str, n: int = TAG_LENGTH) -> Column:
+    """struct<length, ids>: the sequence's own length, and its label ids cut at ``n`` and padded with -1."""
+    return F.struct(F.size(ids_col).alias("length"), pad_array(ids_col, n, TAG_PAD).alias("ids"))
+
+
 def align_labels(pieces_col: str, label_ids_col: str, inside_ids_col: str | None = None) -> Column:
     """Per-piece labels: special tokens -> -100; the first piece of a word
     carries the word's label; later pieces -100, or, when ``inside_ids_col``

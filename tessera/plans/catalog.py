@@ -288,6 +288,13 @@ def q_encode_tags(spark, sf):
                     F.array_join(pad_array("gold_ids", n, -1), " ").alias("tag_ids"))
 
 
+@query
+def q_encode_tags_fixed(spark, sf):
+    """Tags cut and padded to 40, with the raw length."""
+    s = _tag_ids(spark, sf).select("conv_id", "turn", T.encode_tags("gold_ids").alias("t"))
+    return s.select("conv_id", "turn", F.col("t.length").cast("bigint").alias("length"), F.array_join("t.ids", " ").alias("tag_ids"))
+
+
 # ---------------------------------------------------------------- QA data
 from tessera.operators import mc as MC  # noqa: E402
 from tessera.operators import qa as QA  # noqa: E402
@@ -927,9 +934,11 @@ def q_score_batches(spark, sf):
 def q_map_batches(spark, sf):
     import pandas as pd
 
+    # a batch's index numbers its rows, and explode repeats a row's number for each of its lines
     def explode_lines(b: pd.DataFrame) -> pd.DataFrame:
-        rows = [(d, i, ln) for d, t in zip(b["doc_id"], b["text"]) for i, ln in enumerate(t.split("\n"))]
-        return pd.DataFrame(rows, columns=["doc_id", "line_no", "line"])
+        lines = b.dropna(subset=["text"])
+        lines = lines.assign(line=lines["text"].str.split("\n")).explode("line")
+        return lines.assign(line_no=lines.groupby(level=0).cumcount())[["doc_id", "line_no", "line"]]
 
     d = table(spark, sf, "documents").select("doc_id", "text")
     return ML.map_batches(d, explode_lines, "doc_id long, line_no long, line string")

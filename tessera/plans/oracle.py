@@ -203,6 +203,12 @@ s AS (SELECT conv_id, turn, count(*) AS length, string_agg(CAST(gid AS VARCHAR),
 m AS (SELECT *, max(length) OVER (PARTITION BY conv_id) AS ml FROM s)
 SELECT conv_id, turn, CAST(length AS BIGINT) AS length, ids || repeat(' -1', CAST(ml - length AS BIGINT)) AS tag_ids FROM m"""
 
+ORACLE_SQL["encode_tags_fixed"] = f"""
+WITH {TAGS_CTE},
+s AS (SELECT conv_id, turn, count(*) AS length, string_agg(CAST(gid AS VARCHAR), ' ' ORDER BY pos) FILTER (pos < 40) AS ids
+      FROM tagids GROUP BY conv_id, turn)
+SELECT conv_id, turn, length, ids || repeat(' -1', CAST(40 - least(length, 40) AS BIGINT)) AS tag_ids FROM s"""
+
 # ---------------------------------------------------------------- QA data
 QQ_CTE = """
 n_docs AS (SELECT count(*) AS n FROM documents),
