@@ -236,9 +236,12 @@ def q_word_pieces(spark, sf):
                        F.array_join(F.transform("p", lambda x: x["id"].cast("string")), " ", "?").alias("ids"))
 
 
+def _tag_pieces(spark, sf):
+    return _tag_ids(spark, sf).withColumn("pieces", _pieces(spark)(F.col("tokens")))
+
+
 def _aligned(spark, sf, inside=None):
-    s = _tag_ids(spark, sf).withColumn("pieces", _pieces(spark)(F.col("tokens")))
-    return s.select("conv_id", "turn", T.align_labels("pieces", "gold_ids", inside).alias("a"))
+    return _tag_pieces(spark, sf).select("conv_id", "turn", T.align_labels("pieces", "gold_ids", inside).alias("a"))
 
 
 @query
@@ -258,9 +261,9 @@ def q_align_labels_all(spark, sf):
 
 @query
 def q_masked_token_accuracy(spark, sf):
-    s = _tag_ids(spark, sf)
-    gold = F.transform(T.align_labels("tokens", "gold_ids", k=4), lambda x: x["label"])
-    pred = F.transform(T.align_labels("tokens", "pred_ids", k=4, inside_ids_col="pred_inside"), lambda x: x["label"])
+    s = _tag_pieces(spark, sf)
+    gold = F.transform(T.align_labels("pieces", "gold_ids"), lambda x: x["label"])
+    pred = F.transform(T.align_labels("pieces", "pred_ids", "pred_inside"), lambda x: x["label"])
     s = s.select(gold.alias("g"), pred.alias("p"))
     return T.token_accuracy(s, "p", "g", ignore=[-100, -1]).select(
         F.col("n_tokens").cast("bigint").alias("n_tokens"), r6("token_acc").alias("token_acc"))
@@ -269,8 +272,8 @@ def q_masked_token_accuracy(spark, sf):
 @query
 def q_tag_lines(spark, sf):
     from tessera.operators.common import ordered_collect
-    s = _tag_ids(spark, sf)
-    pred = F.transform(T.align_labels("tokens", "pred_ids", k=4), lambda x: x["label"])
+    s = _tag_pieces(spark, sf)
+    pred = F.transform(T.align_labels("pieces", "pred_ids"), lambda x: x["label"])
     ex = s.select("conv_id", "turn", F.posexplode(pred).alias("pos", "idx")).where(
         ~F.col("idx").isin(-1, -100))
     back = ex.join(_tag_labels(spark, sf), "idx", "inner")
