@@ -137,6 +137,29 @@ def components(edges: DataFrame, store=stored) -> DataFrame:
     return cur
 
 
+class Apart:
+    """A broadcast model.
+
+    Its parts (arrays, lists, numbers) are broadcast and shared by a worker's
+    tasks; its class travels with the function that uses it, by value, so that
+    executors need no copy of this package.
+    """
+
+    def __init__(self, kind: type, parts):
+        self.kind, self.parts = kind, parts
+
+    def __reduce__(self):
+        return (Apart, (self.kind, self.parts))
+
+    @property
+    def value(self):
+        out = self.kind.__new__(self.kind)
+        out.__dict__.update(self.parts.value)
+        return out
+
+
 def apart(spark: SparkSession, obj):
-    """A broadcast handle for a model of bounded size."""
-    return spark.sparkContext.broadcast(obj)
+    """A broadcast handle for a model of bounded size, an object or an array; ``value`` is the model."""
+    if not hasattr(obj, "__dict__"):
+        return spark.sparkContext.broadcast(obj)
+    return Apart(type(obj), spark.sparkContext.broadcast(dict(obj.__dict__)))
