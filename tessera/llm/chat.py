@@ -15,9 +15,10 @@ without loss (the header; the whole of other people's turns), +n for n with loss
 (text and end mark of the perspective's own turns).
 
 A conversation longer than ``max_turns`` (512) turn numbers is rendered in parts
-of that many; every turn is in exactly one part, and every part gives one row for
-each speaker of the whole conversation, also for those silent in it.  Parts after
-the first do not repeat earlier turns or system turns.  Turns that share a number
+of that many: a row holds one, so no row has to hold a conversation of any length.
+Every part gives one row for each speaker of the whole conversation, also for
+those silent in it.  The opening system turns (those before anybody else speaks)
+stand at the head of every part; every other turn is in exactly one.  Turns that share a number
 (null ones all have 0) share a part, which grows with them.
 
 Defined cases: rows repeated in full count once (combined before the shuffle);
@@ -51,11 +52,18 @@ def rotate(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
         F.col(conv_col).alias("conv_id"), F.floor(turn / max_turns).cast("long").alias("part"),
         F.struct(turn.alias("turn"), F.coalesce(role_col, F.lit("unknown")).alias("role"),
                  F.coalesce(text_col, F.lit("")).alias("text")).alias("m"))
-    parts = rows.groupBy("conv_id", "part").agg(F.array_sort(F.collect_set("m")).alias("ms"))
     said = rows.select("conv_id", "part", F.col("m.role").alias("perspective"))
-    long = said.groupBy("conv_id").agg(F.min("part").alias("a"), F.max("part").alias("b")).where("a < b").select("conv_id")
+    begun = F.min(F.when(F.col("m.role") != system, F.col("m.turn"))).alias("begun")
+    long = (rows.groupBy("conv_id").agg(F.min("part").alias("a"), F.max("part").alias("b"), begun).where("a < b")
+            .select("conv_id", "begun"))
+    many = not long.isEmpty()
+    if many:
+        opening = rows.where(F.col("m.role") == system).join(long, "conv_id").where(F.col("m.turn") < F.col("begun"))
+        later = said.join(long, "conv_id", "left_semi").select("conv_id", F.col("part").alias("later")).distinct()
+        rows = rows.unionByName(opening.join(later, "conv_id").where("later > part").select("conv_id", F.col("later").alias("part"), "m"))
+    parts = rows.groupBy("conv_id", "part").agg(F.array_sort(F.collect_set("m")).alias("ms"))
     speakers = F.array_sort(F.filter(F.array_distinct(F.col("ms.role")), lambda r: r != system))
-    if long.isEmpty():  # a part is a whole conversation and has its speakers
+    if not many:  # a part is a whole conversation and has its speakers
         views = parts.select("conv_id", "part", "ms", F.explode(speakers).alias("perspective"))
     else:
         who = said.where(F.col("perspective") != system).select("conv_id", "perspective").distinct()
@@ -92,8 +100,12 @@ QUERIES = {"op9_perspectives": op9_perspectives}
 ORACLE_SQL = {"op9_perspectives": r"""
 WITH t AS (SELECT DISTINCT conv_id, coalesce(turn, 0) AS turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text
            FROM conversations WHERE conv_id IS NOT NULL),
-p AS (SELECT *, floor(turn / 512)::BIGINT AS part FROM t),
-v AS (SELECT DISTINCT conv_id, part, role AS perspective FROM p WHERE role <> 'system'),
+parts AS (SELECT DISTINCT conv_id, floor(turn / 512)::BIGINT AS part FROM t),
+opening AS (SELECT t.* FROM t JOIN (SELECT conv_id, min(turn) FILTER (role <> 'system') AS begun FROM t GROUP BY 1) b USING (conv_id)
+            WHERE role = 'system' AND turn < begun),
+p AS (SELECT *, floor(turn / 512)::BIGINT AS part FROM t UNION ALL
+      SELECT o.*, part FROM opening o JOIN parts USING (conv_id) WHERE part > floor(turn / 512)),
+v AS (SELECT DISTINCT conv_id, part, role AS perspective FROM parts JOIN t USING (conv_id) WHERE role <> 'system'),
 r AS (SELECT p.*, perspective, role = perspective AS own,
         '<|im_start|>' || CASE WHEN role = 'system' THEN 'system' WHEN role = perspective THEN 'assistant'
           ELSE 'user name=' || regexp_replace(role, '[^A-Za-z0-9_\-]', '_', 'g') END || chr(10) AS head,

@@ -22,6 +22,8 @@ is many blocks: blocks of a group are dealt to ``slices`` tasks, each of which
 meets the group's queries, also in blocks.  Radii get a relative slack of 1e-9
 for rounding, so bounds stay on the safe side.
 
+A score outside 64 bits counts as the nearest 64-bit value.
+
 Defined cases: vectors that are null, empty or hold a null or non-finite
 component take no part, nor do rows without id; vectors meet only vectors of
 their own length; rows repeated in full are dropped first, and different vectors
@@ -49,10 +51,11 @@ EXACT = float(1 << 22)  # components under this multiply exactly in doubles, up
 def integers(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     """(id, dim, v): valid vectors as arrays of whole doubles."""
     v = F.col(vec_col).cast("array<double>")
-    bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x * 256) == float("inf")))
     return (df.select(F.col(id_col).cast("long").alias("id"), v.alias("x"), (~bad).alias("ok"))
             .where("id is not null and x is not null and size(x) > 0 and ok")
-            .select("id", F.size("x").alias("dim"), F.transform("x", lambda x: F.floor(x * 256).cast("double")).alias("v")))
+            .select("id", F.size("x").alias("dim"), F.transform("x", lambda x: F.when(F.abs(x) < 2.0 ** 44, F.floor(x * 256).cast("double"))
+                                                                .otherwise(x * 256)).alias("v")))  # whole numbers beyond 2**52
 
 
 def _matrix(col: pa.Array) -> np.ndarray:
@@ -73,8 +76,10 @@ def _unpack(b: bytes, dim: int) -> np.ndarray:
 def _products(d: np.ndarray, q: np.ndarray) -> np.ndarray:
     if max(np.abs(d).max(initial=0), np.abs(q).max(initial=0)) < EXACT and d.shape[1] <= 512:
         return (d @ q.T).astype(np.int64)
-    big = d.astype(object) @ q.astype(object).T
-    return np.array([[int(x) for x in row] for row in big], dtype=np.int64)
+    low, high = -(1 << 63) + 1, (1 << 63) - 1
+    whole = [[int(x) for x in row] for row in q.tolist()]
+    return np.array([[max(low, min(high, sum(int(x) * y for x, y in zip(row, other)))) for other in whole] for row in d.tolist()],
+                    dtype=np.int64).reshape(len(d), len(q))
 
 
 def once(rows: DataFrame) -> DataFrame:
@@ -166,8 +171,9 @@ def voronoi_knn(vectors: DataFrame, query: Column, k: int = 5, id_col: str = "ve
     pairs = spark.createDataFrame([tuple(int(x) for x in t) for t in triples], "dim int, grp int, cell int")
     left = (data.join(F.broadcast(pairs), ["dim", "cell"])  # at most 256 x 256 rows a vector length
             .withColumn("slice", F.pmod(F.xxhash64("ids"), F.lit(slices)).cast("int")))
-    right = asked.select("dim", F.col("cell").alias("grp"), F.col("ids").alias("qids"), F.col("vecs").alias("qvecs"),
-                         F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("slice"))
+    # a query block goes to the slices that hold a needed block, and to no other
+    right = asked.select("dim", F.col("cell").alias("grp"), F.col("ids").alias("qids"), F.col("vecs").alias("qvecs")).join(
+        left.select("dim", "grp", "slice").distinct(), ["dim", "grp"])
     met = left.join(right, ["dim", "grp", "slice"]).select("dim", "ids", "vecs", "qids", "qvecs")
 
     def best(q, ids, s):

@@ -25,6 +25,10 @@ def norm(v):
     return "null" if v is None or v is pd.NA or isinstance(v, float) and math.isnan(v) else round(v, 5) if isinstance(v, float) else v
 
 
+def rows_sorted(pdf):
+    return rows(pdf)
+
+
 def rows(pdf):
     cols = sorted(pdf.columns)
     return cols, sorted((tuple(norm(x) for x in r) for r in pdf[cols].itertuples(index=False)), key=repr)
@@ -164,8 +168,19 @@ def test_rotation_gives_every_speaker_every_part(spark):
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     out = {(r.conv_id, r.part, r.perspective): r for r in chat.rotate(df, max_turns=4).collect()}
     assert set(out) == {(1, p, s) for p in range(3) for s in "abc"} | {(2, 0, "d")}
-    assert out[1, 1, "b"].rendered == "<|im_start|>user name=a\nz<|im_end|>\n" and out[1, 1, "b"].n_loss_turns == 0
-    assert out[1, 2, "c"].rendered == "<|im_start|>assistant\nw<|im_end|>\n"
+    opening = "<|im_start|>system\nbe brief<|im_end|>\n"
+    assert out[1, 1, "b"].rendered == opening + "<|im_start|>user name=a\nz<|im_end|>\n" and out[1, 1, "b"].n_loss_turns == 0
+    assert out[1, 2, "c"].rendered == opening + "<|im_start|>assistant\nw<|im_end|>\n"
+
+
+def test_a_long_conversation_equals_the_sql(spark, tmp_path):
+    rows = [(1, t, "system" if t < 2 or t == 900 else "abc"[t * t % 3], f"t{t} <|") for t in range(2000)]
+    rows += [(2, t, "ab"[t % 2], "x") for t in range(5)] + [(3, 1000, "system", "late"), (3, 5, "system", "first"), (3, 2000, "d", "y")]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{tmp_path}/conversations.parquet/*.parquet')")
+    got = chat.op9_perspectives(spark, str(tmp_path)).toPandas()
+    assert set(got.part) == {0, 1, 2, 3} and rows_sorted(got) == rows_sorted(con.execute(chat.ORACLE_SQL["op9_perspectives"]).df())
 
 
 def test_rotation_has_no_python_and_one_shuffle(spark):
@@ -186,6 +201,13 @@ def brute_knn(vecs, queries, k):
     return sorted(out)
 
 
+def test_knn_beyond_64_bits(spark):
+    rows = [(i, [(-1.0) ** i * 10.0 ** (20 + i % 3), float(i)]) for i in range(40)]
+    out = knn.voronoi_knn(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") < 2, k=3).collect()
+    top = 2**63 - 1
+    assert sorted(tuple(r) for r in out) == [(0, 1, 2, top), (0, 2, 4, top), (0, 3, 6, top), (1, 1, 3, top), (1, 2, 5, top), (1, 3, 7, top)]
+
+
 @pytest.mark.parametrize("spread", [0.02, 1.0, 1000.0])
 def test_knn_matches_brute_force(spark, spread, monkeypatch):
     monkeypatch.setattr(knn, "CELL_ROWS", 20)
