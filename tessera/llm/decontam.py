@@ -2,9 +2,11 @@
 
 Texts and items are lower-cased and runs of whitespace become one space.  An
 item of m bytes occurs in a text with at most k = floor(rate * m) edits only if
-the two share at least t = m + 1 - q - k * q of the item's q-grams (q = 8 bytes)
-on diagonals (text position minus item position) that lie within 2k + 1 of one
-another.  So a text is filtered in three steps, each sure to keep every
+the two share at least t = m + 1 - q - k * q of the item's q-grams on diagonals (text position minus item position) that lie within 2k + 1 of one another.  q is
+8 bytes or, for short items, as many as leave t at 1 or more (min(8, m // (k +
+1)); the whole item where no edit is allowed and it has up to 8 bytes); items of
+one q have an index of their own.  Items of up to 8 bytes have to stand as words,
+not inside longer ones.  So a text is filtered in three steps, each sure to keep every
 occurrence:
 
 1. its q-grams are looked up in the items' q-grams (read as 64-bit words, first
@@ -19,14 +21,17 @@ shipped in shards of at most ``SHARD_BYTES`` of text (a documented bound; one
 pass of the map chain for each shard), so that what is broadcast stays bounded
 however many items there are.
 
-Defined cases: a null or empty text is clean; items that are null, have no id
-or fewer than nine bytes match nothing; repeated items are each reported;
+Defined cases: a null or empty text is clean; items that are null, empty or
+without id match nothing; very long texts are read whole, a block of text holds
+one at least; repeated items are each reported;
 repeated rows get equal results; an empty table on either side gives clean
 rows; other columns pass through, and one named like a result is replaced.
 """
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -37,6 +42,7 @@ from tessera.llm.base import apart, map_text, table
 Q = 8
 RATE = 0.1
 SHARD_BYTES = 4_000_000
+BLOCK = 1_000_000  # text bytes worked on at once
 MAP_BITS = 22
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -46,31 +52,34 @@ def folded(col):
     return F.regexp_replace(F.lower(col), r"\s+", " ")
 
 
-def qgrams(buf: np.ndarray) -> np.ndarray:
-    """The 8 bytes from every position, as little-endian words."""
-    n = len(buf) - Q + 1
+def qgrams(buf: np.ndarray, q: int = Q) -> np.ndarray:
+    """The q bytes from every position, as little-endian words."""
+    n = len(buf) - q + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    own = np.ascontiguousarray(buf)
-    return np.ndarray((n,), dtype="<u8", buffer=own.data, strides=(1,))
+    own = np.concatenate([buf, np.zeros(Q - q, np.uint8)]) if q < Q else np.ascontiguousarray(buf)
+    words = np.ndarray((n,), dtype="<u8", buffer=own.data, strides=(1,))
+    return words if q == Q else words & np.uint64((1 << (8 * q)) - 1)
+
+
+def gram_size(m: int, rate: float) -> int:
+    """Bytes of the q-grams that find every occurrence of an item of m bytes."""
+    return min(Q, m // (int(np.floor(m * rate)) + 1))
 
 
 class ItemIndex:
-    """q-grams of one shard of items."""
+    """q-grams of those items of a shard that take grams of q bytes."""
 
-    def __init__(self, items: list[tuple[int, bytes]], rate: float):
-        items = [(i, b) for i, b in sorted(items) if len(b) > Q]
+    def __init__(self, items: list[tuple[int, bytes]], rate: float, q: int = Q):
+        self.q = q
+        items = [(i, b) for i, b in sorted(items) if b and gram_size(len(b), rate) == q]
         self.ids = np.array([i for i, _ in items], np.int64)
         self.text = [b for _, b in items]
         size = np.array([len(b) for b in self.text], np.int64)
         self.size = size
         self.edits = np.floor(size * rate).astype(np.int64)
-        self.need = size + 1 - Q - self.edits * Q
-        # a budget too large for the lemma shrinks until one shared q-gram is sure
-        over = self.need < 1
-        self.edits[over] = (size[over] - Q) // Q
-        self.need = np.maximum(size + 1 - Q - self.edits * Q, 1)
-        grams = [qgrams(np.frombuffer(b, np.uint8)) for b in self.text]
+        self.need = size + 1 - q - self.edits * q
+        grams = [qgrams(np.frombuffer(b, np.uint8), q) for b in self.text]
         flat = np.concatenate(grams) if grams else np.zeros(0, np.uint64)
         item = np.repeat(np.arange(len(items)), [len(g) for g in grams])
         place = np.concatenate([np.arange(len(g)) for g in grams]) if grams else np.zeros(0, np.int64)
@@ -83,13 +92,13 @@ class ItemIndex:
 
     def hits(self, buf: np.ndarray, offs: np.ndarray):
         """(doc, item, text position in its doc, item position) of all shared q-grams."""
-        x = qgrams(buf)
+        x = qgrams(buf, self.q)
         at = np.flatnonzero(self.map[(x * _SPREAD) >> np.uint64(64 - MAP_BITS)]) if len(self.gram) else np.zeros(0, int)
         g = np.minimum(np.searchsorted(self.gram, x[at]), max(len(self.gram) - 1, 0))
         real = self.gram[g] == x[at] if len(at) else np.zeros(0, bool)
         at, g = at[real], g[real]
         doc = np.searchsorted(offs, at, "right") - 1
-        inside = at + Q <= offs[doc + 1]
+        inside = at + self.q <= offs[doc + 1]
         at, g, doc = at[inside], g[inside], doc[inside]
         times = self.first[g + 1] - self.first[g]
         src = np.repeat(self.first[g] - np.cumsum(times) + times, times) + np.arange(times.sum())
@@ -146,11 +155,19 @@ def banded_edits(item: np.ndarray, text: np.ndarray, low: int, width: int) -> in
 def matches(index: ItemIndex, buf: np.ndarray, offs: np.ndarray) -> dict[tuple[int, int], tuple[int, int]]:
     """(doc, item) -> (edits, region start in the folded text) of verified contamination."""
     found: dict[tuple[int, int], tuple[int, int]] = {}
+    tried: set[tuple[int, int]] = set()
     doc, item, band = index.regions(buf, offs)
     for d, i, b in zip(doc.tolist(), item.tolist(), band.tolist()):
         if found.get((d, i), (1, 0))[0] == 0:
             continue
         k, m = int(index.edits[i]), int(index.size[i])
+        if m <= Q and not k:  # a short item counts as words of its own, not inside longer ones
+            if (d, i) not in tried:
+                tried.add((d, i))
+                word = rb"(?<![0-9a-z_\x80-\xff])" + re.escape(index.text[i]) + rb"(?![0-9a-z_\x80-\xff])"
+                if at := re.search(word, buf[offs[d]:offs[d + 1]].tobytes()):
+                    found[d, i] = (0, at.start())
+            continue
         step = 2 * k + 1
         lo = max(0, b * step - k)
         hi = min(int(offs[d + 1] - offs[d]), (b + 2) * step + m + k)
@@ -167,14 +184,15 @@ def matches(index: ItemIndex, buf: np.ndarray, offs: np.ndarray) -> dict[tuple[i
 
 
 def shards(items: DataFrame, id_col: str, text_col: str, rate: float, shard_bytes: int):
-    """Indexes over disjoint parts of the items, each of about ``shard_bytes`` of text."""
+    """For disjoint parts of the items, each of about ``shard_bytes`` of text, the indexes by gram size."""
     rows = items.select(F.col(id_col).cast("long").alias("id"), folded(F.col(text_col)).alias("t")).where(
         "id is not null and t is not null")
     total = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     n = max(1, -(-int(total) // shard_bytes))
     for s in range(n):
         part = rows.where(F.pmod(F.xxhash64("id", "t"), F.lit(n)) == s).collect()
-        yield ItemIndex([(r["id"], r["t"].encode()) for r in part], rate)
+        part = [(r["id"], r["t"].encode()) for r in part]
+        yield [x for x in (ItemIndex(part, rate, q) for q in range(1, Q + 1)) if len(x.ids)]
 
 
 def find_contamination(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id",
@@ -185,20 +203,20 @@ def find_contamination(docs: DataFrame, items: DataFrame, text_col: str = "text"
     cols = [c for c in (docs.columns if keep is None else keep) if c not in names]
     out = docs.select(*[F.col(f"`{c}`") for c in cols], F.col(text_col).alias("__t"))
     parts = []
-    for s, index in enumerate(shards(items, item_id, item_text, rate, shard_bytes)):
-        shared = apart(docs.sparkSession, index)
+    for s, indexes in enumerate(shards(items, item_id, item_text, rate, shard_bytes)):
+        shared = [apart(docs.sparkSession, x) for x in indexes]
 
         def find(buf, offs, shared=shared):
-            index = shared.value
             rows: list[list] = [[] for _ in range(len(offs) - 1)]
-            for (d, i), (e, at) in matches(index, buf, offs).items():
-                rows[d].append({"item": int(index.ids[i]), "edits": e, "start": at})
+            for index in (x.value for x in shared):
+                for (d, i), (e, at) in matches(index, buf, offs).items():
+                    rows[d].append({"item": int(index.ids[i]), "edits": e, "start": at})
             kind = pa.list_(pa.struct([("item", pa.int64()), ("edits", pa.int32()), ("start", pa.int64())]))
             return [pa.array(rows, kind)]
 
         parts.append(f"__m{s}")
         out = map_text(out, find, f"__m{s} array<struct<item:long,edits:int,start:long>>", out.columns,
-                       folded(F.col("__t")))
+                       folded(F.col("__t")), BLOCK)
     every = F.array_sort(F.concat(*parts))
     return out.select(*[F.col(f"`{c}`") for c in cols], every.alias("__m")).select(
         *[F.col(f"`{c}`") for c in cols], (F.size("__m") > 0).alias("contaminated"), F.col("__m.item").alias("items"),

@@ -43,19 +43,35 @@ def corpus(seed=2):
 @pytest.mark.parametrize("rate", [0.0, 0.05, 0.1])
 def test_matches_brute_force(rate):
     items, docs = corpus()
-    index = ItemIndex([(i, t.encode()) for i, t in items], rate)
+    rng = random.Random(3)
+    short = ["".join(rng.choice("abcdef") for _ in range(n)) for n in (9, 10, 11, 15, 19, 20, 23, 30, 31, 39)]
+    items += [(100 + i, t) for i, t in enumerate(short)]
+    docs += [(200 + i, t[:2] + change(rng, t, rng.randrange(0, int(len(t) * rate) + 2)) + " tail") for i, t in enumerate(short * 3)]
     raw = [t.encode() for _, t in docs]
     offs = np.concatenate([[0], np.cumsum([len(x) for x in raw])])
-    got = {k: v[0] for k, v in matches(index, np.frombuffer(b"".join(raw), np.uint8), offs).items()}
-    want = {}
+    got, want, used = {}, {}, 0
+    for q in range(1, 9):
+        index = ItemIndex([(i, t.encode()) for i, t in items], rate, q)
+        used += len(index.ids)
+        for (d, j), v in matches(index, np.frombuffer(b"".join(raw), np.uint8), offs).items():
+            got[d, int(index.ids[j])] = v[0]
+    assert used == len(items)
     for d, (_, t) in enumerate(docs):
-        for j, i in enumerate(index.ids):
-            e = edits(index.text[j], t.encode())
-            if e <= index.edits[j]:
-                want[d, j] = e
+        for i, item in items:
+            e = edits(item.encode(), t.encode())
+            if e <= int(len(item.encode()) * rate):
+                want[d, i] = e
     assert got == want and len(want) > 5 and (rate == 0 or len(set(want.values())) > 2)
 
 
+def test_the_shortest_items_stand_as_words(spark):
+    items = spark.createDataFrame([(1, "abc def"), (2, "b"), (3, "abcdefghijk"), (4, "ß")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "x abc def y"), (2, "xabc  DEF y"), (3, "a b, c"), (4, "rib"), (5, "say abcdefgXijk now"), (6, "groß ß")],
+                                 "doc_id long, text string")
+    out = {r.doc_id: (r["items"], r.edits) for r in find_contamination(docs, items).collect()}
+    assert out == {1: ([1], [0]), 2: ([], []), 3: ([2], [0]), 4: ([], []), 5: ([3], [1]), 6: ([4], [0])}
+
+
 @pytest.mark.parametrize("seed", range(5))
 def test_banded_alignment_is_exact_within_its_band(seed):
     rng = random.Random(seed)
@@ -81,6 +97,6 @@ def test_odd_rows(spark, odd_docs, no_docs):
                                   "item_id long, text string")
     out = find_contamination(odd_docs.withColumnRenamed("weight", "items"), bench)
     assert out.columns.count("items") == 1 and out.columns[-4:] == ["contaminated", "items", "edits", "starts"]
-    assert sorted(r.doc_id for r in out.collect() if r.contaminated) == [0, 23]
+    assert sorted(r.doc_id for r in out.collect() if r.contaminated) == [0, 23, 26]  # 26 is "a b"
     assert find_contamination(odd_docs, bench.limit(0)).where("contaminated").count() == 0
     assert find_contamination(no_docs, bench).count() == 0
