@@ -1,7 +1,8 @@
 """Substring dedup by sliding sentence spans.
 
 A text is cut into sentences: after ``.``, ``!`` or ``?`` before whitespace, at
-line breaks and, within runs of over 12 words without either, after words picked
+blank lines (a single line break is whitespace, so that a passage wrapped at
+another width is cut alike) and, within runs of over 12 words without either, after words picked
 by their own hash (one in four) that stand four words or more from both ends,
 and every 12 words where no word is picked.  These rules look at the words
 alone, so the same passage is cut alike wherever it stands.  From every sentence
@@ -37,6 +38,7 @@ from tessera.llm.base import map_text, stored, table
 from tessera.llm.textvec import Words, by_doc, cut, lower_ascii, mix, powers, text_block
 
 SPAN, MIN_WORDS, PIECE = 3, 20, 4
+BLOCK = 1_000_000  # text bytes worked on at once
 
 
 def sentences(buf: np.ndarray, offs: np.ndarray):
@@ -53,7 +55,7 @@ def sentences(buf: np.ndarray, offs: np.ndarray):
     h = w.hashes()
     stop = np.isin(buf[w.end - 1], np.frombuffer(b".!?", np.uint8))
     breaks = np.concatenate([[0], np.cumsum(buf == 10)])
-    stop[:-1] |= breaks[w.start[1:]] > breaks[w.end[:-1]]
+    stop[:-1] |= breaks[w.start[1:]] > breaks[w.end[:-1]] + 1
     last = np.ones(n, bool)
     last[:-1] = w.doc[1:] != w.doc[:-1]
     stop |= last
@@ -118,7 +120,7 @@ def span_rows(docs: DataFrame, span: int, min_words: int) -> DataFrame:
         first = np.searchsorted(d, np.arange(len(offs)))
         return [pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(h.view(np.int64)))]
 
-    return map_text(docs, run, "hs array<long>", ["id"], "t").select("id", F.explode("hs").alias("h"))
+    return map_text(docs, run, "hs array<long>", ["id"], "t", BLOCK).select("id", F.explode("hs").alias("h"))
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN,
@@ -140,7 +142,7 @@ def _clean(base: DataFrame, hits: DataFrame, cols: list[str], text_col: str, spa
                         T.StructField("n_sentences", T.LongType()), T.StructField("n_removed", T.LongType())])
     names = out.names
     joined = (base.join(hits.withColumnRenamed("id", "__key"), "__key", "left")
-              .select(*[F.col(f"`{c}`") for c in cols], "__hits"))
+              .select(*[F.col(f"`{c}`") for c in cols], "__hits", F.col("__key").isNull().alias("__none")))
 
     def rebuilt(raw, offs, begin, end, doc, gone, lost):
         for i in range(len(offs) - 1):
@@ -152,7 +154,7 @@ def _clean(base: DataFrame, hits: DataFrame, cols: list[str], text_col: str, spa
 
     def run(batches):
         for batch in batches:
-            for part in cut(batch, text_col):
+            for part in cut(batch, text_col, BLOCK):
                 col, hit = part.column(where), part.column(len(cols))
                 buf, offs = text_block(col)
                 begin, end, doc, key, count = sentences(buf, offs)
@@ -163,6 +165,7 @@ def _clean(base: DataFrame, hits: DataFrame, cols: list[str], text_col: str, spa
                     a, b = np.searchsorted(d, [i, i + 1])
                     known = hit[int(i)].values.to_numpy(zero_copy_only=False).view(np.uint64)
                     bad[a:b] |= np.isin(h[a:b], known)
+                bad &= ~part.column(len(cols) + 1).to_numpy(zero_copy_only=False)[d]  # a row without id stays as it is
                 cover = np.zeros(len(doc) + 1, np.int64)
                 np.add.at(cover, at[bad], 1)
                 np.add.at(cover, after[bad], -1)

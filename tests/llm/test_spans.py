@@ -46,6 +46,27 @@ def test_first_occurrence_is_smallest_id_and_leftmost(spark):
     assert out[5].text.strip() == " ".join(s[3:])
 
 
+def test_a_passage_is_found_at_any_line_width(spark):
+    rng = random.Random(8)
+    w = [f"p{rng.randrange(5000)}" + ("." if i % 9 == 8 else "") for i in range(60)]
+
+    def wrapped(width):
+        return "\n".join(" ".join(w[i:i + width]) for i in range(0, 60, width))
+
+    rows = [(1, "First text here.\n\n" + wrapped(10)), (2, wrapped(13) + "\n\nOther end."), (3, " ".join(w)), (4, wrapped(10))]
+    out = {r.doc_id: r for r in remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out[1].n_removed == 0 and out[1].text == rows[0][1]
+    assert out[2].text.strip() == "Other end." and out[3].text == out[4].text == ""
+
+
+def test_rows_without_id_stay_whole(spark):
+    rng = random.Random(9)
+    t = prose(rng, 60)
+    rows = [(None, t + "\n\n" + t), (5, t), (6, t)]
+    out = {r.doc_id: r for r in remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out[None].text == rows[0][1] and out[None].n_removed == 0 and out[5].text == t and out[6].n_removed > 5
+
+
 def test_odd_rows(odd_docs, no_docs):
     out = remove_repeats(odd_docs.withColumnRenamed("weight", "n_removed"))
     assert out.columns[:2] == ["doc_id", "text"] and out.columns[-2:] == ["n_sentences", "n_removed"]
