@@ -59,8 +59,8 @@ def word_features(w: Words, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return who[order], feat[order]
 
 
-def chains(emit: np.ndarray, trans: np.ndarray, first: np.ndarray):
-    """Marginals of each word, and expected transition counts, by scaled forward-backward.
+def chains(emit: np.ndarray, trans: np.ndarray, first: np.ndarray, moves: bool = True):
+    """Marginals of each word and, where asked for, expected transition counts, by scaled forward-backward.
 
     ``first`` has the chains' starts and the end; all chains advance together, longest first.
     """
@@ -90,6 +90,8 @@ def chains(emit: np.ndarray, trans: np.ndarray, first: np.ndarray):
         bwd[at] = cur
     marg = fwd * bwd
     marg /= marg.sum(1, keepdims=True)
+    if not moves:
+        return marg, None
     inner = np.ones(n, bool)
     inner[first[1:][np.diff(first) > 0] - 1] = False
     at = np.flatnonzero(inner)
@@ -199,7 +201,7 @@ def label_languages(docs: DataFrame, model: ChainModel, text_col: str = "text",
         uniq, one, inv = np.unique(h, return_index=True, return_inverse=True)
         emit = m.emissions(w, one, uniq)[inv]
         has = np.flatnonzero(w.counts())
-        marg, _ = chains(emit, m.trans, np.append(w.first[has], len(h)))
+        marg, _ = chains(emit, m.trans, np.append(w.first[has], len(h)), moves=False)
         mean = np.zeros((n, len(m.labels)))
         mean[has] = np.add.reduceat(marg, w.first[has], axis=0) / w.counts()[has][:, None]
         top = mean.argmax(1)

@@ -52,6 +52,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.base import forget, stored, table
+from tessera.operators.common import with_row_index
 from tessera.session import ensure_checkpoint_dir
 
 COPIES = 256                 # of one row that travel as one
@@ -110,13 +111,17 @@ def _open(folder: str):
 
 
 def bounds(keys: DataFrame, shards: int) -> list[tuple[int, int, int]]:
-    """shards - 1 upper bounds in (id, key, part) order, from the rows whose keys hash lowest."""
+    """shards - 1 upper bounds in (at, key, part) order; only they reach the driver, three numbers a shard.
+
+    The sample is picked by the keys' hash, about ``SAMPLE`` rows a shard, and ranked in Spark."""
     if shards < 2:
         return []
-    some = (keys.select("at", "key", "part").orderBy(F.xxhash64("at", "key", "part"), "at", "key", "part")
-            .limit(SAMPLE * shards).collect())  # three numbers for every 4 MB of payload
-    some = sorted((r["at"], r["key"], r["part"]) for r in some)
-    return [some[i * len(some) // shards] for i in range(1, shards)] if some else []
+    share = min(1.0, SAMPLE * shards / keys.count())
+    mark = F.shiftrightunsigned(F.xxhash64("at", "key", "part"), 1) / F.lit(float(1 << 63))
+    some = with_row_index(keys.select("at", "key", "part").where(mark <= share), ["at", "key", "part"], "nr")
+    n = some.count()
+    ends = some.where((F.col("nr") > 0) & (F.floor(F.col("nr") * shards / n) > F.floor((F.col("nr") - 1) * shards / n)))
+    return sorted((r["at"], r["key"], r["part"]) for r in ends.collect()) if n else []
 
 
 def write_archive(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html",
