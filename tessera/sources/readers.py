@@ -18,9 +18,9 @@ ALLOWED_EXT = ("csv", "json", "jsonl", "parquet")
 
 def read_any(spark: SparkSession, path: str, schema: StructType | str | None = None,
              fmt: str | None = None, multiline_json: bool | None = None) -> DataFrame:
-    """Pick the reader by extension.  JSON that is one array of records needs
-    ``multiLine`` (not splittable - convert such files to parquet once);
-    JSONL is splittable.  CSV keeps quoted commas and newlines."""
+    """Pick the reader by extension.  JSON that is one array of records is read
+    with ``multiLine``, one task a file; ``read_records`` reads large ones in byte
+    ranges.  JSONL is splittable.  CSV keeps quoted commas and newlines."""
     ext = (fmt or path.rsplit(".", 1)[-1]).lower()
     if ext not in ALLOWED_EXT:
         raise ValueError(f"unsupported extension {ext!r}; expected one of {ALLOWED_EXT}")
