@@ -40,6 +40,7 @@ from tessera.llm.base import apart, bounded_sample, forget, held_out, letters, m
 from tessera.llm.textvec import Words, distinct_pairs, mix, seg_sum, shingles
 
 SAMPLE_ROWS = 6000
+SCORE_BYTES = 1_000_000  # of text scored at once: a dozen arrays as long as that are held
 PREFIXES = (4, 5, 6)
 PAIR_ROWS = 5       # toxic rows of the sample that hold both terms of a pair
 PAIR_BLOCK = 2048   # terms in a block of the pair counts
@@ -295,7 +296,8 @@ def score_toxicity(docs: DataFrame, machine: FactorMachine, text_col: str = "tex
         z = fm.logits(doc, fm.lookup(h), len(offs) - 1)
         return [1 / (1 + np.exp(-np.clip(z, -500, 500)))]
 
-    return map_text(docs, score, f"`{out}` double", docs.columns if keep is None else keep, letters(text_col))
+    return map_text(docs, score, f"`{out}` double", docs.columns if keep is None else keep, letters(text_col),
+                    block=SCORE_BYTES)
 
 
 def op1_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
