@@ -64,11 +64,10 @@ def test_classes_match_brute_force(spark, percent):
     assert len(set(want.values())) < len(want)
 
 
-@pytest.mark.parametrize("hubs,first", [(2, 1), (2, 48), (1, 8)])
-def test_many_rounds_of_few_hubs(spark, monkeypatch, hubs, first):
+@pytest.mark.parametrize("hubs", [1, 2])
+def test_many_rounds_of_few_hubs(spark, monkeypatch, hubs):
     from tessera.llm import minhash
     monkeypatch.setattr(minhash, "HUBS", hubs)
-    monkeypatch.setattr(minhash, "FIRST", first)
     rows = variants(7)
     out = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), percent=80).collect()
     assert {r.doc_id: r.component_id for r in out} == brute(rows, 80)
