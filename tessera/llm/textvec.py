@@ -57,7 +57,7 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the hash base and of its inverse modulo 2**64, at least n of them."""
     have = _CACHE.get("pow")
     if have is None or len(have[0]) < n:
-        size = max(n, BLOCK_BYTES + 1024)
+        size = max(n, 1 << 20)  # as much as the blocks at hand need: the tables stay with the worker
         inv = pow(_BASE, -1, 1 << 64)
         out = []
         for base in (_BASE, inv):
