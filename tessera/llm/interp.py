@@ -11,7 +11,7 @@ held-out counts: a tenth of the training texts (``em_of_ten``) is set apart, the
 others' counts give the three estimates of its tokens, and the weights of each
 bucket maximise its likelihood.  The final model counts all training texts.
 
-Texts are dealt by a hash of their id to chunks of about ``chunk_bytes`` (5 MB)
+Texts are dealt by a hash of id and text to chunks of about ``chunk_bytes`` (5 MB)
 of text, so a chunk fits a task and their number grows with the input.
 
 1. Each chunk emits its distinct unigrams and bigrams as sorted 64-bit hashes
@@ -234,7 +234,7 @@ def score_texts(docs: DataFrame, train, id_col: str = "doc_id", text_col: str =
     size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     n_chunks = max(1, -(-int(size) // chunk_bytes))
     apart_of = F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 10 == em_of_ten, F.lit(False)) & train
-    spot = F.xxhash64("id")
+    spot = F.xxhash64("id", "t")  # rows of one id, or of none, spread by their texts
     chunk = F.when(F.col("em"), F.pmod(spot, F.lit(-(-n_chunks // 10))) + n_chunks).otherwise(F.pmod(spot, F.lit(n_chunks)))
     rows = (docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("t"), train.alias("train"),
                         apart_of.alias("em")).withColumn("chunk", chunk.cast("long")))
