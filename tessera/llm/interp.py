@@ -29,7 +29,7 @@ No gram or document goes to the driver, and no count is dropped or sampled.
 Defined cases: a null or empty text is the end mark alone; rows repeated under
 one id each count; a row with a null id counts as training; without training
 texts N = V = 0 and every token has probability 1; an empty table gives an empty
-result; other columns are not read.
+result; a very long text is read whole, in one chunk; other columns are not read.
 """
 
 from __future__ import annotations

@@ -24,7 +24,8 @@ rows, also for a source that holds a third of all documents.
 Defined cases: null and '' are one unnamed source; a text that is null, empty
 or blank has no token, and a source of such texts alone is passed once; rows
 repeated under one id are drawn alike (they tie, and fit together or not at
-all); an empty table gives an empty result; other columns pass through, and one
+all); rows without id share one block and are drawn alike too; a very long text
+counts with all its tokens; an empty table gives an empty result; other columns pass through, and one
 named like a result column is replaced.
 """
 

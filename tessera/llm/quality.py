@@ -16,7 +16,8 @@ figures for each.
 Defined cases: a null or empty text has all figures 0 and is scored like any
 other; a repeated row scores like its copy; an empty table gives an empty
 result; with no labelled row, or labels of one kind, the score is the smoothed
-base rate; other columns pass through, one named like the result is replaced.
+base rate; other columns pass through, one named like the result is replaced; a
+very long text is measured whole, in a block of its own where it needs one.
 """
 
 from __future__ import annotations

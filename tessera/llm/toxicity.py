@@ -23,7 +23,9 @@ texts of all rows in one narrow map: no shuffle.
 Defined cases: a null or empty text holds no term and scores sigmoid(b); a
 repeated row scores like its copy; an empty table gives an empty result; with
 no labelled row, or labels of one kind, the machine is the smoothed base rate.
-Extra columns pass through; one named like a result column is replaced.
+Extra columns pass through; one named like a result column is replaced.  A very
+long text is scored whole: a block of text holds one at least, so it may take a
+block of its own.
 """
 
 from __future__ import annotations
