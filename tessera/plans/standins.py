@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.arrays import let
 from tessera.functions.text import split_ws
 from tessera.session import cut_lineage, table
 
@@ -21,18 +22,20 @@ from tessera.session import cut_lineage, table
 def tag_sequences(spark, sf) -> DataFrame:
     conv = table(spark, sf, "conversations")
     toks = split_ws("text")
-    base = conv.select("conv_id", "turn", toks.alias("tokens"))
-    types = F.transform("tokens", lambda t: F.when(t.rlike("^[A-Z]"), "CAP")
-                        .when(t.rlike("[,.]$"), "PUN").otherwise("O"))
-    base = base.withColumn("types", types)
-    gold = F.transform("types", lambda t, i: F.when(t == "O", "O")
-                       .when(i == 0, F.concat(F.lit("B-"), t))
-                       .when(F.try_element_at(F.col("types"), i) == t, F.concat(F.lit("I-"), t))
-                       .otherwise(F.concat(F.lit("B-"), t)))
-    base = base.withColumn("gold", gold)
+    def of_type(t):
+        return F.when(t.rlike("^[A-Z]"), "CAP").when(t.rlike("[,.]$"), "PUN").otherwise("O")
+
+    def gold_tags(types):
+        before = F.concat(F.array(F.lit(None).cast("string")), types)  # one more than types, the last is not looked at
+        pairs = F.slice(F.arrays_zip(types.alias("t"), before.alias("b")), 1, F.size(types))
+        return F.transform(pairs, lambda x: F.when(x["t"] == "O", "O")
+                           .when(x["b"] == x["t"], F.concat(F.lit("I-"), x["t"])).otherwise(F.concat(F.lit("B-"), x["t"])))
+
+    # every array is a lambda variable: a filter on the result may repeat the expression, but never for each token
+    base = conv.select("conv_id", "turn", toks.alias("tokens"), let(F.transform(toks, of_type), gold_tags).alias("gold"))
     pred = F.transform("gold", lambda g, i: F.when(i % 5 == 2, "O")
                        .when(i % 7 == 3, F.regexp_replace(g, "^B-", "I-")).otherwise(g))
-    return base.withColumn("pred", pred).drop("types")
+    return base.withColumn("pred", pred)
 
 
 # QA stand-ins --------------------------------------------------------------

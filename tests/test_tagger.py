@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import time
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -73,3 +74,29 @@ def test_nothing_to_learn_from(spark):
     model = TG.fit_tagger(df, "tokens", "tags", slots=64)
     out = spark.createDataFrame([(["x", "y"],)], "tokens array<string>").select(TG.tag(spark, model, F.col("tokens")).alias("t"))
     assert out.first().t == ["O", "O"]
+
+
+def test_sequences_are_made_once_for_all_epochs(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("array<string>")
+    def tags(x):
+        made.add(1)
+        return x
+
+    df = spark.createDataFrame(sentences(60, 4), "id int, tokens array<string>, tags array<string>").withColumn("tags", tags("tags"))
+    TG.fit_tagger(df, "tokens", "tags", epochs=4, slots=1 << 10, shard_rows=20)
+    assert made.value <= 2 * 60
+
+
+def test_tags_of_a_long_turn_are_linear(spark, tmp_path):
+    """20,000 words in one turn: looking back a word must not make all types again."""
+    from tessera.plans import standins as S
+    words = ["Aa", "Bb", "cc,", "dd", "Ee", "ff."] * 3334
+    spark.createDataFrame([(1, 0, "user", " ".join(words)), (1, 1, "user", None)], "conv_id long, turn long, role string, text string").write.parquet(
+        f"{tmp_path}/conversations.parquet")
+    begun = time.monotonic()
+    rows = S.tag_sequences(spark, str(tmp_path)).where("size(tokens) = size(gold) or gold is null").orderBy("turn").collect()
+    assert time.monotonic() - begun < 15
+    assert rows[0].gold[:8] == ["B-CAP", "I-CAP", "B-PUN", "O", "B-CAP", "B-PUN", "B-CAP", "I-CAP"] and len(rows[0].gold) == len(words)
+    assert rows[0].pred[:5] == ["B-CAP", "I-CAP", "O", "O", "B-CAP"] and rows[1].gold is None
