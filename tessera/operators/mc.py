@@ -4,10 +4,13 @@ context choice by TF-IDF cosine."""
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.arrays import argmax, let
+from tessera.functions.arrays import argmax
 from tessera.functions.text import split_ws
 from tessera.operators.common import likely_keys
 from tessera.session import cut_lineage
@@ -17,23 +20,79 @@ ENDING_COLS = ["ending0", "ending1", "ending2", "ending3"]
 WIDE_COLS = ["video-id", "fold-ind", "startphrase", "sent1", "sent2", "gold-source",
              "ending0", "ending1", "ending2", "ending3", "labels"]
 GOLD_SOURCE = "gold"
-
-
-def _grams(tokens: Column, inner: bool) -> Column:
-    """Hashes of what a text that holds these words whole must hold, built by
-    zipping shifted copies of the array: every word between two others with the
-    last letter before and the first letter after it, and every word 3-gram.
-    ``inner``: the first and the last word may be parts of longer ones, so a
-    3-gram has to lie between them."""
-    def shifted(k):
-        return F.slice(tokens, k + 1, F.greatest(F.size(tokens), F.lit(1)))
-
-    def hashes(z):
-        edges = F.transform(z, lambda x: F.xxhash64(F.lit("edge"), F.substring(x["a"], -1, 1), x["b"], F.substring(x["c"], 1, 1)))
-        whole = F.slice(z, 2, F.greatest(F.size(z) - 2, F.lit(0))) if inner else z
-        return F.array_distinct(F.concat(edges, F.transform(whole, lambda x: F.xxhash64(F.concat_ws(" ", x["a"], x["b"], x["c"])))))
-
-    return let(F.filter(F.arrays_zip(tokens.alias("a"), shifted(1).alias("b"), shifted(2).alias("c")), lambda x: x["c"].isNotNull()), hashes)
+GRAM_SLOT_BITS = 20
+
+
+def _word_grams(buf: np.ndarray, offs: np.ndarray, first: np.ndarray, inner: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(text, hash) of the grams of texts whose word i is buf[offs[i]:offs[i + 1]] and whose words begin at ``first``.
+
+    Grams are what a text that holds these words whole must hold: every word
+    between two others with the last byte before and the first byte after it,
+    and every word 3-gram.  ``inner``: the first and the last word may be parts
+    of longer ones, so a 3-gram has to lie between them."""
+    n, mult = len(buf), np.uint64(0x9E3779B97F4A7C15)
+
+    def mix(h):
+        h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        return h ^ (h >> np.uint64(31))
+
+    up, down = (np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, x, np.uint64)]), dtype=np.uint64)
+                for x in (int(mult), pow(int(mult), -1, 1 << 64)))
+    code = mix((np.arange(256, dtype=np.uint64) + np.uint64(1)) * mult)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(code[buf] * up[:n], dtype=np.uint64)])
+    word = mix((sums[offs[1:]] - sums[offs[:-1]]) * down[offs[:-1]] + np.diff(offs).astype(np.uint64))
+    size = np.diff(first)
+    text = np.repeat(np.arange(len(size)), size)
+    place = np.arange(len(word)) - first[:-1][text]
+    mid = np.flatnonzero((place > 0) & (place < size[text] - 1))
+    sides = buf[offs[mid] - 1].astype(np.uint64) << np.uint64(8) | buf[offs[mid + 1]].astype(np.uint64)
+    edges = mix(word[mid] + (sides + np.uint64(1)) * mult)
+    whole = mid[(place[mid] > 1) & (place[mid] < size[text[mid]] - 2)] if inner else mid
+    threes = mix((word[whole - 1] * mult + word[whole]) * mult + word[whole + 1])
+    return np.concatenate([text[mid], text[whole]]), np.concatenate([edges, threes]).view(np.int64)
+
+
+def word_grams(words: pa.Array, inner: bool, wanted: np.ndarray | None = None, limit: int = 1_000_000) -> pa.Array:
+    """list<int64>: distinct grams of each list of words, those alone whose slot is ``wanted``; a block of bytes at a time."""
+    ends = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(words), 0).to_numpy(zero_copy_only=False))]).astype(np.int64)
+    flat = words.flatten().cast(pa.large_string())
+    offs = (np.frombuffer(flat.buffers()[1], np.int64)[flat.offset:flat.offset + len(flat) + 1] if len(flat)
+            else np.zeros(1, np.int64))
+    buf = np.frombuffer(flat.buffers()[2], np.uint8) if len(flat) else np.zeros(0, np.uint8)
+    found, counts, i = [np.zeros(0, np.int64)], np.zeros(len(words), np.int64), 0
+    while i < len(words):
+        j = max(i + 1, int(np.searchsorted(offs[ends], offs[ends[i]] + limit, "right")) - 1)
+        at = offs[ends[i]:ends[j] + 1]
+        text, h = _word_grams(buf[at[0]:at[-1]], at - at[0], ends[i:j + 1] - ends[i], inner)
+        if wanted is not None:
+            some = wanted[h & (len(wanted) - 1)]
+            text, h = text[some], h[some]
+        order = np.lexsort((h, text))
+        text, h = text[order], h[order]
+        new = np.ones(len(h), bool)
+        new[1:] = (text[1:] != text[:-1]) | (h[1:] != h[:-1])
+        found.append(h[new])
+        counts[i:j] = np.bincount(text[new], minlength=j - i)
+        i = j
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), pa.array(np.concatenate(found)))
+
+
+def _gram_rows(df: DataFrame, key: str, words: str, inner: bool, among: DataFrame | None = None) -> DataFrame:
+    """(key, h): distinct grams of each row's words, by an Arrow map; with ``among`` those whose hash slot is one of its
+    column's: at most 2**GRAM_SLOT_BITS numbers that travel as flags, however many grams there are."""
+    sent = None
+    if among is not None:
+        slots = among.select(F.col(among.columns[0]).bitwiseAND(F.lit((1 << GRAM_SLOT_BITS) - 1)).cast("int").alias("s")).distinct()
+        flags = np.zeros(1 << GRAM_SLOT_BITS, bool)
+        flags[slots.toArrow().column("s").to_numpy()] = True
+        sent = df.sparkSession.sparkContext.broadcast(np.packbits(flags))
+
+    @F.arrow_udf("array<long>")
+    def grams(w: pa.Array) -> pa.Array:
+        return word_grams(w, inner, None if sent is None else np.unpackbits(sent.value).view(bool))
+
+    return df.select(key, F.explode_outer(grams(F.col(words))).alias("h")).where(F.col("h").isNotNull())
 
 
 def rare_gram_pairs(words: DataFrame, toks: DataFrame, pkey: str, dkey: str) -> DataFrame:
@@ -41,13 +100,11 @@ def rare_gram_pairs(words: DataFrame, toks: DataFrame, pkey: str, dkey: str) ->
 
     ``words``: passages as pt, ``toks``: documents as dt, arrays of words.  A
     first pass counts in how many documents each of the passages' grams occurs."""
-    probes = words.where("size(pt) >= 3").select(pkey, F.explode_outer(_grams(F.col("pt"), inner=True)).alias("h"))
-    probes = probes.where(F.col("h").isNotNull())
-    held = toks.select(dkey, F.explode_outer(_grams(F.col("dt"), inner=False)).alias("h")).where(F.col("h").isNotNull())
-    seen = likely_keys(held, "h", probes.select("h")).groupBy("h").agg(F.count(F.lit(1)).alias("df"))
+    probes = cut_lineage(_gram_rows(words.where("size(pt) >= 3"), pkey, "pt", inner=True))
+    seen = _gram_rows(toks, dkey, "dt", False, probes.select("h")).groupBy("h").agg(F.count(F.lit(1)).alias("df"))
     rarest = F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "h")).alias("m")
     long = cut_lineage(probes.join(seen, "h", "left").groupBy(pkey).agg(rarest).where("m.df > 0").select(pkey, "m.h"))
-    return likely_keys(held, "h", long.select("h")).join(long, "h").select(pkey, dkey)
+    return _gram_rows(toks, dkey, "dt", False, long.select("h")).join(long, "h").select(pkey, dkey)
 
 
 def _substrings(word: Column, sizes: Column) -> Column:
@@ -65,7 +122,7 @@ def containing_docs(passages: DataFrame, docs: DataFrame, pkey: str = "item_id",
     Candidates come from equi-joins on something the document must hold, and
     ``instr`` confirms each one, so the result is exact:
 
-    - three words or more: the rarest of its grams (see ``_grams``), which any
+    - three words or more: the rarest of its grams (see ``_word_grams``), which any
       containing document holds; a first pass counts in how many documents each
       of the passages' grams occurs, so that a passage with a common word in the
       middle meets only documents that share something rare with it;

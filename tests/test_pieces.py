@@ -53,3 +53,24 @@ def test_labels_follow_pieces(spark):
     assert every == [-100, 3, 2, 0, 4, 4, 4, -100]
     words = df.select(align_labels("p", "y").word_idx).first()[0]
     assert words == [None, 0, 0, 1, 3, 3, 3, None]
+
+
+def test_grams_of_a_passage_are_among_those_of_its_documents():
+    """Blocks of any size give the same grams, and a text that holds a passage whole holds all its inner ones."""
+    import random
+
+    import pyarrow as pa
+
+    from tessera.operators.mc import word_grams
+    rng = random.Random(1)
+    docs = [[rng.choice(["ab", "abc", "é", "x", "yz"]) for _ in range(rng.randrange(12))] for _ in range(60)] + [None, []]
+    lists = pa.array(docs, pa.list_(pa.string()))
+    whole = word_grams(lists, False)
+    assert word_grams(lists, False, limit=3).equals(whole) and whole.to_pylist()[-2:] == [[], []]
+    assert word_grams(lists.slice(5, 20), False).to_pylist() == whole.to_pylist()[5:25]
+    for d, held in zip(docs, whole.to_pylist()):
+        if d and len(d) > 4:
+            text = " ".join(d)
+            part = text[1 if len(d[0]) > 1 else 0:len(text) - (len(d[-1]) > 1)].split()
+            inner = word_grams(pa.array([part], pa.list_(pa.string())), True)[0].as_py()
+            assert inner and set(inner) <= set(held)
