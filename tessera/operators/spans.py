@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,8 +32,27 @@ def whitespace_bytes(buf: np.ndarray) -> np.ndarray:
     return out
 
 
-def scan_tokens(texts: pa.Array) -> pa.Array:
-    """Whitespace tokens' code-point offsets, list<struct<s, e>> for each text: a few passes over the bytes."""
+BLOCK_BYTES = 1_000_000  # text bytes scanned at once: a pass over them needs some 50 bytes for each
+
+
+def blocks(texts: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[pa.Array]:
+    """Slices of a string array of at most ``limit`` bytes, one text at least."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    i = 0
+    while i < len(texts):
+        j = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + limit, "right")))
+        yield texts.slice(i, j - i)
+        i = j
+
+
+def scan_tokens(texts: pa.Array, limit: int = BLOCK_BYTES) -> pa.Array:
+    """Whitespace tokens' code-point offsets, list<struct<s, e>> for each text, block by block."""
+    done = [_scan_block(x) for x in blocks(texts, limit)]
+    return pa.concat_arrays(done) if done else _scan_block(texts)
+
+
+def _scan_block(texts: pa.Array) -> pa.Array:
+    """A few passes over the bytes."""
     texts = texts.cast(pa.large_string())
     n = len(texts)
     offs = np.frombuffer(texts.buffers()[1], np.int64, n + 1, offset=8 * texts.offset) if n else np.zeros(1, np.int64)

@@ -74,3 +74,15 @@ def test_grams_of_a_passage_are_among_those_of_its_documents():
             part = text[1 if len(d[0]) > 1 else 0:len(text) - (len(d[-1]) > 1)].split()
             inner = word_grams(pa.array([part], pa.list_(pa.string())), True)[0].as_py()
             assert inner and set(inner) <= set(held)
+
+
+def test_tokens_are_scanned_block_by_block(monkeypatch):
+    """One batch of many texts is never worked on as one buffer."""
+    import pyarrow as pa
+
+    from tessera.operators import spans as SP
+    seen, scan = [], SP._scan_block
+    monkeypatch.setattr(SP, "_scan_block", lambda t: seen.append(t.nbytes) or scan(t))
+    texts = pa.array([None, "", "a  é b", "word " * 300_000] * 3)
+    got = SP.scan_tokens(texts)
+    assert len(seen) >= 3 and got.equals(scan(texts)) and got[2].as_py()[1] == {"s": 3, "e": 4}
