@@ -28,7 +28,9 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.functions.arrays import let
 from tessera.functions.text import split_ws
+from tessera.session import cut_lineage
 
 SIZE = 20_000           # abbreviations and starters that a model may have each
 ABBREVIATION, STARTER = 0.3, 30.0
@@ -55,9 +57,10 @@ def _kind(bare: Column) -> Column:
 
 def period_counts(df: DataFrame, text_col: str) -> DataFrame:
     """(word, n, dotted): how often each word stands there, and before a period."""
+    # counted as they stand first: a token is taken apart once, however often it occurs
     t = (df.select(F.explode_outer(tokens_of(F.col(text_col))).alias("token")).where(F.col("token").isNotNull())
-         .select(_bare(F.col("token")).alias("bare")))
-    return (t.groupBy("bare").agg(F.count(F.lit(1)).alias("c"))
+         .groupBy("token").agg(F.count(F.lit(1)).alias("c")).select(_bare(F.col("token")).alias("bare"), "c"))
+    return (t.groupBy("bare").agg(F.sum("c").alias("c"))
             .select(_kind(F.col("bare")).alias("word"), "c", F.when(F.col("bare").endswith("."), F.col("c")).otherwise(0).alias("d"))
             .groupBy("word").agg(F.sum("c").alias("n"), F.sum("d").alias("dotted")))
 
@@ -80,15 +83,18 @@ def abbreviations(counts: DataFrame, size: int = SIZE) -> DataFrame:
 def starters(df: DataFrame, text_col: str, counts: DataFrame, known: DataFrame, size: int = SIZE) -> DataFrame:
     """(word, n, after, score): words that follow sentence ends; ``after`` counts the ends before them."""
     t = tokens_of(F.col(text_col))
-    pairs = (df.select(t.alias("t")).select(F.explode_outer(F.arrays_zip(
-        F.slice("t", 1, F.greatest(F.size("t") - 1, F.lit(0))).alias("x"), F.slice("t", 2, F.greatest(F.size("t"), F.lit(1))).alias("y")))
-        .alias("p")).where("p is not null and p.y is not null"))
-    ends = (pairs.select(_bare(F.col("p.x")).alias("bare"), "p.y").where(F.col("bare").endswith("."))
-            .select(_kind(F.col("bare")).alias("word"), "y")
+    zipped = let(t, lambda x: F.arrays_zip(x.alias("x"), F.slice(x, 2, F.greatest(F.size(x), F.lit(1))).alias("y")))
+    # a token without a period ends nothing: most fall away before a row is made of them
+    ended = F.filter(zipped, lambda p: p["x"].contains(".") & p["y"].isNotNull())
+    pairs = (df.select(F.explode_outer(ended).alias("p")).where(F.col("p").isNotNull())
+             .groupBy(F.col("p.x").alias("x"), F.col("p.y").alias("y")).agg(F.count(F.lit(1)).alias("c")))
+    ends = (pairs.select(_bare(F.col("x")).alias("bare"), "y", "c").where(F.col("bare").endswith("."))
+            .select(_kind(F.col("bare")).alias("word"), "y", "c")
             .where(~F.col("word").rlike("^[0-9]") & ~F.col("word").rlike(r"^\p{L}$")))
     # the words of the learnt abbreviations are few: a size of at most ``size`` rows
-    ends = ends.join(known.select("word"), "word", "left_anti").select(_bare(F.col("y")).alias("bare"))
-    after = ends.select(_kind(F.col("bare")).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("after"))
+    ends = ends.join(known.select("word"), "word", "left_anti").select(_bare(F.col("y")).alias("bare"), "c")
+    # stored: its sum and its rows are read
+    after = cut_lineage(ends.select(_kind(F.col("bare")).alias("word"), "c").groupBy("word").agg(F.sum("c").alias("after")))
     a = after.agg(F.sum("after").alias("a")).first()["a"] or 0
     n = counts.agg(F.sum("n").alias("n")).first()["n"] or 0
     if not 0 < a < n:

@@ -83,3 +83,19 @@ def test_planted_abbreviations_stay_whole(spark):
 def test_nothing_to_learn_from(spark):
     split = split_of(spark, [None, ""])
     assert spark.createDataFrame([("a. b",)], "t string").select(split(F.col("t"))).first()[0] == ["a. b"]
+
+
+def test_starters_take_the_texts_apart_once(spark):
+    from pyspark.sql import functions as F
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(x):
+        made.add(1)
+        return x
+
+    texts = ["He went home. The dog ran. The cat sat on the mat."] * 30 + [None, "", "No end"]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    counts = ST.period_counts(docs, "text")
+    got = {r.word: r.after for r in ST.starters(docs.select(seen("text").alias("text")), "text", counts, counts.limit(0)).collect()}
+    assert got == {"the": 60} and made.value <= len(texts)
