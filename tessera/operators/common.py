@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,6 +38,19 @@ def md5_number(col) -> Column:
     return F.conv(F.substring(F.md5(col), 1, 8), 16, 10).cast("long")
 
 
+def by_slices(lists: Iterator[pa.Array], fn: Callable[[pa.Array], pa.Array], limit: int = 200_000) -> Iterator[pa.Array]:
+    """``fn`` of slices of list arrays that hold at most ``limit`` elements together, one row at least.
+
+    An Arrow batch has a stated number of rows, but not of words; results of a whole batch need not be held at once."""
+    for batch in lists:
+        ends = np.cumsum(pc.fill_null(pc.list_value_length(batch), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        i = 0
+        while i < len(batch):
+            j = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + limit, "right")))
+            yield fn(batch.slice(i, j - i))
+            i = j
+
+
 def likely_keys(df: DataFrame, hash_col: str, probes: DataFrame) -> DataFrame:
     """Rows whose long ``hash_col`` may be in the one column of ``probes``.
 

@@ -11,7 +11,7 @@ joined are the word.
 from __future__ import annotations
 
 import base64
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +19,10 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.operators.common import by_slices
+
 TABLE_ROWS = 300_000  # that a piece table may have at most: it is broadcast
+KNOWN_WORDS = 50_000  # remembered by a task before it starts afresh
 
 
 def read_pieces(path: str) -> tuple[dict[str, int], dict[str, int]]:
@@ -58,12 +61,22 @@ def piece_splitter(spark: SparkSession, path: str) -> Callable[[Column], Column]
     kind = pa.list_(pa.struct([("piece", pa.string()), ("id", pa.int32())]))
 
     @F.arrow_udf("array<array<struct<piece:string,id:int>>>")
-    def cut(words: pa.Array) -> pa.Array:
-        flat = words.flatten().dictionary_encode()
-        each = [None if w is None else [{"piece": p, "id": i} for p, i in cut_word(w, *sent.value)]
-                for w in flat.dictionary.to_pylist()]
-        ends = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(words), 0).to_numpy(zero_copy_only=False))])
-        return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(each, kind).take(flat.indices),
-                                        mask=words.is_null() if words.null_count else None)
+    def cut(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        known: dict[str | None, list | None] = {None: None}
+
+        def part(words: pa.Array) -> pa.Array:
+            if len(known) > KNOWN_WORDS:
+                known.clear()
+                known[None] = None
+            flat = words.flatten().dictionary_encode()
+            found = flat.dictionary.to_pylist()
+            for w in found:
+                if w not in known:
+                    known[w] = [{"piece": p, "id": i} for p, i in cut_word(w, *sent.value)]
+            ends = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(words), 0).to_numpy(zero_copy_only=False))])
+            return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array([known[w] for w in found], kind).take(flat.indices),
+                                            mask=words.is_null() if words.null_count else None)
+
+        return by_slices(batches, part)
 
     return cut

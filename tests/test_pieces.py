@@ -86,3 +86,14 @@ def test_tokens_are_scanned_block_by_block(monkeypatch):
     texts = pa.array([None, "", "a  é b", "word " * 300_000] * 3)
     got = SP.scan_tokens(texts)
     assert len(seen) >= 3 and got.equals(scan(texts)) and got[2].as_py()[1] == {"s": 3, "e": 4}
+
+
+def test_batches_are_worked_on_in_slices():
+    import pyarrow as pa
+
+    from tessera.operators.common import by_slices
+    seen = []
+    lists = [pa.array([[1, 2, 3], None, [], [4] * 9, [5]]), pa.array([], pa.list_(pa.int64())), pa.array([[6]])]
+    out = list(by_slices(iter(lists), lambda x: seen.append(x.flatten().to_pylist()) or x, limit=4))
+    assert sum((x.to_pylist() for x in out), []) == sum((x.to_pylist() for x in lists), [])
+    assert seen == [[1, 2, 3], [4] * 9, [5], [6]]
