@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.arrays import PAD_ID, UNK_ID, pad_array
 from tessera.functions.text import split_space, split_ws
-from tessera.operators.common import bounded_broadcast, fingerprint, md5_number, ordered_collect
+from tessera.operators.common import bounded_broadcast, by_slices, fingerprint, md5_number, ordered_collect
 
 # Reserved vocabulary entries and their ids.
 PAD_TOKEN, UNK_TOKEN = "[PAD]", "[UNK]"
@@ -70,11 +72,14 @@ def encode(df: DataFrame, key: str, text_col: str, vocab: DataFrame, vocab_size:
         sent = df.sparkSession.sparkContext.broadcast((known.column("token").to_pylist(), known.column("id").to_numpy()))
 
         @F.arrow_udf("array<int>")
-        def lookup(tokens: pa.Array) -> pa.Array:
-            words, ids = sent.value
-            at = pc.index_in(tokens.flatten(), value_set=pa.array(words, pa.string()))
-            found = np.append(ids, UNK_ID)[pc.fill_null(at, len(ids)).to_numpy(zero_copy_only=False)]
-            return _per_list(tokens, pa.array(found.astype(np.int32)))
+        def lookup(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            words, ids = pa.array(sent.value[0], pa.string()), np.append(sent.value[1], UNK_ID).astype(np.int32)
+
+            def part(tokens: pa.Array) -> pa.Array:
+                at = pc.index_in(tokens.flatten(), value_set=words)
+                return _per_list(tokens, pa.array(ids[pc.fill_null(at, len(ids) - 1).to_numpy(zero_copy_only=False)]))
+
+            return by_slices(batches, part)
 
         res = df.where(F.col(text_col).isNotNull()).select(key, lookup(split_space(text_col)).alias(out))
     if to_len is not None:
@@ -106,10 +111,13 @@ def decode(df: DataFrame, key: str, ids_col: str, vocab: DataFrame, vocab_size:
     sent = df.sparkSession.sparkContext.broadcast((known.column("token").to_pylist(), known.column("id").to_pylist()))
 
     @F.arrow_udf("array<string>")
-    def lookup(ids: pa.Array) -> pa.Array:
-        words, known_ids = sent.value
-        at = pc.index_in(ids.flatten().cast(pa.int32()), value_set=pa.array(known_ids, pa.int32()))
-        return _per_list(ids, pa.array(words, pa.string()).take(at))
+    def lookup(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        words, known_ids = pa.array(sent.value[0], pa.string()), pa.array(sent.value[1], pa.int32())
+
+        def part(ids: pa.Array) -> pa.Array:
+            return _per_list(ids, words.take(pc.index_in(ids.flatten().cast(pa.int32()), value_set=known_ids)))
+
+        return by_slices(batches, part)
 
     tokens = F.filter(lookup(F.col(ids_col).cast("array<int>")), lambda t: t.isNotNull())
     return df.where(F.size(ids_col) > 0).select(key, tokens.alias(out))
