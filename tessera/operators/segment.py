@@ -18,7 +18,7 @@ are broadcast as plain arrays.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.arrays import index_range, let
+from tessera.operators.common import by_slices
 from tessera.session import cut_lineage
 
 LETTERS = r"[\p{L}\p{M}]+"
@@ -181,19 +182,24 @@ def segmenter(spark: SparkSession, dictionary: DataFrame, longest: int = LONGEST
                                          round(COST_SCALE * math.log(2 * total)) if total else 0))
 
     @F.arrow_udf("array<string>")
-    def split(pieces: pa.Array) -> pa.Array:
+    def split(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         words, costs, unknown = sent.value
-        flat = pieces.flatten().dictionary_encode()
-        found = flat.dictionary.to_pylist()
-        lettered = [i for i, x in enumerate(found) if x[0].isalpha() or _is_mark(x[0])]
-        parts = [[x] for x in found]
-        for i, p in zip(lettered, Lattice(words, costs, unknown, longest).cut([found[i] for i in lettered])):
-            parts[i] = p
-        taken = pa.array(parts, pa.list_(pa.string())).take(flat.indices)
-        ends = np.concatenate([[0], np.cumsum(pc.list_value_length(taken).to_numpy(zero_copy_only=False))]).astype(np.int32)
-        first = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(pieces), 0).to_numpy(zero_copy_only=False))])
-        return pa.ListArray.from_arrays(pa.array(ends[first]), taken.flatten(),
-                                        mask=pieces.is_null() if pieces.null_count else None)
+        lattice = Lattice(words, costs, unknown, longest)  # once a task
+
+        def part(pieces: pa.Array) -> pa.Array:
+            flat = pieces.flatten().dictionary_encode()
+            found = flat.dictionary.to_pylist()
+            lettered = [i for i, x in enumerate(found) if x[0].isalpha() or _is_mark(x[0])]
+            parts = [[x] for x in found]
+            for i, p in zip(lettered, lattice.cut([found[i] for i in lettered])):
+                parts[i] = p
+            taken = pa.array(parts, pa.list_(pa.string())).take(flat.indices)
+            ends = np.concatenate([[0], np.cumsum(pc.list_value_length(taken).to_numpy(zero_copy_only=False))]).astype(np.int32)
+            first = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(pieces), 0).to_numpy(zero_copy_only=False))])
+            return pa.ListArray.from_arrays(pa.array(ends[first]), taken.flatten(),
+                                            mask=pieces.is_null() if pieces.null_count else None)
+
+        return by_slices(batches, part)
 
     return lambda text: split(F.regexp_extract_all(text, F.lit(PIECES), F.lit(0)))
 
