@@ -11,6 +11,11 @@ Fixed rules (query and oracle must agree):
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -94,8 +99,7 @@ def qa_features(spark, sf) -> DataFrame:
     d, w = F.col("doc_id"), F.col("win")
 
     def logits(a, b, c, mod, cls):
-        own = F.transform("offsets", lambda o, i: _logit(a, b, c, mod, d, F.col("first_tok").cast("long") + i))
-        return F.concat(F.array(cls), own)
+        return _logits(a, b, c, mod)(d.cast("long"), F.col("first_tok").cast("long"), F.size("offsets").cast("long"), cls)
 
     none = F.array(F.lit(None).cast("struct<s:int,e:int>"))
     return win.select(d.alias("example_id"), (d * 100_000 + w).alias("feature_id"),
@@ -114,8 +118,20 @@ def with_max_context(feats) -> DataFrame:
                             .otherwise(F.create_map().cast("map<string,boolean>")))
 
 
-def _logit(a, b, c, mod, d, t):
-    return ((a * d + b * t + c * t * t) % mod).cast("double") / 100 - 5
+def _logits(a, b, c, mod):
+    """A window's logits from (document, first token, tokens, CLS logit), some windows at a time."""
+    @F.arrow_udf("array<double>")
+    def run(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for batch in batches:
+            known = batch[0].is_valid().to_numpy(zero_copy_only=False)
+            d, first, n, cls = (pc.fill_null(x, 0).to_numpy(zero_copy_only=False) for x in batch)
+            ends = np.concatenate([[0], np.cumsum(n + 1)])
+            t = np.arange(ends[-1]) - np.repeat(ends[:-1] + 1 - first, n + 1)
+            out = np.fmod(np.repeat(a * d, n + 1) + b * t + c * t * t, mod) / 100 - 5
+            out[ends[:-1]] = cls
+            yield pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(out), mask=pa.array(~known))
+
+    return run
 
 
 def qa_beams(spark, sf) -> DataFrame:
@@ -123,20 +139,41 @@ def qa_beams(spark, sf) -> DataFrame:
     positions, end slot i*5+j = the j-th best end position among those at or
     after start slot i's position (rank order; logits as log-probs); the null
     score is the CLS token's start + end logit."""
-    from tessera.operators.qa import top_positions
-    f = qa_features(spark, sf).select("*", top_positions(F.col("start_logits"), 5).alias("_st"),
-                                      top_positions(F.col("end_logits"), QA_WINDOW + 1).alias("_en"))
-    st, ends = F.col("_st"), F.col("_en")
-    per_start = F.transform(st, lambda s: F.slice(F.filter(ends, lambda e: e["pos"] >= s["pos"]), 1, 5))
-    padded = F.transform(per_start, lambda l: F.concat(l, F.array_repeat(
-        F.struct(F.lit(-1e9).alias("v"), F.lit(0).alias("pos"), F.lit(0).alias("rank")), 5 - F.size(l))))
-    flat = F.flatten(padded)
-    return f.select("example_id", "feature_id", "offsets",
-                    F.transform(st, lambda s: s["v"]).alias("start_log_probs"),
-                    F.transform(st, lambda s: s["pos"]).alias("start_index"),
-                    F.transform(flat, lambda e: e["v"]).alias("end_log_probs"),
-                    F.transform(flat, lambda e: e["pos"]).alias("end_index"),
-                    (F.col("start_logits")[0] + F.col("end_logits")[0]).alias("cls_logit"))
+    f = qa_features(spark, sf)
+    f = f.select("example_id", "feature_id", "offsets", (F.col("start_logits")[0] + F.col("end_logits")[0]).alias("cls_logit"),
+                 _beam_slots(5)("start_logits", "end_logits").alias("b"))
+    return f.select("example_id", "feature_id", "offsets", "b.start_log_probs", "b.start_index", "b.end_log_probs", "b.end_index",
+                    "cls_logit")
+
+
+def _beam_slots(n):
+    """The n best starts of a feature and for each the n best ends not before it; missing ends are -1e9 at 0."""
+    from tessera.operators.qa import list_lengths, logit_blocks, negated, top_positions
+
+    def lists(values, kept, kind):
+        sizes = kept.reshape(len(kept), -1).sum(axis=1)
+        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(values[kept]).cast(kind))
+
+    def block(starts, ends):
+        sp, sv = top_positions(*negated(starts), n)
+        neg, there = negated(ends)
+        slots = [top_positions(neg, there & (np.arange(neg.shape[1]) >= sp[:, k, None]), n) for k in range(n)]
+        ep, ev = (np.stack(x, axis=1) for x in zip(*slots))
+        made = ep < 0
+        has = sp >= 0
+        each = np.repeat(has[:, :, None], n, axis=2)
+        return pa.StructArray.from_arrays(
+            [lists(sv, has, pa.float64()), lists(sp, has, pa.int32()), lists(np.where(made, -1e9, ev), each, pa.float64()),
+             lists(np.where(made, 0, ep), each, pa.int32())],
+            names=["start_log_probs", "start_index", "end_log_probs", "end_index"])
+
+    @F.arrow_udf("struct<start_log_probs:array<double>,start_index:array<int>,end_log_probs:array<double>,end_index:array<int>>")
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for starts, ends in batches:
+            wide = np.maximum(list_lengths(starts), list_lengths(ends))
+            yield pa.concat_arrays([block(starts.slice(i, j - i), ends.slice(i, j - i)) for i, j in logit_blocks(wide)])
+
+    return run
 
 
 # Summarisation stand-ins ---------------------------------------------------

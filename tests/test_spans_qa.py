@@ -88,3 +88,65 @@ def test_em_f1(spark):
     r = QA.qa_em_f1(p, g).first()
     assert r.exact_match == 50.0
     assert math.isclose(r.f1, (1.0 + 2 * 0.5 * 1.0 / 1.5) / 2 * 100)
+
+
+def test_candidates_of_uneven_features_match_python(spark):
+    rng = random.Random(9)
+    rows, want = [], {}
+    for k in range(60):
+        n, m = rng.choice([0, 1, 2, 7, 40, 90]), rng.choice([0, 1, 5, 40, 90])
+        st, en = [rng.randrange(6) / 2 for _ in range(n)], [rng.randrange(6) / 2 for _ in range(m)]
+        offs = [rng.choice([None, (3 * i, 3 * i + 2)]) if rng.random() < 0.3 else (3 * i, 3 * i + 2) for i in range(rng.choice([n, max(n, m)]))]
+        most = {str(i): rng.choice([True, True, False, None]) for i in range(n) if rng.random() < 0.8}
+        rows.append((k, k, [o and {"s": o[0], "e": o[1]} for o in offs], st, en, most or None))
+        si = sorted(range(n), key=lambda i: (-st[i], i))[:5]
+        ei = sorted(range(m), key=lambda i: (-en[i], i))[:5]
+        at = lambda i: offs[i] if i < len(offs) else None
+        pairs = [(-(st[a] + en[b]), i, j, at(a)[0], at(b)[1]) for i, a in enumerate(si) for j, b in enumerate(ei)
+                 if most.get(str(a)) and at(a) and at(b) and a <= b < a + 12]
+        want[k] = sorted(pairs)[:5]
+    feats = spark.createDataFrame(rows, "example_id int, feature_id int, offsets array<struct<s:int,e:int>>, start_logits array<double>, "
+                                        "end_logits array<double>, token_is_max_context map<string,boolean>")
+    out = QA.feature_candidates(feats, 5, 12)
+    assert {r.example_id: [(c.nscore, c.srank, c.erank, c.cs, c.ce) for c in r.c] for r in out.collect()} == want
+    # no lambda runs over a feature's logits or its map of tokens
+    assert "lambdafunction" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_blocks_of_logits_are_bounded():
+    import numpy as np
+    lengths = np.array([0, 3, 385, 2_000_000, 1, 385, 0])
+    runs = list(QA.logit_blocks(lengths, 400))
+    assert [i for a, b in runs for i in range(a, b)] == list(range(7))
+    assert all(b - a == 1 or (b - a) * max(400, lengths[a:b].max()) <= QA.BLOCK_LOGITS for a, b in runs)
+    assert list(QA.logit_blocks(np.array([], int))) == []
+
+
+def test_logits_of_the_stand_ins_run_in_batches(spark):
+    from tessera.plans import standins as S
+    sf = "/root/testdata/sf0.001"
+    for df in (S.qa_features(spark, sf).select("start_logits", "end_logits"), S.qa_beams(spark, sf)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "sort_array" not in plan and "% 997" not in plan
+    r = S.qa_features(spark, sf).where("example_id = 7 and feature_id % 100000 = 0").first()
+    assert r.start_logits[0] == (13 * 7) % 400 / 100 and r.end_logits[0] == (11 * 7) % 400 / 100 - 2
+    for i, v in enumerate(r.start_logits[1:]):
+        assert v == (7919 * 7 + 10473 * i + 31 * i * i) % 997 / 100 - 5
+    for i, v in enumerate(r.end_logits[1:]):
+        assert v == (5501 * 7 + 7727 * i + 17 * i * i) % 991 / 100 - 5
+
+
+def test_beams_of_the_stand_ins_match_python(spark):
+    from tessera.plans import standins as S
+    sf = "/root/testdata/sf0.001"
+    feats = {r.feature_id: r for r in S.qa_features(spark, sf).collect()}
+    beams = S.qa_beams(spark, sf).collect()
+    assert len(beams) == len(feats)
+    for b in beams:
+        st, en = feats[b.feature_id].start_logits, feats[b.feature_id].end_logits
+        starts = sorted(range(len(st)), key=lambda i: (-st[i], i))[:5]
+        ends = [([e for e in sorted(range(len(en)), key=lambda i: (-en[i], i)) if e >= s] + [None] * 5)[:5] for s in starts]
+        flat = [e for l in ends for e in l]
+        assert b.start_index == starts and b.start_log_probs == [st[i] for i in starts]
+        assert b.end_index == [e or 0 for e in flat] and b.end_log_probs == [-1e9 if e is None else en[e] for e in flat]
+        assert b.cls_logit == st[0] + en[0]
