@@ -38,17 +38,28 @@ def md5_number(col) -> Column:
     return F.conv(F.substring(F.md5(col), 1, 8), 16, 10).cast("long")
 
 
+def list_lengths(lists: pa.Array) -> np.ndarray:
+    """Elements of each list; none in a null one."""
+    return pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def slices_of(lengths: np.ndarray, limit: int = 200_000) -> Iterator[tuple[int, int]]:
+    """Bounds of runs of rows that hold at most ``limit`` elements together, one row at least."""
+    ends = np.cumsum(lengths, dtype=np.int64)
+    i = 0
+    while i < len(ends):
+        j = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + limit, "right")))
+        yield i, j
+        i = j
+
+
 def by_slices(lists: Iterator[pa.Array], fn: Callable[[pa.Array], pa.Array], limit: int = 200_000) -> Iterator[pa.Array]:
     """``fn`` of slices of list arrays that hold at most ``limit`` elements together, one row at least.
 
     An Arrow batch has a stated number of rows, but not of words; results of a whole batch need not be held at once."""
     for batch in lists:
-        ends = np.cumsum(pc.fill_null(pc.list_value_length(batch), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
-        i = 0
-        while i < len(batch):
-            j = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + limit, "right")))
+        for i, j in slices_of(list_lengths(batch), limit):
             yield fn(batch.slice(i, j - i))
-            i = j
 
 
 def likely_keys(df: DataFrame, hash_col: str, probes: DataFrame) -> DataFrame:

@@ -23,6 +23,7 @@ from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, S
 
 from tessera.functions.arrays import let
 from tessera.functions.text import char_span, normalize_answer, split_ws
+from tessera.operators.common import list_lengths
 
 # Text of the fallback prediction when no candidate survives,
 # and the beam form's fallback logits and score.
@@ -35,11 +36,6 @@ BEAM_FALLBACK_SCORE = -2e-6
 BLOCK_LOGITS = 500_000
 
 
-def list_lengths(lists: pa.Array) -> np.ndarray:
-    """Elements of each list; none in a null one."""
-    return pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-
-
 def logit_blocks(lengths: np.ndarray, least: int = 1) -> Iterator[tuple[int, int]]:
     """Bounds of runs of rows whose matrix, as wide as the longest row (``least`` at least), stays within the block; one row at least."""
     i, wide = 0, least
@@ -214,7 +210,7 @@ def qa_nbest(examples: DataFrame, feats: DataFrame, n_best: int = 20, max_len: i
     return _with_fallback(with_text, EMPTY_TEXT, 0.0, 0.0, also_lone_empty=True)
 
 
-def _with_fallback(rows: DataFrame, text: str, logit: float, score: float, also_lone_empty: bool) -> DataFrame:
+def _with_fallback(rows: DataFrame, text: str, logit: float, score: float, also_lone_empty: bool, keep: list = ()) -> DataFrame:
     """Softmax over an example's rows; an example without candidates (or, with
     ``also_lone_empty``, with a single candidate of empty text) gets a made-up
     first row.  One window for counts, ranks and probabilities."""
@@ -225,7 +221,7 @@ def _with_fallback(rows: DataFrame, text: str, logit: float, score: float, also_
     none = F.col("rank").isNull()
     lone = (F.count(F.lit(1)).over(we) == 1) & (F.col("text") == "") if also_lone_empty else F.lit(False)
     out = rows.withColumn("_rows", F.when(none, F.array(fake)).when(lone, F.array(fake, own)).otherwise(F.array(own)))
-    out = out.select("example_id", F.explode("_rows").alias("r")).select("example_id", "r.*")
+    out = out.select("example_id", *keep, F.explode("_rows").alias("r")).select("example_id", *keep, "r.*")
     e = F.exp(F.col("score") - F.max("score").over(we))
     return (out.withColumn("probability", e / F.sum(e).over(we))
             .withColumn("rank", F.row_number().over(we.orderBy("rank"))))
@@ -280,34 +276,42 @@ def beam_candidates(beams: DataFrame, n_best: int = 20, max_len: int = 30,
     # both sides are lambda variables of the pairing, so each is computed once a row
     pairs = let(F.struct(st.alias("st"), en.alias("en")),
                 lambda x: F.flatten(F.transform(x["st"], lambda s: ends_for(s, x["en"]))))
-    return beams.select("example_id", "feature_id", F.explode_outer(pairs).alias("c")).where(
-        F.col("c").isNotNull()).select(
+    null = [c for c in ("cls_logit",) if c in beams.columns]
+    found = beams.select("example_id", "feature_id", *null, F.explode_outer(pairs).alias("c"))
+    if null:  # the smallest null score over all features of an example, those without candidates too
+        found = found.withColumn("cls_logit", F.min("cls_logit").over(Window.partitionBy("example_id")))
+    return found.where(F.col("c").isNotNull()).select(
         "example_id", "feature_id", (F.col("c.start_logit") + F.col("c.end_logit")).alias("score"),
         F.col("c.srank").alias("srank"), F.col("c.erank").alias("erank"),
         F.col("c.start_logit").alias("start_logit"), F.col("c.end_logit").alias("end_logit"),
-        F.col("c.cs").alias("cs"), F.col("c.ce").alias("ce"))
+        F.col("c.cs").alias("cs"), F.col("c.ce").alias("ce"), *null)
 
 
 def qa_beam_nbest(examples: DataFrame, beams: DataFrame, n_best: int = 20, max_len: int = 30,
                   start_n: int = 5, end_n: int = 5) -> DataFrame:
+    """n-best answers of beams; where these have ``cls_logit``, the example's
+    smallest one comes along (null where it has no candidate)."""
     rows = beam_candidates(beams, n_best, max_len, start_n, end_n)
+    null = [c for c in ("cls_logit",) if c in rows.columns]
     w = Window.partitionBy("example_id").orderBy(F.desc("score"), "feature_id", "srank", "erank")
     ranked = rows.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n_best)
     out = examples.select("example_id", "context").join(ranked, "example_id", "left").select(
         "example_id", "rank", F.when(F.col("rank").isNotNull(), char_span("context", "cs", "ce")).alias("text"),
-        "start_logit", "end_logit", "score", F.lit(False).alias("is_null"))
-    return _with_fallback(out, "", BEAM_FALLBACK_LOGIT, BEAM_FALLBACK_SCORE, also_lone_empty=False).drop("is_null")
+        "start_logit", "end_logit", "score", F.lit(False).alias("is_null"), *null)
+    return _with_fallback(out, "", BEAM_FALLBACK_LOGIT, BEAM_FALLBACK_SCORE, also_lone_empty=False, keep=null).drop("is_null")
 
 
-def qa_beam_null_odds(nbest: DataFrame, beams: DataFrame) -> DataFrame:
+def qa_beam_null_odds(nbest: DataFrame, beams: DataFrame | None = None) -> DataFrame:
     """Null score of every example of a beam n-best: the smallest ``cls_logit``
-    of its features, or the fallback score where it has no candidate."""
-    low = beams.groupBy("example_id").agg(F.min("cls_logit").alias("low"))
-    first = nbest.where("rank = 1").select("example_id", F.col("text").alias("prediction"), "score")
+    of its features, or the fallback score where it has no candidate.  An n-best
+    that does not carry ``cls_logit`` takes it from ``beams``, a second pass."""
+    if "cls_logit" not in nbest.columns:
+        nbest = nbest.join(beams.groupBy("example_id").agg(F.min("cls_logit").alias("cls_logit")), "example_id", "left")
+    first = nbest.where("rank = 1").select("example_id", F.col("text").alias("prediction"), "score", "cls_logit")
     made_up = (F.col("prediction") == "") & (F.col("score") == BEAM_FALLBACK_SCORE)
-    return first.join(low, "example_id", "left").select(
+    return first.select(
         "example_id", "prediction",
-        F.when(made_up | F.col("low").isNull(), F.lit(BEAM_FALLBACK_SCORE)).otherwise(F.col("low")).alias("null_score"))
+        F.when(made_up | F.col("cls_logit").isNull(), F.lit(BEAM_FALLBACK_SCORE)).otherwise(F.col("cls_logit")).alias("null_score"))
 
 
 def format_predictions(preds: DataFrame, with_negative: bool = False) -> DataFrame:

@@ -9,9 +9,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 from tessera.functions.arrays import index_range
 from tessera.functions.text import split_ws
+from tessera.operators.common import list_lengths, slices_of
 
 # The characters of Unicode's White_Space property.
 WHITESPACE = [*"\t\n\x0b\x0c\r \x85\xa0\u1680", *(chr(c) for c in range(0x2000, 0x200B)),
@@ -98,34 +100,57 @@ def token_rows(df: DataFrame, key: str, text_col: str = "text") -> DataFrame:
                     F.col("x.offsets.e").alias("e")))
 
 
-def window_count(n, w: int, overlap: int):
-    step = w - overlap
-    return F.greatest(F.lit(1), F.lit(1) + F.ceil(F.greatest(n - w, F.lit(0)) / F.lit(step)).cast("int"))
-
-
 def context_windows(tok: DataFrame, key: str, w: int, overlap: int, keep: tuple = ()) -> DataFrame:
     """Overlapping windows of ``w`` tokens sharing ``overlap`` tokens:
     (key, window, first_tok, n_tok, start_char, end_char); an empty context
     gives one empty window [0, 0).  Each window is cut out of the row's arrays
     before the explode, so a window row carries its own tokens only; ``keep``
-    names the arrays (``offsets``, ``tokens``) whose slices come along."""
+    names the arrays (``offsets``, ``tokens``) whose slices come along.  Cut in
+    Arrow batches: a slice inside a lambda would copy the whole text's array for
+    each window."""
     if not 0 <= overlap < w:
         raise ValueError("need 0 <= overlap < w")
-    step = w - overlap
-    n = F.size("offsets")
-
-    def window(k):
-        size = F.greatest(F.least(F.lit(w), n - k * step), F.lit(0))
-        first = F.try_element_at(F.col("offsets"), k * step + 1)
-        last = F.try_element_at(F.col("offsets"), k * step + size)
-        slices = [F.when(size > 0, F.slice(c, k * step + 1, F.greatest(size, F.lit(1)))).otherwise(F.slice(c, 1, 0)).alias(c)
-                  for c in keep]
-        return F.struct(k.alias("win"), (k * step).alias("first_tok"), size.alias("n_tok"),
-                        F.coalesce(first["s"], F.lit(0)).alias("start_char"),
-                        F.when(size > 0, last["e"]).otherwise(F.lit(0)).alias("end_char"), *slices)
-
-    wins = F.transform(index_range(window_count(n, w, overlap)), window)
-    return tok.select(key, F.explode(wins).alias("x")).select(key, "x.*")
+    spans = tok.schema["offsets"].dataType
+    kept = [StructField(c, tok.schema[c].dataType) for c in keep]
+    window = StructType([*(StructField(c, IntegerType()) for c in ("win", "first_tok", "n_tok")),
+                         StructField("start_char", spans.elementType["s"].dataType),
+                         StructField("end_char", spans.elementType["e"].dataType), *kept])
+
+    @F.arrow_udf(ArrayType(window))
+    def cut(offsets: pa.Array, *more: pa.Array) -> pa.Array:
+        cols = dict(zip(others, more), offsets=offsets)
+        done = [_cut_windows({c: x.slice(i, j - i) for c, x in cols.items()}, w, overlap, keep)
+                for i, j in slices_of(list_lengths(offsets))]
+        return pa.concat_arrays(done) if done else _cut_windows(cols, w, overlap, keep)
+
+    others = [c for c in keep if c != "offsets"]
+    return tok.select(key, F.explode(cut("offsets", *others)).alias("x")).select(key, "x.*")
+
+
+def _cut_windows(cols: dict[str, pa.Array], w: int, overlap: int, keep: tuple) -> pa.Array:
+    """The windows of each row, linear in their tokens."""
+    offsets, step = cols["offsets"], w - overlap
+    n = list_lengths(offsets)
+    count = 1 + (np.maximum(n - w, 0) + step - 1) // step
+    row = np.repeat(np.arange(len(n)), count)
+    win = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+    first = win * step
+    size = np.clip(n[row] - first, 0, w)
+    bounds = pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32))
+
+    def edge(field, at):
+        ends = pc.struct_field(offsets.values, field)
+        return pc.fill_null(ends.take(pa.array(offsets.offsets.to_numpy()[:-1][row] + at, mask=size == 0)), 0)
+
+    def part(c):
+        lists = cols[c]
+        at = np.repeat(lists.offsets.to_numpy()[:-1].astype(np.int64)[row] + first - bounds.to_numpy()[:-1], size) + np.arange(size.sum())
+        return pa.ListArray.from_arrays(bounds, lists.values.take(pa.array(at)))
+
+    numbers = [pa.array(x.astype(np.int32)) for x in (win, first, size)]
+    rows = pa.StructArray.from_arrays([*numbers, edge("s", first), edge("e", first + size - 1), *(part(c) for c in keep)],
+                                      names=["win", "first_tok", "n_tok", "start_char", "end_char", *keep])
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(count)]).astype(np.int32)), rows)
 
 
 def answer_token_span(tok: DataFrame, answers: DataFrame, key: str, w: int, overlap: int) -> DataFrame:

@@ -425,8 +425,7 @@ def q_qa_beam_nbest(spark, sf):
 
 @query
 def q_qa_beam_null_odds(spark, sf):
-    beams = S.qa_beams(spark, sf)
-    odds = QA.qa_beam_null_odds(QA.qa_beam_nbest(S.qa_examples(spark, sf), beams, n_best=20, max_len=30), beams)
+    odds = QA.qa_beam_null_odds(QA.qa_beam_nbest(S.qa_examples(spark, sf), S.qa_beams(spark, sf), n_best=20, max_len=30))
     return odds.select("example_id", "prediction", r6("null_score").alias("null_score"))
 
 

@@ -99,7 +99,7 @@ def qa_features(spark, sf) -> DataFrame:
     d, w = F.col("doc_id"), F.col("win")
 
     def logits(a, b, c, mod, cls):
-        return _logits(a, b, c, mod)(d.cast("long"), F.col("first_tok").cast("long"), F.size("offsets").cast("long"), cls)
+        return _logits(a, b, c, mod)(d.cast("long"), F.col("first_tok").cast("long"), F.col("n_tok").cast("long"), cls)
 
     none = F.array(F.lit(None).cast("struct<s:int,e:int>"))
     return win.select(d.alias("example_id"), (d * 100_000 + w).alias("feature_id"),
@@ -148,7 +148,8 @@ def qa_beams(spark, sf) -> DataFrame:
 
 def _beam_slots(n):
     """The n best starts of a feature and for each the n best ends not before it; missing ends are -1e9 at 0."""
-    from tessera.operators.qa import list_lengths, logit_blocks, negated, top_positions
+    from tessera.operators.common import list_lengths
+    from tessera.operators.qa import logit_blocks, negated, top_positions
 
     def lists(values, kept, kind):
         sizes = kept.reshape(len(kept), -1).sum(axis=1)

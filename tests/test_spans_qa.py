@@ -150,3 +150,26 @@ def test_beams_of_the_stand_ins_match_python(spark):
         assert b.start_index == starts and b.start_log_probs == [st[i] for i in starts]
         assert b.end_index == [e or 0 for e in flat] and b.end_log_probs == [-1e9 if e is None else en[e] for e in flat]
         assert b.cls_logit == st[0] + en[0]
+
+
+def test_null_odds_read_the_beams_once(spark):
+    import __spark_entry__ as E
+    plan = E.queries()["qa_beam_null_odds"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan parquet") == 2  # the texts and the beams
+
+
+def test_windows_of_long_texts_are_cut_in_linear_time(spark):
+    sizes = [0, 1, 5, 8, 9, 200_003]
+    df = spark.createDataFrame([(n, "a " * n) for n in sizes] + [(-1, None)], "k int, t string")
+    tok = SP.token_offsets(df, "k", "t")
+    win = SP.context_windows(tok, "k", 8, 2, keep=("offsets", "tokens"))
+    assert "slice(" not in win._jdf.queryExecution().executedPlan().toString()
+    got = {}
+    for r in win.collect():
+        assert len(r.offsets) == len(r.tokens) == r.n_tok
+        assert [(o.s, o.e) for o in r.offsets] == [(2 * i, 2 * i + 1) for i in range(r.first_tok, r.first_tok + r.n_tok)]
+        assert (r.start_char, r.end_char) == ((2 * r.first_tok, 2 * (r.first_tok + r.n_tok) - 1) if r.n_tok else (0, 0))
+        got.setdefault(r.k, []).append((r.win, r.first_tok, r.n_tok))
+    for n in sizes:
+        assert sorted(got[n]) == [(k, 6 * k, min(8, n - 6 * k)) for k in range(1 + max(0, -(-(n - 8) // 6)))]
+    assert got[-1] == [(0, 0, 0)]
