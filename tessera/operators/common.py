@@ -38,6 +38,27 @@ def md5_number(col) -> Column:
     return F.conv(F.substring(F.md5(col), 1, 8), 16, 10).cast("long")
 
 
+def md5_numbers(words: Column, n: int) -> Column:
+    """``md5_number`` modulo ``n`` of an array's words, without repeats; each distinct word of a slice of rows is hashed once."""
+    import hashlib
+
+    def of_slice(lists: pa.Array) -> pa.Array:
+        coded = lists.flatten().dictionary_encode()
+        each = np.array([int.from_bytes(hashlib.md5(w.encode()).digest()[:4], "big") % n for w in coded.dictionary.to_pylist()], np.int64)
+        sizes = list_lengths(lists)
+        pairs = np.unique(np.repeat(np.arange(len(sizes)), sizes) * n + each[coded.indices.to_numpy()])  # row and number in one
+        ends = np.concatenate([[0], np.cumsum(np.bincount(pairs // n, minlength=len(sizes)))])
+        return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(pairs % n))
+
+    @F.arrow_udf("array<bigint>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for b in batches:
+            done = [of_slice(b.slice(i, j - i)) for i, j in slices_of(list_lengths(b))]
+            yield pa.concat_arrays(done) if done else of_slice(b)
+
+    return run(words)
+
+
 def list_lengths(lists: pa.Array) -> np.ndarray:
     """Elements of each list; none in a null one."""
     return pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)

@@ -880,14 +880,13 @@ from tessera.operators import ml as ML  # noqa: E402
 @query
 def q_max_pool_vectors(spark, sf):
     """Every token has the vector whose id is its hash modulo the table's size; a text without tokens has [PAD]'s."""
-    from tessera.operators.common import md5_number
+    from tessera.functions.arrays import let
+    from tessera.operators.common import md5_numbers
     emb = table(spark, sf, "embeddings")
-    n = emb.select(F.count(F.lit(1))).scalar()
-    words = table(spark, sf, "documents").select("doc_id", F.array_distinct(split_ws("text")).alias("ts"))
-    words = words.select("doc_id", F.when(F.size("ts") == 0, F.array(F.lit(V.PAD_TOKEN))).otherwise(F.col("ts")).alias("ts"))
-    toks = (words.select("doc_id", F.explode("ts").alias("token"))
-            .select("doc_id", (md5_number("token") % n).alias("vec_id")).distinct())
-    tv = toks.join(emb.select("vec_id", F.col("embedding").alias("vector")), "vec_id")
+    n = emb.select(F.count(F.lit(1))).first()[0]
+    words = let(split_ws("text"), lambda ts: F.when(F.size(ts) == 0, F.array(F.lit(V.PAD_TOKEN))).otherwise(ts))
+    ids = table(spark, sf, "documents").select("doc_id", md5_numbers(words, n).alias("ids"))
+    tv = ML.pool_by_ids(ids, emb.select("vec_id", F.col("embedding").alias("vector")), "doc_id", dim=64)
     mp = ML.max_pool_vectors(tv, "doc_id", dim=64)
     mp = mp.select("doc_id", F.posexplode("pooled").alias("dim", "value"))
     return mp.select("doc_id", F.col("dim").cast("bigint").alias("dim"), r6(F.col("value").cast("double")).alias("value"))
