@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.arrays import IGNORE_INDEX, TAG_PAD, index_range, pad_array
+from tessera.functions.arrays import IGNORE_INDEX, TAG_PAD, index_range, let, pad_array
 
 # IOB2 prefixes and the outside tag.
 OUTSIDE = "O"
@@ -154,8 +154,9 @@ def token_accuracy(df: DataFrame, pred_col: str, gold_col: str, ignore=None) ->
     z = F.arrays_zip(F.col(pred_col).alias("p"), F.col(gold_col).alias("g"))
     if ignore:
         z = F.filter(z, lambda x: ~x["g"].isin(*ignore))
-    per = df.select(F.size(z).alias("n"), F.size(F.filter(z, lambda x: x["p"] == x["g"])).alias("c"))
-    return per.agg(F.sum("n").alias("n_tokens"), (F.sum("c") / F.sum("n")).alias("token_acc"))
+    # both counts read one lambda variable: the optimizer would make the arrays anew for each
+    per = df.select(let(z, lambda a: F.struct(F.size(a).alias("n"), F.size(F.filter(a, lambda x: x["p"] == x["g"])).alias("c"))).alias("x"))
+    return per.select("x.*").agg(F.sum("n").alias("n_tokens"), (F.sum("c") / F.sum("n")).alias("token_acc"))
 
 
 # Fixed value: the length that tag sequences are cut and padded to.

@@ -50,3 +50,13 @@ def test_random_sequences(spark):
     seqs = [[rng.choice(tags) for _ in range(rng.randint(0, 15))] for _ in range(300)]
     for strict in (True, False):
         assert run(spark, seqs, strict) == [sorted(model(s, strict)) for s in seqs]
+
+
+def test_token_accuracy_makes_its_arrays_once(spark):
+    from pyspark.sql import functions as F
+    from tessera.operators.seqtags import token_accuracy
+    df = spark.createDataFrame([([1, 2, -1, 3], [1, 3, 3, 3]), ([], [])], "g array<int>, p array<int>")
+    df = df.select(F.transform("g", lambda x: x + 0).alias("g"), F.transform("p", lambda x: x + 0).alias("p"))
+    out = token_accuracy(df, "p", "g", ignore=[-100, -1])
+    assert out.first().asDict() == {"n_tokens": 3, "token_acc": 2 / 3}
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("arrays_zip(") == 1
