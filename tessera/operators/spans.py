@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -84,11 +84,25 @@ def offsets_of(text: Column) -> Column:
     return scan(text)
 
 
-def token_offsets(df: DataFrame, key: str, text_col: str = "text") -> DataFrame:
+def token_offsets(df: DataFrame, key: str, text_col: str = "text", tokens: bool = True) -> DataFrame:
     """(key, tokens array<string>, offsets array<struct<s,e>>): whitespace tokens
     with code-point offsets, all inside the row: no shuffle, no window, and
-    linear in the text's bytes."""
-    return df.select(key, split_ws(text_col).alias("tokens"), offsets_of(F.col(text_col)).alias("offsets"))
+    linear in the text's bytes.  Without ``tokens`` only the offsets, block by
+    block: a column function keeps the rows of its whole Arrow batches, on disk
+    where memory is short."""
+    if tokens:
+        return df.select(key, split_ws(text_col).alias("tokens"), offsets_of(F.col(text_col)).alias("offsets"))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            done = 0
+            for texts in blocks(b.column(1)):
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(done, len(texts)), _scan_block(texts)], names=[key, "offsets"])
+                done += len(texts)
+
+    spans = StructType([StructField(c, IntegerType()) for c in ("s", "e")])
+    return df.select(key, F.col(text_col).alias("_text")).mapInArrow(
+        scan, StructType([df.select(key).schema[0], StructField("offsets", ArrayType(spans))]))
 
 
 def token_rows(df: DataFrame, key: str, text_col: str = "text") -> DataFrame:
@@ -100,35 +114,40 @@ def token_rows(df: DataFrame, key: str, text_col: str = "text") -> DataFrame:
                     F.col("x.offsets.e").alias("e")))
 
 
-def context_windows(tok: DataFrame, key: str, w: int, overlap: int, keep: tuple = ()) -> DataFrame:
+def context_windows(tok: DataFrame, key: str, w: int, overlap: int, keep: tuple = (),
+                    finish: tuple[list[StructField], Callable] | None = None) -> DataFrame:
     """Overlapping windows of ``w`` tokens sharing ``overlap`` tokens:
     (key, window, first_tok, n_tok, start_char, end_char); an empty context
-    gives one empty window [0, 0).  Each window is cut out of the row's arrays
-    before the explode, so a window row carries its own tokens only; ``keep``
-    names the arrays (``offsets``, ``tokens``) whose slices come along.  Cut in
-    Arrow batches: a slice inside a lambda would copy the whole text's array for
-    each window."""
+    gives one empty window [0, 0).  Each window is cut out of the row's arrays,
+    so a window row carries its own tokens only; ``keep`` names the arrays
+    (``offsets``, ``tokens``) whose slices come along.  Cut in an Arrow map, some
+    texts at a time: a slice inside a lambda would copy the whole text's array
+    for each window, and a column function keeps all its rows' arrays until the
+    batch returns.  ``finish``: fields and a function that makes them from a
+    dict of the window columns, in the same pass."""
     if not 0 <= overlap < w:
         raise ValueError("need 0 <= overlap < w")
     spans = tok.schema["offsets"].dataType
     kept = [StructField(c, tok.schema[c].dataType) for c in keep]
-    window = StructType([*(StructField(c, IntegerType()) for c in ("win", "first_tok", "n_tok")),
-                         StructField("start_char", spans.elementType["s"].dataType),
-                         StructField("end_char", spans.elementType["e"].dataType), *kept])
+    window = [tok.select(key).schema[0], *(StructField(c, IntegerType()) for c in ("win", "first_tok", "n_tok")),
+              StructField("start_char", spans.elementType["s"].dataType),
+              StructField("end_char", spans.elementType["e"].dataType), *kept]
+    fields, made = finish or (window, None)
 
-    @F.arrow_udf(ArrayType(window))
-    def cut(offsets: pa.Array, *more: pa.Array) -> pa.Array:
-        cols = dict(zip(others, more), offsets=offsets)
-        done = [_cut_windows({c: x.slice(i, j - i) for c, x in cols.items()}, w, overlap, keep)
-                for i, j in slices_of(list_lengths(offsets))]
-        return pa.concat_arrays(done) if done else _cut_windows(cols, w, overlap, keep)
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            cols = dict(zip(read, b.columns))
+            for i, j in slices_of(list_lengths(cols["offsets"])):
+                rows = _cut_windows({c: x.slice(i, j - i) for c, x in cols.items()}, key, w, overlap, keep)
+                rows = made(rows) if made else rows
+                yield pa.RecordBatch.from_arrays([rows[f.name] for f in fields], names=[f.name for f in fields])
 
-    others = [c for c in keep if c != "offsets"]
-    return tok.select(key, F.explode(cut("offsets", *others)).alias("x")).select(key, "x.*")
+    read = [key, "offsets", *(c for c in keep if c != "offsets")]
+    return tok.select(*read).mapInArrow(cut, StructType(fields))
 
 
-def _cut_windows(cols: dict[str, pa.Array], w: int, overlap: int, keep: tuple) -> pa.Array:
-    """The windows of each row, linear in their tokens."""
+def _cut_windows(cols: dict[str, pa.Array], key: str, w: int, overlap: int, keep: tuple) -> dict[str, pa.Array]:
+    """The windows of all rows, linear in their tokens."""
     offsets, step = cols["offsets"], w - overlap
     n = list_lengths(offsets)
     count = 1 + (np.maximum(n - w, 0) + step - 1) // step
@@ -147,10 +166,9 @@ def _cut_windows(cols: dict[str, pa.Array], w: int, overlap: int, keep: tuple) -
         at = np.repeat(lists.offsets.to_numpy()[:-1].astype(np.int64)[row] + first - bounds.to_numpy()[:-1], size) + np.arange(size.sum())
         return pa.ListArray.from_arrays(bounds, lists.values.take(pa.array(at)))
 
-    numbers = [pa.array(x.astype(np.int32)) for x in (win, first, size)]
-    rows = pa.StructArray.from_arrays([*numbers, edge("s", first), edge("e", first + size - 1), *(part(c) for c in keep)],
-                                      names=["win", "first_tok", "n_tok", "start_char", "end_char", *keep])
-    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(count)]).astype(np.int32)), rows)
+    out = {key: cols[key].take(pa.array(row))}
+    out |= {c: pa.array(x.astype(np.int32)) for c, x in (("win", win), ("first_tok", first), ("n_tok", size))}
+    return out | {"start_char": edge("s", first), "end_char": edge("e", first + size - 1)} | {c: part(c) for c in keep}
 
 
 def answer_token_span(tok: DataFrame, answers: DataFrame, key: str, w: int, overlap: int) -> DataFrame:

@@ -18,6 +18,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
 from tessera.functions.arrays import let
 from tessera.functions.text import split_ws
@@ -94,18 +95,14 @@ def qa_examples(spark, sf) -> DataFrame:
 
 def qa_features(spark, sf) -> DataFrame:
     from tessera.operators.spans import context_windows, token_offsets
-    tok = token_offsets(table(spark, sf, "documents"), "doc_id", "text")
-    win = context_windows(tok, "doc_id", QA_WINDOW, QA_OVERLAP, keep=("offsets",))
-    d, w = F.col("doc_id"), F.col("win")
-
-    def logits(a, b, c, mod, cls):
-        return _logits(a, b, c, mod)(d.cast("long"), F.col("first_tok").cast("long"), F.col("n_tok").cast("long"), cls)
-
-    none = F.array(F.lit(None).cast("struct<s:int,e:int>"))
-    return win.select(d.alias("example_id"), (d * 100_000 + w).alias("feature_id"),
-                      F.concat(none, F.col("offsets").cast("array<struct<s:int,e:int>>")).alias("offsets"),
-                      logits(7919, 10473, 31, 997, ((13 * d + 7 * w) % 400).cast("double") / 100).alias("start_logits"),
-                      logits(5501, 7727, 17, 991, ((11 * d + 5 * w) % 400).cast("double") / 100 - 2).alias("end_logits"))
+    docs = table(spark, sf, "documents")
+    tok = token_offsets(docs, "doc_id", "text", tokens=False)
+    offsets, logits = StructField("offsets", tok.schema["offsets"].dataType), ArrayType(DoubleType())
+    fields = [docs.schema["doc_id"], StructField("win", IntegerType()), offsets, StructField("start_logits", logits),
+              StructField("end_logits", logits)]
+    feats = context_windows(tok, "doc_id", QA_WINDOW, QA_OVERLAP, keep=("offsets",), finish=(fields, _with_logits))
+    return feats.select(F.col("doc_id").alias("example_id"), (F.col("doc_id") * 100_000 + F.col("win")).alias("feature_id"),
+                        "offsets", "start_logits", "end_logits")
 
 
 def with_max_context(feats) -> DataFrame:
@@ -118,20 +115,24 @@ def with_max_context(feats) -> DataFrame:
                             .otherwise(F.create_map().cast("map<string,boolean>")))
 
 
-def _logits(a, b, c, mod):
-    """A window's logits from (document, first token, tokens, CLS logit), some windows at a time."""
-    @F.arrow_udf("array<double>")
-    def run(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for batch in batches:
-            known = batch[0].is_valid().to_numpy(zero_copy_only=False)
-            d, first, n, cls = (pc.fill_null(x, 0).to_numpy(zero_copy_only=False) for x in batch)
-            ends = np.concatenate([[0], np.cumsum(n + 1)])
-            t = np.arange(ends[-1]) - np.repeat(ends[:-1] + 1 - first, n + 1)
-            out = np.fmod(np.repeat(a * d, n + 1) + b * t + c * t * t, mod) / 100 - 5
-            out[ends[:-1]] = cls
-            yield pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(out), mask=pa.array(~known))
+def _with_logits(cols: dict[str, pa.Array]) -> dict[str, pa.Array]:
+    """Windows with a CLS token in front, which has no place in the text, and the logits of all their tokens."""
+    known = cols["doc_id"].is_valid().to_numpy(zero_copy_only=False)
+    d, win, first, n = (pc.fill_null(cols[c].cast(pa.int64()), 0).to_numpy(zero_copy_only=False) for c in ("doc_id", "win", "first_tok", "n_tok"))
+    ends = np.concatenate([[0], np.cumsum(n + 1)])
+    bounds, is_cls = pa.array(ends.astype(np.int32)), np.zeros(ends[-1], bool)
+    is_cls[ends[:-1]] = True
+    t = np.arange(ends[-1]) - np.repeat(ends[:-1] + 1 - first, n + 1)
 
-    return run
+    def logits(a, b, c, mod, cls):
+        out = np.fmod(np.repeat(a * d, n + 1) + b * t + c * t * t, mod) / 100 - 5
+        out[ends[:-1]] = cls
+        return pa.ListArray.from_arrays(bounds, pa.array(out), mask=pa.array(~known))
+
+    spans = cols["offsets"].flatten().take(pa.array(np.cumsum(~is_cls) - 1, mask=is_cls))
+    return {"doc_id": cols["doc_id"], "win": cols["win"], "offsets": pa.ListArray.from_arrays(bounds, spans),
+            "start_logits": logits(7919, 10473, 31, 997, np.fmod(13 * d + 7 * win, 400) / 100),
+            "end_logits": logits(5501, 7727, 17, 991, np.fmod(11 * d + 5 * win, 400) / 100 - 2)}
 
 
 def qa_beams(spark, sf) -> DataFrame:
