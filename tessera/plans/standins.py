@@ -142,13 +142,16 @@ def qa_beams(spark, sf) -> DataFrame:
     score is the CLS token's start + end logit."""
     f = qa_features(spark, sf)
     f = f.select("example_id", "feature_id", "offsets", (F.col("start_logits")[0] + F.col("end_logits")[0]).alias("cls_logit"),
-                 _beam_slots(5)("start_logits", "end_logits").alias("b"))
-    return f.select("example_id", "feature_id", "offsets", "b.start_log_probs", "b.start_index", "b.end_log_probs", "b.end_index",
-                    "cls_logit")
+                 "start_logits", "end_logits")
+    numbers, places = ArrayType(DoubleType()), ArrayType(IntegerType())
+    return f.mapInArrow(_beam_slots(5), StructType([
+        *(f.schema[c] for c in ("example_id", "feature_id", "offsets")), StructField("start_log_probs", numbers), StructField("start_index", places),
+        StructField("end_log_probs", numbers), StructField("end_index", places), f.schema["cls_logit"]]))
 
 
 def _beam_slots(n):
-    """The n best starts of a feature and for each the n best ends not before it; missing ends are -1e9 at 0."""
+    """The n best starts of a feature and for each the n best ends not before it; missing ends are -1e9 at 0.
+    A map of batches: a column function would keep the offsets of its whole batches, on disk where memory is short."""
     from tessera.operators.common import list_lengths
     from tessera.operators.qa import logit_blocks, negated, top_positions
 
@@ -164,16 +167,18 @@ def _beam_slots(n):
         made = ep < 0
         has = sp >= 0
         each = np.repeat(has[:, :, None], n, axis=2)
-        return pa.StructArray.from_arrays(
-            [lists(sv, has, pa.float64()), lists(sp, has, pa.int32()), lists(np.where(made, -1e9, ev), each, pa.float64()),
-             lists(np.where(made, 0, ep), each, pa.int32())],
-            names=["start_log_probs", "start_index", "end_log_probs", "end_index"])
-
-    @F.arrow_udf("struct<start_log_probs:array<double>,start_index:array<int>,end_log_probs:array<double>,end_index:array<int>>")
-    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for starts, ends in batches:
-            wide = np.maximum(list_lengths(starts), list_lengths(ends))
-            yield pa.concat_arrays([block(starts.slice(i, j - i), ends.slice(i, j - i)) for i, j in logit_blocks(wide)])
+        return [lists(sv, has, pa.float64()), lists(sp, has, pa.int32()), lists(np.where(made, -1e9, ev), each, pa.float64()),
+                lists(np.where(made, 0, ep), each, pa.int32())]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            wide = np.maximum(list_lengths(b.column("start_logits")), list_lengths(b.column("end_logits")))
+            for i, j in logit_blocks(wide):
+                part = {c: b.column(c).slice(i, j - i) for c in b.schema.names}
+                slots = block(part["start_logits"], part["end_logits"])
+                yield pa.RecordBatch.from_arrays(
+                    [part["example_id"], part["feature_id"], part["offsets"], *slots, part["cls_logit"]],
+                    names=["example_id", "feature_id", "offsets", "start_log_probs", "start_index", "end_log_probs", "end_index", "cls_logit"])
 
     return run
 
