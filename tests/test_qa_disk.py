@@ -15,7 +15,8 @@ from tessera.operators import spans as SP
 SF = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name", ["qa_nbest", "qa_beam_null_odds", "qa_nbest_max_context", "qa_null_odds", "qa_beam_nbest", "qa_nbest_negative", "qa_predictions"])
+@pytest.mark.parametrize("name", ["qa_nbest", "qa_beam_null_odds", "qa_nbest_max_context", "qa_null_odds", "qa_beam_nbest",
+                                  "qa_nbest_negative", "qa_predictions"])
 def test_no_column_function_keeps_the_windows(spark, name):
     plan = E.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "MapInArrow" in plan and "ArrowEvalPython" not in plan
